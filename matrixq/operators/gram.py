@@ -7,25 +7,32 @@ from pyspark.sql import functions as F
 
 from matrixq.model import Matrix, value_type_of
 from matrixq.operators.cells import coalesce_cells, transpose
+from matrixq.operators.product import pick_strategy
 from matrixq.plans.skew import PART_KEYS, split_hot_keys_upper
 
 
-def gram(m: Matrix, of: str = "columns", strategy: str = "join", *, block: int = 1024,
+STRATEGIES = ("auto", "join", "block")
+
+
+def gram(m: Matrix, of: str = "columns", strategy: str = "auto", *, block: int = 1024,
          split_hot: bool = True) -> Matrix:
     """``Mt x M`` for ``of='columns'``, ``M x Mt`` for ``of='rows'``.
 
     The result is symmetric: only the half ``i <= j`` is computed and then mirrored.
+    ``auto`` runs the counting job of ``matmul``.
     """
     if of not in ("columns", "rows"):
         raise ValueError(f"of must be 'columns' or 'rows', got {of!r}")
+    if strategy not in STRATEGIES:
+        raise ValueError(f"strategy must be one of {STRATEGIES}, got {strategy!r}")
     if of == "rows":
         m = transpose(m)
+    if strategy == "auto":
+        strategy = pick_strategy(transpose(m), m, block=block)
     if strategy == "block":
         from matrixq.operators.blocks import block_product
 
         return block_product(transpose(m), m, block=block, symmetric=True)
-    if strategy != "join":
-        raise ValueError(f"gram knows the strategies join and block, got {strategy!r}")
     m = coalesce_cells(m)
     left = m.cells.select(F.col("i").alias("k"), F.col("j").alias("x"), F.col("v").alias("left_v"))
     right = m.cells.select(
