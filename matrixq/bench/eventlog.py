@@ -5,16 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# The fields of the event log that are read, by their names in the log.
-EVENT_SCHEMA = """
-    `Event` string, `Job ID` bigint, `Submission Time` bigint, `Completion Time` bigint,
-    `Stage ID` bigint, `Stage Attempt ID` bigint, `Properties` map<string,string>,
-    `Stage Info` struct<`Stage ID`: bigint, `Stage Attempt ID`: bigint>,
-    `Task Metrics` struct<
-        `Executor Run Time`: bigint, `Executor CPU Time`: bigint,
-        `Shuffle Read Metrics`: struct<`Remote Bytes Read`: bigint, `Local Bytes Read`: bigint>,
-        `Shuffle Write Metrics`: struct<`Shuffle Bytes Written`: bigint>>
-"""
+from matrixq.functions.parsing import once
+
+# The events that are read and their fields, by their names in the log.
+EVENTS = {
+    "SparkListenerJobStart": """
+        `Job ID` bigint, `Submission Time` bigint, `Properties` map<string,string>""",
+    "SparkListenerJobEnd": "`Job ID` bigint, `Completion Time` bigint",
+    "SparkListenerStageSubmitted": """
+        `Stage Info` struct<`Stage ID`: bigint, `Stage Attempt ID`: bigint>,
+        `Properties` map<string,string>""",
+    "SparkListenerTaskEnd": """
+        `Stage ID` bigint, `Stage Attempt ID` bigint,
+        `Task Metrics` struct<
+            `Executor Run Time`: bigint, `Executor CPU Time`: bigint,
+            `Shuffle Read Metrics`: struct<
+                `Remote Bytes Read`: bigint, `Local Bytes Read`: bigint>,
+            `Shuffle Write Metrics`: struct<`Shuffle Bytes Written`: bigint>>""",
+}
+GROUP_PROPERTY = "spark.jobGroup.id"
 
 
 def read_event_log(spark: SparkSession, path: str) -> DataFrame:
@@ -35,33 +44,29 @@ def group_metrics(log: DataFrame, cores: int) -> DataFrame:
     busy meanwhile, ``shuffle_read`` and ``shuffle_write`` in bytes. Tasks are summed per stage
     before they meet the name of the stage's group.
     """
-    events = log.select("app", F.from_json("value", EVENT_SCHEMA).alias("e"))
-    of_kind = lambda name: events.where(F.col("e.Event") == name)
-    group = F.coalesce(
-        F.element_at("e.Properties", F.lit("spark.jobGroup.id")), F.lit("")
-    ).alias("job_group")
-
-    starts = of_kind("SparkListenerJobStart").select(
-        "app", F.col("e.`Job ID`").alias("job"), group,
+    job, stage, attempt = (F.col(f"e.`{name} ID`") for name in ("Job", "Stage", "Stage Attempt"))
+    group = F.coalesce(F.element_at("e.Properties", F.lit(GROUP_PROPERTY)), F.lit(""))
+    starts = _events(log, "SparkListenerJobStart").select(
+        "app", job.alias("job"), group.alias("job_group"),
         F.col("e.`Submission Time`").alias("submitted"),
     )
-    ends = of_kind("SparkListenerJobEnd").select(
-        "app", F.col("e.`Job ID`").alias("job"), F.col("e.`Completion Time`").alias("completed")
+    ends = _events(log, "SparkListenerJobEnd").select(
+        "app", job.alias("job"), F.col("e.`Completion Time`").alias("completed")
     )
     spans = starts.join(ends, ["app", "job"]).groupBy("app", "job_group").agg(
         F.count("*").alias("jobs"),
         ((F.max("completed") - F.min("submitted")) / 1000).alias("seconds"),
     )
 
-    stages = of_kind("SparkListenerStageSubmitted").select(
+    stages = _events(log, "SparkListenerStageSubmitted").select(
         "app", F.col("e.`Stage Info`.`Stage ID`").alias("stage"),
-        F.col("e.`Stage Info`.`Stage Attempt ID`").alias("attempt"), group,
+        F.col("e.`Stage Info`.`Stage Attempt ID`").alias("attempt"), group.alias("job_group"),
     )
     metrics = "e.`Task Metrics`"
     read = f"{metrics}.`Shuffle Read Metrics`"
     written = f"{metrics}.`Shuffle Write Metrics`.`Shuffle Bytes Written`"
-    tasks = of_kind("SparkListenerTaskEnd").groupBy(
-        "app", F.col("e.`Stage ID`").alias("stage"), F.col("e.`Stage Attempt ID`").alias("attempt")
+    tasks = _events(log, "SparkListenerTaskEnd").groupBy(
+        "app", stage.alias("stage"), attempt.alias("attempt")
     ).agg(
         F.count("*").alias("tasks"),
         F.sum(F.col(f"{metrics}.`Executor Run Time`")).alias("run_ms"),
@@ -81,3 +86,9 @@ def group_metrics(log: DataFrame, cores: int) -> DataFrame:
     )
     cpu_use = F.try_divide(F.col("cpu_seconds"), F.col("seconds") * cores)
     return spans.join(work, ["app", "job_group"]).withColumn("cpu_use", cpu_use)
+
+
+def _events(log: DataFrame, name: str) -> DataFrame:
+    """Rows ``(app, e)`` of one kind of event; lines of other kinds are not parsed."""
+    own = log.where(F.col("value").startswith('{"Event":"' + name + '"'))
+    return once(own, app=F.col("app"), e=F.from_json("value", EVENTS[name]))

@@ -11,7 +11,7 @@ import matrixq as mq
 from matrixq.bench.eventlog import group_metrics
 from matrixq.bench.runs import compare_runs, run_strategies
 from matrixq.catalog import tables as t
-from matrixq.plans.stats import product_counts
+from matrixq.plans.stats import key_work, product_counts
 from matrixq.session import scratch_path
 from matrixq.sources.cells import generate
 from matrixq.sources.dense_line import read_dense_line, write_dense_line
@@ -90,8 +90,10 @@ def mm_sum_rewrite(spark: SparkSession, d: str) -> DataFrame:
 
 
 def product_count(spark: SparkSession, d: str) -> DataFrame:
-    counts = product_counts(t.order_part(spark, d), t.part_supplier(spark, d))
-    return counts.select(*(F.col(c).cast("bigint").alias(c) for c in counts.columns))
+    a, b = mq.coalesce_cells(t.order_part(spark, d)), mq.coalesce_cells(t.part_supplier(spark, d))
+    per_key = key_work(a.cells.withColumnRenamed("j", "k"), b.cells.withColumnRenamed("i", "k"))
+    counted = ("nnz_a", "nnz_b", "products")
+    return product_counts(per_key).select(*(F.col(c).cast("bigint").alias(c) for c in counted))
 
 
 def scale_columns(spark: SparkSession, d: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 POLICIES = ("permissive", "skip_bad_shape", "strict")
@@ -23,13 +23,24 @@ def to_whole_index(text: Column) -> Column:
     return F.trim(text).try_cast("bigint")
 
 
-def or_fail(value: Column, line: Column) -> Column:
+def or_fail(value: Column, parts: Column) -> Column:
     """``value``, or a failed task that shows the offending line."""
-    return F.coalesce(value, F.raise_error(F.concat(F.lit("not a matrix cell: "), line)))
+    line = F.concat(F.lit("not a matrix cell: "), F.array_join(parts, ","))
+    return F.coalesce(value, F.raise_error(line))
 
 
-def cell_of_line(line: Column, policy: str) -> Column:
-    """A struct ``(i, j, v)`` from a line ``i,j,v``, NULL for a line the policy skips.
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Only the given columns, each computed once per row.
+
+    A plain projection may be merged into the filters and projections above it, and its
+    expressions are then evaluated again for every use. A generator is never merged.
+    """
+    row = F.struct(*(c.alias(name) for name, c in columns.items()))
+    return df.select(F.inline(F.array(row)))
+
+
+def cells_of_lines(lines: DataFrame, line: str, policy: str) -> DataFrame:
+    """Rows ``(i, j, v)`` from lines ``i,j,v``.
 
     ``permissive``: any line that is not three numbers is skipped; indexes may be floats.
     ``skip_bad_shape``: lines without exactly three fields are skipped, anything else that
@@ -38,17 +49,21 @@ def cell_of_line(line: Column, policy: str) -> Column:
     """
     if policy not in POLICIES:
         raise ValueError(f"policy must be one of {POLICIES}, got {policy!r}")
-    parts = F.split(line, ",", -1)
-    part = lambda n: F.get(parts, F.lit(n))
+    fields = once(lines, p=F.split(line, ",", -1))
+    if policy != "strict":
+        fields = fields.where(F.size("p") == 3)
+    first, second, third = (F.get("p", F.lit(n)) for n in range(3))
     if policy == "permissive":
-        i, j = (to_rounded_index(to_number(part(n))) for n in (0, 1))
-        v = to_number(part(2))
-        usable = (F.size(parts) == 3) & i.isNotNull() & j.isNotNull() & v.isNotNull()
-    else:
-        i, j = (or_fail(to_whole_index(part(n)), line) for n in (0, 1))
-        v = or_fail(to_number(part(2)), line)
-        usable = F.size(parts) == 3 if policy == "skip_bad_shape" else F.lit(True)
-    return F.when(usable, F.struct(i.alias("i"), j.alias("j"), v.alias("v")))
+        numbers = once(fields, i=to_number(first), j=to_number(second), v=to_number(third))
+        cells = once(
+            numbers, i=to_rounded_index(F.col("i")), j=to_rounded_index(F.col("j")), v=F.col("v")
+        )
+        return cells.where("i is not null and j is not null and v is not null")
+    p = F.col("p")
+    return once(
+        fields, i=or_fail(to_whole_index(first), p), j=or_fail(to_whole_index(second), p),
+        v=or_fail(to_number(third), p),
+    )
 
 
 def line_of_cell(i: Column, j: Column, v: Column) -> Column:

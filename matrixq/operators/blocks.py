@@ -10,39 +10,40 @@ the inner index is dealt out over several layers and the partial tiles are summe
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from matrixq.functions import tile_kernel
+from matrixq.functions.tile_kernel import TILE_KEYS, tile_sums
 from matrixq.model import Matrix, value_type_of
 from matrixq.operators.aggregates import infer_dims
 from matrixq.operators.cells import coalesce_cells
 from matrixq.operators.gram import mirror
+from matrixq.plans.choose import default_block
 from matrixq.plans.limits import fits_broadcast
 
 MAX_PARTITIONS = 32_768
-# Whole numbers below this are exact in a double.
-EXACT = float(2**53)
-TILE_KEYS = ["bi", "bj", "layer", "bk"]
+
+# The kernel travels to the workers with the plan, so they need not have this package.
+cloudpickle.register_pickle_by_value(tile_kernel)
 
 
-def block_product(a: Matrix, b: Matrix, *, block: int = 1024, layers: int | None = None,
+def block_product(a: Matrix, b: Matrix, *, block: int | None = None, layers: int | None = None,
                   symmetric: bool = False) -> Matrix:
     """``A x B`` by tiles; cells that cancel to zero are dropped.
 
     With ``symmetric`` the result is known to equal its transpose, and only the tiles on and
-    above the diagonal are computed.
+    above the diagonal are computed. A shape that is not declared costs a job.
     """
     a, b = infer_dims(a), infer_dims(b)
+    cores = a.spark.sparkContext.defaultParallelism
+    block = block or default_block(a.n_rows, b.n_cols, cores)
     down, across = _tiles(a.n_rows, block), _tiles(b.n_cols, block)
     deep = _tiles(max(a.n_cols, b.n_rows), block)
     value_type = value_type_of(a, b)
     if layers is None:
-        wanted = 2 * a.spark.sparkContext.defaultParallelism
-        layers = min(deep, -(-wanted // max(1, down * across)))
+        layers = min(deep, -(-cores // (down * across)))
 
     left = _strips(a, block, value_type).select(
         F.col("tile_of_line").alias("bi"), F.col("tile_of_pos").alias("bk"), "line", "pos", "val"
@@ -64,9 +65,10 @@ def block_product(a: Matrix, b: Matrix, *, block: int = 1024, layers: int | None
     arranged = sent.repartitionById(tasks, F.pmod(place, F.lit(tasks)).cast("int")).select(
         *TILE_KEYS, "side", "line", "pos", "val"
     ).sortWithinPartitions(*TILE_KEYS, "side")
-    cells = arranged.mapInArrow(
-        _tile_sums(block, value_type == "bigint"), f"i bigint, j bigint, v {value_type}"
-    )
+    inner = max(a.n_cols, b.n_rows)
+    edges = tuple(max(1, min(block, extent)) for extent in (a.n_rows, inner, b.n_cols))
+    kernel = tile_sums(block, edges, value_type == "bigint")
+    cells = arranged.mapInArrow(kernel, f"i bigint, j bigint, v {value_type}")
     if layers > 1:
         cells = cells.groupBy("i", "j").agg(F.sum("v").cast(value_type).alias("v"))
         cells = cells.where("v <> 0")
@@ -112,96 +114,3 @@ def _send(strips: DataFrame, other_tiles: DataFrame, bound: int) -> DataFrame:
     if fits_broadcast(bound):
         other_tiles = F.broadcast(other_tiles)
     return strips.join(other_tiles, "bk")
-
-
-def _tile_sums(block: int, whole: bool):
-    """The kernel: strips in tile order come in, the cells of finished tiles go out.
-
-    One tile of each factor and the sum are in memory at a time, three dense arrays in all.
-    """
-    dtype = np.int64 if whole else np.float64
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tiles = np.zeros((2, block, block), dtype)
-        filled = [False, False]
-        out = np.zeros((block, block), dtype)
-        at = None
-        for batch in batches:
-            keys = np.stack([batch.column(c).to_numpy() for c in TILE_KEYS], axis=1)
-            ends = np.flatnonzero(np.any(keys[1:] != keys[:-1], axis=1)) + 1
-            bounds = [0, *ends.tolist(), batch.num_rows]
-            for start, stop in zip(bounds, bounds[1:]):
-                if start == stop:
-                    continue
-                key = tuple(keys[start].tolist())
-                if at is not None and key != at:
-                    _finish_pair(tiles, filled, out)
-                    if key[:2] != at[:2]:
-                        yield from _cells_of(out, at, block)
-                        out[:] = 0
-                at = key
-                _unpack(batch.slice(start, stop - start), tiles, filled)
-        if at is not None:
-            _finish_pair(tiles, filled, out)
-            yield from _cells_of(out, at, block)
-
-    return run
-
-
-def _unpack(strips: pa.RecordBatch, tiles: np.ndarray, filled: list[bool]) -> None:
-    pos, val = strips.column("pos"), strips.column("val")
-    lengths = np.diff(pos.offsets.to_numpy())
-    line = np.repeat(strips.column("line").to_numpy(), lengths)
-    side = np.repeat(strips.column("side").to_numpy(), lengths)
-    tiles[side, line, pos.flatten().to_numpy()] = val.flatten().to_numpy()
-    for s in np.unique(side):
-        filled[s] = True
-
-
-def _finish_pair(tiles: np.ndarray, filled: list[bool], out: np.ndarray) -> None:
-    """Add the product of the two tiles at hand and clear them."""
-    if all(filled):
-        if tiles.dtype == np.int64:
-            _add_whole(tiles[0], tiles[1], out)
-        elif np.isfinite(tiles).all():
-            out += tiles[0] @ tiles[1]
-        else:
-            _add_stored(tiles[0], tiles[1], out)
-    for s in (0, 1):
-        if filled[s]:
-            tiles[s] = 0
-            filled[s] = False
-
-
-def _add_stored(left: np.ndarray, right: np.ndarray, out: np.ndarray) -> None:
-    """Product of stored cells only, so that an absent cell never meets an infinity."""
-    for k in np.flatnonzero(np.any(left, axis=0) & np.any(right, axis=1)):
-        rows, cols = np.flatnonzero(left[:, k]), np.flatnonzero(right[k])
-        out[np.ix_(rows, cols)] += np.outer(left[rows, k], right[k, cols])
-
-
-def _add_whole(left: np.ndarray, right: np.ndarray, out: np.ndarray) -> None:
-    """Exact whole-number product: in doubles where no sum can leave their exact range,
-    else in 64-bit integers, and an error where even those could overflow."""
-    x, y = left.astype(np.float64), right.astype(np.float64)
-    bound = np.abs(x).max() * np.abs(y).max() * left.shape[1]
-    if bound >= EXACT:
-        bound = (np.abs(x) @ np.abs(y)).max()
-    if bound < EXACT:
-        product = (x @ y).astype(np.int64)
-    elif bound < 2.0**62:
-        product = left @ right
-    else:
-        raise OverflowError("a product of whole numbers leaves the 64-bit range")
-    if float(np.abs(out).max()) + float(bound) >= 2.0**63:
-        raise OverflowError("a sum of whole numbers leaves the 64-bit range")
-    out += product
-
-
-def _cells_of(out: np.ndarray, at: tuple, block: int) -> Iterator[pa.RecordBatch]:
-    i, j = np.nonzero(out)
-    if len(i):
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(i + at[0] * block), pa.array(j + at[1] * block), pa.array(out[i, j])],
-            names=["i", "j", "v"],
-        )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from matrixq.model import Matrix
 from matrixq.plans.limits import fits_broadcast
-from matrixq.plans.skew import PART_KEYS, split_hot_keys
+from matrixq.plans.skew import split_hot_keys
 
 
 def transpose(m: Matrix) -> Matrix:
@@ -69,10 +69,10 @@ def _join_per_column(a: Matrix, per_column: DataFrame, extent: int | None) -> Da
     """The cells of ``a`` joined with one row per column ``k``.
 
     That side is broadcast when the declared ``extent`` bounds it; otherwise the join is
-    shuffled with columns that hold too many cells split.
+    shuffled, a job counts the cells per column, and columns that hold too many are split.
     """
     left = a.cells.select(F.col("j").alias("k"), "i", "v")
     if extent is not None and fits_broadcast(extent):
         return left.join(F.broadcast(per_column), "k")
-    left, right = split_hot_keys(left, per_column, "i", "k")
-    return left.join(right, PART_KEYS)
+    left, right, keys = split_hot_keys(left, per_column, "i", "k")
+    return left.join(right, keys)

@@ -14,12 +14,12 @@ from matrixq.plans.skew import PART_KEYS, split_hot_keys_upper
 STRATEGIES = ("auto", "join", "block")
 
 
-def gram(m: Matrix, of: str = "columns", strategy: str = "auto", *, block: int = 1024,
+def gram(m: Matrix, of: str = "columns", strategy: str = "auto", *, block: int | None = None,
          split_hot: bool = True) -> Matrix:
     """``Mt x M`` for ``of='columns'``, ``M x Mt`` for ``of='rows'``.
 
     The result is symmetric: only the half ``i <= j`` is computed and then mirrored.
-    ``auto`` runs the counting job of ``matmul``.
+    ``auto`` and ``join`` run the counting job of ``matmul``.
     """
     if of not in ("columns", "rows"):
         raise ValueError(f"of must be 'columns' or 'rows', got {of!r}")
@@ -27,8 +27,9 @@ def gram(m: Matrix, of: str = "columns", strategy: str = "auto", *, block: int =
         raise ValueError(f"strategy must be one of {STRATEGIES}, got {strategy!r}")
     if of == "rows":
         m = transpose(m)
+    stats = None
     if strategy == "auto":
-        strategy = pick_strategy(transpose(m), m, block=block)
+        strategy, stats = pick_strategy(transpose(m), m, block=block)
     if strategy == "block":
         from matrixq.operators.blocks import block_product
 
@@ -38,11 +39,11 @@ def gram(m: Matrix, of: str = "columns", strategy: str = "auto", *, block: int =
     right = m.cells.select(
         F.col("i").alias("k"), F.col("j").alias("y"), F.col("v").alias("right_v")
     )
+    keys = ["k"]
     if split_hot:
-        left, right = split_hot_keys_upper(left, right, "x", "y")
-        pairs = left.join(right, PART_KEYS).where("part_l < part_r or x <= y")
-    else:
-        pairs = left.join(right, "k").where("x <= y")
+        left, right, keys = split_hot_keys_upper(left, right, "x", "y", stats)
+    once = "part_l < part_r or x <= y" if keys == PART_KEYS else "x <= y"
+    pairs = left.join(right, keys).where(once)
     half = pairs.groupBy(F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j")).agg(
         F.sum(F.col("left_v") * F.col("right_v")).cast(value_type_of(m)).alias("v")
     )

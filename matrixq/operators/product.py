@@ -10,14 +10,15 @@ from pyspark.sql import functions as F
 from matrixq.model import Matrix, value_type_of
 from matrixq.operators.aggregates import infer_dims
 from matrixq.operators.cells import coalesce_cells
-from matrixq.plans.choose import choose_strategy
+from matrixq.plans.choose import choose_strategy, default_block
 from matrixq.plans.limits import BROADCAST_LIMIT_BYTES, fits_broadcast
-from matrixq.plans.skew import PART_KEYS, split_hot_keys
-from matrixq.plans.stats import collect_stats
+from matrixq.plans.skew import split_hot_keys
+from matrixq.plans.stats import ProductStats, collect_stats, key_work
 
 STRATEGIES = ("auto", "join", "broadcast", "copartition", "block")
-DEFAULT_BLOCK = 1024
 DEFAULT_COPARTITIONS = 64
+# Products per streamed cell from which the streamed side of a broadcast plan is dealt out.
+DEAL_OUT_FROM = 4
 
 
 def check_conformable(a: Matrix, b: Matrix) -> None:
@@ -26,24 +27,27 @@ def check_conformable(a: Matrix, b: Matrix) -> None:
         raise ValueError(f"cannot multiply {a.shape} by {b.shape}: inner sizes differ")
 
 
-def matmul(a: Matrix, b: Matrix, strategy: str = "auto", *, block: int = DEFAULT_BLOCK,
+def matmul(a: Matrix, b: Matrix, strategy: str = "auto", *, block: int | None = None,
            num_partitions: int = DEFAULT_COPARTITIONS, split_hot: bool = True,
            broadcast_limit: int = BROADCAST_LIMIT_BYTES) -> Matrix:
     """``A x B``; duplicate cells of the inputs add up.
 
-    ``join``: both sides shuffled on the inner index, hot indexes split (``split_hot``).
+    ``join``: both sides shuffled on the inner index. A job counts the cells per inner index
+    first, and hot indexes are split; ``split_hot=False`` leaves that out.
     ``broadcast``: the side that fits ``broadcast_limit`` bytes is broadcast; if neither
     does, the product falls back to ``join``. Counts a side whose size is not declared.
     ``copartition``: both sides hash partitioned into ``num_partitions`` on the inner index,
     so the join adds no shuffle; see ``copartition`` to keep that layout for several products.
-    ``block``: tiles multiplied by a dense kernel; cells that cancel to zero are dropped.
+    ``block``: tiles of ``block x block`` multiplied by a dense kernel; cells that cancel to
+    zero are dropped.
     ``auto``: by size where a side is known to be small, else by one counting job.
     """
     check_conformable(a, b)
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}, got {strategy!r}")
+    stats = None
     if strategy == "auto":
-        strategy = pick_strategy(a, b, block=block, broadcast_limit=broadcast_limit)
+        strategy, stats = pick_strategy(a, b, block=block, broadcast_limit=broadcast_limit)
     if strategy == "block":
         from matrixq.operators.blocks import block_product
 
@@ -51,29 +55,33 @@ def matmul(a: Matrix, b: Matrix, strategy: str = "auto", *, block: int = DEFAULT
     if strategy == "copartition":
         return multiply_prepared(copartition(a, b, num_partitions, split_hot=split_hot))
     if strategy == "broadcast":
-        small = broadcast_side(a, b, broadcast_limit)
+        small = broadcast_side(a, b, broadcast_limit, stats)
         if small is not None:
-            return _broadcast_product(a, b, small)
-    return _join_product(a, b, split_hot)
+            return _broadcast_product(a, b, small, stats)
+    left, right, keys = _sides(a, b, split_hot, stats)
+    return _sum_products(left.join(right, keys), a, b)
 
 
-def pick_strategy(a: Matrix, b: Matrix, *, block: int = DEFAULT_BLOCK,
-                  broadcast_limit: int = BROADCAST_LIMIT_BYTES) -> str:
-    """The strategy ``auto`` takes.
+def pick_strategy(a: Matrix, b: Matrix, *, block: int | None = None,
+                  broadcast_limit: int = BROADCAST_LIMIT_BYTES):
+    """The strategy ``auto`` takes, and the statistics it was taken from, if any.
 
-    A declared vector needs no statistics: it has one product per cell of the other side.
-    Otherwise one counting job runs, and one for each shape that is not declared.
+    A declared vector needs none: it has one product per cell of the other side. Otherwise
+    one counting job runs, and one for each shape that is not declared.
     """
     for vector, extent in ((b, b.n_cols), (a, a.n_rows)):
         bound = vector.max_cells()
         if extent == 1 and bound is not None and fits_broadcast(bound, broadcast_limit):
-            return "broadcast"
-    stats = collect_stats(a, b)
+            return "broadcast", None
+    stats = collect_stats(key_work(_left(coalesce_cells(a).cells), _right(coalesce_cells(b).cells)))
     a, b = infer_dims(a), infer_dims(b)
-    return choose_strategy(stats, a.n_rows, max(a.n_cols, b.n_rows), b.n_cols, block)
+    inner = max(a.n_cols, b.n_rows)
+    block = block or default_block(a.n_rows, b.n_cols, a.spark.sparkContext.defaultParallelism)
+    return choose_strategy(stats, a.n_rows, inner, b.n_cols, block, broadcast_limit), stats
 
 
-def broadcast_side(a: Matrix, b: Matrix, limit: int = BROADCAST_LIMIT_BYTES) -> str | None:
+def broadcast_side(a: Matrix, b: Matrix, limit: int = BROADCAST_LIMIT_BYTES,
+                   stats: ProductStats | None = None) -> str | None:
     """Which side may be broadcast: ``'right'``, ``'left'`` or none.
 
     Declared bounds decide first. Where they do not, the cells are counted, right side first.
@@ -84,7 +92,11 @@ def broadcast_side(a: Matrix, b: Matrix, limit: int = BROADCAST_LIMIT_BYTES) ->
         if bound is not None and fits_broadcast(bound, limit):
             return name
     for name, side in sides:
-        if fits_broadcast(coalesce_cells(side).cells.count(), limit):
+        if stats is not None:
+            count = stats.nnz_b if name == "right" else stats.nnz_a
+        else:
+            count = coalesce_cells(side).cells.count()
+        if fits_broadcast(count, limit):
             return name
     return None
 
@@ -105,23 +117,30 @@ def _sum_products(pairs: DataFrame, a: Matrix, b: Matrix) -> Matrix:
     return Matrix(cells, a.n_rows, b.n_cols, unique=True)
 
 
-def _join_product(a: Matrix, b: Matrix, split_hot: bool) -> Matrix:
+def _sides(a: Matrix, b: Matrix, split_hot: bool, stats: ProductStats | None = None):
+    """Both factors keyed by the inner index, and the columns to join them on."""
     left = _left(coalesce_cells(a).cells)
     right = _right(coalesce_cells(b).cells)
-    keys = ["k"]
     if split_hot:
-        left, right = split_hot_keys(left, right, "i", "j")
-        keys = PART_KEYS
-    return _sum_products(left.join(right, keys), a, b)
+        return split_hot_keys(left, right, "i", "j", stats)
+    return left, right, ["k"]
 
 
-def _broadcast_product(a: Matrix, b: Matrix, small: str) -> Matrix:
+def _broadcast_product(a: Matrix, b: Matrix, small: str, stats: ProductStats | None) -> Matrix:
     """Only the broadcast side is made unique, as its bound counts distinct cells; the other
-    side streams past without a shuffle, duplicates and all."""
+    side streams past without a shuffle, duplicates and all.
+
+    Where statistics say that each streamed cell is multiplied many times, that side is dealt
+    out evenly first: a file split holds few cells then for the work they bring.
+    """
+    streamed, nnz = (a, stats and stats.nnz_a) if small == "right" else (b, stats and stats.nnz_b)
+    if stats is not None and stats.products > DEAL_OUT_FROM * nnz:
+        cells = streamed.cells.repartition("i", "j") if streamed.unique else streamed.cells
+        streamed = coalesce_cells(streamed.with_cells(cells))
     if small == "right":
-        left, right = _left(a.cells), F.broadcast(_right(coalesce_cells(b).cells))
+        left, right = _left(streamed.cells), F.broadcast(_right(coalesce_cells(b).cells))
     else:
-        left, right = F.broadcast(_left(coalesce_cells(a).cells)), _right(b.cells)
+        left, right = F.broadcast(_left(coalesce_cells(a).cells)), _right(streamed.cells)
     return _sum_products(left.join(right, "k"), a, b)
 
 
@@ -150,12 +169,7 @@ def copartition(a: Matrix, b: Matrix, num_partitions: int = DEFAULT_COPARTITIONS
     Persist the result to use one layout for several products.
     """
     check_conformable(a, b)
-    left = _left(coalesce_cells(a).cells)
-    right = _right(coalesce_cells(b).cells)
-    keys = ["k"]
-    if split_hot:
-        left, right = split_hot_keys(left, right, "i", "j")
-        keys = PART_KEYS
+    left, right, keys = _sides(a, b, split_hot)
     return Prepared(
         left.repartition(num_partitions, *keys),
         right.repartition(num_partitions, *keys),

@@ -2,18 +2,27 @@
 
 from __future__ import annotations
 
-from matrixq.plans.limits import fits_broadcast
+from matrixq.plans.limits import BROADCAST_LIMIT_BYTES, fits_broadcast
 from matrixq.plans.stats import ProductStats
 
-# Seconds of one core, measured with bench.py on the workloads listed in the README.
-SECONDS_PER_PRODUCT = 1.5e-7  # join two cells, sum into the output cell
-SECONDS_PER_SHIPPED_CELL = 4e-7  # copy a cell to one output tile and unpack it there
-SECONDS_PER_FLOP = 1e-10  # dense kernel, one multiplication and one addition counted as two
-SECONDS_PER_OUTPUT_CELL = 2e-7  # a cell of the result that leaves the kernel
+# Seconds of one core, fitted to runs of bench.py over the workloads of matrixq.bench.
+SECONDS_PER_PRODUCT = 5e-7  # join two cells, sum into the output cell
+SECONDS_PER_SHIPPED_CELL = 6e-7  # copy a cell to one output tile and unpack it there
+SECONDS_PER_FLOP = 1e-10  # dense kernel; a multiplication and an addition count as two
+SECONDS_PER_OUTPUT_CELL = 3e-7  # a cell of the result that leaves the kernel
+BLOCK_STAGES_SECONDS = 10.0  # what the further stages of the block plan cost at the least
+
+
+def default_block(n_rows: int, n_cols: int, cores: int) -> int:
+    """The edge of a tile: large, as that saves copies, but with a tile for every core."""
+    for block in (1024, 512):
+        if -(-n_rows // block) * -(-n_cols // block) >= cores:
+            return block
+    return 1024 if max(n_rows, n_cols) <= 1024 else 512
 
 
 def choose_strategy(stats: ProductStats, n_rows: int, n_inner: int, n_cols: int,
-                    block: int) -> str:
+                    block: int, broadcast_limit: int = BROADCAST_LIMIT_BYTES) -> str:
     """``broadcast``, ``join`` or ``block``.
 
     The cell plans pay for every product, the block plan for shipping cells to output tiles
@@ -28,12 +37,13 @@ def choose_strategy(stats: ProductStats, n_rows: int, n_inner: int, n_cols: int,
     pairs = min(tiles[0] * tiles[1] * tiles[2], stats.products)
     edge = [min(block, extent) for extent in (n_rows, n_inner, n_cols)]
     by_block = (
-        shipped * SECONDS_PER_SHIPPED_CELL
+        BLOCK_STAGES_SECONDS
+        + shipped * SECONDS_PER_SHIPPED_CELL
         + pairs * 2 * edge[0] * edge[1] * edge[2] * SECONDS_PER_FLOP
         + min(n_rows * n_cols, stats.products) * SECONDS_PER_OUTPUT_CELL
     )
     if by_block < by_cell:
         return "block"
-    if fits_broadcast(min(stats.nnz_a, stats.nnz_b)):
+    if fits_broadcast(min(stats.nnz_a, stats.nnz_b), broadcast_limit):
         return "broadcast"
     return "join"

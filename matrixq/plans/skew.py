@@ -12,98 +12,97 @@ A key is hot when its work exceeds both a floor and one ``MAX_HOT``-th of all wo
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from matrixq.plans.stats import ProductStats, collect_stats, key_work
+
 MAX_HOT = 20_000
 # Cell pairs one task may form for a single key before that key is worth cutting.
 WORK_FLOOR = 4_000_000
 
-
-def key_work(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Rows ``(k, n_left, n_right, work)``; ``work`` counts cells to move and pairs to form.
-
-    Counts are combined before the shuffle, so a hot key costs one row per task here.
-    """
-    n_left = left.groupBy("k").agg(F.count("*").alias("n_left"))
-    n_right = right.groupBy("k").agg(F.count("*").alias("n_right"))
-    both = n_left.join(n_right, "k", "full").select(
-        "k",
-        F.coalesce("n_left", F.lit(0)).cast("double").alias("n_left"),
-        F.coalesce("n_right", F.lit(0)).cast("double").alias("n_right"),
-    )
-    return both.withColumn("work", F.expr("n_left + n_right + n_left * n_right"))
-
-
-def hot_keys(work: DataFrame, max_hot: int = MAX_HOT, floor: int = WORK_FLOOR) -> DataFrame:
-    """Rows ``(k, n_left, n_right, share)`` for at most ``max_hot`` keys; ``share`` is the
-    number of tasks the key deserves."""
-    all_work = F.coalesce(work.agg(F.sum("work")).scalar(), F.lit(0.0))
-    limit = F.greatest(F.lit(float(floor)), all_work / max_hot)
-    return work.where(F.col("work") > limit).withColumn("share", F.ceil(F.col("work") / limit))
+PART_KEYS = ["k", "part_l", "part_r"]
 
 
-def _grid(hot: DataFrame) -> DataFrame:
-    """Rows ``(k, parts_l, parts_r)`` with ``parts_l * parts_r >= share`` and the least
-    copying; zero parts for a key that only one side has."""
-    one_sided = F.expr("n_left = 0 or n_right = 0")
-    ideal = F.ceil(F.sqrt(F.col("share") * F.col("n_left") / F.col("n_right")))
-    wide = hot.where(~one_sided).withColumn(
-        "parts_l", F.greatest(F.lit(1), F.least(F.col("share"), ideal)).cast("bigint")
-    ).withColumn("parts_r", F.ceil(F.col("share") / F.col("parts_l")).cast("bigint"))
-    none = F.lit(0).cast("bigint")
-    dropped = hot.where(one_sided).select("k", none.alias("parts_l"), none.alias("parts_r"))
-    return wide.select("k", "parts_l", "parts_r").unionByName(dropped)
+def work_limit(stats: ProductStats) -> float:
+    return max(float(WORK_FLOOR), stats.work / MAX_HOT)
 
 
-def _own_part(index: str, parts: Column) -> Column:
-    return F.when(parts.isNull(), F.lit(0).cast("bigint")).otherwise(
-        F.pmod(F.xxhash64(index), parts)
-    )
+def hot_keys(work: DataFrame, stats: ProductStats) -> list[tuple[int, int, int, int]]:
+    """``(k, n_left, n_right, share)`` of at most ``MAX_HOT`` keys, ``share`` being the number
+    of tasks the key deserves. Runs a job only if there is such a key."""
+    limit = work_limit(stats)
+    if stats.top_work <= limit:
+        return []
+    hot = work.where(F.col("work") > limit).select("k", "n_left", "n_right", "work")
+    return [(k, n, m, math.ceil(w / limit)) for k, n, m, w in hot.collect()]
 
 
-def _every(first: Column | int, parts: Column) -> Column:
-    first = F.lit(first).cast("bigint") if isinstance(first, int) else first
-    return F.explode(F.sequence(first, F.coalesce(parts, F.lit(1)) - 1))
-
-
-PART_KEYS = ["k", "part_l", "part_r"]
+def grid_of(n_left: int, n_right: int, share: int) -> tuple[int, int]:
+    """``(parts_l, parts_r)`` with at least ``share`` pairs of groups and the least copying;
+    no parts for a key that only one side has."""
+    if n_left == 0 or n_right == 0:
+        return 0, 0
+    parts_l = min(share, math.ceil(math.sqrt(share * n_left / n_right)))
+    return parts_l, math.ceil(share / parts_l)
 
 
 def split_hot_keys(left: DataFrame, right: DataFrame, left_index: str, right_index: str,
-                   max_hot: int = MAX_HOT, floor: int = WORK_FLOOR):
-    """``left`` and ``right`` with columns ``part_l`` and ``part_r``; join on ``PART_KEYS``."""
-    grid = F.broadcast(_grid(hot_keys(key_work(left, right), max_hot, floor)))
+                   stats: ProductStats | None = None) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides with hot keys split, and the columns to join them on.
+
+    Counts the keys unless ``stats`` are at hand. Without a hot key both sides stay as they are.
+    """
+    work = key_work(left, right)
+    hot = hot_keys(work, stats or collect_stats(work))
+    if not hot:
+        return left, right, ["k"]
+    rows = [(k, *grid_of(n, m, share)) for k, n, m, share in hot]
+    grid = F.broadcast(
+        left.sparkSession.createDataFrame(rows, "k bigint, parts_l bigint, parts_r bigint")
+    )
     wanted = F.expr("parts_l is null or parts_l > 0")
     left = left.join(grid, "k", "left").where(wanted).select(
         *left.columns,
         _own_part(left_index, F.col("parts_l")).alias("part_l"),
-        _every(0, F.col("parts_r")).alias("part_r"),
+        _each_from(0, F.col("parts_r")).alias("part_r"),
     )
     right = right.join(grid, "k", "left").where(wanted).select(
         *right.columns,
         _own_part(right_index, F.col("parts_r")).alias("part_r"),
-        _every(0, F.col("parts_l")).alias("part_l"),
+        _each_from(0, F.col("parts_l")).alias("part_l"),
     )
-    return left, right
+    return left, right, PART_KEYS
 
 
 def split_hot_keys_upper(left: DataFrame, right: DataFrame, left_index: str, right_index: str,
-                         max_hot: int = MAX_HOT, floor: int = WORK_FLOOR):
+                         stats: ProductStats | None = None):
     """The same for a matrix with itself, keeping only the groups ``part_l <= part_r``.
 
     Cell pairs of two different groups then meet in one order only; within one group both
     orders meet and the caller keeps one.
     """
-    hot = hot_keys(key_work(left, right), max_hot, floor)
-    parts = F.broadcast(hot.select("k", F.ceil(F.sqrt("share")).cast("bigint").alias("parts")))
-    side = lambda df, index, own: df.join(parts, "k", "left").withColumn(
-        own, _own_part(index, F.col("parts"))
-    )
-    left = side(left, left_index, "part_l").select(
-        *left.columns, "part_l", _every(F.col("part_l"), F.col("parts")).alias("part_r")
-    )
-    right = side(right, right_index, "part_r").select(
-        *right.columns, "part_r", _every(0, F.col("part_r") + 1).alias("part_l")
-    )
-    return left, right
+    work = key_work(left, right)
+    hot = hot_keys(work, stats or collect_stats(work))
+    if not hot:
+        return left, right, ["k"]
+    rows = [(k, math.ceil(math.sqrt(share))) for k, _, _, share in hot]
+    grid = F.broadcast(left.sparkSession.createDataFrame(rows, "k bigint, parts bigint"))
+    parts = F.col("parts")
+    left = left.join(grid, "k", "left").withColumn("part_l", _own_part(left_index, parts))
+    right = right.join(grid, "k", "left").withColumn("part_r", _own_part(right_index, parts))
+    left = left.withColumn("part_r", _each_from(F.col("part_l"), parts)).drop("parts")
+    right = right.withColumn("part_l", _each_from(0, F.col("part_r") + 1)).drop("parts")
+    return left, right, PART_KEYS
+
+
+def _own_part(index: str, parts: Column) -> Column:
+    zero = F.lit(0).cast("bigint")
+    return F.when(parts.isNull(), zero).otherwise(F.pmod(F.xxhash64(index), parts))
+
+
+def _each_from(first: Column | int, parts: Column) -> Column:
+    first = F.lit(first).cast("bigint") if isinstance(first, int) else first
+    return F.explode(F.sequence(first, F.coalesce(parts, F.lit(1)) - 1))

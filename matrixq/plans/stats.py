@@ -1,4 +1,4 @@
-"""Statistics of a product, from counts alone."""
+"""What a product costs, from counts per inner index alone."""
 
 from __future__ import annotations
 
@@ -7,36 +7,51 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matrixq.model import Matrix
-from matrixq.operators.cells import coalesce_cells
-
-
-def product_counts(a: Matrix, b: Matrix) -> DataFrame:
-    """One row ``(nnz_a, nnz_b, products)``.
-
-    ``products`` is the exact number of multiplications of ``A x B``: over all inner indexes,
-    cells in that column of ``A`` times cells in that row of ``B``. No pair is formed.
-    """
-    a_cells, b_cells = coalesce_cells(a).cells, coalesce_cells(b).cells
-    n_a = a_cells.groupBy(F.col("j").alias("k")).agg(F.count("*").alias("n_a"))
-    n_b = b_cells.groupBy(F.col("i").alias("k")).agg(F.count("*").alias("n_b"))
-    whole = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("decimal(38,0)")
-    pairs = F.col("n_a").cast("decimal(19,0)") * F.col("n_b").cast("decimal(19,0)")
-    return n_a.join(n_b, "k", "full").agg(
-        whole(F.col("n_a")).alias("nnz_a"),
-        whole(F.col("n_b")).alias("nnz_b"),
-        whole(pairs).alias("products"),
-    )
-
 
 @dataclass(frozen=True)
 class ProductStats:
+    """``products``: multiplications. ``work``: those plus the cells to move, over all inner
+    indexes; ``top_work``: of the one with most."""
+
     nnz_a: int
     nnz_b: int
     products: int
+    work: float
+    top_work: float
 
 
-def collect_stats(a: Matrix, b: Matrix) -> ProductStats:
+def key_work(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Rows ``(k, n_left, n_right, work)`` from two DataFrames with a column ``k``.
+
+    No pair is formed, and counts are combined before the shuffle, so that a key with a large
+    share of the rows costs one row per task.
+    """
+    n_left = left.groupBy("k").agg(F.count("*").alias("n_left"))
+    n_right = right.groupBy("k").agg(F.count("*").alias("n_right"))
+    none = F.lit(0).cast("bigint")
+    both = n_left.join(n_right, "k", "full").select(
+        "k", F.coalesce("n_left", none).alias("n_left"), F.coalesce("n_right", none).alias("n_right")
+    )
+    # In doubles, as the product of two counts may leave the 64-bit range.
+    work = F.expr("n_left + n_right + double(n_left) * n_right")
+    return both.withColumn("work", work)
+
+
+def product_counts(work: DataFrame) -> DataFrame:
+    """One row ``(nnz_a, nnz_b, products)``, the last exact."""
+    whole = lambda e: F.expr(f"coalesce(sum({e}), 0)").cast("decimal(38,0)")
+    pairs = "cast(n_left as decimal(19,0)) * cast(n_right as decimal(19,0))"
+    return work.agg(
+        whole("n_left").alias("nnz_a"), whole("n_right").alias("nnz_b"),
+        whole(pairs).alias("products"), F.sum("work").alias("work"),
+        F.max("work").alias("top_work"),
+    )
+
+
+def collect_stats(work: DataFrame) -> ProductStats:
     """Runs one aggregation job that returns one row."""
-    row = product_counts(a, b).first()
-    return ProductStats(int(row["nnz_a"]), int(row["nnz_b"]), int(row["products"]))
+    row = product_counts(work).first()
+    return ProductStats(
+        int(row["nnz_a"]), int(row["nnz_b"]), int(row["products"]), row["work"] or 0.0,
+        row["top_work"] or 0.0,
+    )

@@ -47,16 +47,18 @@ def generate(spark: SparkSession, n_rows: int, n_cols: int, density: float, seed
     if count == 0:
         return empty(spark, n_rows, n_cols, value_type)
     stretches = spark.range(0, count, 1, num_partitions)
-    # Exact whole arithmetic: stretch t covers cells t * area / count up to the next.
-    area_of = lambda t: F.expr(
-        f"cast(cast({t} as decimal(20,0)) * {area} div {count} as bigint)"
+    # Stretch t covers cells t * area / count up to the next, in whole arithmetic that is exact:
+    # 64 bits where they suffice, decimals beyond.
+    wide = "bigint" if (count + 1) * area < 2**63 else "decimal(20,0)"
+    start_of = lambda t: F.expr(
+        f"cast(cast({t} as {wide}) * {area} div {count} as bigint)"
     )
     digest = F.md5(F.concat_ws(":", F.col("id").cast("string"), F.lit(str(seed))))
     number = lambda start, size: F.conv(
         F.substring("digest", start, size), 16, 10
     ).cast("bigint")
     picked = (
-        stretches.withColumns({"first": area_of("id"), "next": area_of("id + 1")})
+        stretches.withColumns({"first": start_of("id"), "next": start_of("id + 1")})
         .withColumn("digest", digest)
         .withColumn("cell", F.col("first") + number(1, 12) % (F.col("next") - F.col("first")))
         .withColumn("v", (number(13, 8) % 9 + 1).cast(value_type))

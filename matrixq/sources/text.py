@@ -5,22 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matrixq.functions.parsing import cell_of_line, line_of_cell
+from matrixq.functions.parsing import cells_of_lines, line_of_cell
 from matrixq.model import Matrix
 
 
 def parse_cells(lines: DataFrame, policy: str = "permissive", *, line: str = "value",
                 n_rows: int | None = None, n_cols: int | None = None) -> Matrix:
-    """A matrix from a DataFrame of lines; see ``cell_of_line`` for the policies.
+    """A matrix from a DataFrame of lines; see ``cells_of_lines`` for the policies.
 
     Cells with a negative index are left out.
     """
-    cells = (
-        lines.select(cell_of_line(F.col(line), policy).alias("cell"))
-        .where("cell is not null")
-        .select("cell.i", "cell.j", "cell.v")
-        .where("i >= 0 and j >= 0")
-    )
+    cells = cells_of_lines(lines, line, policy).where("i >= 0 and j >= 0")
     return Matrix(cells, n_rows, n_cols)
 
 
