@@ -155,7 +155,11 @@ class Prepared:
     b: Matrix
 
     def persist(self) -> Prepared:
-        return Prepared(self.left.persist(), self.right.persist(), self.keys, self.a, self.b)
+        """Persist both factors and fill the cache: only a filled one shows the planner how it
+        is partitioned. Runs a job for each factor."""
+        self.left.persist().count()
+        self.right.persist().count()
+        return self
 
     def unpersist(self) -> None:
         self.left.unpersist()

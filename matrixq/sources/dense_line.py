@@ -49,16 +49,19 @@ def _numbered(spark: SparkSession, path: str, skip_bad: bool) -> DataFrame:
     """Rows ``(at, count, v)``: place of the value, count of all values, value."""
     text = F.regexp_replace("value", r"^\s+|\s+$", "")
     number = to_number(text)
-    if not skip_bad:
-        number = F.coalesce(
-            number, F.raise_error(F.concat(F.lit("not a number: "), F.col("value")))
-        )
+    two_lines = F.lit("more than one line")
+    if skip_bad:
+        number = _fail_when(text.contains("\n"), two_lines, number)
+    else:
+        unread = F.concat(F.lit("not a number: "), F.col("value"))
+        why = F.when(text.contains("\n"), two_lines).otherwise(unread)
+        number = F.coalesce(number, F.raise_error(why))
     records = spark.read.option("lineSep", ",").text(path).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("start"),
         # Consecutive within a stretch, which one task reads from end to end.
         F.monotonically_increasing_id().alias("place"),
-        _fail_when(text.contains("\n"), F.lit("more than one line"), number).alias("v"),
+        number.alias("v"),
         F.col("value").rlike(r"^\s*\n").alias("opens_line"),
         F.col("value").rlike(r"\n\s*$").alias("closes_line"),
     )
@@ -82,7 +85,7 @@ def _numbered(spark: SparkSession, path: str, skip_bad: bool) -> DataFrame:
     at = F.col("place") + F.col("shift")
     broken = (F.col("opens_line") & (at > 0)) | (F.col("closes_line") & (at < F.col("count") - 1))
     return records.join(F.broadcast(offsets), ["file", "start"]).select(
-        _fail_when(broken, F.lit("more than one line"), at).alias("at"), "count", "v"
+        _fail_when(broken, two_lines, at).alias("at"), "count", "v"
     )
 
 
