@@ -15,7 +15,7 @@ from matrixq.plans.stats import key_work, product_counts
 from matrixq.session import scratch_path
 from matrixq.sources.cells import generate
 from matrixq.sources.dense_line import read_dense_line, write_dense_line
-from matrixq.sources.tables import read_bucketed, read_parquet, write_bucketed, write_parquet
+from matrixq.sources.tables import read_parquet, read_prepared, write_parquet, write_prepared
 from matrixq.sources.text import parse_cells, read_cells, source_info, write_cells
 
 
@@ -45,12 +45,10 @@ def mm_broadcast(spark: SparkSession, d: str) -> DataFrame:
 
 def mm_bucketed(spark: SparkSession, d: str) -> DataFrame:
     """Both factors bucketed on the inner index at rest; the join adds no shuffle."""
-    names = [f"matrixq_{side}_{uuid.uuid4().hex}" for side in ("left", "right")]
-    sources = [t.order_supplier(spark, d).T, t.order_part(spark, d)]
-    for name, m, by in zip(names, sources, ("j", "i")):
-        write_bucketed(mq.coalesce_cells(m), name, by, 16, scratch_path(spark, name))
-    left, right = (read_bucketed(spark, name, unique=True) for name in names)
-    return mq.matmul(left, right, "join", split_hot=False).cells
+    prepared = mq.copartition(t.order_supplier(spark, d).T, t.order_part(spark, d), 16)
+    name = f"matrixq_{uuid.uuid4().hex}"
+    write_prepared(prepared, name, scratch_path(spark, name))
+    return mq.multiply_prepared(read_prepared(spark, name, prepared)).cells
 
 
 def mm_block(spark: SparkSession, d: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from matrixq.model import Matrix
 from matrixq.operators.cells import coalesce_cells
 
-COLUMN_CHUNK = 65_536
+COLUMN_CHUNK = 16_384
 
 
 def info(m: Matrix) -> DataFrame:

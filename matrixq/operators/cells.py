@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from matrixq.model import Matrix
 from matrixq.plans.limits import fits_broadcast
-from matrixq.plans.skew import split_hot_keys
+from matrixq.plans.skew import Sides, split_hot_keys
 
 
 def transpose(m: Matrix) -> Matrix:
@@ -74,5 +74,7 @@ def _join_per_column(a: Matrix, per_column: DataFrame, extent: int | None) -> Da
     left = a.cells.select(F.col("j").alias("k"), "i", "v")
     if extent is not None and fits_broadcast(extent):
         return left.join(F.broadcast(per_column), "k")
-    left, right, keys = split_hot_keys(left, per_column, "i", "k")
+    # The cells are joined one by one, so duplicates count here.
+    hot = Sides(left, per_column, "i", "k", unique=True).hot_keys()
+    left, right, keys = split_hot_keys(left, per_column, "i", "k", hot)
     return left.join(right, keys)

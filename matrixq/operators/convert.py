@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matrixq.functions.arrays import fill_gaps
@@ -12,13 +12,38 @@ from matrixq.operators.cells import coalesce_cells
 from matrixq.plans.limits import DENSE_RECORD_LIMIT
 
 
-def _dense_arrays(keyed: DataFrame, keys: list[str], length, value_type: str) -> DataFrame:
-    """Rows ``keys + (data)`` from rows ``keys + (p, v)`` with distinct ``(keys, p)``."""
-    entry = F.struct("p", F.col("v").cast(value_type).alias("x"))
-    placed = keyed.groupBy(*keys).agg(F.array_sort(F.collect_list(entry)).alias("placed"))
-    return placed.select(
-        *keys, fill_gaps(F.col("placed"), length, F.lit(0).cast(value_type)).alias("data")
+# Values that are gathered at a time before a record is put together.
+PIECE = 1024
+
+
+def _dense_arrays(keyed: DataFrame, keys: list[str], length: Column, value_type: str) -> DataFrame:
+    """Rows ``keys + (data)`` from rows ``keys + (p, v)`` with distinct ``(keys, p)``.
+
+    A record is built from dense pieces, as an aggregate keeps many groups in memory and a
+    gathered cell takes several times the space of a value. Both steps use one shuffle.
+    """
+    zero = F.lit(0).cast(value_type)
+    piece_length = F.least(F.lit(PIECE).cast("bigint"), length - F.col("piece") * PIECE)
+    pieces = (
+        keyed.repartition(*keys)
+        .withColumn("piece", F.expr(f"p div {PIECE}"))
+        .groupBy(*keys, "piece")
+        .agg(F.array_sort(F.collect_list(F.struct(
+            (F.col("p") % PIECE).alias("p"), F.col("v").cast(value_type).alias("x")
+        ))).alias("placed"))
+        .select(*keys, "piece", fill_gaps(F.col("placed"), piece_length, zero).alias("part"))
+    )
+    gathered = F.collect_list(F.struct(F.col("piece").alias("p"), F.col("part").alias("x")))
+    records = pieces.groupBy(*keys).agg(F.array_sort(gathered).alias("placed"))
+    up_to_last = F.element_at("placed", -1)["p"] + 1
+    joined = records.select(
+        *keys,
+        F.flatten(
+            fill_gaps(F.col("placed"), up_to_last, F.array_repeat(zero, PIECE))
+        ).alias("start"),
     )
+    tail = F.array_repeat(zero, (length - F.size("start")).cast("int"))
+    return joined.select(*keys, F.concat("start", tail).alias("data"))
 
 
 def to_blocks(m: Matrix, block: int = 1024) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from matrixq.model import Matrix, value_type_of
 from matrixq.operators.cells import coalesce_cells, transpose
 from matrixq.operators.product import pick_strategy
-from matrixq.plans.skew import PART_KEYS, split_hot_keys_upper
+from matrixq.plans.skew import PART_KEYS, Sides, split_hot_keys_upper
 
 
 STRATEGIES = ("auto", "join", "block")
@@ -34,14 +34,11 @@ def gram(m: Matrix, of: str = "columns", strategy: str = "auto", *, block: int |
         from matrixq.operators.blocks import block_product
 
         return block_product(transpose(m), m, block=block, symmetric=True)
-    m = coalesce_cells(m)
-    left = m.cells.select(F.col("i").alias("k"), F.col("j").alias("x"), F.col("v").alias("left_v"))
-    right = m.cells.select(
-        F.col("i").alias("k"), F.col("j").alias("y"), F.col("v").alias("right_v")
-    )
+    left, right = _left(coalesce_cells(m)), _right(coalesce_cells(m))
     keys = ["k"]
     if split_hot:
-        left, right, keys = split_hot_keys_upper(left, right, "x", "y", stats)
+        raw = Sides(_left(m), _right(m), "x", "y", m.unique)
+        left, right, keys = split_hot_keys_upper(left, right, "x", "y", raw.hot_keys(stats))
     once = "part_l < part_r or x <= y" if keys == PART_KEYS else "x <= y"
     pairs = left.join(right, keys).where(once)
     half = pairs.groupBy(F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j")).agg(
@@ -50,6 +47,14 @@ def gram(m: Matrix, of: str = "columns", strategy: str = "auto", *, block: int |
     return Matrix(mirror(half), m.n_cols, m.n_cols, unique=True)
 
 
+def _left(m: Matrix) -> DataFrame:
+    return m.cells.select(F.col("i").alias("k"), F.col("j").alias("x"), F.col("v").alias("left_v"))
+
+
+def _right(m: Matrix) -> DataFrame:
+    return m.cells.select(F.col("i").alias("k"), F.col("j").alias("y"), F.col("v").alias("right_v"))
+
+
 def mirror(half: DataFrame) -> DataFrame:
     """The whole of a symmetric matrix from its cells with ``i <= j``, without a shuffle."""
     above = F.struct("i", "j")

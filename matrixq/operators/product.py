@@ -12,8 +12,8 @@ from matrixq.operators.aggregates import infer_dims
 from matrixq.operators.cells import coalesce_cells
 from matrixq.plans.choose import choose_strategy, default_block
 from matrixq.plans.limits import BROADCAST_LIMIT_BYTES, fits_broadcast
-from matrixq.plans.skew import split_hot_keys
-from matrixq.plans.stats import ProductStats, collect_stats, key_work
+from matrixq.plans.skew import Sides, split_hot_keys
+from matrixq.plans.stats import ProductStats
 
 STRATEGIES = ("auto", "join", "broadcast", "copartition", "block")
 DEFAULT_COPARTITIONS = 64
@@ -73,7 +73,7 @@ def pick_strategy(a: Matrix, b: Matrix, *, block: int | None = None,
         bound = vector.max_cells()
         if extent == 1 and bound is not None and fits_broadcast(bound, broadcast_limit):
             return "broadcast", None
-    stats = collect_stats(key_work(_left(coalesce_cells(a).cells), _right(coalesce_cells(b).cells)))
+    stats = raw_sides(a, b).stats()
     a, b = infer_dims(a), infer_dims(b)
     inner = max(a.n_cols, b.n_rows)
     block = block or default_block(a.n_rows, b.n_cols, a.spark.sparkContext.defaultParallelism)
@@ -84,7 +84,8 @@ def broadcast_side(a: Matrix, b: Matrix, limit: int = BROADCAST_LIMIT_BYTES,
                    stats: ProductStats | None = None) -> str | None:
     """Which side may be broadcast: ``'right'``, ``'left'`` or none.
 
-    Declared bounds decide first. Where they do not, the cells are counted, right side first.
+    Declared bounds decide first. Where they do not, the cells are counted, duplicates and all,
+    right side first.
     """
     sides = (("right", b), ("left", a))
     for name, side in sides:
@@ -95,7 +96,7 @@ def broadcast_side(a: Matrix, b: Matrix, limit: int = BROADCAST_LIMIT_BYTES,
         if stats is not None:
             count = stats.nnz_b if name == "right" else stats.nnz_a
         else:
-            count = coalesce_cells(side).cells.count()
+            count = side.cells.count()
         if fits_broadcast(count, limit):
             return name
     return None
@@ -121,9 +122,13 @@ def _sides(a: Matrix, b: Matrix, split_hot: bool, stats: ProductStats | None = N
     """Both factors keyed by the inner index, and the columns to join them on."""
     left = _left(coalesce_cells(a).cells)
     right = _right(coalesce_cells(b).cells)
-    if split_hot:
-        return split_hot_keys(left, right, "i", "j", stats)
-    return left, right, ["k"]
+    if not split_hot:
+        return left, right, ["k"]
+    return split_hot_keys(left, right, "i", "j", raw_sides(a, b).hot_keys(stats))
+
+
+def raw_sides(a: Matrix, b: Matrix) -> Sides:
+    return Sides(_left(a.cells), _right(b.cells), "i", "j", a.unique and b.unique)
 
 
 def _broadcast_product(a: Matrix, b: Matrix, small: str, stats: ProductStats | None) -> Matrix:
@@ -151,6 +156,7 @@ class Prepared:
     left: DataFrame
     right: DataFrame
     keys: list[str]
+    num_partitions: int
     a: Matrix
     b: Matrix
 
@@ -177,7 +183,7 @@ def copartition(a: Matrix, b: Matrix, num_partitions: int = DEFAULT_COPARTITIONS
     return Prepared(
         left.repartition(num_partitions, *keys),
         right.repartition(num_partitions, *keys),
-        keys, a, b,
+        keys, num_partitions, a, b,
     )
 
 

@@ -8,11 +8,16 @@ meets exactly once, so the result is unchanged.
 
 A key is hot when its work exceeds both a floor and one ``MAX_HOT``-th of all work. At most
 ``MAX_HOT`` keys can do so, whatever the data, and that bounds the table that is broadcast.
+
+Work is counted on cells as they come, which costs no shuffle of the cells. Duplicates make a
+key look larger than it is once they are summed, so only the keys found hot are counted again
+without duplicates.
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,18 +31,55 @@ WORK_FLOOR = 4_000_000
 PART_KEYS = ["k", "part_l", "part_r"]
 
 
+@dataclass(frozen=True)
+class HotKey:
+    """``share``: the number of tasks the key deserves."""
+
+    k: int
+    n_left: int
+    n_right: int
+    share: int
+
+
 def work_limit(stats: ProductStats) -> float:
     return max(float(WORK_FLOOR), stats.work / MAX_HOT)
 
 
-def hot_keys(work: DataFrame, stats: ProductStats) -> list[tuple[int, int, int, int]]:
-    """``(k, n_left, n_right, share)`` of at most ``MAX_HOT`` keys, ``share`` being the number
-    of tasks the key deserves. Runs a job only if there is such a key."""
-    limit = work_limit(stats)
-    if stats.top_work <= limit:
-        return []
-    hot = work.where(F.col("work") > limit).select("k", "n_left", "n_right", "work")
-    return [(k, n, m, math.ceil(w / limit)) for k, n, m, w in hot.collect()]
+@dataclass(frozen=True)
+class Sides:
+    """Two factors as they come, ``left`` with columns ``k`` and ``left_index``, ``right`` with
+    ``k`` and ``right_index``; ``unique`` if neither can hold a pair of these twice."""
+
+    left: DataFrame
+    right: DataFrame
+    left_index: str
+    right_index: str
+    unique: bool
+
+    def stats(self) -> ProductStats:
+        """Runs one aggregation job; counts duplicates."""
+        return collect_stats(key_work(self.left, self.right))
+
+    def hot_keys(self, stats: ProductStats | None = None) -> list[HotKey]:
+        """At most ``MAX_HOT`` keys. Runs further jobs only if a key looks hot."""
+        stats = stats or self.stats()
+        limit = work_limit(stats)
+        if stats.top_work <= limit:
+            return []
+        work = key_work(self.left, self.right).where(F.col("work") > limit)
+        if not self.unique:
+            spark = self.left.sparkSession
+            keys = spark.createDataFrame([(row["k"],) for row in work.collect()], "k bigint")
+            work = key_work(
+                _distinct_of(self.left, self.left_index, keys),
+                _distinct_of(self.right, self.right_index, keys),
+            ).where(F.col("work") > limit)
+        found = work.select("k", "n_left", "n_right", "work").collect()
+        return [HotKey(k, n, m, math.ceil(w / limit)) for k, n, m, w in found]
+
+
+def _distinct_of(side: DataFrame, index: str, keys: DataFrame) -> DataFrame:
+    return side.join(F.broadcast(keys), "k", "left_semi").select("k", index).distinct()
 
 
 def grid_of(n_left: int, n_right: int, share: int) -> tuple[int, int]:
@@ -50,16 +92,12 @@ def grid_of(n_left: int, n_right: int, share: int) -> tuple[int, int]:
 
 
 def split_hot_keys(left: DataFrame, right: DataFrame, left_index: str, right_index: str,
-                   stats: ProductStats | None = None) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Both sides with hot keys split, and the columns to join them on.
-
-    Counts the keys unless ``stats`` are at hand. Without a hot key both sides stay as they are.
-    """
-    work = key_work(left, right)
-    hot = hot_keys(work, stats or collect_stats(work))
+                   hot: list[HotKey]) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides with hot keys split, and the columns to join them on. Without a hot key both
+    stay as they are."""
     if not hot:
         return left, right, ["k"]
-    rows = [(k, *grid_of(n, m, share)) for k, n, m, share in hot]
+    rows = [(h.k, *grid_of(h.n_left, h.n_right, h.share)) for h in hot]
     grid = F.broadcast(
         left.sparkSession.createDataFrame(rows, "k bigint, parts_l bigint, parts_r bigint")
     )
@@ -78,17 +116,15 @@ def split_hot_keys(left: DataFrame, right: DataFrame, left_index: str, right_ind
 
 
 def split_hot_keys_upper(left: DataFrame, right: DataFrame, left_index: str, right_index: str,
-                         stats: ProductStats | None = None):
+                         hot: list[HotKey]) -> tuple[DataFrame, DataFrame, list[str]]:
     """The same for a matrix with itself, keeping only the groups ``part_l <= part_r``.
 
     Cell pairs of two different groups then meet in one order only; within one group both
     orders meet and the caller keeps one.
     """
-    work = key_work(left, right)
-    hot = hot_keys(work, stats or collect_stats(work))
     if not hot:
         return left, right, ["k"]
-    rows = [(k, math.ceil(math.sqrt(share))) for k, _, _, share in hot]
+    rows = [(h.k, math.ceil(math.sqrt(h.share))) for h in hot]
     grid = F.broadcast(left.sparkSession.createDataFrame(rows, "k bigint, parts bigint"))
     parts = F.col("parts")
     left = left.join(grid, "k", "left").withColumn("part_l", _own_part(left_index, parts))

@@ -147,3 +147,9 @@ def test_scratch_is_in_the_shared_folder(spark):
     assert path != scratch_path(spark, "x")
     if shared:
         assert path.startswith(shared.rstrip("/"))
+
+
+def test_dense_records_gather_in_one_shuffle(stored):
+    a, _ = stored
+    assert plan_of(mq.to_blocks(a, 16)).count("Exchange") == 1
+    assert plan_of(mq.to_dense_rows(a)).count("Exchange") == 1

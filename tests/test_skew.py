@@ -67,7 +67,8 @@ def test_no_hot_key_leaves_the_plan_alone(skewed):
 def test_pieces_of_a_hot_key_are_even(spark, low_floor):
     left = spark.range(1000).selectExpr("7L k", "id i")
     right = spark.range(10).selectExpr("7L k", "id j")
-    l, r, keys = skew.split_hot_keys(left, right, "i", "j")
+    hot = skew.Sides(left, right, "i", "j", unique=True).hot_keys()
+    l, r, keys = skew.split_hot_keys(left, right, "i", "j", hot)
     pairs = l.join(r, keys)
     assert pairs.count() == 10_000 and pairs.select("i", "j").distinct().count() == 10_000
     stats = collect_stats(key_work(left, right))
@@ -85,3 +86,17 @@ def test_grid_has_enough_pieces():
 def test_limit_bounds_the_number_of_hot_keys():
     stats = ProductStats(0, 0, 0, work=1e15, top_work=1e12)
     assert stats.work / skew.work_limit(stats) <= skew.MAX_HOT
+
+
+def test_copies_of_one_cell_do_not_make_a_key_hot(spark, low_floor):
+    copies = spark.range(500).selectExpr("0L i", "1L j", "1L v")
+    a = mq.Matrix(copies.unionAll(spark.range(40).selectExpr("id i", "2L j", "1L v")), 40, 3)
+    b = from_entries(spark, [(k, j, 1) for k in (1, 2) for j in range(3)], 3, 3)
+    sides = skew.Sides(
+        a.cells.withColumnRenamed("j", "k"), b.cells.withColumnRenamed("i", "k"), "i", "j", False
+    )
+    skew_limit = skew.work_limit(sides.stats())
+    assert [h.k for h in sides.hot_keys()] == [2] and 500 * 3 > skew_limit
+    assert np.array_equal(
+        dense(mq.matmul(a, b, "join")), dense(mq.coalesce_cells(a)) @ dense(b)
+    )
