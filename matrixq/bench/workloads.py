@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 
+from matrixq.bench.runs import append_runs, run_strategies
 from matrixq.model import Matrix
 from matrixq.sources.cells import generate
 
@@ -44,3 +46,13 @@ ALL = [
     *SQUARES, *DENSITIES, ROW_HEAVY, COLUMN_HEAVY, MATRIX_VECTOR, VECTOR_MATRIX, *THIN_RIGHT,
     TRANSPOSED,
 ]
+
+
+def run_workloads(spark: SparkSession, workloads: Iterable[Workload],
+                  strategies: Iterable[str], path: str) -> None:
+    """Run each workload with each strategy and keep the runs in a parquet folder, each
+    workload as soon as it is done."""
+    strategies = list(strategies)
+    for workload in workloads:
+        a, b = workload.matrices(spark)
+        append_runs(run_strategies(a, b, strategies, workload.name), path)

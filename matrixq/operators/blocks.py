@@ -4,8 +4,9 @@ The output is cut into tiles of ``block x block``. A row of ``A`` within a tile
 sent to every output tile it can contribute to, a strip of ``B`` likewise, and each output
 tile is summed up where its strips arrive. Nothing but finished cells leaves that task, so
 there is one shuffle of ``nnz(A) * tiles across + nnz(B) * tiles down`` packed cells instead
-of one row per multiplication. When the output has fewer tiles than the cluster has cores,
-the inner index is dealt out over several layers and the partial tiles are summed.
+of one row per multiplication. When the output has fewer tiles than the cluster has cores, or
+the inner index is very long, it is dealt out over several layers and the partial tiles are
+summed.
 """
 
 from __future__ import annotations
@@ -21,9 +22,10 @@ from matrixq.operators.aggregates import infer_dims
 from matrixq.operators.cells import coalesce_cells
 from matrixq.operators.gram import mirror
 from matrixq.plans.choose import default_block
-from matrixq.plans.limits import fits_broadcast
+from matrixq.plans.limits import MAX_PARTITIONS, fits_broadcast
 
-MAX_PARTITIONS = 32_768
+# Pairs of tiles a task should multiply for one output tile, some 20 seconds of full ones.
+TILE_PAIRS_PER_TASK = 256
 
 # The kernel travels to the workers with the plan, so they need not have this package.
 cloudpickle.register_pickle_by_value(tile_kernel)
@@ -43,7 +45,7 @@ def block_product(a: Matrix, b: Matrix, *, block: int | None = None, layers: int
     deep = _tiles(max(a.n_cols, b.n_rows), block)
     value_type = value_type_of(a, b)
     if layers is None:
-        layers = min(deep, -(-cores // (down * across)))
+        layers = min(deep, max(-(-cores // (down * across)), -(-deep // TILE_PAIRS_PER_TASK)))
 
     left = _strips(a, block, value_type).select(
         F.col("tile_of_line").alias("bi"), F.col("tile_of_pos").alias("bk"), "line", "pos", "val"

@@ -75,6 +75,7 @@ def _join_per_column(a: Matrix, per_column: DataFrame, extent: int | None) -> Da
     if extent is not None and fits_broadcast(extent):
         return left.join(F.broadcast(per_column), "k")
     # The cells are joined one by one, so duplicates count here.
-    hot = Sides(left, per_column, "i", "k", unique=True).hot_keys()
+    sides = Sides(left, per_column, "i", "k", unique=True)
+    hot = sides.hot_keys(sides.stats())
     left, right, keys = split_hot_keys(left, per_column, "i", "k", hot)
     return left.join(right, keys)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from matrixq.model import Matrix, value_type_of
 from matrixq.operators.cells import coalesce_cells, transpose
 from matrixq.operators.product import pick_strategy
-from matrixq.plans.skew import PART_KEYS, Sides, split_hot_keys_upper
+from matrixq.plans.skew import PART_KEYS, Sides, deal_out, split_hot_keys_upper
 
 
 STRATEGIES = ("auto", "join", "block")
@@ -38,7 +38,10 @@ def gram(m: Matrix, of: str = "columns", strategy: str = "auto", *, block: int |
     keys = ["k"]
     if split_hot:
         raw = Sides(_left(m), _right(m), "x", "y", m.unique)
+        stats = stats or raw.stats()
         left, right, keys = split_hot_keys_upper(left, right, "x", "y", raw.hot_keys(stats))
+    if stats is not None:
+        left, right = deal_out(left, right, keys, stats)
     once = "part_l < part_r or x <= y" if keys == PART_KEYS else "x <= y"
     pairs = left.join(right, keys).where(once)
     half = pairs.groupBy(F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j")).agg(

@@ -12,13 +12,11 @@ from matrixq.operators.aggregates import infer_dims
 from matrixq.operators.cells import coalesce_cells
 from matrixq.plans.choose import choose_strategy, default_block
 from matrixq.plans.limits import BROADCAST_LIMIT_BYTES, fits_broadcast
-from matrixq.plans.skew import Sides, split_hot_keys
+from matrixq.plans.skew import Sides, deal_out, split_hot_keys
 from matrixq.plans.stats import ProductStats
 
 STRATEGIES = ("auto", "join", "broadcast", "copartition", "block")
 DEFAULT_COPARTITIONS = 64
-# Products per streamed cell from which the streamed side of a broadcast plan is dealt out.
-DEAL_OUT_FROM = 4
 
 
 def check_conformable(a: Matrix, b: Matrix) -> None:
@@ -58,7 +56,9 @@ def matmul(a: Matrix, b: Matrix, strategy: str = "auto", *, block: int | None =
         small = broadcast_side(a, b, broadcast_limit, stats)
         if small is not None:
             return _broadcast_product(a, b, small, stats)
-    left, right, keys = _sides(a, b, split_hot, stats)
+    left, right, keys, stats = _sides(a, b, split_hot, stats)
+    if stats is not None:
+        left, right = deal_out(left, right, keys, stats)
     return _sum_products(left.join(right, keys), a, b)
 
 
@@ -118,13 +118,16 @@ def _sum_products(pairs: DataFrame, a: Matrix, b: Matrix) -> Matrix:
     return Matrix(cells, a.n_rows, b.n_cols, unique=True)
 
 
-def _sides(a: Matrix, b: Matrix, split_hot: bool, stats: ProductStats | None = None):
-    """Both factors keyed by the inner index, and the columns to join them on."""
+def _sides(a: Matrix, b: Matrix, split_hot: bool, stats: ProductStats | None):
+    """Both factors keyed by the inner index, the columns to join them on, and the statistics,
+    which are counted if hot indexes are to be split."""
     left = _left(coalesce_cells(a).cells)
     right = _right(coalesce_cells(b).cells)
     if not split_hot:
-        return left, right, ["k"]
-    return split_hot_keys(left, right, "i", "j", raw_sides(a, b).hot_keys(stats))
+        return left, right, ["k"], stats
+    raw = raw_sides(a, b)
+    stats = stats or raw.stats()
+    return *split_hot_keys(left, right, "i", "j", raw.hot_keys(stats)), stats
 
 
 def raw_sides(a: Matrix, b: Matrix) -> Sides:
@@ -135,13 +138,14 @@ def _broadcast_product(a: Matrix, b: Matrix, small: str, stats: ProductStats | N
     """Only the broadcast side is made unique, as its bound counts distinct cells; the other
     side streams past without a shuffle, duplicates and all.
 
-    Where statistics say that each streamed cell is multiplied many times, that side is dealt
-    out evenly first: a file split holds few cells then for the work they bring.
+    Where statistics say that cells are multiplied many times, that side is dealt out first:
+    a file split holds few cells then for the work they bring.
     """
-    streamed, nnz = (a, stats and stats.nnz_a) if small == "right" else (b, stats and stats.nnz_b)
-    if stats is not None and stats.products > DEAL_OUT_FROM * nnz:
-        cells = streamed.cells.repartition("i", "j") if streamed.unique else streamed.cells
-        streamed = coalesce_cells(streamed.with_cells(cells))
+    streamed = a if small == "right" else b
+    tasks = stats.tasks() if stats is not None else None
+    if tasks is not None:
+        streamed = coalesce_cells(streamed)
+        streamed = streamed.with_cells(streamed.cells.repartition(tasks, "i", "j"))
     if small == "right":
         left, right = _left(streamed.cells), F.broadcast(_right(coalesce_cells(b).cells))
     else:
@@ -179,7 +183,7 @@ def copartition(a: Matrix, b: Matrix, num_partitions: int = DEFAULT_COPARTITIONS
     Persist the result to use one layout for several products.
     """
     check_conformable(a, b)
-    left, right, keys = _sides(a, b, split_hot)
+    left, right, keys, _ = _sides(a, b, split_hot, None)
     return Prepared(
         left.repartition(num_partitions, *keys),
         right.repartition(num_partitions, *keys),

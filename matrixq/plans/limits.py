@@ -14,3 +14,11 @@ DENSE_RECORD_LIMIT = 2_000_000
 
 def fits_broadcast(rows: int, limit_bytes: int = BROADCAST_LIMIT_BYTES) -> bool:
     return rows * BROADCAST_ROW_BYTES <= limit_bytes
+
+
+# A task of a product should form about this many cell pairs.
+PRODUCTS_PER_TASK = 2_000_000
+# From this many products per cell on, a join is sized by its products instead of its bytes.
+EXPANDING_FROM = 4
+# No shuffle is asked to have more partitions than this.
+MAX_PARTITIONS = 32_768

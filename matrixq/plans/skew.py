@@ -22,11 +22,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from matrixq.plans.limits import PRODUCTS_PER_TASK
 from matrixq.plans.stats import ProductStats, collect_stats, key_work
 
 MAX_HOT = 20_000
 # Cell pairs one task may form for a single key before that key is worth cutting.
-WORK_FLOOR = 4_000_000
+WORK_FLOOR = PRODUCTS_PER_TASK
 
 PART_KEYS = ["k", "part_l", "part_r"]
 
@@ -60,9 +61,8 @@ class Sides:
         """Runs one aggregation job; counts duplicates."""
         return collect_stats(key_work(self.left, self.right))
 
-    def hot_keys(self, stats: ProductStats | None = None) -> list[HotKey]:
-        """At most ``MAX_HOT`` keys. Runs further jobs only if a key looks hot."""
-        stats = stats or self.stats()
+    def hot_keys(self, stats: ProductStats) -> list[HotKey]:
+        """At most ``MAX_HOT`` keys. Runs jobs only if a key looks hot."""
         limit = work_limit(stats)
         if stats.top_work <= limit:
             return []
@@ -134,6 +134,14 @@ def split_hot_keys_upper(left: DataFrame, right: DataFrame, left_index: str, rig
     return left, right, PART_KEYS
 
 
+def deal_out(left: DataFrame, right: DataFrame, keys: list[str], stats: ProductStats):
+    """Both sides in as many tasks as the products of their join need."""
+    tasks = stats.tasks()
+    if tasks is None:
+        return left, right
+    return left.repartition(tasks, *keys), right.repartition(tasks, *keys)
+
+
 def _own_part(index: str, parts: Column) -> Column:
     zero = F.lit(0).cast("bigint")
     return F.when(parts.isNull(), zero).otherwise(F.pmod(F.xxhash64(index), parts))

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from matrixq.plans.limits import EXPANDING_FROM, MAX_PARTITIONS, PRODUCTS_PER_TASK
 
 @dataclass(frozen=True)
 class ProductStats:
@@ -19,6 +20,17 @@ class ProductStats:
     work: float
     top_work: float
 
+    def tasks(self) -> int | None:
+        """How many tasks should form the products, or None to leave it to adaptive execution.
+
+        That sizes tasks by the bytes they read, which says little where each cell that is
+        read gives many products.
+        """
+        if self.products < EXPANDING_FROM * (self.nnz_a + self.nnz_b):
+            return None
+        tasks = min(MAX_PARTITIONS, -(-self.products // PRODUCTS_PER_TASK))
+        return tasks if tasks > 1 else None
+
 
 def key_work(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows ``(k, n_left, n_right, work)`` from two DataFrames with a column ``k``.

@@ -11,7 +11,7 @@ from matrixq.bench.runs import (
     job_group,
     run_strategies,
 )
-from matrixq.bench.workloads import ALL, Workload
+from matrixq.bench.workloads import ALL, Workload, run_workloads
 from matrixq.sources.cells import generate
 from matrixq.sources.text import write_cells
 
@@ -60,3 +60,13 @@ def test_event_log_metrics(spark, event_log_dir):
     assert row["jobs"] >= 1 and row["tasks"] >= 2 and row["seconds"] > 0
     assert row["shuffle_write"] > 0 and row["shuffle_read"] == row["shuffle_write"]
     assert row["cpu_use"] == pytest.approx(row["cpu_seconds"] / (4 * row["seconds"]))
+
+
+def test_run_workloads(spark, folder):
+    small = [Workload("p", 20, 10, 20, 0.2), Workload("q", 10, 20, 5, 0.2)]
+    run_workloads(spark, small, ("join", "auto"), f"{folder}/kept")
+    kept = spark.read.parquet(f"{folder}/kept")
+    assert {(r["workload"], r["strategy"]) for r in kept.collect()} == {
+        (w, s) for w in "pq" for s in ("join", "auto")
+    }
+    assert compare_runs(kept, "join").where("not agrees").isEmpty()

@@ -183,3 +183,17 @@ def test_scale_columns(spark):
     assert cells(mq.scale_columns(a, b)) == {(0, 0): 10, (0, 1): 24, (1, 1): 36}
     undeclared = mq.scale_columns(a, mq.Matrix(b.cells))
     assert cells(undeclared) == {(0, 0): 10, (0, 1): 24, (1, 1): 36}
+
+
+def test_agrees_with_the_library_block_matrix(spark, pair):
+    from pyspark.mllib.linalg.distributed import CoordinateMatrix, MatrixEntry
+
+    blocked = []
+    for m in pair:
+        entries = spark.sparkContext.parallelize(
+            [MatrixEntry(i, j, float(v)) for (i, j), v in cells(m).items()], 2
+        )
+        blocked.append(CoordinateMatrix(entries, *m.shape).toBlockMatrix(16, 16))
+    expected = blocked[0].multiply(blocked[1]).toLocalMatrix().toArray()
+    for strategy in ALL_PLANS:
+        assert np.array_equal(dense(mq.matmul(*pair, strategy)), expected)

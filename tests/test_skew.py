@@ -67,7 +67,8 @@ def test_no_hot_key_leaves_the_plan_alone(skewed):
 def test_pieces_of_a_hot_key_are_even(spark, low_floor):
     left = spark.range(1000).selectExpr("7L k", "id i")
     right = spark.range(10).selectExpr("7L k", "id j")
-    hot = skew.Sides(left, right, "i", "j", unique=True).hot_keys()
+    sides = skew.Sides(left, right, "i", "j", unique=True)
+    hot = sides.hot_keys(sides.stats())
     l, r, keys = skew.split_hot_keys(left, right, "i", "j", hot)
     pairs = l.join(r, keys)
     assert pairs.count() == 10_000 and pairs.select("i", "j").distinct().count() == 10_000
@@ -96,7 +97,25 @@ def test_copies_of_one_cell_do_not_make_a_key_hot(spark, low_floor):
         a.cells.withColumnRenamed("j", "k"), b.cells.withColumnRenamed("i", "k"), "i", "j", False
     )
     skew_limit = skew.work_limit(sides.stats())
-    assert [h.k for h in sides.hot_keys()] == [2] and 500 * 3 > skew_limit
+    assert [h.k for h in sides.hot_keys(sides.stats())] == [2] and 500 * 3 > skew_limit
     assert np.array_equal(
         dense(mq.matmul(a, b, "join")), dense(mq.coalesce_cells(a)) @ dense(b)
     )
+
+
+def test_tasks_follow_the_products(spark, monkeypatch):
+    from matrixq.plans import stats
+    from matrixq.sources.cells import generate
+
+    assert ProductStats(10**6, 10**6, 10**6, 0.0, 0.0).tasks() is None
+    assert ProductStats(10**6, 10**6, 10**8, 0.0, 0.0).tasks() == 50
+    assert ProductStats(10**12, 10**12, 10**16, 0.0, 0.0).tasks() == 32_768
+    monkeypatch.setattr(stats, "PRODUCTS_PER_TASK", 1000)
+    a, b = generate(spark, 40, 30, 0.5, 1), generate(spark, 30, 40, 0.5, 2)
+    expected = dense(a) @ dense(b)
+    for strategy in ("join", "auto"):
+        c = mq.matmul(a, b, strategy)
+        plan = c.cells._jdf.queryExecution().executedPlan().toString()
+        assert "REPARTITION_BY_NUM" in plan
+        assert np.array_equal(dense(c), expected)
+    assert np.array_equal(dense(mq.gram(a, strategy="join")), dense(a).T @ dense(a))
