@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from matrixq.model import Matrix, value_type_of
 from matrixq.operators.cells import coalesce_cells, transpose
 from matrixq.operators.product import pick_strategy
-from matrixq.plans.skew import PART_KEYS, Sides, deal_out, split_hot_keys_upper
+from matrixq.plans.limits import fits_broadcast
+from matrixq.plans.skew import Sides, deal_out, deal_out_lines, split_hot_keys_upper
 
 
-STRATEGIES = ("auto", "join", "block")
+STRATEGIES = ("auto", "join", "broadcast", "block")
 
 
 def gram(m: Matrix, of: str = "columns", strategy: str = "auto", *, block: int | None = None,
@@ -19,7 +20,8 @@ def gram(m: Matrix, of: str = "columns", strategy: str = "auto", *, block: int |
     """``Mt x M`` for ``of='columns'``, ``M x Mt`` for ``of='rows'``.
 
     The result is symmetric: only the half ``i <= j`` is computed and then mirrored.
-    ``auto`` and ``join`` run the counting job of ``matmul``.
+    ``auto``, ``join`` and ``broadcast`` run the counting job of ``matmul``; ``broadcast``
+    falls back to ``join`` if the matrix is too large for it.
     """
     if of not in ("columns", "rows"):
         raise ValueError(f"of must be 'columns' or 'rows', got {of!r}")
@@ -35,18 +37,22 @@ def gram(m: Matrix, of: str = "columns", strategy: str = "auto", *, block: int |
 
         return block_product(transpose(m), m, block=block, symmetric=True)
     left, right = _left(coalesce_cells(m)), _right(coalesce_cells(m))
+    raw = Sides(_left(m), _right(m), "x", "y", m.unique)
+    if stats is None and (split_hot or strategy == "broadcast"):
+        stats = raw.stats()
+    product = F.sum(F.col("left_v") * F.col("right_v")).cast(value_type_of(m)).alias("v")
+    if strategy == "broadcast" and fits_broadcast(stats.nnz_a):
+        left = deal_out_lines(left, "x", "k", stats.nnz_a, stats)
+        pairs = left.join(F.broadcast(right), "k").where("x <= y")
+        half = pairs.groupBy(F.col("x").alias("i"), F.col("y").alias("j")).agg(product)
+        return Matrix(mirror(half), m.n_cols, m.n_cols, unique=True)
     keys = ["k"]
     if split_hot:
-        raw = Sides(_left(m), _right(m), "x", "y", m.unique)
-        stats = stats or raw.stats()
         left, right, keys = split_hot_keys_upper(left, right, "x", "y", raw.hot_keys(stats))
     if stats is not None:
         left, right = deal_out(left, right, keys, stats)
-    once = "part_l < part_r or x <= y" if keys == PART_KEYS else "x <= y"
-    pairs = left.join(right, keys).where(once)
-    half = pairs.groupBy(F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j")).agg(
-        F.sum(F.col("left_v") * F.col("right_v")).cast(value_type_of(m)).alias("v")
-    )
+    pairs = left.join(right, keys).where("part_l < part_r or x <= y" if len(keys) > 1 else "x <= y")
+    half = pairs.groupBy(F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j")).agg(product)
     return Matrix(mirror(half), m.n_cols, m.n_cols, unique=True)
 
 

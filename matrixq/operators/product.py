@@ -12,7 +12,7 @@ from matrixq.operators.aggregates import infer_dims
 from matrixq.operators.cells import coalesce_cells
 from matrixq.plans.choose import choose_strategy, default_block
 from matrixq.plans.limits import BROADCAST_LIMIT_BYTES, fits_broadcast
-from matrixq.plans.skew import Sides, deal_out, split_hot_keys
+from matrixq.plans.skew import Sides, deal_out, deal_out_lines, split_hot_keys
 from matrixq.plans.stats import ProductStats
 
 STRATEGIES = ("auto", "join", "broadcast", "copartition", "block")
@@ -139,13 +139,16 @@ def _broadcast_product(a: Matrix, b: Matrix, small: str, stats: ProductStats | N
     side streams past without a shuffle, duplicates and all.
 
     Where statistics say that cells are multiplied many times, that side is dealt out first:
-    a file split holds few cells then for the work they bring.
+    a file split holds few cells then for the work they bring. It goes by output row (by
+    column if ``B`` streams), so that all products of an output cell meet in one task and the
+    sums need no shuffle.
     """
-    streamed = a if small == "right" else b
-    tasks = stats.tasks() if stats is not None else None
-    if tasks is not None:
+    streamed, line = (a, "i") if small == "right" else (b, "j")
+    if stats is not None and stats.tasks() is not None:
         streamed = coalesce_cells(streamed)
-        streamed = streamed.with_cells(streamed.cells.repartition(tasks, "i", "j"))
+        nnz = stats.nnz_a if small == "right" else stats.nnz_b
+        dealt = deal_out_lines(streamed.cells, line, "j" if line == "i" else "i", nnz, stats)
+        streamed = streamed.with_cells(dealt)
     if small == "right":
         left, right = _left(streamed.cells), F.broadcast(_right(coalesce_cells(b).cells))
     else:

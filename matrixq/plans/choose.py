@@ -6,10 +6,12 @@ from matrixq.plans.limits import BROADCAST_LIMIT_BYTES, fits_broadcast
 from matrixq.plans.stats import ProductStats
 
 # Seconds of one core, fitted to runs of bench.py over the workloads of matrixq.bench.
-SECONDS_PER_PRODUCT = 5e-7  # join two cells, sum into the output cell
-SECONDS_PER_SHIPPED_CELL = 6e-7  # copy a cell to one output tile and unpack it there
+SECONDS_PER_PRODUCT = 7e-8  # join two cells, add to a sum that stays in the task
+SECONDS_PER_SHUFFLED_PRODUCT = 2e-6  # the same where the sum is shuffled
+SECONDS_PER_SUM = 2.2e-6  # a sum of the broadcast plan
+SECONDS_PER_SHIPPED_CELL = 8e-7  # copy a cell to one output tile and unpack it there
 SECONDS_PER_FLOP = 1e-10  # dense kernel; a multiplication and an addition count as two
-SECONDS_PER_OUTPUT_CELL = 3e-7  # a cell of the result that leaves the kernel
+SECONDS_PER_TILE_CELL = 6e-7  # a cell of the result that leaves the kernel
 BLOCK_STAGES_SECONDS = 10.0  # what the further stages of the block plan cost at the least
 
 
@@ -23,13 +25,18 @@ def default_block(n_rows: int, n_cols: int, cores: int) -> int:
 
 def choose_strategy(stats: ProductStats, n_rows: int, n_inner: int, n_cols: int,
                     block: int, broadcast_limit: int = BROADCAST_LIMIT_BYTES) -> str:
-    """``broadcast``, ``join`` or ``block``.
+    """``broadcast``, ``join`` or ``block``, whichever should take the least time.
 
-    The cell plans pay for every product, the block plan for shipping cells to output tiles
-    and for a dense kernel that does not notice zeros. Among the cell plans the broadcast
-    one saves a shuffle of the large side and is taken when a side fits.
+    The cell plans pay for every product; where no side can be broadcast, the products are
+    shuffled too. The block plan pays for shipping cells to output tiles and for a dense
+    kernel that does not notice zeros.
     """
-    by_cell = stats.products * SECONDS_PER_PRODUCT
+    sums = min(n_rows * n_cols, stats.products)
+    fits = fits_broadcast(min(stats.nnz_a, stats.nnz_b), broadcast_limit)
+    if fits:
+        by_cell = stats.products * SECONDS_PER_PRODUCT + sums * SECONDS_PER_SUM
+    else:
+        by_cell = stats.products * SECONDS_PER_SHUFFLED_PRODUCT
     tiles = [-(-extent // block) for extent in (n_rows, n_inner, n_cols)]
     shipped = stats.nnz_a * tiles[2] + stats.nnz_b * tiles[0]
     # Every non-empty pair of tiles is multiplied at full size; there are no more pairs than
@@ -40,10 +47,8 @@ def choose_strategy(stats: ProductStats, n_rows: int, n_inner: int, n_cols: int,
         BLOCK_STAGES_SECONDS
         + shipped * SECONDS_PER_SHIPPED_CELL
         + pairs * 2 * edge[0] * edge[1] * edge[2] * SECONDS_PER_FLOP
-        + min(n_rows * n_cols, stats.products) * SECONDS_PER_OUTPUT_CELL
+        + sums * SECONDS_PER_TILE_CELL
     )
     if by_block < by_cell:
         return "block"
-    if fits_broadcast(min(stats.nnz_a, stats.nnz_b), broadcast_limit):
-        return "broadcast"
-    return "join"
+    return "broadcast" if fits else "join"

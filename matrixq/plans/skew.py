@@ -29,6 +29,9 @@ MAX_HOT = 20_000
 # Cell pairs one task may form for a single key before that key is worth cutting.
 WORK_FLOOR = PRODUCTS_PER_TASK
 
+# One output line may bring a task this many times the products it should form.
+LINE_SLACK = 4
+
 PART_KEYS = ["k", "part_l", "part_r"]
 
 
@@ -142,6 +145,20 @@ def deal_out(left: DataFrame, right: DataFrame, keys: list[str], stats: ProductS
     return left.repartition(tasks, *keys), right.repartition(tasks, *keys)
 
 
+def deal_out_lines(cells: DataFrame, line: str, other: str, nnz: int,
+                   stats: ProductStats) -> DataFrame:
+    """Cells in as many tasks as their products need, each output line in one task.
+
+    Counts the longest line; if that is too much for a task, cells are dealt out one by one.
+    """
+    tasks = stats.tasks()
+    if tasks is None:
+        return cells
+    longest = cells.groupBy(line).count().agg(F.max("count")).first()[0]
+    even = longest * stats.products / nnz <= LINE_SLACK * PRODUCTS_PER_TASK
+    return cells.repartition(tasks, line) if even else cells.repartition(tasks, line, other)
+
+
 def _own_part(index: str, parts: Column) -> Column:
     zero = F.lit(0).cast("bigint")
     return F.when(parts.isNull(), zero).otherwise(F.pmod(F.xxhash64(index), parts))

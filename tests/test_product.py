@@ -138,7 +138,7 @@ def test_vectors(spark, pair):
 
 
 @pytest.mark.parametrize("of", ["columns", "rows"])
-@pytest.mark.parametrize("strategy", ["auto", "join", "block"])
+@pytest.mark.parametrize("strategy", ["auto", "join", "broadcast", "block"])
 def test_gram(pair, of, strategy):
     a, _ = pair
     x = dense(a)

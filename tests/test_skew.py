@@ -118,4 +118,23 @@ def test_tasks_follow_the_products(spark, monkeypatch):
         plan = c.cells._jdf.queryExecution().executedPlan().toString()
         assert "REPARTITION_BY_NUM" in plan
         assert np.array_equal(dense(c), expected)
-    assert np.array_equal(dense(mq.gram(a, strategy="join")), dense(a).T @ dense(a))
+    for strategy in ("join", "broadcast"):
+        assert np.array_equal(dense(mq.gram(a, strategy=strategy)), dense(a).T @ dense(a))
+
+
+@pytest.mark.parametrize("slack", [4, 0])
+def test_output_lines_stay_in_one_task_unless_one_is_too_long(spark, monkeypatch, slack):
+    from matrixq.operators.product import _broadcast_product, raw_sides
+    from matrixq.plans import stats
+    from matrixq.sources.cells import generate
+
+    monkeypatch.setattr(stats, "PRODUCTS_PER_TASK", 1000)
+    monkeypatch.setattr(skew, "PRODUCTS_PER_TASK", 1000)
+    monkeypatch.setattr(skew, "LINE_SLACK", slack)
+    a, b = generate(spark, 40, 30, 0.5, 1), generate(spark, 30, 40, 0.5, 2)
+    known = raw_sides(a, b).stats()
+    for small in ("left", "right"):
+        c = _broadcast_product(a, b, small, known)
+        plan = c.cells._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == (1 if slack else 2)
+        assert np.array_equal(dense(c), dense(a) @ dense(b))
