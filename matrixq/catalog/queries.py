@@ -89,9 +89,10 @@ def mm_sum_rewrite(spark: SparkSession, d: str) -> DataFrame:
 
 def product_count(spark: SparkSession, d: str) -> DataFrame:
     a, b = mq.coalesce_cells(t.order_part(spark, d)), mq.coalesce_cells(t.part_supplier(spark, d))
-    per_key = key_work(a.cells.withColumnRenamed("j", "k"), b.cells.withColumnRenamed("i", "k"))
+    left, right = a.cells.withColumnRenamed("j", "k"), b.cells.withColumnRenamed("i", "k")
     counted = ("nnz_a", "nnz_b", "products")
-    return product_counts(per_key).select(*(F.col(c).cast("bigint").alias(c) for c in counted))
+    counts = product_counts(key_work(left, right, "i", "j"))
+    return counts.select(*(F.col(c).cast("bigint").alias(c) for c in counted))
 
 
 def scale_columns(spark: SparkSession, d: str) -> DataFrame:

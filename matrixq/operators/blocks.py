@@ -11,6 +11,8 @@ summed.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,12 +34,15 @@ cloudpickle.register_pickle_by_value(tile_kernel)
 
 
 def block_product(a: Matrix, b: Matrix, *, block: int | None = None, layers: int | None = None,
-                  symmetric: bool = False) -> Matrix:
+                  symmetric: bool = False, seen: tuple[int, int, int] | None = None) -> Matrix:
     """``A x B`` by tiles; cells that cancel to zero are dropped.
 
     With ``symmetric`` the result is known to equal its transpose, and only the tiles on and
-    above the diagonal are computed. A shape that is not declared costs a job.
+    above the diagonal are computed. ``seen``: rows, inner size and columns that the cells are
+    known to show; without it a shape that is not declared costs a job.
     """
+    if seen is not None:
+        a, b = _declare(a, seen[0], seen[1]), _declare(b, seen[1], seen[2])
     a, b = infer_dims(a), infer_dims(b)
     cores = a.spark.sparkContext.defaultParallelism
     block = block or default_block(a.n_rows, b.n_cols, cores)
@@ -79,6 +84,13 @@ def block_product(a: Matrix, b: Matrix, *, block: int | None = None, layers: int
     return Matrix(cells, a.n_rows, b.n_cols, unique=True)
 
 
+def _declare(m: Matrix, n_rows: int, n_cols: int) -> Matrix:
+    return replace(
+        m, n_rows=n_rows if m.n_rows is None else m.n_rows,
+        n_cols=n_cols if m.n_cols is None else m.n_cols,
+    )
+
+
 def _tiles(extent: int, block: int) -> int:
     return max(1, -(-extent // block))
 

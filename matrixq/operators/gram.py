@@ -35,7 +35,8 @@ def gram(m: Matrix, of: str = "columns", strategy: str = "auto", *, block: int |
     if strategy == "block":
         from matrixq.operators.blocks import block_product
 
-        return block_product(transpose(m), m, block=block, symmetric=True)
+        seen = stats and stats.seen
+        return block_product(transpose(m), m, block=block, symmetric=True, seen=seen)
     left, right = _left(coalesce_cells(m)), _right(coalesce_cells(m))
     raw = Sides(_left(m), _right(m), "x", "y", m.unique)
     if stats is None and (split_hot or strategy == "broadcast"):

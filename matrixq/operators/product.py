@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from matrixq.model import Matrix, value_type_of
-from matrixq.operators.aggregates import infer_dims
 from matrixq.operators.cells import coalesce_cells
 from matrixq.plans.choose import choose_strategy, default_block
 from matrixq.plans.limits import BROADCAST_LIMIT_BYTES, fits_broadcast
@@ -49,7 +48,7 @@ def matmul(a: Matrix, b: Matrix, strategy: str = "auto", *, block: int | None =
     if strategy == "block":
         from matrixq.operators.blocks import block_product
 
-        return block_product(a, b, block=block)
+        return block_product(a, b, block=block, seen=stats and stats.seen)
     if strategy == "copartition":
         return multiply_prepared(copartition(a, b, num_partitions, split_hot=split_hot))
     if strategy == "broadcast":
@@ -67,17 +66,17 @@ def pick_strategy(a: Matrix, b: Matrix, *, block: int | None = None,
     """The strategy ``auto`` takes, and the statistics it was taken from, if any.
 
     A declared vector needs none: it has one product per cell of the other side. Otherwise
-    one counting job runs, and one for each shape that is not declared.
+    one counting job runs; it also finds a shape that is not declared.
     """
     for vector, extent in ((b, b.n_cols), (a, a.n_rows)):
         bound = vector.max_cells()
         if extent == 1 and bound is not None and fits_broadcast(bound, broadcast_limit):
             return "broadcast", None
     stats = raw_sides(a, b).stats()
-    a, b = infer_dims(a), infer_dims(b)
-    inner = max(a.n_cols, b.n_rows)
-    block = block or default_block(a.n_rows, b.n_cols, a.spark.sparkContext.defaultParallelism)
-    return choose_strategy(stats, a.n_rows, inner, b.n_cols, block, broadcast_limit), stats
+    rows, inner, cols = stats.seen
+    rows, cols = (s if n is None else n for s, n in ((rows, a.n_rows), (cols, b.n_cols)))
+    block = block or default_block(rows, cols, a.spark.sparkContext.defaultParallelism)
+    return choose_strategy(stats, rows, inner, cols, block, broadcast_limit), stats
 
 
 def broadcast_side(a: Matrix, b: Matrix, limit: int = BROADCAST_LIMIT_BYTES,

@@ -62,18 +62,21 @@ class Sides:
 
     def stats(self) -> ProductStats:
         """Runs one aggregation job; counts duplicates."""
-        return collect_stats(key_work(self.left, self.right))
+        return collect_stats(self._work(self.left, self.right))
+
+    def _work(self, left: DataFrame, right: DataFrame) -> DataFrame:
+        return key_work(left, right, self.left_index, self.right_index)
 
     def hot_keys(self, stats: ProductStats) -> list[HotKey]:
         """At most ``MAX_HOT`` keys. Runs jobs only if a key looks hot."""
         limit = work_limit(stats)
         if stats.top_work <= limit:
             return []
-        work = key_work(self.left, self.right).where(F.col("work") > limit)
+        work = self._work(self.left, self.right).where(F.col("work") > limit)
         if not self.unique:
             spark = self.left.sparkSession
             keys = spark.createDataFrame([(row["k"],) for row in work.collect()], "k bigint")
-            work = key_work(
+            work = self._work(
                 _distinct_of(self.left, self.left_index, keys),
                 _distinct_of(self.right, self.right_index, keys),
             ).where(F.col("work") > limit)

@@ -12,13 +12,15 @@ from matrixq.plans.limits import EXPANDING_FROM, MAX_PARTITIONS, PRODUCTS_PER_TA
 @dataclass(frozen=True)
 class ProductStats:
     """``products``: multiplications. ``work``: those plus the cells to move, over all inner
-    indexes; ``top_work``: of the one with most."""
+    indexes; ``top_work``: of the one with most. ``seen``: rows of ``A``, inner size and columns
+    of ``B`` as the cells show them."""
 
     nnz_a: int
     nnz_b: int
     products: int
     work: float
     top_work: float
+    seen: tuple[int, int, int] = (0, 0, 0)
 
     def tasks(self) -> int | None:
         """How many tasks should form the products, or None to leave it to adaptive execution.
@@ -32,31 +34,34 @@ class ProductStats:
         return tasks if tasks > 1 else None
 
 
-def key_work(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Rows ``(k, n_left, n_right, work)`` from two DataFrames with a column ``k``.
+def key_work(left: DataFrame, right: DataFrame, left_index: str, right_index: str) -> DataFrame:
+    """Rows ``(k, n_left, n_right, top_left, top_right, work)`` from two DataFrames with a
+    column ``k`` and an index column each: how many rows, the greatest index, the work.
 
     No pair is formed, and counts are combined before the shuffle, so that a key with a large
     share of the rows costs one row per task.
     """
-    n_left = left.groupBy("k").agg(F.count("*").alias("n_left"))
-    n_right = right.groupBy("k").agg(F.count("*").alias("n_right"))
-    none = F.lit(0).cast("bigint")
-    both = n_left.join(n_right, "k", "full").select(
-        "k", F.coalesce("n_left", none).alias("n_left"), F.coalesce("n_right", none).alias("n_right")
+    per_key = lambda df, index, side: df.groupBy("k").agg(
+        F.count("*").alias(f"n_{side}"), F.max(index).alias(f"top_{side}")
     )
+    both = per_key(left, left_index, "left").join(per_key(right, right_index, "right"), "k", "full")
+    none = F.lit(0).cast("bigint")
+    counts = both.withColumns({n: F.coalesce(n, none) for n in ("n_left", "n_right")})
     # In doubles, as the product of two counts may leave the 64-bit range.
-    work = F.expr("n_left + n_right + double(n_left) * n_right")
-    return both.withColumn("work", work)
+    return counts.withColumn("work", F.expr("n_left + n_right + double(n_left) * n_right"))
 
 
 def product_counts(work: DataFrame) -> DataFrame:
-    """One row ``(nnz_a, nnz_b, products)``, the last exact."""
+    """One row ``(nnz_a, nnz_b, products)``, the last exact, and what ``ProductStats`` holds
+    besides."""
     whole = lambda e: F.expr(f"coalesce(sum({e}), 0)").cast("decimal(38,0)")
     pairs = "cast(n_left as decimal(19,0)) * cast(n_right as decimal(19,0))"
+    extent = lambda c: F.coalesce(F.max(c) + 1, F.lit(0))
     return work.agg(
         whole("n_left").alias("nnz_a"), whole("n_right").alias("nnz_b"),
         whole(pairs).alias("products"), F.sum("work").alias("work"),
-        F.max("work").alias("top_work"),
+        F.max("work").alias("top_work"), extent("top_left").alias("rows"),
+        extent("k").alias("inner"), extent("top_right").alias("cols"),
     )
 
 
@@ -65,5 +70,5 @@ def collect_stats(work: DataFrame) -> ProductStats:
     row = product_counts(work).first()
     return ProductStats(
         int(row["nnz_a"]), int(row["nnz_b"]), int(row["products"]), row["work"] or 0.0,
-        row["top_work"] or 0.0,
+        row["top_work"] or 0.0, (row["rows"], row["inner"], row["cols"]),
     )

@@ -95,11 +95,12 @@ def test_stats(stored):
     a, b = stored
     left = a.cells.withColumnRenamed("j", "k")
     right = b.cells.withColumnRenamed("i", "k")
-    stats = collect_stats(key_work(left, right))
+    stats = collect_stats(key_work(left, right, "i", "j"))
     assert (stats.nnz_a, stats.nnz_b) == (720, 600)
     assert stats.products == left.join(right, "k").count()
+    assert stats.seen == (60, 40, 50)
     assert stats.work == 720 + 600 + stats.products
-    nothing = collect_stats(key_work(left.limit(0), right.limit(0)))
+    nothing = collect_stats(key_work(left.limit(0), right.limit(0), "i", "j"))
     assert nothing == ProductStats(0, 0, 0, 0.0, 0.0)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import matrixq as mq
 from matrixq.plans import skew
-from matrixq.plans.stats import ProductStats, collect_stats, key_work
+from matrixq.plans.stats import ProductStats
 from matrixq.sources.cells import from_entries
 from tests.conftest import cells, dense
 
@@ -72,7 +72,7 @@ def test_pieces_of_a_hot_key_are_even(spark, low_floor):
     l, r, keys = skew.split_hot_keys(left, right, "i", "j", hot)
     pairs = l.join(r, keys)
     assert pairs.count() == 10_000 and pairs.select("i", "j").distinct().count() == 10_000
-    stats = collect_stats(key_work(left, right))
+    stats = sides.stats()
     sizes = [row["count"] for row in pairs.groupBy(*keys).count().collect()]
     assert max(sizes) <= 3 * skew.work_limit(stats)
 
