@@ -32,7 +32,7 @@ def mm_gram_join(spark: SparkSession, d: str) -> DataFrame:
 
 def mm_gram_copartition(spark: SparkSession, d: str) -> DataFrame:
     m = t.order_part(spark, d)
-    return mq.matmul(m.T, m, "copartition", num_partitions=64).cells
+    return mq.matmul(m.T, m, "copartition").cells
 
 
 def mm_supplier_gram(spark: SparkSession, d: str) -> DataFrame:
@@ -45,7 +45,7 @@ def mm_broadcast(spark: SparkSession, d: str) -> DataFrame:
 
 def mm_bucketed(spark: SparkSession, d: str) -> DataFrame:
     """Both factors bucketed on the inner index at rest; the join adds no shuffle."""
-    prepared = mq.copartition(t.order_supplier(spark, d).T, t.order_part(spark, d), 16)
+    prepared = mq.copartition(t.order_supplier(spark, d).T, t.order_part(spark, d))
     name = f"matrixq_{uuid.uuid4().hex}"
     write_prepared(prepared, name, scratch_path(spark, name))
     return mq.multiply_prepared(read_prepared(spark, name, prepared)).cells

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from matrixq.model import Matrix, value_type_of
 from matrixq.operators.cells import coalesce_cells, transpose
-from matrixq.operators.product import pick_strategy
+from matrixq.operators.product import pick_strategy, summed_product
 from matrixq.plans.limits import fits_broadcast
 from matrixq.plans.skew import Sides, deal_out, deal_out_lines, split_hot_keys_upper
 
@@ -41,7 +41,7 @@ def gram(m: Matrix, of: str = "columns", strategy: str = "auto", *, block: int |
     raw = Sides(_left(m), _right(m), "x", "y", m.unique)
     if stats is None and (split_hot or strategy == "broadcast"):
         stats = raw.stats()
-    product = F.sum(F.col("left_v") * F.col("right_v")).cast(value_type_of(m)).alias("v")
+    product = summed_product(value_type_of(m)).alias("v")
     if strategy == "broadcast" and fits_broadcast(stats.nnz_a):
         left = deal_out_lines(left, "x", "k", stats.nnz_a, stats)
         pairs = left.join(F.broadcast(right), "k").where("x <= y")

@@ -4,18 +4,23 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matrixq.model import Matrix, value_type_of
 from matrixq.operators.cells import coalesce_cells
 from matrixq.plans.choose import choose_strategy, default_block
-from matrixq.plans.limits import BROADCAST_LIMIT_BYTES, fits_broadcast
+from matrixq.plans.limits import (
+    BROADCAST_LIMIT_BYTES,
+    CELLS_PER_TASK,
+    MAX_PARTITIONS,
+    fits_broadcast,
+)
 from matrixq.plans.skew import Sides, deal_out, deal_out_lines, split_hot_keys
 from matrixq.plans.stats import ProductStats
 
 STRATEGIES = ("auto", "join", "broadcast", "copartition", "block")
-DEFAULT_COPARTITIONS = 64
+MIN_COPARTITIONS = 64
 
 
 def check_conformable(a: Matrix, b: Matrix) -> None:
@@ -25,7 +30,7 @@ def check_conformable(a: Matrix, b: Matrix) -> None:
 
 
 def matmul(a: Matrix, b: Matrix, strategy: str = "auto", *, block: int | None = None,
-           num_partitions: int = DEFAULT_COPARTITIONS, split_hot: bool = True,
+           num_partitions: int | None = None, split_hot: bool = True,
            broadcast_limit: int = BROADCAST_LIMIT_BYTES) -> Matrix:
     """``A x B``; duplicate cells of the inputs add up.
 
@@ -33,8 +38,8 @@ def matmul(a: Matrix, b: Matrix, strategy: str = "auto", *, block: int | None =
     first, and hot indexes are split; ``split_hot=False`` leaves that out.
     ``broadcast``: the side that fits ``broadcast_limit`` bytes is broadcast; if neither
     does, the product falls back to ``join``. Counts a side whose size is not declared.
-    ``copartition``: both sides hash partitioned into ``num_partitions`` on the inner index,
-    so the join adds no shuffle; see ``copartition`` to keep that layout for several products.
+    ``copartition``: both sides hash partitioned alike on the inner index, so the join adds no
+    shuffle; see ``copartition`` to keep that layout for several products.
     ``block``: tiles of ``block x block`` multiplied by a dense kernel; cells that cancel to
     zero are dropped.
     ``auto``: by size where a side is known to be small, else by one counting job.
@@ -109,11 +114,15 @@ def _right(cells: DataFrame) -> DataFrame:
     return cells.select(F.col("i").alias("k"), "j", F.col("v").alias("right_v"))
 
 
+def summed_product(value_type: str) -> Column:
+    """The factors are widened first, so that small whole types cannot overflow."""
+    left, right = F.col("left_v").cast(value_type), F.col("right_v").cast(value_type)
+    return F.sum(left * right).cast(value_type)
+
+
 def _sum_products(pairs: DataFrame, a: Matrix, b: Matrix) -> Matrix:
     """Partial sums form in each task before the output cells are shuffled."""
-    product = F.col("left_v") * F.col("right_v")
-    value = F.sum(product).cast(value_type_of(a, b))
-    cells = pairs.groupBy("i", "j").agg(value.alias("v"))
+    cells = pairs.groupBy("i", "j").agg(summed_product(value_type_of(a, b)).alias("v"))
     return Matrix(cells, a.n_rows, b.n_cols, unique=True)
 
 
@@ -178,14 +187,19 @@ class Prepared:
         self.right.unpersist()
 
 
-def copartition(a: Matrix, b: Matrix, num_partitions: int = DEFAULT_COPARTITIONS, *,
+def copartition(a: Matrix, b: Matrix, num_partitions: int | None = None, *,
                 split_hot: bool = True) -> Prepared:
     """Both factors hash partitioned alike on the inner index, hot indexes split.
 
+    Without ``num_partitions`` there are as many as cells and products call for, at least 64.
     Persist the result to use one layout for several products.
     """
     check_conformable(a, b)
-    left, right, keys, _ = _sides(a, b, split_hot, None)
+    left, right, keys, stats = _sides(a, b, split_hot, None)
+    if num_partitions is None:
+        by_cells = -(-(stats.nnz_a + stats.nnz_b) // CELLS_PER_TASK) if stats else 0
+        by_products = (stats.tasks() or 0) if stats else 0
+        num_partitions = min(MAX_PARTITIONS, max(MIN_COPARTITIONS, by_cells, by_products))
     return Prepared(
         left.repartition(num_partitions, *keys),
         right.repartition(num_partitions, *keys),
@@ -220,6 +234,6 @@ def sum_of_product(a: Matrix, b: Matrix) -> DataFrame:
     check_conformable(a, b)
     left = a.cells.groupBy(F.col("j").alias("k")).agg(F.sum("v").alias("left_v"))
     right = b.cells.groupBy(F.col("i").alias("k")).agg(F.sum("v").alias("right_v"))
-    value = F.sum(F.col("left_v") * F.col("right_v")).cast(value_type_of(a, b))
-    zero = F.lit(0).cast(value_type_of(a, b))
-    return left.join(right, "k").agg(F.coalesce(value, zero).alias("total"))
+    value_type = value_type_of(a, b)
+    value = F.coalesce(summed_product(value_type), F.lit(0).cast(value_type))
+    return left.join(right, "k").agg(value.alias("total"))

@@ -18,6 +18,8 @@ def fits_broadcast(rows: int, limit_bytes: int = BROADCAST_LIMIT_BYTES) -> bool:
 
 # A task of a product should form about this many cell pairs.
 PRODUCTS_PER_TASK = 2_000_000
+# A task that reads shuffled cells should get about this many, some 100 MB.
+CELLS_PER_TASK = 4_000_000
 # From this many products per cell on, a join is sized by its products instead of its bytes.
 EXPANDING_FROM = 4
 # No shuffle is asked to have more partitions than this.

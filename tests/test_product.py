@@ -197,3 +197,22 @@ def test_agrees_with_the_library_block_matrix(spark, pair):
     expected = blocked[0].multiply(blocked[1]).toLocalMatrix().toArray()
     for strategy in ALL_PLANS:
         assert np.array_equal(dense(mq.matmul(*pair, strategy)), expected)
+
+
+@pytest.mark.parametrize("strategy", ALL_PLANS)
+def test_small_whole_types_are_widened(spark, strategy):
+    a = from_entries(spark, [(0, 0, 2**30)], 1, 1, "int")
+    c = mq.matmul(a, from_entries(spark, [(0, 0, 2**20)], 1, 1, "int"), strategy)
+    assert cells(c) == {(0, 0): 2**50}
+    assert cells(mq.gram(a)) == {(0, 0): 2**60}
+    assert mq.sum_of_product(a, a).first()["total"] == 2**60
+
+
+def test_copartition_count_follows_the_data(pair, monkeypatch):
+    from matrixq.operators import product
+
+    assert mq.copartition(*pair).num_partitions == 64
+    assert mq.copartition(*pair, split_hot=False).num_partitions == 64
+    assert mq.copartition(*pair, 7).num_partitions == 7
+    monkeypatch.setattr(product, "CELLS_PER_TASK", 4)
+    assert mq.copartition(*pair).num_partitions == 120
