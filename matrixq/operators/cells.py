@@ -33,7 +33,9 @@ def coalesce_cells(m: Matrix, on_duplicate: str = "sum", order_by: tuple[str, ..
     elif on_duplicate == "last":
         if not order_by:
             raise ValueError("on_duplicate='last' needs order_by columns")
-        value = F.max_by("v", F.struct(*order_by))
+        # A single column can be kept in a hash aggregate, a struct needs a sort.
+        order = F.struct(*order_by) if len(order_by) > 1 else F.col(order_by[0])
+        value = F.max_by("v", order)
     elif on_duplicate == "error":
         clash = F.concat_ws(" ", F.lit("duplicate cell"), F.col("i"), F.col("j"))
         value = F.when(F.count("*") == 1, F.first("v")).otherwise(F.raise_error(clash))

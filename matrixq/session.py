@@ -7,6 +7,10 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+from matrixq.plans.limits import CELLS_PER_TASK, MAX_PARTITIONS
+
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
 
 def local_session(cores: int = 8, **conf: str) -> SparkSession:
     """A session for tests and the benchmark; a cluster brings its own."""
@@ -39,6 +43,20 @@ def tune_scan(spark: SparkSession, *, min_partitions: int | None = None,
         spark.conf.set("spark.sql.files.maxPartitionBytes", str(max_partition_bytes))
 
 
+def tune_shuffle(spark: SparkSession, rows: int) -> int:
+    """Start shuffles of about ``rows`` cells or partial sums with enough partitions.
+
+    Adaptive execution joins partitions that turn out small, but it cannot add any to a sum.
+    Returns the number set; a larger one that is set already is kept.
+    """
+    wanted = min(MAX_PARTITIONS, -(-rows // CELLS_PER_TASK))
+    default = spark.conf.get("spark.sql.shuffle.partitions")
+    current = int(spark.conf.get(INITIAL_PARTITIONS, default))
+    partitions = max(wanted, current)
+    spark.conf.set(INITIAL_PARTITIONS, str(partitions))
+    return partitions
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for a written intermediate, in the folder all executors share.
 

@@ -6,7 +6,7 @@ import matrixq as mq
 from matrixq.operators.product import broadcast_side, pick_strategy
 from matrixq.plans.choose import choose_strategy, default_block
 from matrixq.plans.stats import ProductStats, collect_stats, key_work
-from matrixq.session import scratch_path, tune_scan
+from matrixq.session import INITIAL_PARTITIONS, scratch_path, tune_scan, tune_shuffle
 from matrixq.sources.cells import generate
 from matrixq.sources.tables import read_parquet, write_parquet
 from tests.conftest import TABLES
@@ -142,6 +142,16 @@ def test_scan_settings(spark):
     spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_shuffle_settings(spark, stored):
+    assert tune_shuffle(spark, 1000) == 4
+    assert tune_shuffle(spark, 10**9) == 250 == tune_shuffle(spark, 10**6)
+    assert tune_shuffle(spark, 10**15) == 32_768
+    spark.conf.set(INITIAL_PARTITIONS, "9")
+    plan = plan_of(mq.coalesce_cells(mq.Matrix(stored[0].cells)).cells)
+    spark.conf.unset(INITIAL_PARTITIONS)
+    assert "hashpartitioning(i" in plan and ", 9)" in plan
+
+
 def test_scratch_is_in_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir", None)
     path = scratch_path(spark, "x")
