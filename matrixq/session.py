@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -19,7 +18,7 @@ def local_session(cores: int = 8, **conf: str) -> SparkSession:
         .appName("matrixq")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.session.timeZone", "UTC")
     )
@@ -60,12 +59,10 @@ def tune_shuffle(spark: SparkSession, rows: int) -> int:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for a written intermediate, in the folder all executors share.
 
-    The cluster names that folder in ``spark.checkpoint.dir``. A temporary folder of this
-    machine is used only where nothing is set and Spark runs in local mode.
+    The cluster names that folder in ``spark.checkpoint.dir``; where it names none, the
+    warehouse is the folder that is shared.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="matrixq-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(
+        "spark.sql.warehouse.dir"
+    )
     return f"{base.rstrip('/')}/matrixq-{name}-{uuid.uuid4().hex}"

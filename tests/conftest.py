@@ -18,11 +18,17 @@ def event_log_dir():
 
 
 @pytest.fixture(scope="session")
-def spark(event_log_dir):
+def shared_dir(tmp_path_factory):
+    return str(tmp_path_factory.mktemp("shared"))
+
+
+@pytest.fixture(scope="session")
+def spark(event_log_dir, shared_dir):
     session = local_session(
         4, spark__sql__shuffle__partitions="4", spark__eventLog__enabled="true",
         spark__eventLog__dir=f"file://{event_log_dir}", spark__eventLog__compress="false",
-        spark__driver__memory="4g",
+        spark__driver__memory="4g", spark__checkpoint__dir=f"file://{shared_dir}",
+        spark__sql__warehouse__dir=f"{shared_dir}/warehouse",
     )
     yield session
     session.stop()

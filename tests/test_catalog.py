@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from matrixq.catalog.oracle import oracle
+from matrixq.catalog.queries import QUERIES
 from tests.conftest import TABLES
 
 
@@ -24,16 +26,21 @@ def rows_of(table):
     return names, sorted(zip(*(table[n].to_pylist() for n in names)), key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(oracle()))
 def test_query_matches_sql(spark, views, name):
-    found = rows_of(contract.queries()[name](spark, TABLES).toArrow())
-    expected = rows_of(views.execute(contract.oracle_sql()[name]).to_arrow_table())
+    found = rows_of(QUERIES[name](spark, TABLES).toArrow())
+    expected = rows_of(views.execute(oracle()[name]).to_arrow_table())
     assert found == expected
 
 
 def test_only_timings_have_no_sql():
-    assert set(contract.queries()) - set(contract.oracle_sql()) == {"bench_runs"}
+    assert set(QUERIES) - set(oracle()) == {"bench_runs"}
 
 
 def test_entry(spark):
     assert contract.entry(spark).columns == ["i", "j", "v"]
+
+
+def test_contract_has_every_query():
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
