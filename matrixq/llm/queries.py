@@ -5,13 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matrixq.llm import bpe, mixing
+from matrixq.llm import bpe, licenses, mixing, urls
 from matrixq.llm.common import table, written
 
 #: Place of the vocabulary files of public tokenizers.
 WORD_TOKENIZER = "/opt/tokenizers/word_bpe_49k.json"
 
 
+#: Rules of the URL query: verdict, host and path.
+URL_RULES = [
+    ("block", "net", "/"), ("allow", "example.net", "/en/"),
+    ("block", "example.com", "/de/"), ("allow", "org", "/fr/"),
+]
+#: Listed junk sites, each below the three reserved example domains.
+JUNK_SITES = ("adult-x", "ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm")
+JUNK_DOMAINS = ("example.com", "example.net", "example.org")
+
+
+def op2_urls(spark: SparkSession, d: str) -> DataFrame:
+    rows = [(host, path, verdict, False) for verdict, host, path in URL_RULES]
+    rows += [(f"{s}.{x}", "/", "block", True) for s in JUNK_SITES for x in JUNK_DOMAINS]
+    entries = spark.createDataFrame(
+        rows, "host string, path string, verdict string, listed boolean"
+    )
+    pages = table(spark, d, "pages", "page_id", "url")
+    return urls.judge(pages, entries).drop("url")
+
+
 def op4_bpe(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents", "doc_id", "text")
     done = bpe.encode(docs, WORD_TOKENIZER, decoded="decoded")
@@ -21,6 +41,10 @@ def op4_bpe(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def op9_licenses(spark: SparkSession, d: str) -> DataFrame:
+    return licenses.scan(table(spark, d, "documents", "doc_id", "text")).drop("spans")
+
+
 def op10_mixing(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents", "doc_id", "source", "text")
     sizes = written(mixing.sized(docs).select("doc_id", "source", "size"), "sizes")
@@ -29,5 +53,78 @@ def op10_mixing(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-QUERIES = {"op4_bpe": op4_bpe, "op10_mixing": op10_mixing}
-ORACLES: dict[str, str] = {}
+def _op2_sql() -> str:
+    rules = ", ".join(f"('{h}', '{p}', '{v}')" for v, h, p in URL_RULES)
+    junk = ", ".join(f"'{s}.{x}'" for s in JUNK_SITES for x in JUNK_DOMAINS)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return f"""
+with rules(rhost, rpath, verdict) as (values {rules}),
+parts as (
+  select page_id, url,
+    translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''),
+              '{letters}', '{letters.lower()}') as host,
+    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') as path
+  from pages),
+pairs as (select distinct host, path from parts),
+best as (
+  select host, path, max_by(rhost || rpath, length(rhost || rpath)) as rule,
+    max_by(verdict, length(rhost || rpath)) as verdict
+  from pairs join rules
+    on (host = rhost or ends_with(host, '.' || rhost)) and starts_with(path, rpath)
+  group by host, path),
+junk as (select unnest([{junk}]) as jhost),
+hits as (select distinct host, path from pairs join junk
+  on (host = jhost or ends_with(host, '.' || jhost)) and starts_with(path, '/'))
+select p.page_id, p.host, p.path, b.rule,
+  coalesce(b.verdict, case when h.host is null then 'allow' else 'block' end) as verdict
+from parts p left join best b using (host, path) left join hits h using (host, path)
+"""
+
+
+def _op9_sql() -> str:
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+    def words(text: str) -> str:
+        low = f"translate(coalesce({text}, ''), '{letters}', '{letters.lower()}')"
+        return f"regexp_extract_all({low}, '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+')"
+
+    phrases = []
+    for label, phrase in licenses.PHRASES.items():
+        each = phrase.split()
+        test = " and ".join(f"w[i + {k}] = '{x}'" for k, x in enumerate(each))
+        phrases.append(
+            f"select k, '{label}' as label, i - 1 as place from places where {test}"
+        )
+    templates = ", ".join(
+        f"('{label}', {sorted(set(licenses.words_of(text)))})"
+        for label, text in licenses.TEMPLATES
+    )
+    return f"""
+with docs as (select row_number() over () as k, doc_id, text, {words("text")} as w from documents),
+places as (select k, w, unnest(range(1, len(w) + 1)) as i from docs),
+found as ({" union all ".join(phrases)}),
+base as (select k, count(*) as n_base, min(place) as first_word, max(place) as last_word,
+  list_distinct(list(label)) as base from found group by k),
+lines as (select k, list_distinct({words("line")}) as w
+  from (select k, unnest(string_split(coalesce(text, ''), chr(10))) as line from docs)),
+templates(label, t) as (values {templates}),
+fits as (
+  select k, label, len(list_intersect(w, t)) / len(t) as share
+  from lines join templates on list_has_any(w, t)
+  where len(list_intersect(w, t)) >= ceil({licenses.CONTAINMENT} * len(t) - 1e-9)),
+own as (select k, list_distinct(list(label)) as own, max(share) as share from fits group by k)
+select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n_base, 0) as bigint) as n_base,
+  cast(first_word as bigint) as first_word, cast(last_word as bigint) as last_word,
+  coalesce(array_to_string(list_sort(base), ','), '') as base_labels,
+  array_to_string(list_sort(list_distinct(list_concat(coalesce(base, []), coalesce(own, [])))), ',')
+    as labels,
+  case when n_base > 0 then 1.0::double else coalesce(share, 0.0)::double end as score
+from docs left join base using (k) left join own using (k)
+"""
+
+
+QUERIES = {
+    "op2_urls": op2_urls, "op4_bpe": op4_bpe, "op9_licenses": op9_licenses,
+    "op10_mixing": op10_mixing,
+}
+ORACLES = {"op2_urls": _op2_sql(), "op9_licenses": _op9_sql()}
