@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matrixq.llm import bpe, licenses, mixing, urls
+from matrixq.llm import bpe, forest, licenses, mixing, topk, urls
 from matrixq.llm.common import table, written
 
 #: Place of the vocabulary files of public tokenizers.
@@ -22,6 +22,11 @@ JUNK_SITES = ("adult-x", "ads-track", "casino-win", "cheap-pills", "free-bets",
 JUNK_DOMAINS = ("example.com", "example.net", "example.org")
 
 
+def op1_topk(spark: SparkSession, d: str) -> DataFrame:
+    vectors = table(spark, d, "embeddings", "vec_id", "embedding")
+    return topk.search(vectors, F.col("vec_id") % 100 == 0)
+
+
 def op2_urls(spark: SparkSession, d: str) -> DataFrame:
     rows = [(host, path, verdict, False) for verdict, host, path in URL_RULES]
     rows += [(f"{s}.{x}", "/", "block", True) for s in JUNK_SITES for x in JUNK_DOMAINS]
@@ -41,6 +46,11 @@ def op4_bpe(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def op7_forest(spark: SparkSession, d: str) -> DataFrame:
+    vectors = table(spark, d, "embeddings", "vec_id", "embedding")
+    return forest.search(vectors, F.col("vec_id") % 20 == 0)
+
+
 def op9_licenses(spark: SparkSession, d: str) -> DataFrame:
     return licenses.scan(table(spark, d, "documents", "doc_id", "text")).drop("spans")
 
@@ -53,6 +63,19 @@ def op10_mixing(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+_OP1_SQL = """
+with v as (
+  select vec_id, list_transform(embedding, x -> floor(1024 * cast(x as double))) as e
+  from embeddings
+  where vec_id is not null and embedding is not null
+    and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0),
+s as (select q.vec_id as query_id, c.vec_id, cast(list_dot_product(q.e, c.e) as bigint) as score
+  from v q join v c on q.vec_id % 100 = 0 and q.vec_id <> c.vec_id),
+r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
+select query_id, cast(rank as int) as rank, vec_id, score from r where rank <= 10
+"""
+
+
 def _op2_sql() -> str:
     rules = ", ".join(f"('{h}', '{p}', '{v}')" for v, h, p in URL_RULES)
     junk = ", ".join(f"'{s}.{x}'" for s in JUNK_SITES for x in JUNK_DOMAINS)
@@ -124,7 +147,7 @@ from docs left join base using (k) left join own using (k)
 
 
 QUERIES = {
-    "op2_urls": op2_urls, "op4_bpe": op4_bpe, "op9_licenses": op9_licenses,
-    "op10_mixing": op10_mixing,
+    "op1_topk": op1_topk, "op2_urls": op2_urls, "op4_bpe": op4_bpe, "op7_forest": op7_forest,
+    "op9_licenses": op9_licenses, "op10_mixing": op10_mixing,
 }
-ORACLES = {"op2_urls": _op2_sql(), "op9_licenses": _op9_sql()}
+ORACLES = {"op1_topk": _OP1_SQL, "op2_urls": _op2_sql(), "op9_licenses": _op9_sql()}
