@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matrixq.llm import bpe, forest, licenses, mixing, topk, urls
+from matrixq.llm import bpe, forest, licenses, minhash, mixing, topk, urls
 from matrixq.llm.common import table, written
 
 #: Place of the vocabulary files of public tokenizers.
@@ -51,6 +51,10 @@ def op7_forest(spark: SparkSession, d: str) -> DataFrame:
     return forest.search(vectors, F.col("vec_id") % 20 == 0)
 
 
+def op8_minhash(spark: SparkSession, d: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, d, "documents", "doc_id", "text"), 85)
+
+
 def op9_licenses(spark: SparkSession, d: str) -> DataFrame:
     return licenses.scan(table(spark, d, "documents", "doc_id", "text")).drop("spans")
 
@@ -65,10 +69,10 @@ def op10_mixing(spark: SparkSession, d: str) -> DataFrame:
 
 _OP1_SQL = """
 with v as (
-  select vec_id, list_transform(embedding, x -> floor(1024 * cast(x as double))) as e
+  select vec_id, list_transform(embedding, lambda x: floor(1024 * cast(x as double))) as e
   from embeddings
   where vec_id is not null and embedding is not null
-    and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0),
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
 s as (select q.vec_id as query_id, c.vec_id, cast(list_dot_product(q.e, c.e) as bigint) as score
   from v q join v c on q.vec_id % 100 = 0 and q.vec_id <> c.vec_id),
 r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
@@ -76,6 +80,25 @@ select query_id, cast(rank as int) as rank, vec_id, score from r where rank <= 1
 """
 
 
+_OP8_SQL = """
+with recursive docs as (
+  select doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x20\\x09-\\x0D]+') as w from documents),
+sets as (select doc_id, list_distinct(case when len(w) = 0 then [] when len(w) < 5 then [w]
+    else list_transform(range(1, len(w) - 3), lambda i: w[i : i + 4]) end) as s from docs),
+each as (select doc_id, len(s) as n, unnest(s) as x from sets),
+pairs as (select a.doc_id as a, b.doc_id as b, a.n as na, b.n as nb, count(*) as shared
+  from each a join each b on a.x = b.x and a.doc_id <> b.doc_id group by all),
+links as (select a, b from pairs where 100 * shared >= 85 * (na + nb - shared)),
+walk as (select doc_id as a, doc_id as b from docs
+  union select walk.a, links.b from walk join links on walk.b = links.a),
+tops as (select a as doc_id, min(b) as component_id from walk group by a)
+select doc_id, cast(len(s) as bigint) as n_shingles, component_id, doc_id = component_id as kept
+from sets join tops using (doc_id)
+"""
+
+
 def _op2_sql() -> str:
     rules = ", ".join(f"('{h}', '{p}', '{v}')" for v, h, p in URL_RULES)
     junk = ", ".join(f"'{s}.{x}'" for s in JUNK_SITES for x in JUNK_DOMAINS)
@@ -148,6 +171,6 @@ from docs left join base using (k) left join own using (k)
 
 QUERIES = {
     "op1_topk": op1_topk, "op2_urls": op2_urls, "op4_bpe": op4_bpe, "op7_forest": op7_forest,
-    "op9_licenses": op9_licenses, "op10_mixing": op10_mixing,
+    "op8_minhash": op8_minhash, "op9_licenses": op9_licenses, "op10_mixing": op10_mixing,
 }
-ORACLES = {"op1_topk": _OP1_SQL, "op2_urls": _op2_sql(), "op9_licenses": _op9_sql()}
+ORACLES = {"op1_topk": _OP1_SQL, "op2_urls": _op2_sql(), "op8_minhash": _OP8_SQL, "op9_licenses": _op9_sql()}
