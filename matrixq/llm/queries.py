@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matrixq.llm import bpe, forest, licenses, minhash, mixing, topk, urls
+from matrixq.llm import bpe, forest, licenses, lines, minhash, mixing, topk, urls
 from matrixq.llm.common import table, written
 
 #: Place of the vocabulary files of public tokenizers.
@@ -46,6 +46,11 @@ def op4_bpe(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def op5_lines(spark: SparkSession, d: str) -> DataFrame:
+    left = lines.dedup(table(spark, d, "documents", "doc_id", "text"))
+    return left.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op7_forest(spark: SparkSession, d: str) -> DataFrame:
     vectors = table(spark, d, "embeddings", "vec_id", "embedding")
     return forest.search(vectors, F.col("vec_id") % 20 == 0)
@@ -80,6 +85,30 @@ select query_id, cast(rank as int) as rank, vec_id, score from r where rank <= 1
 """
 
 
+_OP5_SQL = f"""
+with docs as (select doc_id, coalesce(text, '') as text from documents),
+split as (select doc_id, string_split(text, chr(10)) as l from docs),
+pos as (select doc_id, l, unnest(range(1, len(l) + 1)) as place from split),
+each as (select doc_id, place, l[place] as line from pos where l[place] <> ''),
+firsts as (select line, min((doc_id, place)) as first, length(line) as n from each group by line),
+near as (
+  select distinct b.first
+  from firsts a join firsts b on a.first < b.first and a.n between b.n - 2 and b.n + 2
+  where least(a.n, b.n) >= {lines.CHARS_PER_EDIT}
+    and (left(a.line, a.n // 3) = left(b.line, a.n // 3)
+      or right(a.line, a.n // 3) = right(b.line, a.n // 3)
+      or contains(b.line, a.line[a.n // 3 + 1 : a.n - a.n // 3]))
+    and levenshtein(a.line, b.line)
+      <= least({lines.EDITS}, a.n // {lines.CHARS_PER_EDIT}, b.n // {lines.CHARS_PER_EDIT})),
+kept as (select e.doc_id, list(e.line order by e.place) as l
+  from each e join firsts f on e.line = f.line and f.first = (e.doc_id, e.place)
+  where f.first not in (select first from near) group by e.doc_id)
+select d.doc_id, cast(len(list_filter(s.l, lambda x: x <> '')) as bigint) as n_lines,
+  cast(len(list_filter(s.l, lambda x: x <> '')) - len(coalesce(k.l, [])) as bigint) as n_removed,
+  sha256(case when len(list_filter(s.l, lambda x: x <> '')) = len(coalesce(k.l, [])) then d.text
+    else array_to_string(coalesce(k.l, []), chr(10)) end) as kept_sha256
+from docs d join split s using (doc_id) left join kept k using (doc_id)
+"""
 _OP8_SQL = """
 with recursive docs as (
   select doc_id, regexp_extract_all(
@@ -170,7 +199,8 @@ from docs left join base using (k) left join own using (k)
 
 
 QUERIES = {
-    "op1_topk": op1_topk, "op2_urls": op2_urls, "op4_bpe": op4_bpe, "op7_forest": op7_forest,
+    "op1_topk": op1_topk, "op2_urls": op2_urls, "op4_bpe": op4_bpe, "op5_lines": op5_lines,
+    "op7_forest": op7_forest,
     "op8_minhash": op8_minhash, "op9_licenses": op9_licenses, "op10_mixing": op10_mixing,
 }
-ORACLES = {"op1_topk": _OP1_SQL, "op2_urls": _op2_sql(), "op8_minhash": _OP8_SQL, "op9_licenses": _op9_sql()}
+ORACLES = {"op1_topk": _OP1_SQL, "op2_urls": _op2_sql(), "op5_lines": _OP5_SQL, "op8_minhash": _OP8_SQL, "op9_licenses": _op9_sql()}
