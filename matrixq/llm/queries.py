@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matrixq.llm import bpe, forest, licenses, lines, minhash, mixing, topk, urls
+from matrixq.llm import bpe, forest, licenses, lines, minhash, mixing, topk, toxicity, urls
 from matrixq.llm.common import table, written
 
 #: Place of the vocabulary files of public tokenizers.
@@ -51,6 +51,21 @@ def op5_lines(spark: SparkSession, d: str) -> DataFrame:
     return left.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def toxicity_model(spark: SparkSession, docs: DataFrame, d: str) -> toxicity.Model:
+    """Learned from the labels of rows that are not held out."""
+    labels = table(spark, d, "labels", "doc_id", "toxic")
+    return toxicity.learn(docs, labels.where(~toxicity.held_out(F.col("doc_id"))))
+
+
+def op6_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents", "doc_id", "text")
+    scored = toxicity.score(docs, toxicity_model(spark, docs, d))
+    return scored.select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op7_forest(spark: SparkSession, d: str) -> DataFrame:
     vectors = table(spark, d, "embeddings", "vec_id", "embedding")
     return forest.search(vectors, F.col("vec_id") % 20 == 0)
@@ -200,6 +215,7 @@ from docs left join base using (k) left join own using (k)
 
 QUERIES = {
     "op1_topk": op1_topk, "op2_urls": op2_urls, "op4_bpe": op4_bpe, "op5_lines": op5_lines,
+    "op6_toxicity": op6_toxicity,
     "op7_forest": op7_forest,
     "op8_minhash": op8_minhash, "op9_licenses": op9_licenses, "op10_mixing": op10_mixing,
 }
