@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matrixq.llm import bpe, forest, licenses, lines, minhash, mixing, topk, toxicity, urls
+from matrixq.llm import bpe, forest, licenses, lines, minhash, mixing, suffixes, topk, toxicity, urls
 from matrixq.llm.common import table, written
 
 #: Place of the vocabulary files of public tokenizers.
@@ -37,6 +37,13 @@ def op2_urls(spark: SparkSession, d: str) -> DataFrame:
     return urls.judge(pages, entries).drop("url")
 
 
+def op3_suffixes(spark: SparkSession, d: str) -> DataFrame:
+    left = suffixes.dedup(table(spark, d, "documents", "doc_id", "text"))
+    return left.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op4_bpe(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents", "doc_id", "text")
     done = bpe.encode(docs, WORD_TOKENIZER, decoded="decoded")
@@ -214,7 +221,7 @@ from docs left join base using (k) left join own using (k)
 
 
 QUERIES = {
-    "op1_topk": op1_topk, "op2_urls": op2_urls, "op4_bpe": op4_bpe, "op5_lines": op5_lines,
+    "op1_topk": op1_topk, "op2_urls": op2_urls, "op3_suffixes": op3_suffixes, "op4_bpe": op4_bpe, "op5_lines": op5_lines,
     "op6_toxicity": op6_toxicity,
     "op7_forest": op7_forest,
     "op8_minhash": op8_minhash, "op9_licenses": op9_licenses, "op10_mixing": op10_mixing,
