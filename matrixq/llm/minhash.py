@@ -360,23 +360,29 @@ def _link_large(large: DataFrame, percent: int) -> DataFrame:
 
 def near_duplicates(df: DataFrame, percent: int, key: str = "doc_id", text: str = "text",
                     width: int = 5) -> DataFrame:
-    """Adds ``n_shingles``, ``component_id`` and ``kept``; two texts are linked if their sets of
-    ``width``-word shingles have at least ``percent`` hundredths of their union in common.
+    """Adds ``n_shingles``, ``component_id``, ``kept`` and ``first``; two texts are linked if their
+    sets of ``width``-word shingles have at least ``percent`` hundredths of their union in common.
+    Exactly one row of a component is ``first``, also where rows repeat their id.
 
     The added columns replace any of the same name. ``text`` is not returned.
     """
-    names = ("n_shingles", "component_id", "kept")
+    names = ("n_shingles", "component_id", "kept", "first")
     kept = [c for c in df.columns if c not in (*names, text)]
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     rows = written(
         df.select(*[F.col(f"`{c}`") for c in kept], F.xxhash64(body).alias("__hash"),
                   _sketches(width)(body).alias("__s"))
-        .select("*", "__s.n", "__s.node", "__s.signature", "__s.bands").drop("__s"), "sketches",
+        .select("*", "__s.n", "__s.node", "__s.signature", "__s.bands",
+                F.monotonically_increasing_id().alias("__place")).drop("__s"), "sketches",
+    )
+    order = F.struct(  # rows without id come last
+        F.col(f"`{key}`").isNull().alias("no_id"), F.col(f"`{key}`").alias("id"),
+        F.col("__place").alias("place"),
     )
     # One class per set: copies are counted together before anything is joined.
     classes = written(
         rows.where("n > 0").groupBy("node").agg(
-            F.min(f"`{key}`").alias("least"), F.min("__hash").alias("hash"), F.min("n").alias("n"),
+            F.min(order).alias("least"), F.min("__hash").alias("hash"), F.min("n").alias("n"),
             F.min("signature").alias("signature"), F.min("bands").alias("bands"),
         ), "classes",
     )
@@ -413,12 +419,13 @@ def near_duplicates(df: DataFrame, percent: int, key: str = "doc_id", text: str
     named = classes.select("node", "least").join(groups, "node", "left").select(
         "node", "least", F.coalesce("component", "node").alias("component")
     )
-    tops = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    found = named.join(tops, "component").select("node", "component_id")
-    own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col(f"`{key}`"))
+    tops = named.groupBy("component").agg(F.min("least").alias("top"))
+    found = named.join(tops, "component").select("node", "top")
+    own = F.when(F.col("n") > 0, F.col("top.id")).otherwise(F.col(f"`{key}`"))
+    first = (F.col("n") == 0) | (F.col("top.place") == F.col("__place"))
     return (
         rows.join(found, "node", "left")
         .withColumn("component_id", own)
         .select(*[F.col(f"`{c}`") for c in kept], F.col("n").alias("n_shingles"), "component_id",
-                F.col(f"`{key}`").eqNullSafe(F.col("component_id")).alias("kept"))
+                F.col(f"`{key}`").eqNullSafe(F.col("component_id")).alias("kept"), first.alias("first"))
     )

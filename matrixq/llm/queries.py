@@ -79,7 +79,8 @@ def op7_forest(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op8_minhash(spark: SparkSession, d: str) -> DataFrame:
-    return minhash.near_duplicates(table(spark, d, "documents", "doc_id", "text"), 85)
+    docs = table(spark, d, "documents", "doc_id", "text")
+    return minhash.near_duplicates(docs, 85).drop("first")
 
 
 def op9_licenses(spark: SparkSession, d: str) -> DataFrame:
