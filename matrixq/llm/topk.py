@@ -32,9 +32,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 cloudpickle.register_pickle_by_value(blocks)
 
 #: Quantised values of a term.
-LEVELS = 8
+LEVELS = 64
 #: Shares of the postings after which the proof is tried.
-TRIALS = (0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0)
+TRIALS = (0.5, 0.7, 0.85, 1.0)
 #: Rows that may be left for exact scoring when work stops early, as a share of the block.
 LEFT = 1 / 64
 LARGEST = 1 << 24
@@ -49,23 +49,18 @@ class ImpactIndex:
         least, most = vectors.min(0), vectors.max(0)
         step = (most - least) // LEVELS + 1
         self.level = ((vectors - least) // step).astype(np.int8)
-        self.rows, term, low, high = [], [], [], []
-        for t in range(width):
-            order = np.argsort(self.level[:, t], kind="stable")
-            starts = np.flatnonzero(np.diff(self.level[order, t], prepend=-1))
-            for rows in np.split(order, starts[1:]):
-                values = vectors[rows, t]
-                self.rows.append(rows)
-                term.append(t)
-                low.append(values.min())
-                high.append(values.max())
-        self.term = np.array(term)
-        self.low, self.high = np.array(low, np.int64), np.array(high, np.int64)
-        self.sizes = np.array([len(r) for r in self.rows])
-        self.of_level = np.full((width, LEVELS + 1), -1)
-        self.of_level[self.term, [self.level[r[0], t] for r, t in zip(self.rows, term)]] = (
-            np.arange(len(term))
-        )
+        order = np.argsort(self.level, axis=0, kind="stable")
+        levels = np.take_along_axis(self.level, order, 0).T.ravel()
+        values = np.take_along_axis(vectors, order, 0).T.ravel()
+        self.rows = order.T.ravel()  # all postings, term by term, by level
+        terms = np.repeat(np.arange(width), n)
+        self.begin = np.flatnonzero(np.diff(levels.astype(np.int64) + terms * LEVELS, prepend=-1))
+        self.sizes = np.diff(self.begin, append=len(levels))
+        self.term = terms[self.begin]
+        self.low = np.minimum.reduceat(values, self.begin)
+        self.high = np.maximum.reduceat(values, self.begin)
+        self.of_level = np.full((width, LEVELS), -1)
+        self.of_level[self.term, levels[self.begin]] = np.arange(len(self.begin))
         self.first = np.flatnonzero(np.diff(self.term, prepend=-1))
 
     def best(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -77,30 +72,42 @@ class ImpactIndex:
         order = np.lexsort((ids, -scores))[:k]
         return ids[order], scores[order]
 
+    def add(self, score: np.ndarray, segments: np.ndarray, impact: np.ndarray) -> None:
+        """Adds the impacts of some segments to the scores of their rows."""
+        sizes = self.sizes[segments]
+        ends = np.cumsum(sizes)
+        places = np.arange(ends[-1]) + np.repeat(self.begin[segments] - ends + sizes, sizes)
+        score += np.bincount(
+            self.rows[places], np.repeat(impact[segments], sizes), minlength=len(score)
+        )
+
     def possible(self, query: np.ndarray, k: int, free: np.ndarray) -> np.ndarray:
         """The rows of ``free`` that may be among its k best."""
         weight = query[self.term]
         ends = weight * self.low, weight * self.high
         top, bottom = np.maximum(*ends), np.minimum(*ends)
         floor = np.minimum.reduceat(bottom, self.first)[self.term]
-        impact = top - floor
-        slack = int(np.maximum.reduceat(top - bottom, self.first).sum())
+        impact = (top - floor).astype(np.float64)
+        total = float(np.maximum.reduceat(impact, self.first).sum())
+        # What a row has may be too much by the widths of its segments, and by rounding.
+        slack = float(np.maximum.reduceat(top - bottom, self.first).sum()) + 1e-9 * total
         order = np.argsort(-impact, kind="stable")
         posted = np.cumsum(self.sizes[order])
         trials = np.searchsorted(posted, np.array(TRIALS) * posted[-1])
-        score = np.zeros(len(self.ids), np.int64)
+        score = np.zeros(len(self.ids))
         done, limit = 0, max(4 * k, int(len(free) * LEFT))
         pending = impact.copy()
         for stop in np.minimum(trials, len(order) - 1) + 1:
-            for s in order[done:stop].tolist():
-                score[self.rows[s]] += impact[s]
+            if stop == done:
+                continue
+            self.add(score, order[done:stop], impact)
             pending[order[done:stop]] = -1
             done = stop
             rest = np.maximum(np.maximum.reduceat(pending, self.first), 0)
             reached = score[free]
             bound = np.partition(reached, len(reached) - k)[len(reached) - k] - slack
             near = free[reached + rest.sum() >= bound]
-            if len(near) > limit and done < len(order):
+            if limit < len(near) <= 8 * limit and done < len(order):
                 # What a row can still gain, term by term: nothing where it has been met.
                 gain = np.where(pending[self.of_level] >= 0, rest[:, None], 0)
                 more = gain[np.arange(len(rest)), self.level[near]].sum(1)
