@@ -5,6 +5,7 @@ from matrixq.operators.aggregates import (
     column_map,
     column_sums,
     distinct_indexes,
+    index_range,
     infer_dims,
     info,
     is_empty,
@@ -49,6 +50,7 @@ __all__ = [
     "from_blocks",
     "from_dense_rows",
     "gram",
+    "index_range",
     "infer_dims",
     "info",
     "is_empty",

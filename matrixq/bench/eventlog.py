@@ -42,7 +42,8 @@ def group_metrics(log: DataFrame, cores: int) -> DataFrame:
     ``seconds`` from the first submission to the last completion of its jobs, ``task_seconds``
     and ``cpu_seconds`` summed over its tasks, ``cpu_use`` as the share of ``cores`` that was
     busy meanwhile, ``shuffle_read`` and ``shuffle_write`` in bytes. Tasks are summed per stage
-    before they meet the name of the stage's group.
+    before they meet the name of the stage's group. A group of jobs that have not ended, or have no
+    tasks, has nulls in the columns that are not known.
     """
     job, stage, attempt = (F.col(f"e.`{name} ID`") for name in ("Job", "Stage", "Stage Attempt"))
     group = F.coalesce(F.element_at("e.Properties", F.lit(GROUP_PROPERTY)), F.lit(""))
@@ -53,7 +54,7 @@ def group_metrics(log: DataFrame, cores: int) -> DataFrame:
     ends = _events(log, "SparkListenerJobEnd").select(
         "app", job.alias("job"), F.col("e.`Completion Time`").alias("completed")
     )
-    spans = starts.join(ends, ["app", "job"]).groupBy("app", "job_group").agg(
+    spans = starts.join(ends, ["app", "job"], "left").groupBy("app", "job_group").agg(
         F.count("*").alias("jobs"),
         ((F.max("completed") - F.min("submitted")) / 1000).alias("seconds"),
     )
@@ -85,7 +86,7 @@ def group_metrics(log: DataFrame, cores: int) -> DataFrame:
         F.sum("written_bytes").alias("shuffle_write"),
     )
     cpu_use = F.try_divide(F.col("cpu_seconds"), F.col("seconds") * cores)
-    return spans.join(work, ["app", "job_group"]).withColumn("cpu_use", cpu_use)
+    return spans.join(work, ["app", "job_group"], "left").withColumn("cpu_use", cpu_use)
 
 
 def _events(log: DataFrame, name: str) -> DataFrame:

@@ -11,6 +11,10 @@ PART_SUPPLIER = """PS as (
 ORDER_SUPPLIER = """OS as (
     select l_orderkey i, l_suppkey j, cast(sum(l_quantity) as bigint) v
     from lineitem group by 1, 2)"""
+TAX_LESS_DISCOUNT = """TD as (
+    select l_partkey i, l_suppkey j, cast(sum(
+        cast(round(l_tax * 100) as bigint) - cast(round(l_discount * 100) as bigint)) as bigint) v
+    from lineitem group by 1, 2)"""
 PART_SIZE = """PF as (
     select p_partkey i, cast(p_size % 10 as bigint) j, cast(p_size as bigint) v from part)"""
 VECTORS = """E as (
@@ -57,12 +61,6 @@ def oracle() -> dict[str, str]:
 
     tenths = "cast(round(cast(trim(p[3]) as double) * 10) as bigint) tenths"
     whole_cells = f"select cast(trim(p[1]) as bigint) i, cast(trim(p[2]) as bigint) j, {tenths} from P"
-    found = """
-        , C as (select a.i i, b.j j, cast(sum(a.v * b.v) as bigint) v
-                from OP a join PF b on a.j = b.i group by 1, 2)
-        select 'orders_by_size' workload, s.strategy, count(*) nnz, cast(sum(v) as bigint) total,
-            true agrees
-        from C, (values ('join'), ('broadcast'), ('copartition')) s(strategy) group by 2"""
     return {
         "mm_join": _with(ORDER_PART, PART_SUPPLIER) + _product("OP", "PS"),
         "mm_gram_join": _with(ORDER_PART) + _gram("OP"),
@@ -72,9 +70,22 @@ def oracle() -> dict[str, str]:
         "mm_bucketed": _with(ORDER_PART, ORDER_SUPPLIER)
         + "select a.j i, b.j j, cast(sum(a.v * b.v) as bigint) v "
         "from OS a join OP b on a.i = b.i group by 1, 2",
-        "mm_block": _with(VECTORS, CLASS_SUMS)
-        + f"select * from ({_product('E', 'S')}) where v <> 0",
-        "mm_aat_block": _with(VECTORS) + f"select * from ({_gram('E')}) where v <> 0",
+        "mm_block": _with(VECTORS, CLASS_SUMS) + _product("E", "S"),
+        "mm_component_gram_block": _with(VECTORS) + _gram("E"),
+        "mm_block_tiles": _with(PART_SUPPLIER) + _gram("PS"),
+        "mm_gram_block_tiles": _with(PART_SUPPLIER) + _gram("PS"),
+        "mm_hot": """
+            with A as (select l_orderkey i, l_linenumber j, sum(cast(l_quantity as bigint)) v
+                from lineitem group by 1, 2),
+            B as (select l_linenumber i, cast(l_quantity as bigint) j, count(*) v from lineitem group by 1, 2)
+            select a.i, b.j, cast(sum(a.v * b.v) as bigint) v from A a join B b on a.j = b.i group by 1, 2""",
+        "mm_auto_join": _with(ORDER_PART, PART_SUPPLIER) + _product("OP", "PS"),
+        "mm_auto_column_heavy": _with(ORDER_PART, PART_SUPPLIER)
+        + "select a.j i, b.i j, cast(sum(a.v * b.v) as bigint) v "
+        "from PS a join OP b on a.i = b.j group by 1, 2",
+        "mm_cancelled": _with(TAX_LESS_DISCOUNT) + _gram("TD"),
+        "mm_cancelled_dropped": _with(TAX_LESS_DISCOUNT)
+        + f"select * from ({_gram('TD')}) where v <> 0",
         "mm_auto": _with(ORDER_PART, PART_SUPPLIER) + _product("OP", "PS"),
         "mm_matvec": _with(
             ORDER_PART,
@@ -114,6 +125,8 @@ def oracle() -> dict[str, str]:
         "info": _with(ORDER_PART)
         + "select max(i) + 1 n_rows, max(j) + 1 n_cols, count(*) nnz, "
         "count(*) / (cast(max(i) + 1 as double) * (max(j) + 1)) density from OP",
+        "index_range": _with(ORDER_PART)
+        + "select min(i) min_i, max(i) max_i, min(j) min_j, max(j) max_j from OP",
         "nnz": _with(ORDER_PART) + "select count(*) nnz from OP",
         "total": "select cast(sum(cast(l_quantity as bigint)) as bigint) total from lineitem",
         "row_sums": _with(PART_SUPPLIER)
@@ -152,6 +165,7 @@ def oracle() -> dict[str, str]:
         + "select cast(sum(length(cast(i as varchar)) + length(cast(j as varchar)) "
         "+ length(cast(v as varchar)) + 3) as bigint) size_bytes from OP",
         "dense_line_reshape": _with(VECTORS) + "select * from E",
+        "dense_line_counted": _with(VECTORS) + "select * from E",
         "parse_permissive": _with(_lines(PERMISSIVE_LINES))
         + """, N as (select round_even(try_cast(trim(p[1]) as double), 0) i,
                 round_even(try_cast(trim(p[2]) as double), 0) j,
@@ -171,19 +185,4 @@ def oracle() -> dict[str, str]:
             p as (select n, lo + cast('0x' || substr(x, 1, 12) as bigint) % (hi - lo) cell,
                 cast('0x' || substr(x, 13, 8) as bigint) % 9 + 1 v from b)
             select cell // n i, cell % n j, v from p""",
-        "bench_agreement": _with(ORDER_PART, PART_SIZE) + found.strip().lstrip(),
-        "eventlog_metrics": """
-            with spans as (
-                select 'nation-' || s_nationkey job_group, count(*) jobs,
-                    cast(max(s_suppkey) * 1000 + 1500 - min(s_suppkey) * 1000 as bigint) ms
-                from supplier group by 1),
-            work as (
-                select 'nation-' || s_nationkey job_group, count(*) tasks,
-                    cast(sum(l_quantity) as bigint) task_ms,
-                    cast(sum(l_quantity) * 500 as bigint) cpu_us,
-                    cast(sum(l_partkey + l_linenumber) as bigint) shuffle_read,
-                    cast(sum(l_partkey) as bigint) shuffle_write
-                from lineitem join supplier on l_suppkey = s_suppkey group by 1)
-            select job_group, jobs, tasks, ms, task_ms, cpu_us, shuffle_read, shuffle_write
-            from spans join work using (job_group)""",
     }

@@ -8,8 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import matrixq as mq
-from matrixq.bench.eventlog import group_metrics
-from matrixq.bench.runs import compare_runs, run_strategies
 from matrixq.catalog import tables as t
 from matrixq.plans.stats import key_work, product_counts
 from matrixq.session import scratch_path
@@ -48,7 +46,11 @@ def mm_bucketed(spark: SparkSession, d: str) -> DataFrame:
     prepared = mq.copartition(t.order_supplier(spark, d).T, t.order_part(spark, d))
     name = f"matrixq_{uuid.uuid4().hex}"
     write_prepared(prepared, name, scratch_path(spark, name))
-    return mq.multiply_prepared(read_prepared(spark, name, prepared)).cells
+    laid_out = read_prepared(spark, name, prepared)
+    product = mq.multiply_prepared(laid_out).cells
+    for side in ("left", "right"):  # the plan has their files; the names are not needed further
+        spark.sql(f"drop table {name}_{side}")
+    return product
 
 
 def mm_block(spark: SparkSession, d: str) -> DataFrame:
@@ -56,10 +58,58 @@ def mm_block(spark: SparkSession, d: str) -> DataFrame:
     return mq.matmul(e, _class_sums(spark, d), "block").cells
 
 
-def mm_aat_block(spark: SparkSession, d: str) -> DataFrame:
+def mm_component_gram_block(spark: SparkSession, d: str) -> DataFrame:
+    """How the components of all vectors go together, 64 x 64."""
     return mq.gram(t.vectors(spark, d).T, of="rows", strategy="block").cells
 
 
+def mm_block_tiles(spark: SparkSession, d: str) -> DataFrame:
+    """Suppliers by the parts they share: several tiles down and across, and several layers."""
+    m = t.part_supplier(spark, d)
+    return mq.matmul(m.T, m, "block", block=32).cells
+
+
+def mm_gram_block_tiles(spark: SparkSession, d: str) -> DataFrame:
+    return mq.gram(t.part_supplier(spark, d), strategy="block", block=32).cells
+
+
+def _flag_by_line(spark: SparkSession, d: str) -> tuple[mq.Matrix, mq.Matrix]:
+    """Orders by line number, and line numbers by quantity: seven inner indexes hold all cells."""
+    rows = t.table(spark, d, "lineitem")
+    quantity = F.col("l_quantity").cast("bigint")
+    left = mq.Matrix.of(rows.select("l_orderkey", "l_linenumber", quantity.alias("v")),
+                        i="l_orderkey", j="l_linenumber")
+    right = mq.Matrix.of(rows.select("l_linenumber", quantity.alias("q"), F.lit(1).cast("bigint").alias("v")),
+                         i="l_linenumber", j="q")
+    return left, right
+
+
+def mm_hot(spark: SparkSession, d: str) -> DataFrame:
+    """Seven inner indexes hold all cells, so each is split over several tasks."""
+    return mq.matmul(*_flag_by_line(spark, d), "join", work_floor=10_000).cells
+
+
+def mm_auto_join(spark: SparkSession, d: str) -> DataFrame:
+    """``auto`` where no side may be broadcast."""
+    return mq.matmul(t.order_part(spark, d), t.part_supplier(spark, d), broadcast_limit=0).cells
+
+
+def mm_auto_column_heavy(spark: SparkSession, d: str) -> DataFrame:
+    """The mirror of ``mm_auto``: suppliers by parts times parts by orders."""
+    return mq.matmul(t.part_supplier(spark, d).T, t.order_part(spark, d).T).cells
+
+
+def mm_cancelled(spark: SparkSession, d: str) -> DataFrame:
+    """A product in which cells cancel, by tiles: they stay as in every other plan."""
+    m = t.tax_less_discount(spark, d)
+    return mq.matmul(m.T, m, "block", block=32).cells
+
+
+def mm_cancelled_dropped(spark: SparkSession, d: str) -> DataFrame:
+    m = t.tax_less_discount(spark, d)
+    return mq.matmul(m.T, m, "join", keep_zeros=False).cells
+
+
 def mm_auto(spark: SparkSession, d: str) -> DataFrame:
     return mq.matmul(t.order_part(spark, d), t.part_supplier(spark, d)).cells
 
@@ -79,8 +129,7 @@ def _class_sums(spark: SparkSession, d: str) -> mq.Matrix:
 
 
 def mm_thin_right(spark: SparkSession, d: str) -> DataFrame:
-    c = mq.dense_rows_matmul(t.vector_rows(spark, d), _class_sums(spark, d))
-    return c.cells.withColumn("v", F.col("v").cast("bigint"))
+    return mq.dense_rows_matmul(t.vector_rows(spark, d), _class_sums(spark, d)).cells
 
 
 def mm_sum_rewrite(spark: SparkSession, d: str) -> DataFrame:
@@ -144,6 +193,10 @@ def info(spark: SparkSession, d: str) -> DataFrame:
     return mq.info(t.order_part(spark, d))
 
 
+def index_range(spark: SparkSession, d: str) -> DataFrame:
+    return mq.index_range(t.order_part(spark, d))
+
+
 def nnz(spark: SparkSession, d: str) -> DataFrame:
     return mq.nnz(t.order_part(spark, d))
 
@@ -256,6 +309,13 @@ def dense_line_reshape(spark: SparkSession, d: str) -> DataFrame:
     return read_dense_line(spark, path, *e.shape).cells.withColumn("v", F.col("v").cast("bigint"))
 
 
+def dense_line_counted(spark: SparkSession, d: str) -> DataFrame:
+    """The same with the number of columns counted."""
+    e = mq.infer_dims(t.vectors(spark, d))
+    path = _written(spark, e, write_dense_line, "line")
+    return read_dense_line(spark, path, e.n_rows).cells.withColumn("v", F.col("v").cast("bigint"))
+
+
 def _line_forms(forms: dict[int, str]):
     """A line for each lineitem row, its form picked by the line number."""
     order, part = (F.col(c).cast("string") for c in ("l_orderkey", "l_partkey"))
@@ -305,80 +365,17 @@ def generate_cells(spark: SparkSession, d: str) -> DataFrame:
     return generate(spark, n_rows, n_cols, 0.05, seed=7).cells
 
 
-# Benchmark jobs
-
-
-def bench_runs(spark: SparkSession, d: str) -> DataFrame:
-    """Strategies timed against each other on one product."""
-    a, b = t.order_part(spark, d), t.part_size(spark, d)
-    runs = run_strategies(a, b, ("join", "broadcast", "copartition"), "orders_by_size")
-    return compare_runs(runs, "join")
-
-
-def bench_agreement(spark: SparkSession, d: str) -> DataFrame:
-    """The same without the times: what each strategy found."""
-    found = bench_runs(spark, d)
-    whole = F.col("total").cast("bigint").alias("total")
-    return found.select("workload", "strategy", "nnz", whole, "agrees")
-
-
-def eventlog_metrics(spark: SparkSession, d: str) -> DataFrame:
-    """Run metrics of a log in which each lineitem row is a task, each supplier a stage and
-    a job, and each nation of a supplier a job group."""
-    items = t.table(spark, d, "lineitem")
-    suppliers = t.table(spark, d, "supplier")
-    as_long = lambda c: F.col(c).cast("bigint")
-    group = F.create_map(
-        F.lit("spark.jobGroup.id"), F.concat(F.lit("nation-"), F.col("s_nationkey"))
-    )
-    event = lambda name, *fields: F.to_json(
-        F.struct(F.lit(f"SparkListener{name}").alias("Event"), *fields)
-    ).alias("value")
-    task = F.struct(
-        as_long("l_quantity").alias("Executor Run Time"),
-        (as_long("l_quantity") * 500_000).alias("Executor CPU Time"),
-        F.struct(
-            as_long("l_partkey").alias("Remote Bytes Read"),
-            as_long("l_linenumber").alias("Local Bytes Read"),
-        ).alias("Shuffle Read Metrics"),
-        F.struct(as_long("l_partkey").alias("Shuffle Bytes Written")).alias(
-            "Shuffle Write Metrics"
-        ),
-    )
-    first_attempt = F.lit(0).alias("Stage Attempt ID")
-    submitted = F.col("s_suppkey") * 1000
-    log = items.select(
-        event("TaskEnd", F.col("l_suppkey").alias("Stage ID"), first_attempt,
-              task.alias("Task Metrics"))
-    )
-    stage = F.struct(F.col("s_suppkey").alias("Stage ID"), first_attempt)
-    for one in (
-        event("StageSubmitted", stage.alias("Stage Info"), group.alias("Properties")),
-        event("JobStart", F.col("s_suppkey").alias("Job ID"),
-              submitted.alias("Submission Time"), group.alias("Properties")),
-        event("JobEnd", F.col("s_suppkey").alias("Job ID"),
-              (submitted + 1500).alias("Completion Time")),
-    ):
-        log = log.unionByName(suppliers.select(one))
-    metrics = group_metrics(log.withColumn("app", F.lit("app")), cores=4)
-    return metrics.select(
-        "job_group", "jobs", "tasks", F.round(F.col("seconds") * 1000).cast("bigint").alias("ms"),
-        F.round(F.col("task_seconds") * 1000).cast("bigint").alias("task_ms"),
-        F.round(F.col("cpu_seconds") * 1_000_000).cast("bigint").alias("cpu_us"),
-        "shuffle_read", "shuffle_write",
-    )
-
-
 QUERIES = {
     f.__name__: f
     for f in (
         mm_join, mm_gram_join, mm_gram_copartition, mm_supplier_gram, mm_broadcast, mm_bucketed,
-        mm_block, mm_aat_block, mm_auto, mm_matvec, mm_vecmat, mm_thin_right, mm_sum_rewrite,
+        mm_block, mm_component_gram_block, mm_block_tiles, mm_gram_block_tiles, mm_hot,
+        mm_auto_join, mm_auto_column_heavy, mm_cancelled, mm_cancelled_dropped, mm_auto, mm_matvec, mm_vecmat, mm_thin_right, mm_sum_rewrite,
         product_count, scale_columns, transpose, coalesce_sum, dedup_last, dedup_error,
-        drop_zeros, semi_filter, info, nnz, total, row_sums, column_sums, index_distinct,
+        drop_zeros, semi_filter, info, index_range, nnz, total, row_sums, column_sums, index_distinct,
         column_map, preview, preview_table, sample, dense_rows, dense_rows_roundtrip, blocks,
         block_roundtrip, coo_text_roundtrip, parquet_roundtrip, source_size, dense_line_reshape,
-        parse_permissive, parse_counted, parse_strict, generate_cells, bench_runs,
-        bench_agreement, eventlog_metrics,
+        dense_line_counted,
+        parse_permissive, parse_counted, parse_strict, generate_cells,
     )
 }

@@ -12,11 +12,13 @@ EXACT = float(2**53)
 TILE_KEYS = ["bi", "bj", "layer", "bk"]
 
 
-def tile_sums(block: int, edges: tuple[int, int, int], whole: bool):
+def tile_sums(block: int, edges: tuple[int, int, int], whole: bool, keep_zeros: bool):
     """The kernel: strips in tile order come in, the cells of finished tiles go out.
 
     ``edges``: rows, inner size and columns of a tile, ``block`` or less where the matrices are
     smaller. One tile of each factor and the sum are in memory at a time, three arrays in all.
+    ``keep_zeros``: a cell that some product went into is given out also where the sum is zero.
+    That takes three more arrays of half the size, which say where cells are and where they met.
     """
     dtype = np.int64 if whole else np.float64
     rows, inner, cols = edges
@@ -25,6 +27,10 @@ def tile_sums(block: int, edges: tuple[int, int, int], whole: bool):
         tiles = [np.zeros((rows, inner), dtype), np.zeros((inner, cols), dtype)]
         filled = [False, False]
         out = np.zeros((rows, cols), dtype)
+        masks = met = None
+        if keep_zeros:
+            masks = [np.zeros(tile.shape, np.float32) for tile in tiles]
+            met = np.zeros(out.shape, np.float32)
         at = None
         for batch in batches:
             keys = np.stack([batch.column(c).to_numpy() for c in (*TILE_KEYS, "side")], axis=1)
@@ -35,32 +41,40 @@ def tile_sums(block: int, edges: tuple[int, int, int], whole: bool):
                     continue
                 *key, side = keys[start].tolist()
                 if at is not None and key != at:
-                    _finish_pair(tiles, filled, out)
+                    _finish_pair(tiles, filled, out, masks, met)
                     if key[:2] != at[:2]:
-                        yield from _cells_of(out, at, block)
+                        yield from _cells_of(out, at, block, met)
                         out[:] = 0
+                        if keep_zeros:
+                            met[:] = 0
                 at = key
-                _unpack(batch.slice(start, stop - start), tiles[side])
+                _unpack(batch.slice(start, stop - start), tiles[side], masks and masks[side])
                 filled[side] = True
         if at is not None:
-            _finish_pair(tiles, filled, out)
-            yield from _cells_of(out, at, block)
+            _finish_pair(tiles, filled, out, masks, met)
+            yield from _cells_of(out, at, block, met)
 
     return run
 
 
-def _unpack(strips: pa.RecordBatch, tile: np.ndarray) -> None:
+def _unpack(strips: pa.RecordBatch, tile: np.ndarray, mask: np.ndarray | None) -> None:
     pos, val = strips.column("pos"), strips.column("val")
     line = np.repeat(strips.column("line").to_numpy(), np.diff(pos.offsets.to_numpy()))
-    tile[line, pos.flatten().to_numpy()] = val.flatten().to_numpy()
+    place = pos.flatten().to_numpy()
+    tile[line, place] = val.flatten().to_numpy()
+    if mask is not None:
+        mask[line, place] = 1
 
 
-def _finish_pair(tiles: list[np.ndarray], filled: list[bool], out: np.ndarray) -> None:
+def _finish_pair(tiles: list[np.ndarray], filled: list[bool], out: np.ndarray,
+                 masks: list[np.ndarray] | None, met: np.ndarray | None) -> None:
     """Add the product of the two tiles at hand and clear them."""
     if all(filled):
         left, right = tiles
+        if met is not None:
+            met += masks[0] @ masks[1]  # counts; none is lost, as all are whole and positive
         if out.dtype == np.int64:
-            _add_whole(left, right, out)
+            add_whole(left, right, out)
         elif np.isfinite(left).all() and np.isfinite(right).all():
             out += left @ right
         else:
@@ -68,6 +82,8 @@ def _finish_pair(tiles: list[np.ndarray], filled: list[bool], out: np.ndarray) -
     for s in (0, 1):
         if filled[s]:
             tiles[s][:] = 0
+            if masks is not None:
+                masks[s][:] = 0
             filled[s] = False
 
 
@@ -78,9 +94,10 @@ def _add_stored(left: np.ndarray, right: np.ndarray, out: np.ndarray) -> None:
         out[np.ix_(rows, cols)] += np.outer(left[rows, k], right[k, cols])
 
 
-def _add_whole(left: np.ndarray, right: np.ndarray, out: np.ndarray) -> None:
-    """Exact whole-number product: in doubles where no sum can leave their exact range,
-    else in 64-bit integers, and an error where even those could overflow."""
+def add_whole(left: np.ndarray, right: np.ndarray, out: np.ndarray) -> None:
+    """Exact whole-number product: in doubles where no sum can leave their exact range, else in
+    64-bit integers, or in whole numbers of any size where those could overflow on the way. A
+    sum that does not fit 64 bits is an error."""
     x, y = left.astype(np.float64), right.astype(np.float64)
     bound = np.abs(x).max() * np.abs(y).max() * left.shape[1]
     if bound >= EXACT:
@@ -90,14 +107,19 @@ def _add_whole(left: np.ndarray, right: np.ndarray, out: np.ndarray) -> None:
     elif bound < 2.0**62:
         product = left @ right
     else:
-        raise OverflowError("a product of whole numbers leaves the 64-bit range")
-    if float(np.abs(out).max()) + float(bound) >= 2.0**63:
-        raise OverflowError("a sum of whole numbers leaves the 64-bit range")
-    out += product
+        product = left.astype(object) @ right.astype(object)
+    if float(np.abs(out.astype(np.float64)).max()) + float(bound) >= 2.0**62:
+        total = out.astype(object) + product
+        if total.max() >= 2**63 or total.min() < -(2**63):
+            raise OverflowError("a sum of whole numbers leaves the 64-bit range")
+        out[:] = total.astype(np.int64)
+    else:
+        out += product
 
 
-def _cells_of(out: np.ndarray, at: list[int], block: int) -> Iterator[pa.RecordBatch]:
-    i, j = np.nonzero(out)
+def _cells_of(out: np.ndarray, at: list[int], block: int,
+              met: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+    i, j = np.nonzero(out if met is None else met)
     if len(i):
         yield pa.RecordBatch.from_arrays(
             [pa.array(i + at[0] * block), pa.array(j + at[1] * block), pa.array(out[i, j])],

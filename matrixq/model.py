@@ -20,6 +20,7 @@ class Matrix:
     ``n_rows`` / ``n_cols``: declared shape, ``None`` when unknown.
     ``unique``: no two rows share ``(i, j)``, so summing duplicates can be skipped.
     ``nnz``: an upper bound on the number of cells, where the caller knows one.
+    ``inferred_rows`` / ``inferred_cols``: that size was read off the cells, so it may be too small.
     """
 
     cells: DataFrame
@@ -27,6 +28,8 @@ class Matrix:
     n_cols: int | None = None
     unique: bool = False
     nnz: int | None = None
+    inferred_rows: bool = False
+    inferred_cols: bool = False
 
     @classmethod
     def of(cls, df: DataFrame, n_rows: int | None = None, n_cols: int | None = None, *,
@@ -80,6 +83,19 @@ class Matrix:
         return matmul(self, other)
 
 
+def within_shape(m: Matrix) -> Matrix:
+    """The same matrix; a cell outside of its declared shape fails the job that meets it.
+
+    The check is a filter, which stays whatever columns are read.
+    """
+    bounds = [f"{c} >= 0 and {c} < {n}" for c, n in (("i", m.n_rows), ("j", m.n_cols)) if n is not None]
+    if not bounds:
+        return m
+    where = F.concat_ws(" ", F.lit(f"outside of the shape {m.shape}: cell"), F.col("i"), F.col("j"))
+    inside = F.when(F.expr(" and ".join(bounds)), F.lit(True)).otherwise(F.raise_error(where))
+    return m.with_cells(m.cells.where(inside.cast("boolean")))
+
+
 def value_type_of(*matrices: Matrix) -> str:
     """``bigint`` when every operand holds whole numbers, else ``double``."""
     whole = (T.LongType, T.IntegerType, T.ShortType, T.ByteType)

@@ -38,9 +38,19 @@ def infer_dims(m: Matrix) -> Matrix:
         m,
         n_rows=seen[0] if m.n_rows is None else m.n_rows,
         n_cols=seen[1] if m.n_cols is None else m.n_cols,
+        inferred_rows=m.inferred_rows or m.n_rows is None,
+        inferred_cols=m.inferred_cols or m.n_cols is None,
     )
 
 
+def index_range(m: Matrix) -> DataFrame:
+    """One row ``(min_i, max_i, min_j, max_j)``, nulls for a matrix without cells."""
+    return m.cells.agg(*[
+        f(axis).alias(f"{name}_{axis}")
+        for axis in ("i", "j") for name, f in (("min", F.min), ("max", F.max))
+    ])
+
+
 def nnz(m: Matrix) -> DataFrame:
     """One row ``(nnz)``: the number of distinct cells."""
     return coalesce_cells(m).cells.agg(F.count("*").alias("nnz"))

@@ -34,8 +34,10 @@ cloudpickle.register_pickle_by_value(tile_kernel)
 
 
 def block_product(a: Matrix, b: Matrix, *, block: int | None = None, layers: int | None = None,
-                  symmetric: bool = False, seen: tuple[int, int, int] | None = None) -> Matrix:
-    """``A x B`` by tiles; cells that cancel to zero are dropped.
+                  symmetric: bool = False, seen: tuple[int, int, int] | None = None,
+                  keep_zeros: bool = True) -> Matrix:
+    """``A x B`` by tiles. Cells that cancel to zero stay, as in the other plans, unless
+    ``keep_zeros=False``, which saves the kernel a third of its work.
 
     With ``symmetric`` the result is known to equal its transpose, and only the tiles on and
     above the diagonal are computed. ``seen``: rows, inner size and columns that the cells are
@@ -74,11 +76,12 @@ def block_product(a: Matrix, b: Matrix, *, block: int | None = None, layers: int
     ).sortWithinPartitions(*TILE_KEYS, "side")
     inner = max(a.n_cols, b.n_rows)
     edges = tuple(max(1, min(block, extent)) for extent in (a.n_rows, inner, b.n_cols))
-    kernel = tile_sums(block, edges, value_type == "bigint")
+    kernel = tile_sums(block, edges, value_type == "bigint", keep_zeros)
     cells = arranged.mapInArrow(kernel, f"i bigint, j bigint, v {value_type}")
     if layers > 1:
         cells = cells.groupBy("i", "j").agg(F.sum("v").cast(value_type).alias("v"))
-        cells = cells.where("v <> 0")
+        if not keep_zeros:
+            cells = cells.where("v <> 0")
     if symmetric:
         cells = mirror(cells.where("i <= j"))
     return Matrix(cells, a.n_rows, b.n_cols, unique=True)

@@ -12,7 +12,10 @@ from matrixq.plans.skew import Sides, split_hot_keys
 
 def transpose(m: Matrix) -> Matrix:
     cells = m.cells.select(F.col("j").alias("i"), F.col("i").alias("j"), "v")
-    return m.with_cells(cells, n_rows=m.n_cols, n_cols=m.n_rows)
+    return m.with_cells(
+        cells, n_rows=m.n_cols, n_cols=m.n_rows,
+        inferred_rows=m.inferred_cols, inferred_cols=m.inferred_rows,
+    )
 
 
 def coalesce_cells(m: Matrix, on_duplicate: str = "sum", order_by: tuple[str, ...] = ()) -> Matrix:
@@ -38,7 +41,11 @@ def coalesce_cells(m: Matrix, on_duplicate: str = "sum", order_by: tuple[str, ..
         value = F.max_by("v", order)
     elif on_duplicate == "error":
         clash = F.concat_ws(" ", F.lit("duplicate cell"), F.col("i"), F.col("j"))
-        value = F.when(F.count("*") == 1, F.first("v")).otherwise(F.raise_error(clash))
+        alone = F.when(F.col("n") == 1, F.lit(True)).otherwise(F.raise_error(clash))
+        counted = m.cells.groupBy("i", "j").agg(F.first("v").alias("v"), F.count("*").alias("n"))
+        # A filter is kept even where nobody reads the values.
+        checked = counted.where(alone.cast("boolean")).select("i", "j", "v")
+        return m.with_cells(checked, unique=True)
     else:
         raise ValueError(f"on_duplicate must be sum, last or error, got {on_duplicate!r}")
     cells = m.cells.groupBy("i", "j").agg(value.alias("v"))

@@ -5,23 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matrixq.model import Matrix, value_type_of
+from matrixq.model import Matrix, value_type_of, within_shape
 from matrixq.operators.cells import coalesce_cells, transpose
 from matrixq.operators.product import pick_strategy, summed_product
 from matrixq.plans.limits import fits_broadcast
 from matrixq.plans.skew import Sides, deal_out, deal_out_lines, split_hot_keys_upper
+from matrixq.plans.stats import ProductStats
 
 
 STRATEGIES = ("auto", "join", "broadcast", "block")
 
 
 def gram(m: Matrix, of: str = "columns", strategy: str = "auto", *, block: int | None = None,
-         split_hot: bool = True) -> Matrix:
+         split_hot: bool = True, keep_zeros: bool = True, work_floor: int | None = None) -> Matrix:
     """``Mt x M`` for ``of='columns'``, ``M x Mt`` for ``of='rows'``.
 
     The result is symmetric: only the half ``i <= j`` is computed and then mirrored.
     ``auto``, ``join`` and ``broadcast`` run the counting job of ``matmul``; ``broadcast``
-    falls back to ``join`` if the matrix is too large for it.
+    falls back to ``join`` if the matrix is too large for it. Cancelled cells and ``work_floor``
+    are as in ``matmul``.
     """
     if of not in ("columns", "rows"):
         raise ValueError(f"of must be 'columns' or 'rows', got {of!r}")
@@ -29,6 +31,7 @@ def gram(m: Matrix, of: str = "columns", strategy: str = "auto", *, block: int |
         raise ValueError(f"strategy must be one of {STRATEGIES}, got {strategy!r}")
     if of == "rows":
         m = transpose(m)
+    m = within_shape(m)
     stats = None
     if strategy == "auto":
         strategy, stats = pick_strategy(transpose(m), m, block=block)
@@ -36,7 +39,14 @@ def gram(m: Matrix, of: str = "columns", strategy: str = "auto", *, block: int |
         from matrixq.operators.blocks import block_product
 
         seen = stats and stats.seen
-        return block_product(transpose(m), m, block=block, symmetric=True, seen=seen)
+        return block_product(transpose(m), m, block=block, symmetric=True, seen=seen,
+                             keep_zeros=keep_zeros)
+    c = _cell_gram(m, strategy, split_hot, stats, work_floor)
+    return c if keep_zeros else c.with_cells(c.cells.where("v <> 0"))
+
+
+def _cell_gram(m: Matrix, strategy: str, split_hot: bool, stats: ProductStats | None,
+               work_floor: int | None) -> Matrix:
     left, right = _left(coalesce_cells(m)), _right(coalesce_cells(m))
     raw = Sides(_left(m), _right(m), "x", "y", m.unique)
     if stats is None and (split_hot or strategy == "broadcast"):
@@ -49,7 +59,7 @@ def gram(m: Matrix, of: str = "columns", strategy: str = "auto", *, block: int |
         return Matrix(mirror(half), m.n_cols, m.n_cols, unique=True)
     keys = ["k"]
     if split_hot:
-        left, right, keys = split_hot_keys_upper(left, right, "x", "y", raw.hot_keys(stats))
+        left, right, keys = split_hot_keys_upper(left, right, "x", "y", raw.hot_keys(stats, work_floor))
     if stats is not None:
         left, right = deal_out(left, right, keys, stats)
     pairs = left.join(right, keys).where("part_l < part_r or x <= y" if len(keys) > 1 else "x <= y")

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matrixq.model import Matrix, value_type_of
+from matrixq.model import Matrix, value_type_of, within_shape
 from matrixq.operators.cells import coalesce_cells
 from matrixq.plans.choose import choose_strategy, default_block
 from matrixq.plans.limits import (
@@ -24,43 +25,64 @@ MIN_COPARTITIONS = 64
 
 
 def check_conformable(a: Matrix, b: Matrix) -> None:
-    """Declared inner sizes must agree. Runs no job; unknown sizes are not checked."""
-    if a.n_cols is not None and b.n_rows is not None and a.n_cols != b.n_rows:
-        raise ValueError(f"cannot multiply {a.shape} by {b.shape}: inner sizes differ")
+    """Declared inner sizes must agree. Runs no job; unknown sizes are not checked.
+
+    A size that was inferred from the cells is a lower bound only, so it is warned about.
+    """
+    if a.n_cols is None or b.n_rows is None or a.n_cols == b.n_rows:
+        return
+    sizes = f"{a.shape} by {b.shape}: inner sizes differ"
+    fits = (a.inferred_cols or a.n_cols > b.n_rows) and (b.inferred_rows or b.n_rows > a.n_cols)
+    if not fits:
+        raise ValueError(f"cannot multiply {sizes}")
+    warnings.warn(f"multiplying {sizes}, one of them was inferred from the cells", stacklevel=3)
 
 
 def matmul(a: Matrix, b: Matrix, strategy: str = "auto", *, block: int | None = None,
            num_partitions: int | None = None, split_hot: bool = True,
-           broadcast_limit: int = BROADCAST_LIMIT_BYTES) -> Matrix:
+           broadcast_limit: int = BROADCAST_LIMIT_BYTES, keep_zeros: bool = True,
+           work_floor: int | None = None) -> Matrix:
     """``A x B``; duplicate cells of the inputs add up.
 
+    The result is the same whatever the plan: a cell that some product went into stays if the sum
+    is zero, or is dropped with ``keep_zeros=False``. A cell outside of a declared shape fails the
+    job. ``work_floor``: products of one inner index from which it may be split.
+
     ``join``: both sides shuffled on the inner index. A job counts the cells per inner index
     first, and hot indexes are split; ``split_hot=False`` leaves that out.
     ``broadcast``: the side that fits ``broadcast_limit`` bytes is broadcast; if neither
     does, the product falls back to ``join``. Counts a side whose size is not declared.
     ``copartition``: both sides hash partitioned alike on the inner index, so the join adds no
     shuffle; see ``copartition`` to keep that layout for several products.
-    ``block``: tiles of ``block x block`` multiplied by a dense kernel; cells that cancel to
-    zero are dropped.
+    ``block``: tiles of ``block x block`` multiplied by a dense kernel.
     ``auto``: by size where a side is known to be small, else by one counting job.
     """
     check_conformable(a, b)
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}, got {strategy!r}")
+    a, b = within_shape(a), within_shape(b)
     stats = None
     if strategy == "auto":
         strategy, stats = pick_strategy(a, b, block=block, broadcast_limit=broadcast_limit)
     if strategy == "block":
         from matrixq.operators.blocks import block_product
 
-        return block_product(a, b, block=block, seen=stats and stats.seen)
+        return block_product(a, b, block=block, seen=stats and stats.seen, keep_zeros=keep_zeros)
+    c = _cell_product(a, b, strategy, num_partitions, split_hot, broadcast_limit, stats, work_floor)
+    return c if keep_zeros else c.with_cells(c.cells.where("v <> 0"))
+
+
+def _cell_product(a: Matrix, b: Matrix, strategy: str, num_partitions: int | None, split_hot: bool,
+                  broadcast_limit: int, stats: ProductStats | None,
+                  work_floor: int | None) -> Matrix:
     if strategy == "copartition":
-        return multiply_prepared(copartition(a, b, num_partitions, split_hot=split_hot))
+        prepared = copartition(a, b, num_partitions, split_hot=split_hot, work_floor=work_floor)
+        return multiply_prepared(prepared)
     if strategy == "broadcast":
         small = broadcast_side(a, b, broadcast_limit, stats)
         if small is not None:
             return _broadcast_product(a, b, small, stats)
-    left, right, keys, stats = _sides(a, b, split_hot, stats)
+    left, right, keys, stats = _sides(a, b, split_hot, stats, work_floor)
     if stats is not None:
         left, right = deal_out(left, right, keys, stats)
     return _sum_products(left.join(right, keys), a, b)
@@ -126,7 +148,8 @@ def _sum_products(pairs: DataFrame, a: Matrix, b: Matrix) -> Matrix:
     return Matrix(cells, a.n_rows, b.n_cols, unique=True)
 
 
-def _sides(a: Matrix, b: Matrix, split_hot: bool, stats: ProductStats | None):
+def _sides(a: Matrix, b: Matrix, split_hot: bool, stats: ProductStats | None,
+           work_floor: int | None = None):
     """Both factors keyed by the inner index, the columns to join them on, and the statistics,
     which are counted if hot indexes are to be split."""
     left = _left(coalesce_cells(a).cells)
@@ -135,7 +158,7 @@ def _sides(a: Matrix, b: Matrix, split_hot: bool, stats: ProductStats | None):
         return left, right, ["k"], stats
     raw = raw_sides(a, b)
     stats = stats or raw.stats()
-    return *split_hot_keys(left, right, "i", "j", raw.hot_keys(stats)), stats
+    return *split_hot_keys(left, right, "i", "j", raw.hot_keys(stats, work_floor)), stats
 
 
 def raw_sides(a: Matrix, b: Matrix) -> Sides:
@@ -188,14 +211,14 @@ class Prepared:
 
 
 def copartition(a: Matrix, b: Matrix, num_partitions: int | None = None, *,
-                split_hot: bool = True) -> Prepared:
+                split_hot: bool = True, work_floor: int | None = None) -> Prepared:
     """Both factors hash partitioned alike on the inner index, hot indexes split.
 
     Without ``num_partitions`` there are as many as cells and products call for, at least 64.
     Persist the result to use one layout for several products.
     """
     check_conformable(a, b)
-    left, right, keys, stats = _sides(a, b, split_hot, None)
+    left, right, keys, stats = _sides(within_shape(a), within_shape(b), split_hot, None, work_floor)
     if num_partitions is None:
         by_cells = -(-(stats.nnz_a + stats.nnz_b) // CELLS_PER_TASK) if stats else 0
         by_products = (stats.tasks() or 0) if stats else 0

@@ -6,56 +6,78 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from matrixq.model import Matrix
+from matrixq.functions import tile_kernel
+from matrixq.functions.tile_kernel import add_whole
+from matrixq.model import Matrix, value_type_of, within_shape
 from matrixq.operators.cells import coalesce_cells
-from matrixq.operators.product import matmul
+from matrixq.operators.product import check_conformable, matmul
 from matrixq.plans.limits import DENSE_FACTOR_LIMIT
 
+cloudpickle.register_pickle_by_value(tile_kernel)
+
 # Cells a task hands back at a time.
 OUTPUT_BATCH = 1_000_000
 
 
 def dense_rows_matmul(rows: DataFrame, b: Matrix, *, i: str = "i", vals: str = "vals",
                       n_rows: int | None = None) -> Matrix:
-    """Rows ``(i, vals)``, one per ``i``, times ``B``, as double cells, zeros kept.
+    """Rows ``(i, vals)``, one per ``i``, times ``B``: the cells that ``matmul`` gives, whole
+    numbers if both factors are whole, zeros kept in every column in which ``B`` has a cell.
 
     Each row is whole in its record, so nothing is shuffled: every task multiplies its rows by
     a copy of ``B``. That copy is taken only where the declared shape of ``B`` bounds it to
-    ``DENSE_FACTOR_LIMIT`` values; any larger ``B`` goes through ``matmul`` on cells.
+    ``DENSE_FACTOR_LIMIT`` values; any larger ``B`` goes through ``matmul`` on cells, with the
+    same result. A row of another length than ``B`` has rows fails the job.
     Reading the copy runs one job.
     """
-    if b.n_rows is None or b.n_cols is None or b.n_rows * b.n_cols > DENSE_FACTOR_LIMIT:
-        from matrixq.operators.convert import from_dense_rows
+    from matrixq.operators.convert import from_dense_rows
 
-        return matmul(from_dense_rows(rows, n_rows, b.n_rows, i=i, vals=vals), b)
-    factor = np.zeros((b.n_rows, b.n_cols))
-    cells = coalesce_cells(b).cells.select("i", "j", F.col("v").cast("double")).toArrow()
+    packed = rows.select(F.col(i).cast("bigint").alias("i"), F.col(vals).alias("vals"))
+    if b.n_rows is not None:
+        found = F.concat_ws(" ", F.lit(f"expected {b.n_rows} values in row"), F.col("i"),
+                            F.lit("and found"), F.size("vals"))
+        even = F.when(F.size("vals") == b.n_rows, F.lit(True)).otherwise(F.raise_error(found))
+        packed = packed.where(even.cast("boolean"))
+    left = from_dense_rows(packed, n_rows, b.n_rows)
+    if b.n_rows is None or b.n_cols is None or b.n_rows * b.n_cols > DENSE_FACTOR_LIMIT:
+        return matmul(left, b)
+    check_conformable(left, b)
+    value_type = value_type_of(left, b)
+    whole = value_type == "bigint"
+    factor = np.zeros((b.n_rows, b.n_cols), np.int64 if whole else np.float64)
+    cells = coalesce_cells(within_shape(b)).cells
+    cells = cells.select("i", "j", F.col("v").cast(value_type)).toArrow()
     factor[cells["i"].to_numpy(), cells["j"].to_numpy()] = cells["v"].to_numpy()
-    n_inner, n_cols = factor.shape
-
-    step = max(1, OUTPUT_BATCH // n_cols)
+    # A column without a cell has no products; the others have one for every row.
+    held = np.unique(cells["j"].to_numpy())
+    factor = factor[:, held]
+    step = max(1, OUTPUT_BATCH // max(1, len(held)))
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        columns = np.arange(n_cols, dtype=np.int64)
         for batch in batches:
-            for start in range(0, batch.num_rows, step):
+            for start in range(0, batch.num_rows if len(held) else 0, step):
                 part = batch.slice(start, step)
                 flat = part.column("vals").flatten().to_numpy(zero_copy_only=False)
-                out = flat.reshape(part.num_rows, n_inner) @ factor
+                dense = flat.reshape(part.num_rows, len(factor))
+                out = np.zeros((part.num_rows, len(held)), factor.dtype)
+                if whole:
+                    add_whole(dense, factor, out)
+                else:
+                    out += dense @ factor
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.repeat(part.column("i").to_numpy(), n_cols)),
-                        pa.array(np.tile(columns, part.num_rows)),
+                        pa.array(np.repeat(part.column("i").to_numpy(), len(held))),
+                        pa.array(np.tile(held, part.num_rows)),
                         pa.array(out.ravel()),
                     ],
                     names=["i", "j", "v"],
                 )
 
-    packed = rows.select(
-        F.col(i).cast("bigint").alias("i"), F.col(vals).cast("array<double>").alias("vals")
-    )
-    cells_out = packed.mapInArrow(multiply, "i bigint, j bigint, v double")
+    typed = packed.select("i", F.col("vals").cast(T.ArrayType(T.LongType() if whole else T.DoubleType())))
+    cells_out = typed.mapInArrow(multiply, f"i bigint, j bigint, v {value_type}")
     return Matrix(cells_out, n_rows, b.n_cols, unique=True)

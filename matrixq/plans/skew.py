@@ -45,8 +45,8 @@ class HotKey:
     share: int
 
 
-def work_limit(stats: ProductStats) -> float:
-    return max(float(WORK_FLOOR), stats.work / MAX_HOT)
+def work_limit(stats: ProductStats, floor: int | None = None) -> float:
+    return max(float(WORK_FLOOR if floor is None else floor), stats.work / MAX_HOT)
 
 
 @dataclass(frozen=True)
@@ -67,9 +67,9 @@ class Sides:
     def _work(self, left: DataFrame, right: DataFrame) -> DataFrame:
         return key_work(left, right, self.left_index, self.right_index)
 
-    def hot_keys(self, stats: ProductStats) -> list[HotKey]:
+    def hot_keys(self, stats: ProductStats, floor: int | None = None) -> list[HotKey]:
         """At most ``MAX_HOT`` keys. Runs jobs only if a key looks hot."""
-        limit = work_limit(stats)
+        limit = work_limit(stats, floor)
         if stats.top_work <= limit:
             return []
         work = self._work(self.left, self.right).where(F.col("work") > limit)

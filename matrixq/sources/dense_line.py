@@ -8,89 +8,105 @@ the file plus the count of values in the stretches before.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import warnings
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from matrixq.functions.parsing import to_number
 from matrixq.model import Matrix
 from matrixq.operators.convert import to_dense_rows
+from matrixq.session import scratch_path
 
 ON_BAD = ("error", "shift")
 
 
-def read_dense_line(spark: SparkSession, path: str, n_rows: int, n_cols: int, *,
+def read_dense_line(spark: SparkSession, path: str, n_rows: int, n_cols: int | None = None, *,
                     on_bad: str = "error", keep_zeros: bool = True) -> Matrix:
     """A matrix of ``n_rows x n_cols`` from one line, in one file or in the parts of a folder
-    in name order.
+    in name order. Without ``n_cols`` the values are counted and dealt out over the rows.
+
+    A job counts the values and checks them before the matrix is returned; the counts of the file
+    splits are kept in the shared folder.
 
-    ``on_bad='error'``: a value that is no number fails the job, and so does a second line or
-    a count of values other than ``n_rows * n_cols``.
-    ``on_bad='shift'``: values that are no numbers are left out, later ones move up, and a
-    count that does not match is accepted: extra values are cut off, missing cells are absent.
+    ``on_bad='error'``: a value that is no number, a second line, or a count of values other than
+    ``n_rows * n_cols`` (other than a multiple of ``n_rows``, if that is all that is known).
+    ``on_bad='shift'``: values that are no numbers are left out and later ones move up. A count
+    that does not match is warned about: extra values are cut off, missing cells are absent.
     """
     if on_bad not in ON_BAD:
         raise ValueError(f"on_bad must be one of {ON_BAD}, got {on_bad!r}")
-    values = _numbered(spark, path, skip_bad=on_bad == "shift")
+    shift = on_bad == "shift"
+    records = _records(spark, path, skip_bad=shift)
+    splits = scratch_path(spark, "splits")
+    records.groupBy("file", "start").agg(
+        F.count("*").alias("n"), F.min("place").alias("first"),
+        F.min_by("opens_line", "place").alias("opens"), F.sum(F.col("opens_line").cast("long")).alias("opened"),
+        F.max_by("closes_line", "place").alias("closes"), F.sum(F.col("closes_line").cast("long")).alias("closed"),
+        F.min("bad").alias("bad"), F.max("inside").alias("inside"),
+    ).write.parquet(splits)
+    stretches = spark.read.parquet(splits)
+    in_order = Window.orderBy("file", "start")
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    offsets = stretches.select(  # one row per file split: a table of the size of the file listing
+        "file", "start", (F.sum("n").over(so_far) - F.col("n") - F.col("first")).alias("shift")
+    )
+    seen = stretches.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("count"), F.min("bad").alias("bad"),
+        F.max("inside").alias("inside"),
+        F.coalesce(F.sum("opened"), F.lit(0)).alias("opened"),
+        F.coalesce(F.sum("closed"), F.lit(0)).alias("closed"),
+        F.min_by("opens", F.struct("file", "start")).alias("opens"),
+        F.max_by("closes", F.struct("file", "start")).alias("closes"),
+    ).first()
+    # A line may begin before the first value and end after the last one, nowhere else.
+    broken = seen["opened"] > bool(seen["opens"]) or seen["closed"] > bool(seen["closes"])
+    if broken or seen["inside"]:
+        raise ValueError(f"more than one line in {path}")
+    if seen["bad"] is not None and not shift:
+        raise ValueError(f"not a number: {seen['bad']!r} in {path}")
+    count = seen["count"]
+    if n_cols is None:
+        n_cols = count // n_rows if n_rows else 0
     area = n_rows * n_cols
-    if on_bad == "shift":
-        values = values.where(F.col("at") < area)
-    else:
-        found = F.concat(F.lit(f"expected {area} values, found "), F.col("count").cast("string"))
-        values = values.withColumn("at", _fail_when(F.col("count") != area, found, F.col("at")))
+    if count != area:
+        if not shift:
+            raise ValueError(f"expected {n_rows} x {n_cols} values, found {count} in {path}")
+        warnings.warn(f"{count} values for {n_rows} x {n_cols} cells in {path}", stacklevel=2)
+    at = (F.col("place") + F.col("shift")).alias("at")
+    values = records.join(offsets, ["file", "start"]).select(at, "v").where(F.col("at") < area)
+    width = max(1, n_cols)
     cells = values.select(
-        F.expr(f"at div {n_cols}").alias("i"), F.expr(f"at % {n_cols}").alias("j"), "v"
+        F.expr(f"at div {width}").alias("i"), F.expr(f"at % {width}").alias("j"), "v"
     )
     if not keep_zeros:
         cells = cells.where("v <> 0")
     return Matrix(cells, n_rows, n_cols, unique=True, nnz=area)
 
 
-def _numbered(spark: SparkSession, path: str, skip_bad: bool) -> DataFrame:
-    """Rows ``(at, count, v)``: place of the value, count of all values, value."""
+def _records(spark: SparkSession, path: str, skip_bad: bool) -> DataFrame:
+    """Rows ``(file, start, place, v, opens_line, closes_line, inside, bad)``: where a value stands,
+    the number, whether a line begins before it, ends behind it or inside of it, and its text if
+    it is no number."""
     text = F.regexp_replace("value", r"^\s+|\s+$", "")
-    number = to_number(text)
-    two_lines = F.lit("more than one line")
-    if skip_bad:
-        number = _fail_when(text.contains("\n"), two_lines, number)
-    else:
-        unread = F.concat(F.lit("not a number: "), F.col("value"))
-        why = F.when(text.contains("\n"), two_lines).otherwise(unread)
-        number = F.coalesce(number, F.raise_error(why))
+    inside = text.contains("\n")
     records = spark.read.option("lineSep", ",").text(path).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("start"),
         # Consecutive within a stretch, which one task reads from end to end.
         F.monotonically_increasing_id().alias("place"),
-        number.alias("v"),
+        to_number(text).alias("v"),
         F.col("value").rlike(r"^\s*\n").alias("opens_line"),
         F.col("value").rlike(r"\n\s*$").alias("closes_line"),
+        inside.alias("inside"), F.when(to_number(text).isNull(), F.col("value")).alias("bad"),
     )
     if skip_bad:
         # Only numbers take a place. The window holds one stretch, which is one file split.
         within = Window.partitionBy("file", "start").orderBy("place")
-        records = records.where("v is not null").withColumn(
+        records = records.where("v is not null or inside").withColumn(
             "place", F.row_number().over(within).cast("bigint")
         )
-    stretches = records.groupBy("file", "start").agg(
-        F.count("*").alias("n"), F.min("place").alias("first")
-    )
-    # One row per file split: a table of the size of the file listing.
-    in_order = Window.orderBy("file", "start")
-    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    offsets = stretches.select(
-        "file", "start", (F.sum("n").over(so_far) - F.col("n") - F.col("first")).alias("shift"),
-        F.sum("n").over(whole).alias("count"),
-    )
-    at = F.col("place") + F.col("shift")
-    broken = (F.col("opens_line") & (at > 0)) | (F.col("closes_line") & (at < F.col("count") - 1))
-    return records.join(F.broadcast(offsets), ["file", "start"]).select(
-        _fail_when(broken, two_lines, at).alias("at"), "count", "v"
-    )
-
-
-def _fail_when(condition: Column, message: Column, value: Column) -> Column:
-    return F.when(condition, F.raise_error(message)).otherwise(value)
+    return records
 
 
 def write_dense_line(m: Matrix, path: str, mode: str = "errorifexists") -> None:

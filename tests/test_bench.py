@@ -1,5 +1,7 @@
 """Timed runs, their comparison, and the metrics read back from the event log."""
 
+import json
+
 import pytest
 
 import matrixq as mq
@@ -36,8 +38,13 @@ def test_runs_agree_and_are_kept(spark, folder):
 
 
 def test_comparison_arithmetic(spark):
-    rows = [("w", "join", 1, 1, 1, 5.0, 8.0), ("w", "block", 1, 1, 1, 6.0, 2.0)]
-    names = "workload string, strategy string, n_rows long, n_cols long, nnz long, total double, seconds double"
+    rows = [("w", "join", 1, 1, 1, 5.0, 8.0, 7.0), ("w", "block", 1, 1, 1, 6.0, 2.0, 7.0),
+            ("w", "moved", 1, 1, 1, 5.0, 8.0, 9.0), ("w", "fuller", 1, 1, 2, 5.0, 8.0, 7.0),
+            ("w", "same", 1, 1, 1, 5.0, 8.0, 7.0)]
+    names = ("workload string, strategy string, n_rows long, n_cols long, nnz long, total double, "
+             "seconds double, fingerprint double")
+    agreed = {r["strategy"] for r in compare_runs(spark.createDataFrame(rows, names), "join").where("agrees").collect()}
+    assert agreed == {"join", "same"}
     found = compare_runs(spark.createDataFrame(rows, names), "join").where("strategy = 'block'").first()
     assert (found["saved_percent"], found["times_as_fast"], found["agrees"]) == (75.0, 4.0, False)
 
@@ -70,3 +77,19 @@ def test_run_workloads(spark, folder):
         (w, s) for w in "pq" for s in ("join", "auto")
     }
     assert compare_runs(kept, "join").where("not agrees").isEmpty()
+
+
+def test_groups_without_end_or_tasks_are_kept(spark):
+    def event(name, **fields):
+        return json.dumps({"Event": f"SparkListener{name}", **fields}, separators=(",", ":"))
+
+    properties = {"spark.jobGroup.id": "open"}
+    log = [
+        event("JobStart", **{"Job ID": 1, "Submission Time": 5, "Properties": properties}),
+        event("StageSubmitted", **{"Stage Info": {"Stage ID": 2, "Stage Attempt ID": 0}, "Properties": properties}),
+        event("TaskEnd", **{"Stage ID": 2, "Stage Attempt ID": 0, "Task Metrics": {"Executor Run Time": 9}}),
+        event("JobStart", **{"Job ID": 3, "Submission Time": 7, "Properties": {"spark.jobGroup.id": "idle"}}),
+    ]
+    rows = group_metrics(spark.createDataFrame([("a", x) for x in log], "app string, value string"), 4)
+    found = {r["job_group"]: (r["jobs"], r["seconds"], r["tasks"]) for r in rows.collect()}
+    assert found == {"open": (1, None, 1), "idle": (1, None, None)}

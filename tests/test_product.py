@@ -36,8 +36,53 @@ def test_duplicates_add_up_and_cancelled_cells(spark, strategy):
     c = mq.matmul(a, b, strategy)
     kept = {(0, 0): 0, (0, 1): 4, (1, 0): 5, (1, 1): 0}
     dropped = {(0, 1): 4, (1, 0): 5}
-    assert cells(c) == (dropped if strategy == "block" else kept)
+    assert cells(c) == kept
     assert cells(mq.drop_zeros(c)) == dropped
+    assert cells(mq.matmul(a, b, strategy, keep_zeros=False)) == dropped
+
+
+@pytest.mark.parametrize("block, layers", [(1, 1), (1, 2), (2, 1)])
+def test_cancelled_cells_over_tiles_and_layers(spark, block, layers):
+    from matrixq.operators.blocks import block_product
+
+    a = from_entries(spark, [(0, 0, 1), (0, 1, 1), (2, 1, 0)], 3, 2)
+    b = from_entries(spark, [(0, 0, 1), (1, 0, -1), (1, 1, 4)], 2, 2)
+    c = block_product(a, b, block=block, layers=layers)
+    assert cells(c) == {(0, 0): 0, (0, 1): 4, (2, 0): 0, (2, 1): 0}
+    gram = mq.gram(from_entries(spark, [(0, 0, 1), (0, 1, 1), (1, 0, 1), (1, 1, -1)], 2, 2), strategy="block", block=block)
+    assert cells(gram) == {(0, 0): 2, (0, 1): 0, (1, 0): 0, (1, 1): 2}
+
+
+@pytest.mark.parametrize("strategy", ALL_PLANS)
+def test_cell_outside_of_the_shape_is_an_error(spark, strategy):
+    outside = mq.Matrix(spark.createDataFrame([(0, 5, 1)], "i long, j long, v long"), 1, 2)
+    other = from_entries(spark, [(0, 0, 1), (1, 0, 1)], 2, 1)
+    with pytest.raises(Exception, match="outside of the shape"):
+        mq.nnz(mq.matmul(outside, other, strategy)).collect()
+
+
+def test_inferred_inner_sizes_are_warned_about(spark):
+    a = mq.infer_dims(mq.Matrix(from_entries(spark, [(0, 0, 1), (1, 1, 2)], 2, 3).cells))
+    b = mq.infer_dims(mq.Matrix(from_entries(spark, [(0, 0, 5), (2, 0, 7)], 3, 1).cells))
+    for strategy in ALL_PLANS:
+        with pytest.warns(UserWarning, match="inferred"):
+            assert cells(mq.matmul(a, b, strategy)) == {(0, 0): 5}
+    with pytest.raises(ValueError, match="inner sizes differ"):
+        mq.matmul(a, from_entries(spark, [(0, 0, 1)], 1, 1))
+
+
+def test_index_range(spark):
+    m = from_entries(spark, [(3, 1, 1), (7, 4, 1)], 9, 9)
+    assert tuple(mq.index_range(m).first()) == (3, 7, 1, 4)
+    assert tuple(mq.index_range(empty(spark, 2, 2)).first()) == (None,) * 4
+
+
+@pytest.mark.parametrize("strategy", ["join", "copartition"])
+def test_work_floor_splits_and_changes_nothing(pair, strategy):
+    a, b = pair
+    found = mq.matmul(a, b, strategy, work_floor=3)
+    assert np.array_equal(dense(found), dense(a) @ dense(b))
+    assert cells(mq.gram(a, strategy="join", work_floor=3)) == cells(mq.gram(a, strategy="join"))
 
 
 @pytest.mark.parametrize("strategy", ALL_PLANS)
@@ -110,6 +155,9 @@ def test_block_is_exact_beyond_doubles_and_fails_on_overflow(spark):
     a = from_entries(spark, [(0, 0, big), (0, 1, 3)], 1, 2)
     b = from_entries(spark, [(0, 0, 2**20 + 1), (1, 0, 5)], 2, 1)
     assert cells(mq.matmul(a, b, "block")) == {(0, 0): big * (2**20 + 1) + 15}
+    wide = from_entries(spark, [(0, 0, 3 * 2**61)], 1, 1)
+    for strategy in ("join", "block"):
+        assert cells(mq.matmul(wide, from_entries(spark, [(0, 0, 1)], 1, 1), strategy)) == {(0, 0): 3 * 2**61}
     huge = from_entries(spark, [(0, 0, 2**62), (1, 0, 2**62)], 2, 1)
     with pytest.raises(Exception, match="64-bit"):
         mq.matmul(huge, from_entries(spark, [(0, 0, 4)], 1, 1), "block").cells.collect()
@@ -172,10 +220,32 @@ def test_dense_rows_times_thin(spark, pair):
     rows = mq.to_dense_rows(a, all_rows=True)
     c = mq.dense_rows_matmul(rows, b, n_rows=40)
     assert np.array_equal(dense(c), dense(a) @ dense(b))
-    # Without a declared shape the factor is not known to be small.
+    # Without a declared shape the factor is not known to be small; the result is the same.
     undeclared = mq.dense_rows_matmul(rows, mq.Matrix(b.cells), n_rows=40)
-    expected = cells(mq.matmul(a, b))
-    assert cells(mq.drop_zeros(undeclared)) == cells(mq.drop_zeros(a @ b)) and expected
+    assert cells(undeclared) == cells(c)
+    assert undeclared.value_type == c.value_type
+
+
+def test_dense_rows_are_checked_and_exact(spark):
+    rows = spark.createDataFrame([(0, [1, 2]), (1, [3, 4, 5, 6])], "i long, vals array<long>")
+    thin = from_entries(spark, [(0, 0, 1), (1, 0, 10), (2, 0, 100)], 3, 1)
+    for factor in (thin, mq.Matrix(thin.cells, 3)):
+        with pytest.raises(Exception, match="expected 3 values in row"):
+            mq.nnz(mq.dense_rows_matmul(rows, factor)).collect()
+    big = spark.createDataFrame([(0, [2**53 + 1])], "i long, vals array<long>")
+    one = from_entries(spark, [(0, 0, 1)], 1, 2)
+    assert cells(mq.dense_rows_matmul(big, one)) == {(0, 0): 2**53 + 1}
+    assert cells(mq.dense_rows_matmul(big, empty(spark, 1, 0))) == {}
+
+
+def test_duplicate_error_cannot_be_pruned(spark):
+    m = mq.Matrix(spark.createDataFrame([(0, 0, 1), (0, 0, 2)], "i long, j long, v long"), 1, 1)
+    checked = mq.coalesce_cells(m, "error")
+    for read in (mq.nnz, mq.info, mq.distinct_indexes):
+        with pytest.raises(Exception, match="duplicate cell"):
+            read(checked).collect()
+    with pytest.raises(Exception, match="duplicate cell"):
+        checked.cells.count()
 
 
 def test_scale_columns(spark):

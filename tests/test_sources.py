@@ -121,16 +121,30 @@ def test_dense_line_bad_value(spark, folder):
 @pytest.mark.parametrize("on_bad", ["error", "shift"])
 @pytest.mark.parametrize("text", ["1,2\n3,4", "1,2,\n3,4", "1,2\n,3,4"])
 def test_dense_line_takes_one_line(spark, folder, text, on_bad):
-    with pytest.raises(Exception, match="more than one line|expected 4 values"):
+    with pytest.raises(Exception, match="more than one line|expected 2 x 2 values"):
         read_dense_line(spark, line_file(folder, text), 2, 2, on_bad=on_bad).cells.collect()
 
 
 def test_dense_line_wrong_count(spark, folder):
     path = line_file(folder, "1,2,3")
-    with pytest.raises(Exception, match="expected 4 values, found 3"):
+    with pytest.raises(Exception, match="expected 2 x 2 values, found 3"):
         read_dense_line(spark, path, 2, 2).cells.collect()
 
 
+def test_dense_line_checks_come_first(spark, folder):
+    for text in ("1,2,3", "", "1,2,x,4"):
+        with pytest.raises(ValueError):
+            read_dense_line(spark, line_file(folder, text), 2, 2)
+
+
+def test_dense_line_counts_columns(spark, folder):
+    m = read_dense_line(spark, line_file(folder, "1,2,3,4,5,6"), 2)
+    assert m.shape == (2, 3) and np.array_equal(dense(m), [[1, 2, 3], [4, 5, 6]])
+    with pytest.raises(ValueError, match="expected 4 x 1 values, found 6"):
+        read_dense_line(spark, line_file(folder, "1,2,3,4,5,6"), 4)
+
+
+@pytest.mark.filterwarnings("ignore:.*values for")
 @pytest.mark.parametrize("on_bad", ["error", "shift"])
 def test_dense_line_in_many_splits(spark, folder, on_bad):
     values = np.arange(6000) * 37 % 1009
