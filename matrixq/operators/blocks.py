@@ -71,6 +71,8 @@ def block_product(a: Matrix, b: Matrix, *, block: int | None = None, layers: int
 
     tasks = max(1, min(MAX_PARTITIONS, down * across * layers))
     place = (F.col("bi") * across + F.col("bj")) * layers + F.col("layer")
+    if down * across * layers > tasks:  # several to a task: not all of one column, as a rest would
+        place = F.xxhash64(place)
     arranged = sent.repartitionById(tasks, F.pmod(place, F.lit(tasks)).cast("int")).select(
         *TILE_KEYS, "side", "line", "pos", "val"
     ).sortWithinPartitions(*TILE_KEYS, "side")

@@ -24,7 +24,7 @@ ON_BAD = ("error", "shift")
 def read_dense_line(spark: SparkSession, path: str, n_rows: int, n_cols: int | None = None, *,
                     on_bad: str = "error", keep_zeros: bool = True) -> Matrix:
     """A matrix of ``n_rows x n_cols`` from one line, in one file or in the parts of a folder
-    in name order. Without ``n_cols`` the values are counted and dealt out over the rows.
+    in the order of their numbers. Without ``n_cols`` the values are counted and dealt out over the rows.
 
     A job counts the values and checks them before the matrix is returned; the counts of the file
     splits are kept in the shared folder.
@@ -46,7 +46,9 @@ def read_dense_line(spark: SparkSession, path: str, n_rows: int, n_cols: int | N
         F.min("bad").alias("bad"), F.max("inside").alias("inside"),
     ).write.parquet(splits)
     stretches = spark.read.parquet(splits)
-    in_order = Window.orderBy("file", "start")
+    # Parts are numbered in their names, which sort as text only up to 99,999.
+    number = F.expr(r"try_cast(regexp_extract(file, 'part-(\\d+)[^/]*$', 1) as bigint)")
+    in_order = Window.orderBy(number, "file", "start")
     so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offsets = stretches.select(  # one row per file split: a table of the size of the file listing
         "file", "start", (F.sum("n").over(so_far) - F.col("n") - F.col("first")).alias("shift")
@@ -56,8 +58,8 @@ def read_dense_line(spark: SparkSession, path: str, n_rows: int, n_cols: int | N
         F.max("inside").alias("inside"),
         F.coalesce(F.sum("opened"), F.lit(0)).alias("opened"),
         F.coalesce(F.sum("closed"), F.lit(0)).alias("closed"),
-        F.min_by("opens", F.struct("file", "start")).alias("opens"),
-        F.max_by("closes", F.struct("file", "start")).alias("closes"),
+        F.min_by("opens", F.struct(number, "file", "start")).alias("opens"),
+        F.max_by("closes", F.struct(number, "file", "start")).alias("closes"),
     ).first()
     # A line may begin before the first value and end after the last one, nowhere else.
     broken = seen["opened"] > bool(seen["opens"]) or seen["closed"] > bool(seen["closes"])

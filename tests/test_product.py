@@ -286,3 +286,13 @@ def test_copartition_count_follows_the_data(pair, monkeypatch):
     assert mq.copartition(*pair, 7).num_partitions == 7
     monkeypatch.setattr(product, "CELLS_PER_TASK", 4)
     assert mq.copartition(*pair).num_partitions == 120
+
+
+def test_what_auto_takes(spark, pair):
+    from matrixq.operators.product import pick_strategy
+
+    a, b = pair
+    assert pick_strategy(a, b)[0] == "broadcast"
+    assert pick_strategy(a, b, broadcast_limit=0)[0] == "join"
+    wide = generate(spark, 600, 600, 1.0, 9)
+    assert pick_strategy(wide, wide, broadcast_limit=0)[0] == "block"

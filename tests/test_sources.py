@@ -191,3 +191,10 @@ def test_generate_checks_density(spark):
 def test_empty_and_identity(spark):
     assert src.empty(spark, 4, 5).shape == (4, 5) and mq.is_empty(src.empty(spark, 4, 5))
     assert np.array_equal(dense(src.identity(spark, 3)), np.eye(3))
+
+
+def test_dense_line_parts_go_by_number(spark, tmp_path):
+    for number, text in (("99999", "1,2,"), ("100000", "3,4,"), ("100001", "5,6,")):
+        (tmp_path / f"part-{number}-x.txt").write_text(text)
+    m = read_dense_line(spark, str(tmp_path), 2, 3)
+    assert np.array_equal(dense(m), [[1, 2, 3], [4, 5, 6]])
