@@ -76,7 +76,7 @@ def phrase_places(spaced: Column, phrase: str) -> tuple[Column, Column, Column]:
 
 def word_frequencies(texts: DataFrame, words: list[str]) -> dict[str, int]:
     """How often each of the given words, those of the templates, occurs in all texts."""
-    each = texts.select(F.explode(F.split("spaced", " ")).alias("word"))
+    each = texts.select(F.explode(F.split("__spaced", " ")).alias("word"))
     rows = each.where(F.col("word").isin(words)).groupBy("word").agg(F.count("*").alias("n"))
     return {r["word"]: r["n"] for r in rows.collect()}  # one row per template word at most
 
@@ -111,7 +111,7 @@ def scan(df: DataFrame, text: str = "text", templates: list[tuple[str, str]] | N
     kept = [c for c in df.columns if c not in (*names, text)]
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     spaced = df.select(*[F.col(f"`{c}`") for c in kept], body.alias("__text"),
-                       word_text(body).alias("spaced"))
+                       word_text(body).alias("__spaced"))
 
     vocabulary = sorted({w for _, t in templates for w in words_of(t)})
     often = word_frequencies(spaced, vocabulary)
@@ -128,7 +128,7 @@ def scan(df: DataFrame, text: str = "text", templates: list[tuple[str, str]] | N
             Column.__or__, [F.contains(words, F.lit(f" {w} ")) for w in rare], F.lit(False)
         )
 
-    places = [phrase_places(F.col("spaced"), p) for p in phrases.values()]
+    places = [phrase_places(F.col("__spaced"), p) for p in phrases.values()]
     hits = F.array_compact(F.array(
         *[F.when(n > 0, F.lit(label)) for label, (n, _, _) in zip(phrases, places)],
         F.lit(None).cast("string"),
@@ -140,14 +140,14 @@ def scan(df: DataFrame, text: str = "text", templates: list[tuple[str, str]] | N
         spaced.select(
             *[F.col(f"`{c}`") for c in kept],
             F.xxhash64("__text").alias("__hash"),
-            (_spaces(F.col("spaced")) - 1).cast("long").alias("n_words"),
+            (_spaces(F.col("__spaced")) - 1).cast("long").alias("n_words"),
             reduce(Column.__add__, [n for n, _, _ in places], F.lit(0)).cast("long").alias("n_base"),
             F.array_min(F.array(*[f for _, f, _ in places], F.lit(None).cast("int")))
             .cast("long").alias("first_word"),
             F.array_max(F.array(*[x for _, _, x in places], F.lit(None).cast("int")))
             .cast("long").alias("last_word"),
             hits.alias("__base"),
-            F.when(has_rare(F.col("spaced")), F.filter(lines, lambda x: has_rare(x["words"])))
+            F.when(has_rare(F.col("__spaced")), F.filter(lines, lambda x: has_rare(x["words"])))
             .alias("__blocks"),
         ), "license-scan",
     )

@@ -126,9 +126,9 @@ def judge(df: DataFrame, entries: DataFrame, url: str = "url", otherwise: str =
     named = F.when(~F.col("listed"), F.concat("ending", "begin"))
     best = exact.groupBy("host", "__cut").agg(
         F.max_by(F.struct(named.alias("rule"), F.col("__verdict").alias("verdict")), rank)
-        .alias("best")
+        .alias("__best")
     )
     return pages.join(best, ["host", "__cut"], "left").select(
-        *[F.col(f"`{c}`") for c in kept], "host", "path", F.col("best.rule").alias("rule"),
-        F.coalesce("best.verdict", F.lit(otherwise)).alias("verdict"),
+        *[F.col(f"`{c}`") for c in kept], "host", "path", F.col("__best.rule").alias("rule"),
+        F.coalesce("__best.verdict", F.lit(otherwise)).alias("verdict"),
     )
