@@ -23,6 +23,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small(df: DataFrame, rows: int) -> DataFrame:
+    """A hint to broadcast a written table, if it has been counted to have no more rows."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z in lower case and nothing else."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"

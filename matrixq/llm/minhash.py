@@ -36,7 +36,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matrixq.llm.common import written
+from matrixq.llm.common import small, written
 from matrixq.llm.components import components
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -47,6 +47,8 @@ MINIMA = BANDS * ROWS
 MARGIN = 0.17
 BUCKET = 1024
 MEMBERS, VALUES = 1024, 1 << 20
+#: Candidates listed for a broadcast, 24 bytes each. With more, all texts are shuffled to them.
+BROADCAST_ROWS = 1_000_000
 #: Ways in which a large cluster is cut.
 CUTS = 3
 #: Shingles hashed at a time.
@@ -281,8 +283,8 @@ def _candidates(classes: DataFrame, least: float) -> DataFrame:
     large = shared.where(F.col("many") > BUCKET).select(
         F.col("node").alias("a"), F.col("first").alias("b")
     )
-    small = shared.where(F.col("many") <= BUCKET).select("node", "band")
-    met = small.join(classes.select("node", "signature"), "node")
+    usual = shared.where(F.col("many") <= BUCKET).select("node", "band")
+    met = usual.join(classes.select("node", "signature"), "node")
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in runs(batches, "band"):
@@ -348,7 +350,7 @@ def _link_large(large: DataFrame, percent: int) -> DataFrame:
         "cluster", "parts", "node", "items", F.xxhash64("group").alias("known"),
         (F.col("group") != F.col("top.group")).alias("other"),
     )
-    places = F.when("other", F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).otherwise(
+    places = F.when(F.col("other"), F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).otherwise(
         F.array(F.pmod(F.xxhash64("node"), F.col("parts")))
     )
     meeting = known.withColumn("place", F.explode(places))
@@ -372,7 +374,7 @@ def near_duplicates(df: DataFrame, percent: int, key: str = "doc_id", text: str
     rows = written(
         df.select(*[F.col(f"`{c}`") for c in kept], F.xxhash64(body).alias("__hash"),
                   _sketches(width)(body).alias("__s"))
-        .select("*", "__s.n", "__s.node", "__s.signature", "__s.bands",
+        .select("*", *[F.col(f"__s.{x}").alias(f"__{x}") for x in ("n", "node", "signature", "bands")],
                 F.monotonically_increasing_id().alias("__place")).drop("__s"), "sketches",
     )
     order = F.struct(  # rows without id come last
@@ -381,9 +383,9 @@ def near_duplicates(df: DataFrame, percent: int, key: str = "doc_id", text: str
     )
     # One class per set: copies are counted together before anything is joined.
     classes = written(
-        rows.where("n > 0").groupBy("node").agg(
-            F.min(order).alias("least"), F.min("__hash").alias("hash"), F.min("n").alias("n"),
-            F.min("signature").alias("signature"), F.min("bands").alias("bands"),
+        rows.where("__n > 0").groupBy(F.col("__node").alias("node")).agg(
+            F.min(order).alias("least"), F.min("__hash").alias("hash"), F.min("__n").alias("n"),
+            F.min("__signature").alias("signature"), F.min("__bands").alias("bands"),
         ), "classes",
     )
     clusters = written(
@@ -397,7 +399,7 @@ def near_duplicates(df: DataFrame, percent: int, key: str = "doc_id", text: str
             yield pd.Series([shingles(t, width).tobytes() for t in texts])
 
     # The texts of candidates alone, one for each class, are turned into sets again.
-    wanted = clusters.select("hash", "node")
+    wanted = small(clusters.select("hash", "node"), BROADCAST_ROWS)
     texts = df.select(F.xxhash64(body).alias("hash"), body.alias("text")).join(wanted, "hash")
     sets = texts.groupBy("node").agg(F.min("text").alias("text")).select(
         "node", items("text").alias("items")
@@ -410,8 +412,8 @@ def near_duplicates(df: DataFrame, percent: int, key: str = "doc_id", text: str
         sets.join(clusters.select("node", "cluster"), "node")
         .join(sizes.select("cluster", parts.alias("parts")), "cluster"), "sets",
     )
-    small = ready.where("parts = 1").withColumn("part", F.xxhash64("cluster"))
-    links = _confirm(small.withColumn("known", F.lit(-1).cast("long")), percent)
+    whole = ready.where("parts = 1").withColumn("part", F.xxhash64("cluster"))
+    links = _confirm(whole.withColumn("known", F.lit(-1).cast("long")), percent)
     large = ready.where("parts > 1")
     if large.limit(1).count():
         links = links.unionByName(_link_large(large, percent))
@@ -420,12 +422,14 @@ def near_duplicates(df: DataFrame, percent: int, key: str = "doc_id", text: str
         "node", "least", F.coalesce("component", "node").alias("component")
     )
     tops = named.groupBy("component").agg(F.min("least").alias("top"))
-    found = named.join(tops, "component").select("node", "top")
-    own = F.when(F.col("n") > 0, F.col("top.id")).otherwise(F.col(f"`{key}`"))
-    first = (F.col("n") == 0) | (F.col("top.place") == F.col("__place"))
+    found = named.join(tops, "component").select(
+        F.col("node").alias("__node"), F.col("top").alias("__top")
+    )
+    own = F.when(F.col("__n") > 0, F.col("__top.id")).otherwise(F.col(f"`{key}`"))
+    first = (F.col("__n") == 0) | (F.col("__top.place") == F.col("__place"))
     return (
-        rows.join(found, "node", "left")
+        rows.join(found, "__node", "left")
         .withColumn("component_id", own)
-        .select(*[F.col(f"`{c}`") for c in kept], F.col("n").alias("n_shingles"), "component_id",
+        .select(*[F.col(f"`{c}`") for c in kept], F.col("__n").alias("n_shingles"), "component_id",
                 F.col(f"`{key}`").eqNullSafe(F.col("component_id")).alias("kept"), first.alias("first"))
     )
