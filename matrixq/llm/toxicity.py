@@ -30,10 +30,12 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from matrixq.llm.common import written
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-#: Labelled texts that the lexicon is learned from, chosen by a hash of their id: the bound of the
-#: sample. Their words are counted in Spark.
+#: About so many labelled texts, chosen by a hash of their id, does the lexicon learn from at most:
+#: the bound of the sample. Their words are counted in Spark.
 LABELLED_TEXTS = 50_000
 #: A word is taken into the lexicon if it is in this many toxic texts, a likelihood-ratio test
 #: against chance gives at least that statistic, and it has at least this weight.
@@ -226,17 +228,13 @@ def learn_trigrams(texts: DataFrame, text: str) -> dict[int, int]:
 
 
 def learn_weights(labelled: DataFrame) -> tuple[dict[str, float], float]:
-    """The lexicon and the prior from rows ``(text, label)``.
+    """The lexicon and the prior from rows ``(words, label)``, the distinct words of a text.
 
     A word's weight is the logarithm of how much likelier it is in a toxic text. The prior is that
     of texts that hold no word of the lexicon.
     """
-    @F.pandas_udf("array<string>")
-    def distinct_words(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: sorted(set(words_in(t or ""))))
-
-    rows = labelled.select(distinct_words("text").alias("words"), F.col("label").cast("int").alias("y"))
-    sums = labelled.agg(F.count("*").alias("n"), F.sum("label").alias("toxic")).first()
+    rows = labelled.select("words", F.col("label").cast("int").alias("y"))
+    sums = rows.agg(F.count("*").alias("n"), F.sum("y").alias("toxic")).first()
     toxic, clean = sums["toxic"] or 0, sums["n"] - (sums["toxic"] or 0)
     if not toxic or not clean:
         return {}, 30.0 if toxic else -30.0
@@ -268,12 +266,25 @@ def learn(texts: DataFrame, labels: DataFrame, text: str = "text", key: str = "d
     chosen = labels.where(f"`{label}` is not null and `{key}` is not null").select(
         F.col(f"`{key}`").alias("__key"), F.col(f"`{label}`").alias("label")
     )
-    some = chosen.orderBy(F.xxhash64("__key"), "__key").limit(at_most)
-    labelled = texts.select(F.col(f"`{key}`").alias("__key"), F.col(f"`{text}`").alias("text")).join(
-        some, "__key"
+    share = min(1.0, at_most / max(1, chosen.count()))
+    some = chosen.where(F.pmod(F.xxhash64("__key"), F.lit(1 << 20)) < share * (1 << 20))
+
+    @F.pandas_udf("array<string>")
+    def distinct_words(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for values in batches:
+            yield pd.Series([sorted(set(words_in(t or ""))) for t in values])
+
+    body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    found = texts.select(F.col(f"`{key}`").alias("__key"), body.alias("text")).join(
+        F.broadcast(some), "__key"  # at_most rows of 16 bytes or so
+    )
+    read = written(
+        found.select(F.xxhash64("text").alias("hash"), "label", distinct_words("text").alias("words"),
+                     F.monotonically_increasing_id().alias("place")), "labelled",
     )
     # Copies of a text are one piece of evidence.
-    labelled = labelled.groupBy("text").agg(F.max("label").alias("label"))
+    once = read.groupBy("hash").agg(F.max("label").alias("label"), F.min("place").alias("place"))
+    labelled = read.select("place", "words").join(F.broadcast(once), "place")
     weights, prior = learn_weights(labelled)
     return Model(learn_trigrams(texts, text), weights, prior)
 
