@@ -265,7 +265,7 @@ def learn(texts: DataFrame, labels: DataFrame, text: str = "text", key: str = "d
     """The model of ``labels`` (rows of ``key`` and ``label``) over ``texts``."""
     chosen = labels.where(f"`{label}` is not null and `{key}` is not null").select(
         F.col(f"`{key}`").alias("__key"), F.col(f"`{label}`").alias("label")
-    )
+    ).groupBy("__key").agg(F.max("label").alias("label"))
     share = min(1.0, at_most / max(1, chosen.count()))
     some = chosen.where(F.pmod(F.xxhash64("__key"), F.lit(1 << 20)) < share * (1 << 20))
 

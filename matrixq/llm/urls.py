@@ -2,7 +2,8 @@
 
 An entry ``(host, path, verdict)`` fits a URL whose host is the entry's or a subdomain of it and
 whose path starts with the entry's. Every URL has a few expansions: each ending of its host at a
-dot, with each beginning of its path of a length that some entry has. An expansion is a possible
+dot, with no more labels than some entry has, with each beginning of its path of a length that some
+entry has. An expansion is a possible
 hit if all bits of its mask are set in one 256-bit block of the filter; possible hits are joined
 to the entries by hash and full strings, which removes false positives. Of the entries that fit,
 the longest decides, then the one with the longer host, then the blocking one.
@@ -79,8 +80,12 @@ def judge(df: DataFrame, entries: DataFrame, url: str = "url", otherwise: str =
         entries.select("host", "path", "verdict", "listed").distinct()
         .withColumn("h", _hash(F.col("host"), F.col("path"))), "entries",
     )
-    seen = listed.groupBy(F.length("path").alias("n")).agg(F.count("*").alias("rows")).collect()
+    labels = F.split("host", r"\.")
+    seen = listed.groupBy(F.length("path").alias("n")).agg(
+        F.count("*").alias("rows"), F.max(F.size(labels)).alias("labels")
+    ).collect()
     lengths = sorted(r["n"] for r in seen)  # no more than the longest path has characters
+    most = max((r["labels"] for r in seen), default=0)
     count = sum(r["rows"] for r in seen)
     host, path = host_and_path(F.col(f"`{url}`"))
     pages = df.select(*[F.col(f"`{c}`") for c in kept], host.alias("host"), path.alias("path"))
@@ -92,9 +97,9 @@ def judge(df: DataFrame, entries: DataFrame, url: str = "url", otherwise: str =
     pages = pages.withColumn("__cut", F.substring("path", 1, max(lengths)))
 
     pairs = pages.select("host", "__cut").where("host <> ''").distinct()
-    labels = F.split("host", r"\.")
+    # Endings with more labels than any entry has cannot be one.
     endings = F.transform(
-        F.sequence(F.lit(1), F.size(labels)),
+        F.sequence(F.greatest(F.lit(1), F.size(labels) - most + 1), F.size(labels)),
         lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."),
     )
     fitting = F.filter(F.array(*[F.lit(n) for n in lengths]), lambda n: n <= F.length("__cut"))
