@@ -28,13 +28,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matrixq.llm.common import written
+from matrixq.llm.common import small, written
 
 EDITS, CHARS_PER_EDIT = 2, 20
 #: Copies listed for a broadcast: 40 bytes each. More are joined by a shuffle.
 BROADCAST_ROWS = 200_000
 #: Lines under one segment; beyond it, what is left of them is cut into segments again.
-CROWD, ROUNDS = 200, 6
+CROWD, ROUNDS = 24, 8
 
 
 def line_rows(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -189,9 +189,10 @@ def within(a: Column, b: Column, edits: int) -> Column:
 
 def _common(a: str, b: str, most: str, side: str) -> Column:
     """Length of the longest common beginning (``left``) or end (``right``), ``most`` at most,
-    by doubling and halving over whole comparisons."""
+    by whole comparisons of halving steps."""
+    steps = ", ".join(str(1 << k) for k in range(30, -1, -1))
     return F.expr(f"""
-        aggregate(filter(transform(sequence(30, 0, -1), k -> shiftleft(1, k)), s -> s <= {most}), 0,
+        aggregate(filter(array({steps}), s -> s <= {most}), 0,
           (p, s) -> if(p + s <= {most} and {side}({a}, p + s) = {side}({b}, p + s), p + s, p))""")
 
 
@@ -201,6 +202,7 @@ def trimmed(df: DataFrame, a: str, b: str) -> DataFrame:
     shorter = f"least(length({a}), length({b}))"
     df = df.withColumn("__p", _common(a, b, shorter, "left"))
     df = df.withColumn("__s", _common(a, b, f"({shorter} - __p)", "right"))
+    # Not folded into one expression, which would hold each of them many times.
     middle = "substring({0}, __p + 1, length({0}) - __p - __s)"
     return df.withColumns({a: F.expr(middle.format(a)), b: F.expr(middle.format(b))}).drop("__p", "__s")
 
@@ -215,11 +217,6 @@ def plausible(a: Column, b: Column, edits: Column, pieces: int = 8) -> Column:
     return reduce(Column.__add__, missing) <= edits
 
 
-def _small(df: DataFrame, rows: int) -> DataFrame:
-    """A hint to broadcast a written table, if it has been counted to be small."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
-
-
 def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", edits: int = EDITS,
           chars_per_edit: int = CHARS_PER_EDIT, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Replaces the text by what is left of it and adds ``n_lines`` and ``n_removed``.
@@ -232,7 +229,7 @@ def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", edits: int = E
         lines.groupBy("h", "g").agg(F.min(order).alias("first"), F.count("*").alias("rows")),
         "first-lines",
     )
-    copied = _small(
+    copied = small(
         written(firsts.where("rows > 1").select("h", "g", "first"), "copied"), broadcast_rows
     )
     # The first occurrences, with their texts; most lines occur once and are not shuffled.
@@ -244,7 +241,7 @@ def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", edits: int = E
         F.lit(0).cast("long").alias("group"), "h", F.col("line").alias("left")
     )
     pairs = written(candidates(rows, edits), "line-pairs")
-    wanted = _small(
+    wanted = small(
         written(
             pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct(), "wanted"
         ), broadcast_rows,
@@ -257,7 +254,11 @@ def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", edits: int = E
     two = texts.select(*[F.col(c).alias(x) for c, x in zip(texts.columns, ("b", "fb", "lb", "kb"))])
     met = pairs.join(one, "a").join(two, "b")
     met = met.where(plausible(F.col("la"), F.col("lb"), F.least("ka", "kb")))
+    # What is left of both begins and ends with an edit each, so the inner part has two fewer.
+    inner = F.expr(f"substring(la, {edits + 1}, length(la) - {2 * edits})")
+    inside = plausible(inner, F.col("lb"), F.lit(max(0, edits - 2)))
     met = written(trimmed(met, "la", "lb"), "line-middles")
+    met = met.where((F.length("la") <= 2 * edits) | inside)
     # Fewer edits than the greatest number are told by a narrower band.
     allowed = F.least("ka", "kb")
     alike = reduce(
@@ -267,24 +268,26 @@ def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", edits: int = E
     later = F.greatest("fa", "fb")
     near = written(met.where(alike).select(later.alias("first")).distinct(), "near-lines")
     left = firsts.select("first").join(near, "first", "left_anti")
-    places = left.select("first.*").groupBy("doc", "body").agg(
+    places = left.select(
+        F.col("first.doc").alias("__doc"), F.col("first.body").alias("__body"), "first.at"
+    ).groupBy("__doc", "__body").agg(
         F.array_sort(F.collect_list("at")).alias("__places")
     )
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     names = (text, "n_lines", "n_removed")
     kept = [c for c in df.columns if c not in names]
     docs = df.select(
-        *[F.col(f"`{c}`") for c in kept], body.alias("__text"),
-        F.coalesce(F.col(f"`{key}`").cast("long"), F.lit((1 << 63) - 1)).alias("doc"),
-        F.xxhash64(body).alias("body"),
+        *[F.col(f"`{c}`") for c in kept], F.split(body, "\n").alias("__lines"),
+        F.coalesce(F.col(f"`{key}`").cast("long"), F.lit((1 << 63) - 1)).alias("__doc"),
+        F.xxhash64(body).alias("__body"),
     )
-    split = F.split("__text", "\n")
     own = F.coalesce("__places", F.array().cast("array<int>"))
-    full = F.size(F.filter(split, lambda x: x != ""))
-    rebuilt = F.when(F.size(own) == full, F.col("__text")).otherwise(
-        F.array_join(F.transform(own, lambda k: F.get(split, k)), "\n")
+    full = F.size(F.filter("__lines", lambda x: x != ""))
+    chosen = F.when(F.size(own) == full, F.col("__lines")).otherwise(
+        F.transform(own, lambda k: F.get("__lines", k))
     )
-    return docs.join(places, ["doc", "body"], "left").select(
+    rebuilt = F.array_join(chosen, "\n")
+    return docs.join(places, ["__doc", "__body"], "left").select(
         *[F.col(f"`{c}`") for c in kept], rebuilt.alias(text), full.cast("long").alias("n_lines"),
         (full - F.size(own)).cast("long").alias("n_removed"),
     )
