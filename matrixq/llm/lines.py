@@ -34,7 +34,7 @@ EDITS, CHARS_PER_EDIT = 2, 20
 #: Copies listed for a broadcast: 40 bytes each. More are joined by a shuffle.
 BROADCAST_ROWS = 200_000
 #: Lines under one segment; beyond it, what is left of them is cut into segments again.
-CROWD, ROUNDS = 24, 8
+CROWD, ROUNDS = 8, 8
 
 
 def line_rows(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -57,7 +57,7 @@ def _part(text: Column, place: Column, size: Column) -> Column:
 
 
 def _pieces(rows: DataFrame, edits: int, choices: list[tuple[int, int, int]]) -> DataFrame:
-    """Each row ``(group, h, left)`` once for each choice of how much shorter the other line is,
+    """Each row ``(group, h, left, parity)`` once for each choice of how much shorter the other line is,
     the segment's number from 1 and its shift, with the ``key``, ``place`` and ``size`` of that
     piece. Choices are exploded before anything is computed, which keeps the code of it small.
 
@@ -80,7 +80,7 @@ def _pieces(rows: DataFrame, edits: int, choices: list[tuple[int, int, int]]) ->
     )
     piece = _part(F.col("left"), F.col("place"), F.col("size"))
     return each.select(
-        F.xxhash64("group", "number", m, piece).alias("key"), "h", "left", "place", "size"
+        F.xxhash64("group", "number", m, piece).alias("key"), "h", "left", "place", "size", "parity"
     )
 
 
@@ -106,10 +106,26 @@ def probes(rows: DataFrame, edits: int) -> DataFrame:
     return _pieces(rows, edits, choices)
 
 
+def _parity(text: Column) -> Column:
+    """64 bits, each told by a pair of neighbouring characters: whether the pairs that tell it are
+    odd in number. One edit takes away two pairs at most and adds two, so it changes four bits."""
+    def step(state: Column, char: Column) -> Column:
+        bit = F.pmod(F.xxhash64(state["last"], char), F.lit(64)).cast("int")
+        turned = state["bits"].bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), bit))
+        return F.struct(char.alias("last"), turned.alias("bits"))
+
+    begin = F.struct(F.lit("").alias("last"), F.lit(0).cast("long").alias("bits"))
+    return F.aggregate(F.split(text, ""), begin, step)["bits"]
+
+
 def candidates(rows: DataFrame, edits: int) -> DataFrame:
     """Distinct pairs ``(a, b)`` of hashes of lines that share a segment, from rows
-    ``(group, h, left)``."""
-    found, round_ = [], 0
+    ``(group, h, left)``.
+
+    Lines of crowded segments are also told apart by the parities of their character pairs, which
+    differ in few bits if the lines are within the edits.
+    """
+    rows, found, round_ = rows.withColumn("parity", F.lit(None).cast("long")), [], 0
     while True:
         # The lines themselves are not shuffled unless their segment is crowded.
         held, asked = entries(rows, edits), probes(rows, edits)
@@ -118,10 +134,13 @@ def candidates(rows: DataFrame, edits: int) -> DataFrame:
             .select("key"), "crowded",
         )
         any_crowd = crowded.limit(1).count() and round_ < ROUNDS
-        a, b = held.select("key", F.col("h").alias("b")), asked.select("key", F.col("h").alias("a"))
+        a = held.select("key", F.col("h").alias("b"), F.col("parity").alias("pb"))
+        b = asked.select("key", F.col("h").alias("a"), F.col("parity").alias("pa"))
         if any_crowd:
             a, b = (x.join(crowded, "key", "left_anti") for x in (a, b))
         pairs = b.join(a, "key").where("a <> b")
+        if round_:
+            pairs = pairs.where(F.bit_count(F.col("pa").bitwiseXOR(F.col("pb"))) <= 4 * edits)
         found.append(
             pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         )
@@ -132,10 +151,14 @@ def candidates(rows: DataFrame, edits: int) -> DataFrame:
             F.expr("substring(left, place + size + 1)"),
         )
         sides = [
-            x.join(crowded, "key", "left_semi").select(F.col("key").alias("group"), "h", rest.alias("left"))
-            for x in (held, asked)
+            x.join(crowded, "key", "left_semi").select(
+                F.col("key").alias("group"), "h", rest.alias("left"), "parity"
+            ) for x in (held, asked)
         ]
-        rows = written(sides[0].unionByName(sides[1]).distinct(), "crowd")
+        crowd = sides[0].unionByName(sides[1]).distinct()
+        if not round_:
+            crowd = crowd.withColumn("parity", _parity(F.col("left")))
+        rows = written(crowd, "crowd")
         round_ += 1
     return reduce(DataFrame.unionByName, found).distinct()
 
