@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from matrixq.llm.common import count_words, written
+from matrixq.llm.common import count_words, small, written
 
 WEIGHTS = (5, 2, 1)
 #: Most copies of a row, on the average and for each.
@@ -27,7 +27,9 @@ MOST = 3
 #: Newton steps end when every source is this near to its target, or after so many.
 NEARNESS, STEPS = 1e-9, 60
 #: Rows of one source and size that are ranked by one task.
-CELL_ROWS = 20_000
+CELL_ROWS = 1_000
+#: Large cells listed for a broadcast; more are joined by a shuffle.
+BROADCAST_CELLS = 200_000
 
 
 def source_key(source: Column) -> Column:
@@ -152,15 +154,9 @@ def mix(df: DataFrame, key: str = "doc_id", source: str = "source", size: str =
         "*", source_key(F.col(f"`{source}`")).alias("__skey"),
         F.col(f"`{size}`").cast("long").alias("__size"), order.alias("__order"),
     )
-    # One pass over the rows counts them by source, size and a fine hash part.
-    parts = 64
-    fine = F.pmod(F.col("__order"), F.lit(parts))
-    counted = written(
-        rows.groupBy(F.col("__skey").alias("skey"), F.col("__size").alias("size"),
-                     fine.alias("part")).agg(F.count("*").alias("rows")), "counts",
-    )
     cells = written(
-        counted.groupBy("skey", "size").agg(F.sum("rows").alias("rows")), "cells"
+        rows.groupBy(F.col("__skey").alias("skey"), F.col("__size").alias("size"))
+        .agg(F.count("*").alias("rows")), "cells",
     )
     targets = source_targets(
         cells.groupBy("skey").agg(F.sum(F.col("rows") * F.col("size")).alias("source_size")),
@@ -172,11 +168,26 @@ def mix(df: DataFrame, key: str = "doc_id", source: str = "source", size: str =
         .when(F.col("l").isNull(), F.lit(float(most)))
         .otherwise(F.least(F.exp(F.col("l") * F.col("size")), F.lit(float(most))))
     )
+    # Large cells are cut into parts by hash, as many as their rows need.
+    large = small(
+        written(
+            cells.where(F.col("rows") > CELL_ROWS).select(
+                F.col("skey").alias("__skey"), F.col("size").alias("__size"),
+                F.ceil(F.col("rows") / CELL_ROWS).alias("__parts"),
+            ), "large-cells",
+        ), BROADCAST_CELLS,
+    )
+    rows = rows.join(large, ["__skey", "__size"], "left").withColumn(
+        "__part", F.coalesce(F.pmod("__order", "__parts"), F.lit(-1))
+    )
+    cut = rows.where("__parts is not null").groupBy(
+        F.col("__skey").alias("skey"), F.col("__size").alias("size"), F.col("__part").alias("part")
+    ).agg(F.count("*").alias("rows"))
+    whole = cells.where(F.col("rows") <= CELL_ROWS).select(
+        "skey", "size", F.lit(-1).cast("long").alias("part"), "rows"
+    )
     rated = (
-        counted.join(cells.select("skey", "size", F.col("rows").alias("all")), ["skey", "size"])
-        # Small cells stay whole, large ones are cut into parts by hash.
-        .withColumn("part", F.when(F.col("all") > CELL_ROWS, F.col("part")).otherwise(-1))
-        .groupBy("skey", "size", "part").agg(F.sum("rows").alias("rows"))
+        whole.unionByName(cut)
         .join(targets, "skey").join(tilt, "skey", "left")
         .withColumn("rate", rate)
         .withColumn("more", F.col("rows") * (F.col("rate") - F.floor("rate")))
@@ -192,9 +203,6 @@ def mix(df: DataFrame, key: str = "doc_id", source: str = "source", size: str =
             F.least("extra", "rows").alias("__extra"), "source_size", "target",
         ), "picked",
     )
-    large = picked.where("__part >= 0").select("__skey", "__size").distinct()
-    rows = rows.join(large.withColumn("__large", F.lit(True)), ["__skey", "__size"], "left")
-    rows = rows.withColumn("__part", F.when(F.col("__large"), F.pmod("__order", F.lit(parts))).otherwise(-1))
     ranked = Window.partitionBy("__skey", "__size", "__part").orderBy("__order", f"`{key}`")
     joined = rows.withColumn("__rank", F.row_number().over(ranked)).join(
         picked, ["__skey", "__size", "__part"]
