@@ -36,7 +36,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 #: Bytes of a tokenizer file; it is broadcast, so larger files are refused.
 MAX_FILE_BYTES = 64 << 20
 #: Words kept per worker, and the longest word kept. Others are encoded whenever they occur.
-KEPT_WORDS, KEPT_LENGTH = 400_000, 64
+KEPT_WORDS, KEPT_LENGTH = 200_000, 64
+#: Texts given back at a time; their ids and what they decode to are in memory together.
+TEXTS_OUT = 500
 #: Tokens decoded at a time.
 DECODE_CHUNK = 1 << 18
 
@@ -243,11 +245,12 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids",
     def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         tables = shared.value.prepare()
         for texts in batches:
-            found = [tables.encode(t) if t else b"" for t in texts]
-            out = {"ids": found}
-            if decoded:
-                out["decoded"] = [tables.decode(x) if x else "" for x in found]
-            yield pd.DataFrame(out)
+            for k in range(0, len(texts), TEXTS_OUT):
+                found = [tables.encode(t) if t else b"" for t in texts[k : k + TEXTS_OUT]]
+                out = {"ids": found}
+                if decoded:
+                    out["decoded"] = [tables.decode(x) if x else "" for x in found]
+                yield pd.DataFrame(out)
 
     kept = [c for c in df.columns if c not in (ids, decoded)]
     both = df.select(*[F.col(f"`{c}`") for c in kept], encoded(F.col(f"`{text}`")).alias("__bpe"))

@@ -57,7 +57,7 @@ LEXICON_SHARE = 0.002
 #: A run of single characters set apart by blanks.
 _SPACED = re.compile(r"(?<!\S)\S(?:[ \t]+\S){2,}(?!\S)")
 _EDGE = "^"
-_KEPT_TOKENS = 400_000
+_KEPT_TOKENS = 150_000
 _TEXTS_AT_ONCE = 500
 
 
