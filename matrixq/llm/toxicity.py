@@ -10,7 +10,8 @@ of characters: a letter may stand for itself, a digit or sign for the letters it
 nothing, a repeated letter for nothing, and letters set apart by blanks may be one word or more.
 Viterbi decoding finds the most likely spelling under the character model and the costs of these
 changes. Only tokens whose lattice holds a word of the lexicon are decoded, as no other token can
-change a score; that is told by a skeleton in which all that may be confused is one symbol.
+change a score; that is told by skeletons, in which all that may be confused is one symbol, and by
+going through their beginnings with each sign both read and left out.
 
 Null and empty texts hold no words and get the prior. Without labels of both kinds the prior is
 their mean, or 0. Repeated rows score alike. Labels are used only where the caller says so, and
@@ -22,6 +23,7 @@ from __future__ import annotations
 import math
 import re
 import sys
+import unicodedata
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -57,13 +59,40 @@ LEXICON_SHARE = 0.002
 #: A run of single characters set apart by blanks.
 _SPACED = re.compile(r"(?<!\S)\S(?:[ \t]+\S){2,}(?!\S)")
 _EDGE = "^"
+_SIGNS = "".join(c for c in map(chr, range(128)) if not c.isalnum())
 _KEPT_TOKENS = 150_000
 _TEXTS_AT_ONCE = 500
 
 
+def ends_of(token: str) -> tuple[int, int]:
+    """Where the first letter or digit of any script stands, and the place behind the last."""
+    if token.isascii():
+        return len(token) - len(token.lstrip(_SIGNS)), len(token.rstrip(_SIGNS))
+    begin, end = 0, len(token)
+    while begin < end and not token[begin].isalnum():
+        begin += 1
+    while end > begin and not token[end - 1].isalnum():
+        end -= 1
+    return begin, end
+
+
+def bare(token: str) -> str:
+    """The token without signs of any script around it and without characters that do not show.
+
+    Marks that belong to its last letter stay.
+    """
+    if token.isascii():
+        return token.strip(_SIGNS)
+    shown = "".join(c for c in token if unicodedata.category(c) != "Cf")
+    begin, end = ends_of(shown)
+    while begin < end < len(shown) and unicodedata.category(shown[end])[0] == "M":
+        end += 1
+    return shown[begin:end]
+
+
 def words_in(text: str) -> list[str]:
     """The letters of tokens, without signs around them, in lower case."""
-    return [w for t in text.lower().split() if (w := t.strip("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"))]
+    return [w for t in text.lower().split() if (w := bare(t))]
 
 
 class Spelling:
@@ -95,22 +124,14 @@ def count_trigrams(texts: list[str]) -> np.ndarray:
     return np.bincount(codes[begins | (s[1:-1] != 27)], minlength=28**3)
 
 
-#: What may be confused becomes one letter; all else but letters goes.
-_ALIKE = {**{c: x[0] for c, x in LOOKS.items()}, "l": "i", "g": "b", "6": "b", "9": "b"}
-_READ = {ord(c): _ALIKE.get(c) for c in map(chr, range(128)) if not "a" <= c <= "z" or c in _ALIKE}
-_READ |= {ord(c): {"l": "i", "g": "b"}.get(x, x) for c, x in _ALIKE.items()}
-_UNREAD = {k: v if "a" <= chr(k) <= "z" else None for k, v in _READ.items()}
+#: What may be confused becomes one letter.
+_ALIKE = {**{c: x[0] for c, x in LOOKS.items()}, "l": "i", "g": "b", "9": "b"}
 _REPEATS = re.compile(r"(.)\1+")
-_SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
-def skeletons(token: str) -> tuple[str, ...]:
-    """The token with all that may be confused made equal and without repetitions: with its signs
-    read as letters, without those around it, and without any."""
-    if token.isalpha():
-        return (_REPEATS.sub(r"\1", token.translate(_READ)),)
-    each = (token.translate(_READ), token.strip(_SIGNS).translate(_READ), token.translate(_UNREAD))
-    return tuple(_REPEATS.sub(r"\1", x) for x in dict.fromkeys(each))
+def skeleton(word: str) -> str:
+    """The word with all that may be confused made equal and without repetitions."""
+    return _REPEATS.sub(r"\1", "".join(_ALIKE.get(c, c) for c in word))
 
 
 class Model:
@@ -123,7 +144,9 @@ class Model:
     def prepare(self) -> Model:
         if not self.ready:
             self.spelling = Spelling(self.trigrams, sorted(self.weights))
-            self.skeletons = {x for w in self.weights for x in skeletons(w)}
+            # Decoding gives letters only.
+            self.skeletons = {skeleton(w) for w in self.weights if w.isalpha()}
+            self.begins = {x[:k] for x in self.skeletons for k in range(1, len(x) + 1)}
             self.clean: set[str] = set()
             self.ready = True
         return self
@@ -137,7 +160,7 @@ class Model:
         cost = self.spelling.cost
         edge = 27
         best: dict[tuple, tuple[float, tuple]] = {(edge, edge, ""): (0.0, ())}
-        inside = range(len(token) - len(token.lstrip(_SIGNS)), len(token.rstrip(_SIGNS)))
+        inside = range(*ends_of(token))
         for at, c in enumerate(token):
             step: dict[tuple, tuple[float, tuple]] = {}
 
@@ -177,19 +200,42 @@ class Model:
             out.append(c)
         return "".join(reversed(out)).split()
 
+    def may_hold(self, token: str) -> bool:
+        """Whether the token's lattice holds a word of the lexicon, but for what looks alike.
+
+        Kept are the beginnings of skeletons that some reading of the token so far gives. As in
+        ``decode``, any sign may be left out by itself, and a word may end at each blank.
+        """
+        if token.isalpha():
+            return skeleton(token) in self.skeletons
+        states = {""}
+        for c in token:
+            if c == " ":
+                if not self.skeletons.isdisjoint(states):
+                    return True
+                states.add("")
+            elif c.isalpha() or c in LOOKS:
+                x = _ALIKE.get(c, c)
+                step = {p if p[-1:] == x else p + x for p in states}
+                step &= self.begins
+                states = step | states if c in LOOKS else step
+                if not states and " " not in token:
+                    return False
+        return not self.skeletons.isdisjoint(states)
+
     def restored(self, token: str) -> list[str]:
         """The words of a token (in lower case), restored if it may be a word in disguise."""
         plain = words_in(token)
-        if not plain or plain[0] in self.weights:
+        if plain and plain[0] in self.weights:
             return plain
-        return self.decode(token) if self.skeletons.intersection(skeletons(token)) else plain
+        return self.decode(token) if self.may_hold(token) else plain
 
     def apart(self, text: str) -> list[str]:
         """Words of letters that are set apart by blanks."""
         out = []
         for run in _SPACED.findall(text):
             letters = re.sub(r"[ \t]+", " ", run)
-            if any(s in x for x in skeletons(letters) for s in self.skeletons):
+            if self.may_hold(letters):
                 out += self.decode(letters)
         return out
 

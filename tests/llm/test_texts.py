@@ -242,6 +242,39 @@ def test_lexicon_and_disguises(model):
         assert model.score(text) < toxicity.THRESHOLD, text
 
 
+def test_disguises_in_signs_of_any_script(model):
+    for text in ("$tupid!", "!diot!!", "\u201cstupid\u201d", "stupid\u2026", "stu\u200bpid", "\u00abidiot\u00bb,", "i\u200bd\u00b7i\u2011ot\u3002",
+                 "\u201c$tup1d!\u201d", "s\u0336t\u0336u\u0336pid", "\u201cidiot\u201d\u2026"):
+        assert model.score(text) >= toxicity.THRESHOLD, text
+    for text in ("\u201cthe green house\u201d\u2026", "\u201c10 stones\u201d", "\u200b", "\u2026!$", "na\u00efve\u2019s"):
+        assert model.score(text) < toxicity.THRESHOLD, text
+    assert toxicity.words_in("\u201cSt\u200bone\u201d\u2026 \u0915\u0940, \u2026 don't") == ["stone", "\u0915\u0940", "don't"]
+    signs = toxicity.Model(model.trigrams, {"ass": 3.0}, -3.0).prepare()
+    assert signs.restored("@$$") == ["ass"]
+
+
+def test_what_decoding_restores_passes_the_prefilter(model):
+    rng = random.Random(7)
+    like = {}
+    for sign, letters in toxicity.LOOKS.items():
+        for x in letters:
+            like.setdefault(x, []).append(sign)
+    around = ["", "!", "$", "(", "1", "\u201c", "\u2026", "\u200b", ".", "+", "x"]
+    restored = 0
+    for _ in range(4000):
+        out = [rng.choice(around), rng.choice(around)]
+        for c in rng.choice(sorted(model.weights)):
+            out += rng.choice(like.get(c, [c]) + [c] * 3) * rng.choice([1, 1, 1, 2])
+            out += rng.choice([""] * 12 + around)
+        token = "".join(out + [rng.choice(around), rng.choice(around)])
+        own = model.weights.keys() & model.decode(token)
+        restored += bool(own)
+        assert own <= set(model.restored(token)), token
+        apart = " ".join(token)
+        assert not model.weights.keys() & model.decode(apart) or model.may_hold(apart), apart
+    assert restored > 1000
+
+
 def test_scores_of_all_rows(spark, model, odd, nothing):
     rows = toxicity.score(odd, model).collect()
     assert len(rows) == len(ODD_TEXTS) and all(0 <= r["score"] <= 1 for r in rows)
