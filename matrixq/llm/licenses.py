@@ -1,10 +1,11 @@
 """License scans: an exact set-similarity join of text blocks with templates.
 
-A block is a line. A template fits a block that holds at least ``CONTAINMENT`` of the template's
-distinct words. All words of all templates are ordered by their frequency in the whole corpus, the
-rarest first. To share enough words with a template, a block has to hold one of the template's few
-rarest words (prefix filter); it has to have enough template words at all (length filter), and
-enough of them must be left after the first shared one in either order (positional filter). What
+A block is a run of words of one line, ``SPAN`` times as many as the template has. A template fits
+a block that holds at least ``CONTAINMENT`` of the template's distinct words, among them all of its
+deciding words, those that tell its license from others. All words of all templates are ordered by
+their frequency in the whole corpus, the rarest first. To share enough words with a template, a
+block has to hold one of the template's few rarest words (prefix filter); the words around that one
+have to have enough template words (length filter), none of them rarer (positional filter). What
 passes is counted exactly. Words outside all templates cannot be shared and are left out first.
 
 Besides, the places of fixed phrases are counted in whole texts, across lines.
@@ -25,6 +26,8 @@ from pyspark.sql import functions as F
 from matrixq.llm.common import lower_ascii, written
 
 CONTAINMENT = 0.8
+#: A template's words stand within so many times its own number of words.
+SPAN = 3
 _NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 #: Phrases that are searched in whole texts, by label (fixed values).
@@ -46,6 +49,16 @@ TEMPLATES = [
             "are permitted"),
     ("all-rights-reserved", "All rights reserved"),
 ]
+#: Words that must be there if a template of the label has them.
+DECIDING = {
+    "mit": ("mit", "permission", "granted"),
+    "apache-2.0": ("apache", "2"),
+    "gpl-3.0": ("gnu", "general", "public", "3"),
+    "cc-by-nc-4.0": ("cc", "by", "nc", "4"),
+    "cc-by-4.0": ("creative", "commons", "attribution", "4"),
+    "bsd": ("redistribution", "permitted"),
+    "all-rights-reserved": ("all", "rights", "reserved"),
+}
 
 
 def word_text(text: Column) -> Column:
@@ -81,24 +94,28 @@ def word_frequencies(texts: DataFrame, words: list[str]) -> dict[str, int]:
     return {r["word"]: r["n"] for r in rows.collect()}  # one row per template word at most
 
 
-def _template_rows(templates: list[tuple[str, str]], rank: dict[str, int],
-                   containment: float) -> list[tuple]:
+def _template_rows(templates: list[tuple[str, str]], rank: dict[str, int], containment: float,
+                   deciding: dict[str, tuple[str, ...]], span: int) -> list[tuple]:
     """A row for each template and each word of its prefix: what a block can share first."""
     rows = []
     for label, text in templates:
         ordered = sorted(set(words_of(text)), key=rank.__getitem__)
         least = math.ceil(containment * len(ordered) - 1e-9)
+        musts = [w for w in ordered if w in deciding.get(label, ())]
+        reach = span * len(words_of(text))
         rows += [
-            (word, label, ordered, least, place, len(ordered))
+            (word, label, ordered, ordered[place:], musts, least, reach, len(ordered))
             for place, word in enumerate(ordered[: len(ordered) - least + 1])
         ]
     return rows
 
 
 def scan(df: DataFrame, text: str = "text", templates: list[tuple[str, str]] | None = None,
-         phrases: dict[str, str] | None = None, containment: float = CONTAINMENT) -> DataFrame:
+         phrases: dict[str, str] | None = None, containment: float = CONTAINMENT,
+         deciding: dict[str, tuple[str, ...]] | None = None, span: int = SPAN) -> DataFrame:
     """Adds ``n_words``, ``n_base``, ``first_word``, ``last_word``, ``base_labels``, ``labels``,
-    ``score`` and ``spans`` (label, line number from 0 and share of each fitting block).
+    ``score`` and ``spans`` (label, line number from 0 and best share of the fitting blocks that
+    begin in that line).
 
     Columns of these names are replaced. Templates are a list held by the caller, at most a few
     thousand words; they travel with the plan. ``text`` is not among the columns returned.
@@ -106,6 +123,7 @@ def scan(df: DataFrame, text: str = "text", templates: list[tuple[str, str]] | N
     spark = df.sparkSession
     templates = TEMPLATES if templates is None else templates
     phrases = PHRASES if phrases is None else phrases
+    deciding = DECIDING if deciding is None else deciding
     names = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score",
              "spans")
     kept = [c for c in df.columns if c not in (*names, text)]
@@ -117,11 +135,13 @@ def scan(df: DataFrame, text: str = "text", templates: list[tuple[str, str]] | N
     often = word_frequencies(spaced, vocabulary)
     by_rarity = sorted(vocabulary, key=lambda w: (often.get(w, 0), w))
     rank = {w: k for k, w in enumerate(by_rarity)}
-    rows = _template_rows(templates, rank, containment)
+    rows = _template_rows(templates, rank, containment, deciding, span)
     prefixes = spark.createDataFrame(
-        rows, "word string, label string, words array<string>, least int, place int, size int"
+        rows, "word string, label string, words array<string>, rest array<string>, "
+        "musts array<string>, least int, reach int, size int"
     )
     rare = sorted({row[0] for row in rows})
+    most = max((row[6] for row in rows), default=0)
 
     def has_rare(words: Column) -> Column:
         return reduce(
@@ -133,9 +153,18 @@ def scan(df: DataFrame, text: str = "text", templates: list[tuple[str, str]] | N
         *[F.when(n > 0, F.lit(label)) for label, (n, _, _) in zip(phrases, places)],
         F.lit(None).cast("string"),
     ))
+    # The words of templates with their places, in texts that hold a rare one.
     lines = F.transform(
-        F.split("__text", "\n"), lambda line, k: F.struct(k.alias("line"), word_text(line).alias("words"))
+        F.split("__text", "\n"),
+        lambda line, k: F.transform(
+            F.filter(F.split(word_text(line), " "), lambda w: w != ""),
+            lambda w: F.struct(k.alias("line"), w.alias("word")),
+        ),
+    )
+    places_of_words = F.transform(
+        F.flatten(lines), lambda w, k: F.struct(k.alias("at"), w["line"].alias("line"), w["word"].alias("word"))
     )
+    held = F.filter(places_of_words, lambda w: w["word"].isin(vocabulary))
     read = written(
         spaced.select(
             *[F.col(f"`{c}`") for c in kept],
@@ -147,30 +176,47 @@ def scan(df: DataFrame, text: str = "text", templates: list[tuple[str, str]] | N
             F.array_max(F.array(*[x for _, _, x in places], F.lit(None).cast("int")))
             .cast("long").alias("last_word"),
             hits.alias("__base"),
-            F.when(has_rare(F.col("__spaced")), F.filter(lines, lambda x: has_rare(x["words"])))
-            .alias("__blocks"),
+            F.when(has_rare(F.col("__spaced")), held).alias("__held"),
         ), "license-scan",
     )
 
-    # A block's template words in the global order, then the join on those in both prefixes.
-    ordered = F.array(*[F.lit(w) for w in by_rarity]).cast("array<string>")
-    blocks = read.where(F.size("__blocks") > 0).select("__hash", "__blocks").dropDuplicates(["__hash"])
-    blocks = blocks.select("__hash", F.explode("__blocks").alias("block")).select(
-        "__hash", F.col("block.line").alias("line"),
-        F.array_intersect(ordered, F.split("block.words", " ")).alias("held"),
-    )
-    probes = blocks.select("*", F.posexplode("held").alias("at", "word"))
-    shared = F.size(F.array_intersect("held", "words"))
-    fitting = (
+    # The join on rare words, each with the template words around it that a block can reach.
+    texts = read.where(F.size("__held") > 0).select("__hash", "__held").dropDuplicates(["__hash"])
+    around = F.transform("__held", lambda w, k: F.struct(
+        w.alias("own"),
+        F.when(w["word"].isin(rare), F.slice(
+            "__held", F.greatest(k + 2 - most, F.lit(1)), F.least(k, F.lit(most - 1)) + most
+        )).alias("near"),
+    ))
+    probes = texts.select(
+        "__hash", F.explode(F.filter(around, lambda x: x["near"].isNotNull())).alias("probe")
+    ).select("__hash", "probe.own", "probe.near", F.col("probe.own.word").alias("word"))
+    near = F.filter("near", lambda w: (w["line"] == F.col("own.line"))
+                    & (F.abs(w["at"] - F.col("own.at")) < F.col("reach"))
+                    & F.array_contains("words", w["word"]))
+    enough = F.size(F.array_intersect(F.col("near.word"), "rest")) >= F.col("least")
+    blocks = (
         probes.join(F.broadcast(prefixes), "word")  # as many rows as the templates have words
-        .where(F.size("held") >= F.col("least"))
-        .where(F.least(F.size("held") - F.col("at"), F.col("size") - F.col("place"))
-               >= F.col("least"))
-        .withColumn("shared", shared).where("shared >= least")
-        .select("__hash", "line", "label", (F.col("shared") / F.col("size")).alias("share"))
+        .withColumn("near", near).where(enough)
+        .withColumn("begin", F.explode(F.filter("near", lambda w: w["at"] <= F.col("own.at"))))
+        .withColumn("block", F.transform(
+            F.filter("near", lambda w: (w["at"] >= F.col("begin.at"))
+                     & (w["at"] < F.col("begin.at") + F.col("reach"))),
+            lambda w: w["word"],
+        ))
+        .withColumn("shared", F.size(F.array_distinct("block")))
+        .where((F.col("shared") >= F.col("least")) & (F.size(F.array_except("musts", "block")) == 0))
+    )
+    # A block does not begin with a word that comes again before the last new word of the block.
+    again = F.array_position(F.slice("block", 2, F.lit(1 << 30)), F.col("begin.word")).cast("int")
+    needed = (again == 0) | (
+        F.size(F.array_distinct(F.slice("block", F.lit(1), F.greatest(again, F.lit(1))))) == F.col("shared")
+    )
+    fitting = blocks.where(needed).groupBy("__hash", "label", F.col("begin.line").alias("line")).agg(
+        F.max(F.col("shared") / F.col("size")).alias("share")
     )
     found = fitting.groupBy("__hash").agg(
-        F.collect_set(F.struct("label", "line", "share")).alias("spans")
+        F.collect_list(F.struct("label", "line", "share")).alias("spans")
     )
     # A text in any number of copies is looked up once, and each copy finds its own result.
     joined = read.join(found, "__hash", "left")

@@ -352,6 +352,24 @@ def test_licenses(spark, odd, nothing):
     assert licenses.scan(nothing).count() == 0
 
 
+def labels_of(spark, lines):
+    found = licenses.scan(texts(spark, list(enumerate(lines)))).collect()
+    own = {r["doc_id"]: sorted({s["label"] for s in r["spans"] or []}) for r in found}
+    return [own[k] for k in range(len(lines))]
+
+
+def test_licenses_need_deciding_words(spark):
+    far = "Licensed under " + "word " * 400 + "the Apache License, " + "word " * 400 + "Version 2.0"
+    lines = [
+        "Licensed under CC BY 4.0", "Released under the Apache License",
+        "This work is licensed under the GNU General Public License, version 2.0", far,
+        "Licensed under Apache License, Version 2.0", "Released under MIT License",
+        "word " * 500 + "Licensed under the word Apache License, Version 2.0 " + "word " * 500,
+        "This work is licensed under the GNU General Public License, version 3",
+    ]
+    assert labels_of(spark, lines) == [[], [], [], [], ["apache-2.0"], ["mit"], ["apache-2.0"], ["gpl-3.0"]]
+
+
 # Mixing
 
 
