@@ -1,7 +1,8 @@
 """License scans: an exact set-similarity join of text blocks with templates.
 
-A block is a run of words of one line, ``SPAN`` times as many as the template has. A template fits
-a block that holds at least ``CONTAINMENT`` of the template's distinct words, among them all of its
+A block is a run of words of one line, ``SPAN`` times as many as the template has, or a run of words
+across line ends, as many as the template has: a template may be wrapped, but words of unlike lines
+that are further apart are no block. A template fits a block that holds at least ``CONTAINMENT`` of the template's distinct words, among them all of its
 deciding words, those that tell its license from others. All words of all templates are ordered by
 their frequency in the whole corpus, the rarest first. To share enough words with a template, a
 block has to hold one of the template's few rarest words (prefix filter); the words around that one
@@ -102,9 +103,9 @@ def _template_rows(templates: list[tuple[str, str]], rank: dict[str, int], conta
         ordered = sorted(set(words_of(text)), key=rank.__getitem__)
         least = math.ceil(containment * len(ordered) - 1e-9)
         musts = [w for w in ordered if w in deciding.get(label, ())]
-        reach = span * len(words_of(text))
+        wrap = len(words_of(text))
         rows += [
-            (word, label, ordered, ordered[place:], musts, least, reach, len(ordered))
+            (word, label, ordered, ordered[place:], musts, least, span * wrap, wrap, len(ordered))
             for place, word in enumerate(ordered[: len(ordered) - least + 1])
         ]
     return rows
@@ -124,6 +125,7 @@ def scan(df: DataFrame, text: str = "text", templates: list[tuple[str, str]] | N
     templates = TEMPLATES if templates is None else templates
     phrases = PHRASES if phrases is None else phrases
     deciding = DECIDING if deciding is None else deciding
+    assert span >= 1, "a block has room for the template"
     names = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score",
              "spans")
     kept = [c for c in df.columns if c not in (*names, text)]
@@ -138,7 +140,7 @@ def scan(df: DataFrame, text: str = "text", templates: list[tuple[str, str]] | N
     rows = _template_rows(templates, rank, containment, deciding, span)
     prefixes = spark.createDataFrame(
         rows, "word string, label string, words array<string>, rest array<string>, "
-        "musts array<string>, least int, reach int, size int"
+        "musts array<string>, least int, reach int, wrap int, size int"
     )
     rare = sorted({row[0] for row in rows})
     most = max((row[6] for row in rows), default=0)
@@ -191,8 +193,7 @@ def scan(df: DataFrame, text: str = "text", templates: list[tuple[str, str]] | N
     probes = texts.select(
         "__hash", F.explode(F.filter(around, lambda x: x["near"].isNotNull())).alias("probe")
     ).select("__hash", "probe.own", "probe.near", F.col("probe.own.word").alias("word"))
-    near = F.filter("near", lambda w: (w["line"] == F.col("own.line"))
-                    & (F.abs(w["at"] - F.col("own.at")) < F.col("reach"))
+    near = F.filter("near", lambda w: (F.abs(w["at"] - F.col("own.at")) < F.col("reach"))
                     & F.array_contains("words", w["word"]))
     enough = F.size(F.array_intersect(F.col("near.word"), "rest")) >= F.col("least")
     blocks = (
@@ -200,8 +201,10 @@ def scan(df: DataFrame, text: str = "text", templates: list[tuple[str, str]] | N
         .withColumn("near", near).where(enough)
         .withColumn("begin", F.explode(F.filter("near", lambda w: w["at"] <= F.col("own.at"))))
         .withColumn("block", F.transform(
-            F.filter("near", lambda w: (w["at"] >= F.col("begin.at"))
-                     & (w["at"] < F.col("begin.at") + F.col("reach"))),
+            F.filter("near", lambda w: (w["at"] >= F.col("begin.at")) & (
+                w["at"] < F.col("begin.at")
+                + F.when(w["line"] == F.col("begin.line"), F.col("reach")).otherwise(F.col("wrap"))
+            )),
             lambda w: w["word"],
         ))
         .withColumn("shared", F.size(F.array_distinct("block")))

@@ -370,6 +370,49 @@ def test_licenses_need_deciding_words(spark):
     assert labels_of(spark, lines) == [[], [], [], [], ["apache-2.0"], ["mit"], ["apache-2.0"], ["gpl-3.0"]]
 
 
+def test_licenses_wrapped_over_lines(spark):
+    mit = ("Permission is hereby granted, free of charge, to any person obtaining a copy\n"
+           "of this software and associated documentation files")
+    bsd = (" * Redistribution and use in source and binary forms, with or without\n"
+           " * modification, are permitted provided that")
+    lines = [mit, bsd, "x\n\nAll rights\nreserved", "All rights " + "word\n" * 30 + "reserved", "Licensed under CC BY\n4.0",
+             "der mit.\nEiner im dem.\nLicensed under the Apache License, Version 2.0."]
+    assert labels_of(spark, lines) == [["mit"], ["bsd"], ["all-rights-reserved"], [], [], ["apache-2.0"]]
+
+
+def brute_licenses(text):
+    words = [(k, w) for k, line in enumerate(text.split("\n")) for w in licenses.words_of(line)]
+    best = {}
+    for label, template in licenses.TEMPLATES:
+        each = licenses.words_of(template)
+        own, musts = set(each), set(each) & set(licenses.DECIDING[label])
+        for s, (line, first) in enumerate(words):
+            block = [w for at, (k, w) in enumerate(words[s : s + licenses.SPAN * len(each)])
+                     if w in own and (k == line or at < len(each))]
+            shared = len(set(block))
+            if first not in own or shared < licenses.CONTAINMENT * len(own) - 1e-9 or musts - set(block):
+                continue
+            if first not in block[1:] or len(set(block[: block.index(first, 1)])) == shared:
+                best[label, line] = max(best.get((label, line), 0), shared / len(own))
+    return sorted((label, line, share) for (label, line), share in best.items() if share)
+
+
+def test_licenses_equal_brute_force(spark):
+    rng = random.Random(3)
+    rows = []
+    for d in range(300):
+        out = []
+        for _ in range(rng.randint(1, 4)):
+            out += rng.choices(["word", "the", "and", "license"], k=rng.randint(0, 12))
+            for w in licenses.words_of(rng.choice(licenses.TEMPLATES)[1]):
+                out += [w] * (rng.random() < 0.93) + ["word"] * rng.choice([0, 0, 0, 0, 1, 3])
+        rows.append((d, "".join(w + rng.choice([" ", " ", " ", " ", "\n"]) for w in out)))
+    found = {r["doc_id"]: [tuple(s) for s in r["spans"] or []] for r in licenses.scan(texts(spark, rows)).collect()}
+    expected = {d: brute_licenses(text) for d, text in rows}
+    assert sum(map(len, expected.values())) > 150
+    assert found == expected
+
+
 # Mixing
 
 
