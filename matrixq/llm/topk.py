@@ -13,8 +13,8 @@ the work stops.
 
 Vectors that are null or hold a null or a number that is not finite take no part, nor do rows
 without id. Rows with the query's own id are no candidates for it; apart from that repeated rows
-each count. Ties go to the smaller id. Scaled components beyond 2**24 count as 2**24, which keeps
-scores of up to 32,768 components within 63 bits.
+each count. Ties go to the smaller id. A vector with a scaled component whose square times the number
+of components passes 2**60 is an error, as scores are 64-bit numbers.
 """
 
 from __future__ import annotations
@@ -37,7 +37,7 @@ LEVELS = 64
 TRIALS = (0.5, 0.7, 0.85, 1.0)
 #: Rows that may be left for exact scoring when work stops early, as a share of the block.
 LEFT = 1 / 64
-LARGEST = 1 << 24
+LARGEST = 1 << 60
 
 
 class ImpactIndex:
@@ -122,10 +122,15 @@ def search(df: DataFrame, is_query: Column, vec_id: str = "vec_id", vector: str
     """Rows ``(query_id, rank, vec_id, score)``: for each row that ``is_query`` (a condition on
     ``vec_id``) its ``k`` best others by the integer inner product of ``floor(scale * x)``."""
     source = F.col(f"`{vector}`")
-    whole = F.transform(
-        source, lambda x: F.greatest(F.least(F.floor(F.lit(float(scale)) * x.cast("double")),
-                                             F.lit(LARGEST)), F.lit(-LARGEST)).cast("long")
-    )
+    too_large = F.raise_error(F.lit(f"a vector times {scale} is too large for 64-bit scores"))
+
+    def quantised(x: Column) -> Column:
+        scaled = F.lit(float(scale)) * x.cast("double")
+        reach = F.greatest(F.abs(scaled), F.abs(F.floor(scaled)).cast("double"))
+        fits = reach * reach * F.size(source) <= F.lit(float(LARGEST))
+        return F.when(fits, F.floor(scaled).cast("long")).otherwise(too_large.cast("long"))
+
+    whole = F.transform(source, quantised)
     rows = df.where(F.col(f"`{vec_id}`").isNotNull() & blocks.finite(source)).select(
         F.col(f"`{vec_id}`").cast("long").alias("vec_id"), whole.alias("vector")
     )

@@ -35,6 +35,14 @@ def test_topk_equals_brute_force(spark):
         assert list(zip(rows.vec_id, rows.score)) == brute(range(900), whole, q, 10)
 
 
+def test_topk_large_components(spark):
+    rows = [(0, [2.0**19, 1.0]), (1, [2.0**17, 0.0]), (2, [2.0**18, -2.0**16]), (3, None), (4, [float("inf"), 1.0])]
+    found = topk.search(vectors(spark, [(i, v, "x") for i, v in rows]), F.col("vec_id") == 0).collect()
+    assert [(r["vec_id"], r["score"]) for r in found] == [(2, 2**57 - 2**36), (1, 2**56)]
+    with pytest.raises(Exception, match="too large for 64-bit scores"):
+        topk.search(vectors(spark, [(0, [1.0], "x"), (1, [2.0**30], "x")]), F.col("vec_id") == 0).collect()
+
+
 def test_early_stop_keeps_every_possible_member():
     rng = np.random.default_rng(2)
     values = np.floor(1024 * rng.normal(size=(4000, 32)) * np.linspace(4, 0.1, 32)).astype(int)
