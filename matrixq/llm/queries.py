@@ -2,15 +2,30 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matrixq.llm import bpe, forest, licenses, lines, minhash, mixing, suffixes, topk, toxicity, urls
+from matrixq.llm import (
+    bpe,
+    forest,
+    lattice,
+    licenses,
+    lines,
+    minhash,
+    mixing,
+    suffixes,
+    topk,
+    toxicity,
+    urls,
+    variants,
+    whitening,
+)
 from matrixq.llm.common import table, written
 
-#: Place of the vocabulary files of public tokenizers.
-WORD_TOKENIZER = "/opt/tokenizers/word_bpe_49k.json"
-
+#: Vocabulary files of public tokenizers.
+WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 #: Rules of the URL query: verdict, host and path.
 URL_RULES = [
@@ -95,6 +110,20 @@ def op10_mixing(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def op11_lattice(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents", "doc_id", "text", "lang")
+    model = lattice.learn(docs, lattice.Vocabulary.read(PIECES), of_class="lang")
+    return lattice.score(docs, model)
+
+
+def op12_variants(spark: SparkSession, d: str) -> DataFrame:
+    return variants.group(table(spark, d, "documents", "doc_id", "text"))
+
+
+def op13_whitening(spark: SparkSession, d: str) -> DataFrame:
+    return whitening.whiten(table(spark, d, "embeddings", "vec_id", "embedding"))
+
+
 _OP1_SQL = """
 with v as (
   select vec_id, list_transform(embedding, lambda x: floor(1024 * cast(x as double))) as e
@@ -221,10 +250,73 @@ from docs left join base using (k) left join own using (k)
 """
 
 
+def _op12_sql() -> str:
+    """The checksum is worked out byte by byte from its polynomial's table."""
+    checks = []
+    for value in range(256):
+        for _ in range(8):
+            value = value >> 1 ^ (0xEDB88320 if value & 1 else 0)
+        checks.append(value)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return f"""
+with recursive crc as (select {checks}::ubigint[] as t),
+runs as (
+  select coalesce(cast(doc_id as varchar), '') as id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), '{letters}', '{letters.lower()}'), '[a-z\\x{{C0}}-\\x{{FF}}]+')) as run
+  from documents),
+each as (select id, run, count(*) as n from runs where length(run) >= 6 group by id, run),
+coded as (
+  select run, n, flatten(list_transform(string_split(id || ':' || run, ''), lambda c:
+    case when unicode(c) < 128 then [unicode(c)] else [192 + (unicode(c) >> 6), 128 + (unicode(c) & 63)] end))
+    ::ubigint[] as b from each),
+hashed as (
+  select run, n, xor(list_reduce(b, lambda a, x: xor(a >> 8, t[cast((xor(a, x) & 255) + 1 as bigint)]), 4294967295::ubigint),
+    4294967295::ubigint) as h from coded, crc),
+placed as (select run, n, h, cast(h % length(run) as bigint) as k from hashed),
+words as (
+  select case when h % 199 = 0 then left(run, k) || substr(run, k + 2) else run end as word, sum(n) as n
+  from placed group by 1),
+v as (select word, cast(n as bigint) as n from words where length(word) >= 6 and n >= 5),
+places as (select word, n, unnest(range(length(word))) as k from v),
+rests as (select word, n, k, left(word, k) as a, substr(word, k + 2) as b from places),
+near as (
+  select x.word, y.word as near, y.n as near_n from rests x join rests y using (a, b) where x.word <> y.word
+  union select r.word, v.word, v.n from rests r join v on v.word = r.a || r.b
+  union select v.word, r.word, r.n from rests r join v on v.word = r.a || r.b),
+best as (
+  select word, count(*) as n_near, first(near order by near_n desc, near) as near, max(near_n) as near_n
+  from near group by word),
+forms as (
+  select word, n, coalesce(n_near, 0) as n_near, case when near_n >= 5 * n then near end as form,
+    case when near_n >= 5 * n then near_n end as form_n from v left join best using (word)),
+walk as (
+  select word, word as root, 0 as steps from forms
+  union all select w.word, f.form, w.steps + 1 from walk w join forms f on w.root = f.word where f.form is not null),
+roots as (select word, max_by(root, steps) as root from walk group by word)
+select word, form, root, n, n_near, form_n from forms join roots using (word)
+"""
+
+
 QUERIES = {
-    "op1_topk": op1_topk, "op2_urls": op2_urls, "op3_suffixes": op3_suffixes, "op4_bpe": op4_bpe, "op5_lines": op5_lines,
+    "op1_topk": op1_topk,
+    "op2_urls": op2_urls,
+    "op3_suffixes": op3_suffixes,
+    "op4_bpe": op4_bpe,
+    "op5_lines": op5_lines,
     "op6_toxicity": op6_toxicity,
     "op7_forest": op7_forest,
-    "op8_minhash": op8_minhash, "op9_licenses": op9_licenses, "op10_mixing": op10_mixing,
+    "op8_minhash": op8_minhash,
+    "op9_licenses": op9_licenses,
+    "op10_mixing": op10_mixing,
+    "op11_lattice": op11_lattice,
+    "op12_variants": op12_variants,
+    "op13_whitening": op13_whitening,
+}
+ORACLES = {
+    "op1_topk": _OP1_SQL,
+    "op2_urls": _op2_sql(),
+    "op5_lines": _OP5_SQL,
+    "op8_minhash": _OP8_SQL,
+    "op9_licenses": _op9_sql(),
+    "op12_variants": _op12_sql(),
 }
-ORACLES = {"op1_topk": _OP1_SQL, "op2_urls": _op2_sql(), "op5_lines": _OP5_SQL, "op8_minhash": _OP8_SQL, "op9_licenses": _op9_sql()}
