@@ -34,6 +34,7 @@ import sys
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, repeat
 
 import ahocorasick
 import numpy as np
@@ -51,12 +52,13 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 #: worth of the first weights that are added to each round's counts, for each piece.
 RANK_OFFSET, ROUNDS, PRIOR = 2.7, 2, 0.01
 #: Classes told apart, and words sent to every task with the most bytes of one.
-CLASSES, HEAD, HEAD_BYTES = 8, 1 << 17, 64
-#: Characters in the lattices at hand, words a task counts before it hands them on.
-AT_HAND, COUNTED = 100_000, 300_000
+CLASSES, HEAD, HEAD_BYTES = 8, 1 << 19, 64
+#: Characters in the lattices at hand, distinct words a task counts before it hands them on.
+AT_HAND, COUNTED = 100_000, 1_000_000
 #: Longer words are trained on in stretches of this many characters, and scored place by place.
 STRETCH = 4096
 END = b""
+BEGIN = "▁"  # the sign that vocabularies have before a word
 BREAK = 10  # between words of a lattice; no word holds it
 
 
@@ -75,6 +77,8 @@ class Vocabulary:
             (model.id_to_piece(k), -model.get_score(k)) for k in range(model.vocab_size())
             if not any(kind(k) for kind in kinds) and model.get_score(k) > -1e8
         ]
+        if BEGIN not in dict(pieces):  # a word's begin alone is a piece in any case
+            pieces.append((BEGIN, max(r for _, r in pieces)))
         ranks = np.array([r for _, r in pieces])
         weights = 1 / (np.append(ranks, np.full(256, ranks.max())) + RANK_OFFSET)
         return Vocabulary([p for p, _ in pieces], np.log(weights / weights.sum()))
@@ -94,50 +98,59 @@ class Lattice:
 
     def arcs(self, words: list[str]) -> None:
         """Finds all arcs of the words, each begun by the sign for a word's begin."""
-        joined = "".join(f"▁{w}\n" for w in words)
+        joined = "".join(f"{BEGIN}{w}\n" for w in words)
         signs = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
         sizes = np.array([len(w) + 2 for w in words])
         self.first = np.cumsum(sizes) - sizes
         self.last = self.first + sizes - 1
-        found = np.fromiter((x for hit in self.automaton.iter(joined) for x in hit), np.int64)
-        ends, piece = found.reshape(-1, 2).T
+        hits = chain.from_iterable(self.automaton.iter(joined))
+        ends, piece = np.fromiter(hits, np.int64).reshape(-1, 2).T
         starts = ends - self.sizes[piece] + 1
         bare = np.flatnonzero(~np.isin(signs, self.single) & (signs != BREAK))
-        coded = [joined[b].encode() for b in bare.tolist()]
         # A character without a piece is one arc for all of its bytes.
-        self.bytes = np.zeros((len(bare), 256), np.int32)
-        for row, code in enumerate(coded):
-            np.add.at(self.bytes[row], list(code), 1)
+        kinds, self.kind = np.unique(signs[bare], return_inverse=True)
+        self.bytes = np.zeros((len(kinds), 256))
+        for row, sign in enumerate(kinds.tolist()):
+            for byte in chr(sign).encode():
+                self.bytes[row, byte] += 1
         self.starts, self.ends = np.append(starts, bare), np.append(ends, bare) + 1
         self.piece, self.n_signs = piece, len(signs)
         self.word = np.repeat(np.arange(len(words)), sizes)
-        self.place = np.arange(len(signs)) - self.first[self.word]
+        place = np.arange(len(signs)) - self.first[self.word]
+        # Both sweeps add up the ways along the arcs place by place, all words together.
+        self.onward = self._order(self.starts, self.ends, place[self.ends - 1])
+        self.homeward = self._order(self.ends, self.starts, -place[self.starts])
 
     def scores(self, weights: np.ndarray) -> np.ndarray:
         of_bytes = self.bytes @ weights[self.pieces:]
-        return np.append(weights[:self.pieces][self.piece], of_bytes)
+        return np.append(weights[:self.pieces][self.piece], of_bytes[self.kind])
+
+    @staticmethod
+    def _order(come: np.ndarray, go: np.ndarray, turn: np.ndarray) -> tuple:
+        """The arcs in the order of their turns, where each turn begins, and where each run of
+        arcs to one place begins within it."""
+        order = np.lexsort((go, turn))
+        come, go, turn = come[order], go[order], turn[order]
+        cuts = np.append(np.flatnonzero(np.diff(turn, prepend=turn[0] - 1)), len(turn))
+        runs = np.flatnonzero(np.diff(go, prepend=-1) | np.isin(np.arange(len(go)), cuts))
+        return order, come, go[runs], cuts, np.searchsorted(runs, cuts), runs
 
     def forward(self, scores: np.ndarray) -> np.ndarray:
         """Log probability of all ways to each place."""
-        return self._sweep(self.first, self.starts, self.ends, self.place[self.ends - 1], scores)
+        return self._sweep(self.first, self.onward, scores)
 
     def backward(self, scores: np.ndarray) -> np.ndarray:
         """Log probability of all ways from each place to the end of its word."""
-        return self._sweep(self.last, self.ends, self.starts, -self.place[self.starts], scores)
+        return self._sweep(self.last, self.homeward, scores)
 
-    def _sweep(self, begin: np.ndarray, come: np.ndarray, go: np.ndarray, turn: np.ndarray,
-               scores: np.ndarray) -> np.ndarray:
-        """Adds up the ways along the arcs from ``come`` to ``go``, all words together, the
-        places of one turn at a time."""
+    def _sweep(self, begin: np.ndarray, arcs: tuple, scores: np.ndarray) -> np.ndarray:
+        order, come, to, cuts, first_run, runs = arcs
         ways = np.full(self.n_signs + 1, -np.inf)
         ways[begin] = 0
-        order = np.lexsort((go, turn))
-        come, go, turn, scores = come[order], go[order], turn[order], scores[order]
-        cuts = np.append(np.flatnonzero(np.diff(turn, prepend=turn[0] - 1)), len(turn))
-        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-            places = go[a:b]
-            runs = np.flatnonzero(np.diff(places, prepend=-1))
-            ways[places[runs]] = np.logaddexp.reduceat(ways[come[a:b]] + scores[a:b], runs)
+        scores = scores[order]
+        turns = zip(cuts[:-1].tolist(), cuts[1:].tolist(), first_run[:-1].tolist(), first_run[1:].tolist())
+        for a, b, r, s in turns:
+            ways[to[r:s]] = np.logaddexp.reduceat(ways[come[a:b]] + scores[a:b], runs[r:s] - a)
         return ways
 
     def marginals(self, words: list[str], weights: list[np.ndarray]) -> np.ndarray:
@@ -155,7 +168,7 @@ class Lattice:
 
     def marginal(self, word: str, weights: np.ndarray) -> float:
         """The same for one long word, place by place, holding the last few places only."""
-        word = "▁" + word
+        word = BEGIN + word
         reach = int(self.sizes.max())
         ways = [0.0] + [-math.inf] * reach  # ways[d]: to the place d characters back
         single = set(self.single.tolist())
@@ -184,7 +197,7 @@ class Lattice:
             share = np.exp(there[self.starts] + scores + back[self.ends] - whole)
             known = len(self.piece)
             out[:self.pieces] += np.bincount(self.piece, share[:known], minlength=self.pieces)
-            out[self.pieces:] += share[known:] @ self.bytes
+            out[self.pieces:] += np.bincount(self.kind, share[known:], len(self.bytes)) @ self.bytes
         return out
 
 
@@ -253,25 +266,27 @@ class Model:
 def count_tokens(df: DataFrame, key: str, text: str, of_class: Column) -> DataFrame:
     """Rows ``(token, class, n, c)``: occurrences in all texts and in training texts."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
-
-        def out() -> pa.RecordBatch:
-            ns = list(seen.values())
-            return pa.RecordBatch.from_arrays([
-                pa.array([t for t, _ in seen], pa.binary()),
-                pa.array([c for _, c in seen], pa.string()), pa.array(ns, pa.int64()),
-                pa.array([n if c is not None else 0 for (_, c), n in seen.items()], pa.int64()),
-            ], names=["token", "class", "n", "c"])
+        seen: dict[str | None, Counter[bytes]] = {}
+        texts: Counter[str | None] = Counter()
+
+        def out() -> Iterator[pa.RecordBatch]:
+            for kind, found in seen.items():
+                found[END] += texts[kind]
+                ns = pa.array(list(found.values()), pa.int64())
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(list(found), pa.binary()), pa.array([kind] * len(found), pa.string()),
+                    ns, ns if kind is not None else pa.array([0] * len(found), pa.int64()),
+                ], names=["token", "class", "n", "c"])
 
         for batch in batches:
             for body, kind in zip(batch.column(0), batch.column(1).to_pylist()):
-                for token, n in tokens_of(body.as_py()).items():
-                    seen[token, kind] += n
-                if len(seen) >= COUNTED:
-                    yield out()
+                seen.setdefault(kind, Counter()).update(body.as_py().lower().split())
+                texts[kind] += 1
+                if sum(map(len, seen.values())) >= COUNTED:
+                    yield from out()
                     seen.clear()
-        if seen:
-            yield out()
+                    texts.clear()
+        yield from out()
 
     # Texts that are not trained on have no class.
     kind = F.when(~held_out(F.col(f"`{key}`")), F.coalesce(of_class.cast("string"), F.lit("")))
@@ -400,42 +415,47 @@ def score(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text")
     row of ``df``. Scores are base-10 logarithms."""
     classes = len(model.shares)
     head = head_of(model.tokens).toArrow()
-    table = dict(zip(head["token"].to_pylist(), zip(head["c"].to_pylist(), head["logs"].to_pylist())))
-    sent = df.sparkSession.sparkContext.broadcast(table)
+    places = {token: k for k, token in enumerate(head["token"].to_pylist())}
+    seen, each = head["c"].to_numpy(), np.array(head["logs"].to_pylist()).reshape(-1, classes)
     total = model.counts.tokens + model.counts.types + 1
+    # By token: whether it is known, its base score, and its logarithm in each class.
+    table = np.column_stack([seen > 0, np.log10((seen + 1) / total), each])
+    sent = df.sparkSession.sparkContext.broadcast((places, table))
     fields = ["id", "body", "token", "n", "known", "base", "logs"]
     schema = "id long, body long, token binary, n long, known long, base double, logs array<double>"
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """One row with the sums over a text's frequent tokens, and one for each other token."""
-        known_tokens = sent.value
+        places, table = sent.value
         for batch in batches:
-            columns: list[list] = [[] for _ in fields]
-
-            def add(*values) -> None:
-                for column, value in zip(columns, values):
-                    column.append(value)
-
-            for doc, body, bytes_ in zip(*[batch.column(k).to_pylist() for k in (0, 1)], batch.column(2)):
-                n_all, known, base, logs = 0, 0, 0.0, [0.0] * classes
-                for token, n in tokens_of(bytes_.as_py()).items():
-                    found = known_tokens.get(token)
-                    if found is None:
-                        add(doc, body, token, n, None, None, None)
-                        continue
-                    c, each = found
-                    n_all += n
-                    known += n if c else 0
-                    base += n * math.log10((c + 1) / total)
-                    for k, x in enumerate(each):
-                        logs[k] += n * x
-                add(doc, body, None, n_all, known, base, logs)
+            tokens: list[bytes] = []
+            times: list[int] = []
+            sizes = []
+            for body in batch.column(2):
+                found = tokens_of(body.as_py())
+                tokens.extend(found)
+                times.extend(found.values())
+                sizes.append(len(found))
+            at = np.fromiter(map(places.get, tokens, repeat(-1)), np.int64, len(tokens))
+            n, row = np.array(times, np.int64), np.repeat(np.arange(len(sizes)), sizes)
+            met, other = np.flatnonzero(at >= 0), np.flatnonzero(at < 0)
+            sums = np.zeros((len(sizes), table.shape[1] + 1))
+            values = table[at[met]] if len(met) else np.zeros((0, table.shape[1]))
+            for k, column in enumerate([np.ones(len(met)), *values.T]):
+                sums[:, k] = np.bincount(row[met], column * n[met], len(sizes))
+            of, blank = pa.array(row[other]), len(other)
             yield pa.RecordBatch.from_arrays([
-                pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()),
-                pa.array(columns[2], pa.binary()), pa.array(columns[3], pa.int64()),
-                pa.array(columns[4], pa.int64()), pa.array(columns[5], pa.float64()),
-                pa.array(columns[6], pa.list_(pa.float64())),
+                batch.column(0), batch.column(1), pa.nulls(len(sizes), pa.binary()),
+                pa.array(sums[:, 0].astype(np.int64)), pa.array(sums[:, 1].astype(np.int64)),
+                pa.array(sums[:, 2]), pa.array(list(sums[:, 3:]), pa.list_(pa.float64())),
             ], names=fields)
+            if blank:
+                yield pa.RecordBatch.from_arrays([
+                    batch.column(0).take(of), batch.column(1).take(of),
+                    pa.array([tokens[k] for k in other.tolist()], pa.binary()), pa.array(n[other]),
+                    pa.nulls(blank, pa.int64()), pa.nulls(blank, pa.float64()),
+                    pa.nulls(blank, pa.list_(pa.float64())),
+                ], names=fields)
 
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     docs = df.select(
