@@ -9,11 +9,24 @@ Near lines are found by a segment-partition join. A line of length ``n`` is cut
 more than the edits; of two lines within the edits, the longer one holds one of the other's
 segments unchanged, near the same place. Each line is entered under its segments and looked up
 under those of its own substrings that could be a segment of a line of its own length or of a
-little less; substrings are told by length, number and place, so few are needed. Where one segment
-is shared by very many lines, the segment is cut out of both sides and what is left, which has no
-more edits, is cut into segments again. What meets is checked by a banded bit-parallel automaton:
-one word of bits for each number of edits, one bit for each diagonal of the band, all moved
-together by each character.
+little less; substrings are told by length, number and place, so few are needed.
+
+A segment that very many lines share makes a crowd, and a line needs one earlier partner, not all.
+So each line of a crowd is compared with the crowd's earliest line. Only where some are not near
+it does the crowd go on without that earliest line: the shared segment is cut out, and
+what is left of the lines, which has no more edits, is cut into segments again. A pair that shares
+several segments is looked for under the first of them only: a crowd whose lines all agree in an
+earlier segment as well has nothing to add. What is left gets shorter each round, until its at most
+``TINY`` characters are told by patterns: two texts are within ``e`` edits if and only if replacing
+characters by a joker, or putting jokers in, ``e`` times in all, can make them equal. So of all
+lines of one pattern only the earliest can have no earlier partner there, and no pairs are formed.
+A middle segment leaves a row of marks, one more than the edits, which keeps both sides apart.
+
+Pairs of lines that meet are checked by a banded bit-parallel automaton: one word of bits for each
+number of edits, one bit for each diagonal of the band, all moved together by each character.
+
+Marks and the joker are code points that Unicode keeps free of characters for good; lines that hold one
+nevertheless are removed as exact copies only.
 
 Exact copies are told by two 64-bit hashes; they are counted together before they are joined, and
 only the first occurrence of a line is entered. Texts that are null count as empty: one empty line,
@@ -33,8 +46,13 @@ from matrixq.llm.common import small, written
 EDITS, CHARS_PER_EDIT = 2, 20
 #: Copies listed for a broadcast: 40 bytes each. More are joined by a shuffle.
 BROADCAST_ROWS = 200_000
-#: Lines under one segment; beyond it, what is left of them is cut into segments again.
-CROWD, ROUNDS = 8, 8
+#: Lines under one segment that are compared one by one; more are a crowd.
+CROWD = 8
+#: Characters left of a line, from which on it is told by patterns.
+TINY = 12
+#: Code points that are no characters: the joker, then a mark for each round.
+FREE = [*range(0xFDD0, 0xFDF0), *(p << 16 | x for p in range(17) for x in (0xFFFE, 0xFFFF))]
+JOKER, MARKS = chr(FREE[0]), [chr(c) for c in FREE[1:]]
 
 
 def line_rows(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -57,9 +75,9 @@ def _part(text: Column, place: Column, size: Column) -> Column:
 
 
 def _pieces(rows: DataFrame, edits: int, choices: list[tuple[int, int, int]]) -> DataFrame:
-    """Each row ``(group, h, left, parity)`` once for each choice of how much shorter the other line is,
-    the segment's number from 1 and its shift, with the ``key``, ``place`` and ``size`` of that
-    piece. Choices are exploded before anything is computed, which keeps the code of it small.
+    """Each row once for each choice of how much shorter the other line is, the segment's number
+    from 1 and its shift, with the ``key``, ``place`` and ``size`` of that piece. Choices are
+    exploded before anything is computed, which keeps the code of it small.
 
     A line of ``m`` characters has segments of ``m div (edits + 1)`` characters, the last ones of
     one more where that leaves a rest.
@@ -79,9 +97,26 @@ def _pieces(rows: DataFrame, edits: int, choices: list[tuple[int, int, int]]) ->
         .where("place >= 0 and place + size <= n")
     )
     piece = _part(F.col("left"), F.col("place"), F.col("size"))
-    return each.select(
-        F.xxhash64("group", "number", m, piece).alias("key"), "h", "left", "place", "size", "parity"
-    )
+    key = F.xxhash64("group", "number", m, piece).alias("key")
+    return each.select(key, *rows.columns, "place", "size", "number", "shorter", "base")
+
+
+def _earlier(edits: int) -> Column:
+    """Hashes of the parts that stand for the segments before a piece's own: two lines that agree
+    in one of them meet under that segment too. Null for the other segments."""
+    parts = edits + 1
+    m = F.length("left") - F.col("shorter")
+    hashes = []
+    for j in range(1, parts):
+        # Of the shifts under which segment j is looked up, the least one.
+        low = F.greatest(F.lit(1 - j), F.col("shorter") - (parts - j))
+        high = F.least(F.lit(j - 1), F.col("shorter") + (parts - j))
+        shift = F.least(F.greatest(F.lit(0), low), high)
+        over = F.greatest(j - 1 - parts + m % parts, F.lit(0))
+        size = F.col("base") + (j > parts - m % parts).cast("int")
+        part = _part(F.col("left"), (j - 1) * F.col("base") + over + shift, size)
+        hashes.append(F.when(F.col("number") > j, F.xxhash64(part)))
+    return F.array(*hashes)
 
 
 def entries(rows: DataFrame, edits: int) -> DataFrame:
@@ -106,60 +141,129 @@ def probes(rows: DataFrame, edits: int) -> DataFrame:
     return _pieces(rows, edits, choices)
 
 
-def _parity(text: Column) -> Column:
-    """64 bits, each told by a pair of neighbouring characters: whether the pairs that tell it are
-    odd in number. One edit takes away two pairs at most and adds two, so it changes four bits."""
-    def step(state: Column, char: Column) -> Column:
-        bit = F.pmod(F.xxhash64(state["last"], char), F.lit(64)).cast("int")
-        turned = state["bits"].bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), bit))
-        return F.struct(char.alias("last"), turned.alias("bits"))
+def patterns(text: Column, edits: int) -> Column:
+    """What ``edits`` jokers can make of a text, each put in somewhere or in place of a character
+    that is no mark."""
+    marks = F.lit("".join(MARKS))
 
-    begin = F.struct(F.lit("").alias("last"), F.lit(0).cast("long").alias("bits"))
-    return F.aggregate(F.split(text, ""), begin, step)["bits"]
+    def once(x: Column) -> Column:
+        put = F.transform(
+            F.sequence(F.lit(0), F.length(x)),
+            lambda p: F.concat(F.substring(x, F.lit(1), p), F.lit(JOKER), F.substring(x, p + 1, F.length(x))),
+        )
+        places = F.when(F.length(x) > 0, F.sequence(F.lit(1), F.length(x))).otherwise(F.array())
+        plain = F.filter(places, lambda p: ~F.contains(marks, F.substring(x, p, F.lit(1))))
+        swapped = F.transform(
+            plain,
+            lambda p: F.concat(F.substring(x, F.lit(1), p - 1), F.lit(JOKER), F.substring(x, p + 1, F.length(x))),
+        )
+        return F.array_distinct(F.concat(put, swapped))
+
+    found = F.array(text)
+    for _ in range(edits):
+        found = F.array_distinct(F.flatten(F.transform(found, once)))
+    return found
+
+
+def by_patterns(rows: DataFrame, edits: int) -> DataFrame:
+    """Pairs ``(a, b)`` of each short text and the earliest one of its group that is within the
+    edits which both allow; no pair for the earliest itself."""
+    each = reduce(DataFrame.unionByName, [
+        rows.where(F.col("able") >= e).select(
+            "group", "h", "first", "near", F.lit(e).alias("edits"),
+            F.explode(patterns(F.col("left"), e)).alias("pattern"),
+        ) for e in range(1, edits + 1)
+    ])
+    same = ["group", "edits", "pattern"]
+    least = each.groupBy(*same).agg(
+        F.min(F.struct("first", "h")).alias("least"), F.count("*").alias("lines")
+    ).where("lines > 1")
+    met = each.where("not near").join(least.drop("lines"), same).where(F.col("h") != F.col("least.h"))
+    return met.select("h", F.col("least.h").alias("b")).groupBy("h").agg(F.min("b").alias("b")).select(
+        F.col("h").alias("a"), "b"
+    )
 
 
-def candidates(rows: DataFrame, edits: int) -> DataFrame:
-    """Distinct pairs ``(a, b)`` of hashes of lines that share a segment, from rows
-    ``(group, h, left)``.
+def leftovers(sides: list[DataFrame], crowded: DataFrame, edits: int, round_: int) -> DataFrame:
+    """Rows of crowded keys with the piece cut out, the key as their group."""
+    behind = F.expr("substring(left, place + size + 1)")
+    marks = F.lit(MARKS[round_] * (edits + 1))
+    middle = F.col("number").between(2, edits)
+    rest = F.concat(_part(F.col("left"), F.lit(0), F.col("place")), F.when(middle, marks).otherwise(""), behind)
+    cut = [
+        x.join(crowded, "key", "left_semi").select(
+            F.col("key").alias("group"), "h", "first", "able", "near", rest.alias("left"),
+            F.concat("agreed", _earlier(edits)).alias("agreed"),
+        ) for x in sides
+    ]
+    return reduce(DataFrame.unionByName, cut).distinct()
 
-    Lines of crowded segments are also told apart by the parities of their character pairs, which
-    differ in few bits if the lines are within the edits.
-    """
-    rows, found, round_ = rows.withColumn("parity", F.lit(None).cast("long")), [], 0
+
+def thinned(crowd: DataFrame, edits: int, hashes: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs ``(a, b)`` of lines near the earliest of their crowd, and the rows that go on."""
+    agreed = [F.get(F.col("agreed"), F.lit(k)) for k in range(hashes)]
+    # Where all agree in an earlier segment, they meet there; nulls say that there is none.
+    apart = reduce(
+        Column.__and__, [F.min(x).isNull() | (F.min(x) < F.max(x)) for x in agreed], F.lit(True)
+    )
+    heads = crowd.groupBy("group").agg(
+        F.min(F.struct("first", "h", "able", "left")).alias("head"), apart.alias("apart"),
+        F.count("*").alias("lines"),
+    ).where("apart and lines > 1").select("group", "head")
+    # A line can be in a crowd twice, with two texts left of it.
+    met = crowd.join(heads, "group").where("h <> head.h or left <> head.left")
+    allowed = F.when((F.col("h") != F.col("head.h")) & ~F.col("near"), F.least("able", "head.able"))
+    compared = trimmed(met.withColumns({"__a": F.col("left"), "__b": F.col("head.left")}), "__a", "__b")
+    near = reduce(
+        lambda rest, k: F.when(allowed == k, within(F.col("__a"), F.col("__b"), k)).otherwise(rest),
+        range(1, edits + 1), F.lit(False),
+    )
+    told = written(
+        compared.select(*crowd.columns, near.alias("now"), F.col("head.h").alias("b")), "crowd-told"
+    )
+    pairs = told.where("now").select(F.col("h").alias("a"), "b").distinct()
+    # A line with a partner is still one for those behind it, up to the last without one.
+    told = told.withColumn("near", F.col("near") | F.col("now"))
+    last = told.where("not near").groupBy("group").agg(F.max("first").alias("last"))
+    return pairs, told.join(last, "group").where("first <= last").select(*crowd.columns)
+
+
+def candidates(rows: DataFrame, edits: int) -> DataFrame:
+    """Distinct pairs ``(a, b)`` of hashes of lines that may be near: for each line that is near
+    an earlier one, at least one pair with such a line. Rows are ``(group, h, first, able, left)``:
+    lines of one ``group`` may meet, ``first`` is their order, ``able`` the edits they allow, and
+    ``left`` is what is compared."""
+    rows = rows.withColumns({
+        "agreed": F.array().cast("array<bigint>"), "near": F.lit(False),
+    })
+    found, round_ = [], 0
     while True:
         # The lines themselves are not shuffled unless their segment is crowded.
-        held, asked = entries(rows, edits), probes(rows, edits)
+        long = rows.where(F.length("left") > TINY) if round_ else rows
+        held = entries(rows.where(F.length("left") > TINY - edits) if round_ else rows, edits)
+        asked = probes(long, edits)
+        if round_:
+            found.append(by_patterns(rows.where(F.length("left") <= TINY), edits))
         crowded = written(
             held.groupBy("key").agg(F.count("*").alias("lines")).where(F.col("lines") > CROWD)
             .select("key"), "crowded",
         )
-        any_crowd = crowded.limit(1).count() and round_ < ROUNDS
-        a = held.select("key", F.col("h").alias("b"), F.col("parity").alias("pb"))
-        b = asked.select("key", F.col("h").alias("a"), F.col("parity").alias("pa"))
+        any_crowd = crowded.limit(1).count()
+        a = held.select("key", F.col("h").alias("b"), F.col("near").alias("nb"))
+        b = asked.select("key", F.col("h").alias("a"), F.col("near").alias("na"))
         if any_crowd:
             a, b = (x.join(crowded, "key", "left_anti") for x in (a, b))
-        pairs = b.join(a, "key").where("a <> b")
-        if round_:
-            pairs = pairs.where(F.bit_count(F.col("pa").bitwiseXOR(F.col("pb"))) <= 4 * edits)
+        pairs = b.join(a, "key").where("a <> b and not (na and nb)")
         found.append(
             pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         )
         if not any_crowd:
             break
-        rest = F.concat(
-            _part(F.col("left"), F.lit(0), F.col("place")),
-            F.expr("substring(left, place + size + 1)"),
-        )
-        sides = [
-            x.join(crowded, "key", "left_semi").select(
-                F.col("key").alias("group"), "h", rest.alias("left"), "parity"
-            ) for x in (held, asked)
-        ]
-        crowd = sides[0].unionByName(sides[1]).distinct()
-        if not round_:
-            crowd = crowd.withColumn("parity", _parity(F.col("left")))
-        rows = written(crowd, "crowd")
+        crowd = written(leftovers([held, asked], crowded, edits, round_), "crowd")
         round_ += 1
+        told, on = thinned(crowd, edits, edits * round_)
+        found.append(told)
+        rows = written(on, "crowd-on")
     return reduce(DataFrame.unionByName, found).distinct()
 
 
@@ -260,8 +364,11 @@ def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", edits: int = E
         F.col("first").isNull() | (F.col("first") == order)
     )
     able = F.least(F.floor(F.length("line") / chars_per_edit), F.lit(edits))
-    rows = unique.where(F.length("line") >= chars_per_edit).select(
-        F.lit(0).cast("long").alias("group"), "h", F.col("line").alias("left")
+    rows = unique.where(F.length("line") >= chars_per_edit).where(
+        ~F.col("line").rlike("[" + JOKER + "".join(MARKS) + "]")
+    ).select(
+        F.lit(0).cast("long").alias("group"), "h", order.alias("first"),
+        able.cast("int").alias("able"), F.col("line").alias("left"),
     )
     pairs = written(candidates(rows, edits), "line-pairs")
     wanted = small(

@@ -34,22 +34,23 @@ def test_automaton_equals_edit_distance(spark):
         assert df.where((F.col("d") <= k) & ~lines.plausible(F.col("a"), F.col("b"), F.lit(k))).count() == 0
 
 
-def brute_lines(rows, edits, per_edit):
-    def distance(a, b):
-        row = list(range(len(b) + 1))
-        for i, x in enumerate(a):
-            last, row[0] = row[0], i + 1
-            for j, y in enumerate(b):
-                last, row[j + 1] = row[j + 1], min(row[j + 1] + 1, row[j] + 1, last + (x != y))
-        return row[-1]
+def brute_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a):
+        last, row[0] = row[0], i + 1
+        for j, y in enumerate(b):
+            last, row[j + 1] = row[j + 1], min(row[j + 1] + 1, row[j] + 1, last + (x != y))
+    return row[-1]
+
 
+def brute_lines(rows, edits, per_edit):
     firsts, out = {}, {}
     order = [(d, k, line) for d, t in sorted(rows) for k, line in enumerate(t.split("\n"))]
     for d, k, line in order:
         firsts.setdefault(line, (d, k))
     near = {
         at for line, at in firsts.items() for other, before in firsts.items()
-        if before < at and distance(line, other) <= min(edits, len(line) // per_edit, len(other) // per_edit)
+        if before < at and brute_distance(line, other) <= min(edits, len(line) // per_edit, len(other) // per_edit)
     }
     for d, k, line in order:
         if not line or (firsts[line] == (d, k) and (d, k) not in near):
@@ -75,6 +76,91 @@ def test_lines_equal_brute_force(spark, monkeypatch, edits, crowd):
     assert {r["doc_id"]: r["text"] for r in found} == brute_lines(rows, edits, 5)
 
 
+@pytest.mark.parametrize("seed, crowd, spots, longest", [(1, 2, 3, 40), (2, 3, 5, 60), (3, 1, 2, 30), (4, 2, 8, 90)])
+def test_crowds_equal_brute_force(spark, monkeypatch, seed, crowd, spots, longest):
+    """Families of lines that differ in a few letters here and there, so that most segments are
+    crowded at every depth, down to the patterns."""
+    monkeypatch.setattr(lines, "CROWD", crowd)
+    rng = random.Random(seed)
+
+    def family():
+        base = rng.choices("abcdefghij ", k=rng.randint(20, longest))
+        places = sorted(rng.sample(range(len(base)), spots))
+        for _ in range(25):
+            x = list(base)
+            for at in reversed(places):
+                x[at : at + rng.choice([1, 1, 1, 0, 2])] = rng.choice(["x", "y", "z", "xy", "", "a"])
+            yield "".join(x)
+
+    each = [x for _ in range(4) for x in family()]
+    rng.shuffle(each)
+    rows = [(d, "\n".join(each[5 * d : 5 * d + 5])) for d in range(20)]
+    found = lines.dedup(texts(spark, rows), chars_per_edit=10).collect()
+    assert {r["doc_id"]: r["text"] for r in found} == brute_lines(rows, 2, 10)
+
+
+def test_patterns_tell_edits(spark):
+    """Two texts have a pattern of e jokers in common if and only if they are within e edits."""
+    rng = random.Random(5)
+    some = ["".join(rng.choices("abc", k=rng.randint(0, 6))) for _ in range(40)]
+    df = spark.createDataFrame([(x,) for x in some], "x string")
+    for edits in (1, 2):
+        found = [set(r[0]) for r in df.select(lines.patterns(F.col("x"), edits)).collect()]
+        for a, p in zip(some, found):
+            for b, q in zip(some, found):
+                near = brute_distance(a, b) <= edits
+                assert bool(p & q) == near, (a, b, edits)
+
+
+def test_crowds_grow_in_proportion(spark, monkeypatch):
+    """Lines that differ in two neighbouring letters: one stays, and the work follows the lines."""
+    signs = [chr(c) for c in range(ord("A"), ord("A") + 45)]
+    rows_of, seen = lines.written, {}
+
+    def counted(df, name):
+        out = rows_of(df, name)
+        seen[name] = seen.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(lines, "written", counted)
+    sizes = {}
+    for n in (16, 45):
+        seen.clear()
+        each = [f"the beginning of a long line {a}{b} and its very end" for a in signs[:n] for b in signs[:n]]
+        found = lines.dedup(texts(spark, [(k, x) for k, x in enumerate(each)])).collect()
+        assert [r["doc_id"] for r in found if r["text"]] == [0]
+        sizes[n * n] = sum(v for k, v in seen.items() if k.startswith("crowd") or k == "line-pairs")
+    assert sizes[2025] <= 12 * 2025 and sizes[2025] <= 1.2 * 2025 / 256 * sizes[256]
+
+
+def test_sparse_crowds_do_not_double(spark, monkeypatch):
+    """Lines of one mould with a different word each: none goes, and the rows of a round do not
+    grow with the rounds."""
+    rng = random.Random(6)
+    rows_of, rounds = lines.written, []
+
+    def counted(df, name):
+        out = rows_of(df, name)
+        if name == "crowd":
+            rounds.append(out.count())
+        return out
+
+    monkeypatch.setattr(lines, "written", counted)
+    words = {"".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=9)) for _ in range(300)}
+    each = [f"dear {w}, thank you very much for your letter of last week, we are glad to hear" for w in sorted(words)]
+    found = lines.dedup(texts(spark, [(k, x) for k, x in enumerate(each)])).collect()
+    assert all(r["text"] for r in found)
+    assert rounds and max(rounds) <= 4 * len(each)
+
+
+def test_lines_with_free_code_points(spark):
+    """Marks and jokers within texts: told as exact copies only."""
+    odd = "a line of more than forty characters with \ufdd0 and \uffff"
+    rows = [(1, odd), (2, odd.replace("forty", "forte")), (3, odd)]
+    found = lines.dedup(texts(spark, rows)).collect()
+    assert {r["doc_id"] for r in found if r["text"]} == {1, 2}
+
+
 def test_lines_without_broadcast(spark):
     rows = [(1, "x\ny"), (2, "x\nz"), (3, "y\nx\nw")]
     found = lines.dedup(texts(spark, rows), broadcast_rows=0).collect()
