@@ -11,22 +11,31 @@ segments unchanged, near the same place. Each line is entered under its segments
 under those of its own substrings that could be a segment of a line of its own length or of a
 little less; substrings are told by length, number and place, so few are needed.
 
-A segment that very many lines share makes a crowd, and a line needs one earlier partner, not all.
-So each line of a crowd is compared with the crowd's earliest line. Only where some are not near
-it does the crowd go on without that earliest line: the shared segment is cut out, and
-what is left of the lines, which has no more edits, is cut into segments again. A pair that shares
-several segments is looked for under the first of them only: a crowd whose lines all agree in an
-earlier segment as well has nothing to add. What is left gets shorter each round, until its at most
-``TINY`` characters are told by patterns: two texts are within ``e`` edits if and only if replacing
-characters by a joker, or putting jokers in, ``e`` times in all, can make them equal. So of all
-lines of one pattern only the earliest can have no earlier partner there, and no pairs are formed.
-A middle segment leaves a row of marks, one more than the edits, which keeps both sides apart.
-
-Pairs of lines that meet are checked by a banded bit-parallel automaton: one word of bits for each
+A segment that very many lines share makes a crowd, as lines of one mould do. There, all lines of
+crowds together, another test comes first: pairs of neighbouring characters are dealt into classes by
+a hash, one class more than two edits can change. So of two lines within the edits some class
+holds the same pairs, each as often, in both, wherever they stand. Lines of one mould that
+differ in a word or more have few classes in common. Up to ``ALIKE`` lines that agree in a class are
+compared by a word of parities each. More are told apart by classes of single characters as
+well, and by both once more with another hash.
+
+Where lines still agree in very large numbers, a line needs one earlier partner, not all. Each line is compared with the earliest one of its group, and only where some are not near
+it does the group go on, without that line: lines are cut into segments once more, the shared segment
+is cut out, and so forth. A pair that shares several segments is looked for under the first of them
+only: a group whose
+lines all agree in an earlier segment as well has nothing to add. What is left gets shorter each
+round, until its at most ``TINY`` characters are told by patterns: two texts are within ``e`` edits
+if and only if replacing characters by a joker, or putting jokers in, ``e`` times in all, can make
+them equal. So of all lines of one pattern only the earliest can have no earlier partner there, and
+no pairs are formed. A middle segment leaves a row of marks, one more than the edits, which keeps
+both sides apart.
+
+Pairs of lines that meet and whose parities of character pairs allow it are checked by a banded
+bit-parallel automaton: one word of bits for each
 number of edits, one bit for each diagonal of the band, all moved together by each character.
 
-Marks and the joker are code points that Unicode keeps free of characters for good; lines that hold one
-nevertheless are removed as exact copies only.
+Marks and the joker are code points that Unicode keeps free of characters or for private use; lines
+that hold one nevertheless are removed as exact copies only.
 
 Exact copies are told by two 64-bit hashes; they are counted together before they are joined, and
 only the first occurrence of a line is entered. Texts that are null count as empty: one empty line,
@@ -46,13 +55,15 @@ from matrixq.llm.common import small, written
 EDITS, CHARS_PER_EDIT = 2, 20
 #: Copies listed for a broadcast: 40 bytes each. More are joined by a shuffle.
 BROADCAST_ROWS = 200_000
-#: Lines under one segment that are compared one by one; more are a crowd.
-CROWD = 8
+#: Lines under one segment that are compared one by one; more are a crowd. Lines of a crowd that
+#: agree in a class and are compared by parities, one by one.
+CROWD, ALIKE = 8, 512
 #: Characters left of a line, from which on it is told by patterns.
 TINY = 12
-#: Code points that are no characters: the joker, then a mark for each round.
-FREE = [*range(0xFDD0, 0xFDF0), *(p << 16 | x for p in range(17) for x in (0xFFFE, 0xFFFF))]
-JOKER, MARKS = chr(FREE[0]), [chr(c) for c in FREE[1:]]
+#: Code points that no text should hold, those that are no characters and some of private use: the
+#: joker, then a mark for each round; a round cuts off a quarter or more.
+FREE = [(0xFDD0, 0xFDEF), (0xF0000, 0xF00FF)]
+JOKER, *MARKS = [chr(c) for first, last in FREE for c in range(first, last + 1)]
 
 
 def line_rows(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -206,14 +217,20 @@ def thinned(crowd: DataFrame, edits: int, hashes: int) -> tuple[DataFrame, DataF
     apart = reduce(
         Column.__and__, [F.min(x).isNull() | (F.min(x) < F.max(x)) for x in agreed], F.lit(True)
     )
+    bits = [c for c in ("bits",) if c in crowd.columns]
     heads = crowd.groupBy("group").agg(
-        F.min(F.struct("first", "h", "able", "left")).alias("head"), apart.alias("apart"),
+        F.min(F.struct("first", "h", "able", "left", *bits)).alias("head"), apart.alias("apart"),
         F.count("*").alias("lines"),
     ).where("apart and lines > 1").select("group", "head")
     # A line can be in a crowd twice, with two texts left of it.
     met = crowd.join(heads, "group").where("h <> head.h or left <> head.left")
-    allowed = F.when((F.col("h") != F.col("head.h")) & ~F.col("near"), F.least("able", "head.able"))
-    compared = trimmed(met.withColumns({"__a": F.col("left"), "__b": F.col("head.left")}), "__a", "__b")
+    asked = (F.col("h") != F.col("head.h")) & ~F.col("near")
+    if bits:
+        asked = asked & alike("bits", "head.bits", edits)
+    met = met.withColumn("__e", F.when(asked, F.least("able", "head.able")))
+    allowed = F.col("__e")
+    sides = {"__a": F.when(allowed > 0, F.col("left")), "__b": F.when(allowed > 0, F.col("head.left"))}
+    compared = trimmed(met.withColumns(sides), "__a", "__b")
     near = reduce(
         lambda rest, k: F.when(allowed == k, within(F.col("__a"), F.col("__b"), k)).otherwise(rest),
         range(1, edits + 1), F.lit(False),
@@ -228,6 +245,90 @@ def thinned(crowd: DataFrame, edits: int, hashes: int) -> tuple[DataFrame, DataF
     return pairs, told.join(last, "group").where("first <= last").select(*crowd.columns)
 
 
+#: How crowds are told apart, level by level: characters of a unit, and a number for the hash.
+LEVELS = [(2, 0), (1, 0), (2, 1), (1, 1)]
+
+
+def classes(text: Column, edits: int, unit: int, seed: int) -> Column:
+    """For each class of characters or of pairs of neighbouring ones, a number that tells which of
+    them a text holds and how often. An edit changes two units of one character or four of two."""
+    many = 2 * unit * edits + 1
+
+    def step(state: Column, char: Column) -> Column:
+        h = F.xxhash64(F.lit(seed), char) if unit == 1 else F.xxhash64(F.lit(seed), state["last"], char)
+        of, weight = F.pmod(h, F.lit(many)), h.bitwiseAND(F.lit((1 << 40) - 1))
+        sums = [
+            (state[f"c{k}"] + F.when(of == k, weight).otherwise(F.lit(0).cast("bigint"))).alias(f"c{k}")
+            for k in range(many)
+        ]
+        return F.struct(char.alias("last"), *sums)
+
+    zero = F.lit(0).cast("bigint")
+    begin = F.struct(F.lit("").alias("last"), *[zero.alias(f"c{k}") for k in range(many)])
+    held = F.aggregate(F.split(text, ""), begin, step)
+    return F.array(*[held[f"c{k}"] for k in range(many)])
+
+
+def parity(text: Column) -> Column:
+    """64 bits, each told by a pair of neighbouring characters: whether the pairs that tell it are
+    odd in number. One edit takes away two pairs at most and adds two, so it changes four bits."""
+    def step(state: Column, char: Column) -> Column:
+        bit = F.pmod(F.xxhash64(state["last"], char), F.lit(64)).cast("int")
+        turned = state["bits"].bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), bit))
+        return F.struct(char.alias("last"), turned.alias("bits"))
+
+    begin = F.struct(F.lit("").alias("last"), F.lit(0).cast("long").alias("bits"))
+    return F.aggregate(F.split(text, ""), begin, step)["bits"]
+
+
+def alike(a: str, b: str, edits: int) -> Column:
+    """Whether parities may be those of texts within the edits."""
+    return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= 4 * edits
+
+
+def by_parity(rows: DataFrame, edits: int) -> DataFrame:
+    """Pairs ``(a, b)`` within each group, told by length and parity; none of two that are both
+    near an earlier line. Rows are ``(group, h, near, n, bits)``."""
+    other = rows.toDF("group", "b", "settled", "m", "other")
+    return rows.join(other, "group").where(
+        f"h < b and abs(n - m) <= {edits} and not (near and settled)"
+    ).where(alike("bits", "other", edits)).select(F.col("h").alias("a"), "b")
+
+
+def crowd_of(sides: list[DataFrame], crowded: DataFrame, edits: int) -> tuple[list[DataFrame], DataFrame]:
+    """Pairs ``(a, b)`` of lines of crowded keys that agree in a class of each level, and of those
+    near the earliest of very many; and the rows that go on, by the classes they agree in."""
+    fields = ["h", "first", "able", "near", "left"]
+    lines = reduce(DataFrame.unionByName, [
+        x.join(crowded, "key", "left_semi").select(*fields) for x in sides
+    ]).distinct()
+    lines = written(lines.withColumn("bits", parity(F.col("left"))), "crowd-lines")
+    none = F.array(*[F.lit(None).cast("bigint")] * edits).alias("agreed")
+    rows, found = lines.select("*", F.lit(0).cast("bigint").alias("group"), none), []
+    for unit, seed in LEVELS:
+        told = rows.withColumn("told", classes(F.col("left"), edits, unit, seed))
+        keys = F.array(*[
+            F.xxhash64("group", F.lit(k), F.get("told", F.lit(k))) for k in range(2 * unit * edits + 1)
+        ])
+        each = told.select("h", "near", F.length("left").alias("n"), "bits", F.explode(keys).alias("group"))
+        sizes = each.groupBy("group").agg(F.count("*").alias("lines")).where("lines > 1")
+        each = written(each.join(sizes, "group"), "crowd-classes")
+        few = ["group", "h", "near", "n", "bits"]
+        found.append(by_parity(each.where(F.col("lines") <= CROWD).select(*few), edits))
+        many = each.where(F.col("lines") > CROWD).groupBy("group", "h").agg(F.min("near").alias("near"))
+        many = many.join(lines.drop("near"), "h").select("group", *fields, "bits", none)
+        told, on = thinned(written(many, "crowd"), edits, edits)
+        found.append(told)
+        on = written(on, "crowd-on")
+        sizes = on.groupBy("group").agg(F.count("*").alias("lines"))
+        on = written(on.join(sizes, "group").withColumn("n", F.length("left")), "crowd-sized")
+        found.append(by_parity(on.where(F.col("lines") <= ALIKE).select(*few), edits))
+        rows = on.where(F.col("lines") > ALIKE).drop("n", "lines")
+        if not rows.limit(1).count():
+            break
+    return found, rows.drop("bits")
+
+
 def candidates(rows: DataFrame, edits: int) -> DataFrame:
     """Distinct pairs ``(a, b)`` of hashes of lines that may be near: for each line that is near
     an earlier one, at least one pair with such a line. Rows are ``(group, h, first, able, left)``:
@@ -259,11 +360,17 @@ def candidates(rows: DataFrame, edits: int) -> DataFrame:
         )
         if not any_crowd:
             break
-        crowd = written(leftovers([held, asked], crowded, edits, round_), "crowd")
         round_ += 1
-        told, on = thinned(crowd, edits, edits * round_)
-        found.append(told)
-        rows = written(on, "crowd-on")
+        if round_ == 1:
+            shared, rows = crowd_of([held, asked], crowded, edits)
+            found += shared
+        else:
+            crowd = written(leftovers([held, asked], crowded, edits, round_), "crowd")
+            told, on = thinned(crowd, edits, edits * round_)
+            found.append(told)
+            rows = written(on, "crowd-on")
+        if not rows.limit(1).count():
+            break
     return reduce(DataFrame.unionByName, found).distinct()
 
 
@@ -364,9 +471,9 @@ def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", edits: int = E
         F.col("first").isNull() | (F.col("first") == order)
     )
     able = F.least(F.floor(F.length("line") / chars_per_edit), F.lit(edits))
-    rows = unique.where(F.length("line") >= chars_per_edit).where(
-        ~F.col("line").rlike("[" + JOKER + "".join(MARKS) + "]")
-    ).select(
+    taken = "[" + "".join(f"{chr(first)}-{chr(last)}" for first, last in FREE) + "]"
+    plain = F.when(F.octet_length("line") > F.length("line"), ~F.col("line").rlike(taken)).otherwise(True)
+    rows = unique.where((F.length("line") >= chars_per_edit) & plain).select(
         F.lit(0).cast("long").alias("group"), "h", order.alias("first"),
         able.cast("int").alias("able"), F.col("line").alias("left"),
     )
@@ -377,9 +484,17 @@ def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", edits: int = E
         ), broadcast_rows,
     )
     texts = written(
-        unique.join(wanted, "h", "left_semi").select("h", order.alias("first"), "line", able.alias("able")),
-        "line-texts",
+        unique.join(wanted, "h", "left_semi").select(
+            "h", order.alias("first"), "line", able.alias("able"),
+            parity(F.col("line")).alias("bits"),
+        ), "line-texts",
     )
+    # Most pairs go by their parities, before their texts are brought together.
+    bits = texts.select("h", "bits")
+    pairs = pairs.join(bits.toDF("a", "pa"), "a").join(bits.toDF("b", "pb"), "b").where(
+        alike("pa", "pb", edits)
+    ).select("a", "b")
+    texts = texts.drop("bits")
     one = texts.select(*[F.col(c).alias(x) for c, x in zip(texts.columns, ("a", "fa", "la", "ka"))])
     two = texts.select(*[F.col(c).alias(x) for c, x in zip(texts.columns, ("b", "fb", "lb", "kb"))])
     met = pairs.join(one, "a").join(two, "b")
@@ -391,12 +506,12 @@ def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", edits: int = E
     met = met.where((F.length("la") <= 2 * edits) | inside)
     # Fewer edits than the greatest number are told by a narrower band.
     allowed = F.least("ka", "kb")
-    alike = reduce(
+    are_near = reduce(
         lambda rest, k: F.when(allowed == k, within(F.col("la"), F.col("lb"), k)).otherwise(rest),
         range(1, edits + 1), F.lit(False),
     )
     later = F.greatest("fa", "fb")
-    near = written(met.where(alike).select(later.alias("first")).distinct(), "near-lines")
+    near = written(met.where(are_near).select(later.alias("first")).distinct(), "near-lines")
     left = firsts.select("first").join(near, "first", "left_anti")
     places = left.select(
         F.col("first.doc").alias("__doc"), F.col("first.body").alias("__body"), "first.at"
