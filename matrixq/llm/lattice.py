@@ -52,9 +52,11 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 #: worth of the first weights that are added to each round's counts, for each piece.
 RANK_OFFSET, ROUNDS, PRIOR = 2.7, 2, 0.01
 #: Classes told apart, and words sent to every task with the most bytes of one.
-CLASSES, HEAD, HEAD_BYTES = 8, 1 << 19, 64
+CLASSES, HEAD, HEAD_BYTES = 8, 1 << 18, 64
 #: Characters in the lattices at hand, distinct words a task counts before it hands them on.
-AT_HAND, COUNTED = 100_000, 1_000_000
+AT_HAND, COUNTED = 100_000, 400_000
+#: Distinct words of texts, one after the other, that are looked up together.
+LOOKED_UP = 200_000
 #: Longer words are trained on in stretches of this many characters, and scored place by place.
 STRETCH = 4096
 END = b""
@@ -427,15 +429,8 @@ def score(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text")
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """One row with the sums over a text's frequent tokens, and one for each other token."""
         places, table = sent.value
-        for batch in batches:
-            tokens: list[bytes] = []
-            times: list[int] = []
-            sizes = []
-            for body in batch.column(2):
-                found = tokens_of(body.as_py())
-                tokens.extend(found)
-                times.extend(found.values())
-                sizes.append(len(found))
+        def sums_of(rows: pa.RecordBatch, tokens: list[bytes], times: list[int],
+                    sizes: list[int]) -> Iterator[pa.RecordBatch]:
             at = np.fromiter(map(places.get, tokens, repeat(-1)), np.int64, len(tokens))
             n, row = np.array(times, np.int64), np.repeat(np.arange(len(sizes)), sizes)
             met, other = np.flatnonzero(at >= 0), np.flatnonzero(at < 0)
@@ -443,20 +438,31 @@ def score(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text")
             values = table[at[met]] if len(met) else np.zeros((0, table.shape[1]))
             for k, column in enumerate([np.ones(len(met)), *values.T]):
                 sums[:, k] = np.bincount(row[met], column * n[met], len(sizes))
-            of, blank = pa.array(row[other]), len(other)
             yield pa.RecordBatch.from_arrays([
-                batch.column(0), batch.column(1), pa.nulls(len(sizes), pa.binary()),
+                rows.column(0), rows.column(1), pa.nulls(len(sizes), pa.binary()),
                 pa.array(sums[:, 0].astype(np.int64)), pa.array(sums[:, 1].astype(np.int64)),
                 pa.array(sums[:, 2]), pa.array(list(sums[:, 3:]), pa.list_(pa.float64())),
             ], names=fields)
-            if blank:
+            if len(other):
+                of, blank = pa.array(row[other]), len(other)
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).take(of), batch.column(1).take(of),
+                    rows.column(0).take(of), rows.column(1).take(of),
                     pa.array([tokens[k] for k in other.tolist()], pa.binary()), pa.array(n[other]),
                     pa.nulls(blank, pa.int64()), pa.nulls(blank, pa.float64()),
                     pa.nulls(blank, pa.list_(pa.float64())),
                 ], names=fields)
 
+        for batch in batches:
+            first, tokens, times, sizes = 0, [], [], []
+            for k, body in enumerate(batch.column(2)):
+                found = tokens_of(body.as_py())
+                tokens.extend(found)
+                times.extend(found.values())
+                sizes.append(len(found))
+                if len(tokens) >= LOOKED_UP or k == batch.num_rows - 1:
+                    yield from sums_of(batch.slice(first, len(sizes)), tokens, times, sizes)
+                    first, tokens, times, sizes = k + 1, [], [], []
+
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     docs = df.select(
         F.col(f"`{key}`").cast("long").alias("id"), F.xxhash64(body).alias("body"),
