@@ -24,7 +24,7 @@ from matrixq.llm.common import count_words, small, written
 WEIGHTS = (5, 2, 1)
 #: Most copies of a row, on the average and for each.
 MOST = 3
-#: Newton steps end when every source is this near to its target, or after so many.
+#: Newton steps end when every source is this near to its target; more than so many are an error.
 NEARNESS, STEPS = 1e-9, 60
 #: Rows of one source and size that are ranked by one task.
 CELL_ROWS = 1_000
@@ -137,6 +137,8 @@ def tilts(cells: DataFrame, targets: DataFrame, most: float = MOST) -> DataFrame
         if not state.where(F.col("away") >= NEARNESS).limit(1).count():
             break
         state = state.drop("away")
+    else:
+        raise RuntimeError(f"the rates of a source have not met its target in {STEPS} steps")
     return state.select("skey", (F.col("l") / F.col("scale")).alias("l"))
 
 

@@ -13,8 +13,9 @@ the work stops.
 
 Vectors that are null or hold a null or a number that is not finite take no part, nor do rows
 without id. Rows with the query's own id are no candidates for it; apart from that repeated rows
-each count. Ties go to the smaller id. A vector with a scaled component whose square times the number
-of components passes 2**60 is an error, as scores are 64-bit numbers.
+each count. Ties go to the smaller id. Where products or sums might pass 64 bits they are formed in
+whole numbers of any size; a score that is returned and passes 64 bits is an error, as is a
+component that does.
 """
 
 from __future__ import annotations
@@ -37,7 +38,6 @@ LEVELS = 64
 TRIALS = (0.5, 0.7, 0.85, 1.0)
 #: Rows that may be left for exact scoring when work stops early, as a share of the block.
 LEFT = 1 / 64
-LARGEST = 1 << 60
 
 
 class ImpactIndex:
@@ -45,6 +45,7 @@ class ImpactIndex:
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray) -> None:
         self.ids, self.vectors = ids, vectors
+        self.largest = float(np.abs(vectors.astype(np.float64)).max(initial=0.0))
         n, width = vectors.shape
         least, most = vectors.min(0), vectors.max(0)
         step = (most - least) // LEVELS + 1
@@ -68,9 +69,21 @@ class ImpactIndex:
         free = np.flatnonzero(self.ids != query_id)
         if len(free) > k:
             free = self.possible(query, k, free)
-        ids, scores = self.ids[free], self.vectors[free] @ query
-        order = np.lexsort((ids, -scores))[:k]
-        return ids[order], scores[order]
+        ids = self.ids[free]
+        if self.fits(query):
+            scores = self.vectors[free] @ query
+            order = np.lexsort((ids, -scores))[:k]
+            return ids[order], scores[order]
+        scores = self.vectors[free].astype(object) @ query.astype(object)
+        order = sorted(range(len(ids)), key=lambda r: (-scores[r], ids[r]))[:k]
+        if any(not -(1 << 63) <= scores[r] < 1 << 63 for r in order):
+            raise OverflowError("a score passes 64 bits")
+        return ids[order], scores[order].astype(np.int64)
+
+    def fits(self, query: np.ndarray) -> bool:
+        """Whether no sum of products can pass 64 bits."""
+        most = np.abs(query.astype(np.float64)).max(initial=0.0) * self.largest
+        return most * len(query) < 2.0**62
 
     def add(self, score: np.ndarray, segments: np.ndarray, impact: np.ndarray) -> None:
         """Adds the impacts of some segments to the scores of their rows."""
@@ -83,7 +96,8 @@ class ImpactIndex:
 
     def possible(self, query: np.ndarray, k: int, free: np.ndarray) -> np.ndarray:
         """The rows of ``free`` that may be among its k best."""
-        weight = query[self.term]
+        # Beyond 64 bits bounds are doubles; their rounding is part of the slack.
+        weight = query[self.term].astype(np.int64 if self.fits(query) else np.float64)
         ends = weight * self.low, weight * self.high
         top, bottom = np.maximum(*ends), np.minimum(*ends)
         floor = np.minimum.reduceat(bottom, self.first)[self.term]
@@ -122,13 +136,12 @@ def search(df: DataFrame, is_query: Column, vec_id: str = "vec_id", vector: str
     """Rows ``(query_id, rank, vec_id, score)``: for each row that ``is_query`` (a condition on
     ``vec_id``) its ``k`` best others by the integer inner product of ``floor(scale * x)``."""
     source = F.col(f"`{vector}`")
-    too_large = F.raise_error(F.lit(f"a vector times {scale} is too large for 64-bit scores"))
+    too_large = F.raise_error(F.lit(f"a component times {scale} passes 64 bits"))
 
     def quantised(x: Column) -> Column:
-        scaled = F.lit(float(scale)) * x.cast("double")
-        reach = F.greatest(F.abs(scaled), F.abs(F.floor(scaled)).cast("double"))
-        fits = reach * reach * F.size(source) <= F.lit(float(LARGEST))
-        return F.when(fits, F.floor(scaled).cast("long")).otherwise(too_large.cast("long"))
+        scaled = F.floor(F.lit(float(scale)) * x.cast("double"))
+        fits = F.abs(F.lit(float(scale)) * x.cast("double")) < F.lit(float(1 << 62))
+        return F.when(fits, scaled.cast("long")).otherwise(too_large.cast("long"))
 
     whole = F.transform(source, quantised)
     rows = df.where(F.col(f"`{vec_id}`").isNotNull() & blocks.finite(source)).select(

@@ -42,7 +42,6 @@ LABELLED_TEXTS = 50_000
 #: A word is taken into the lexicon if it is in this many toxic texts, a likelihood-ratio test
 #: against chance gives at least that statistic, and it has at least this weight.
 LEAST_TEXTS, LEAST_EVIDENCE, LEAST_WEIGHT = 5, 24.0, 1.5
-LEXICON_WORDS = 20_000
 THRESHOLD = 0.3
 
 #: Letters that a sign may stand for (fixed values).
@@ -274,12 +273,12 @@ def learn_trigrams(texts: DataFrame, text: str) -> dict[int, int]:
 
 
 def learn_weights(labelled: DataFrame) -> tuple[dict[str, float], float]:
-    """The lexicon and the prior from rows ``(words, label)``, the distinct words of a text.
+    """The lexicon and the prior from rows ``(place, words, label)``, a text and its distinct words.
 
     A word's weight is the logarithm of how much likelier it is in a toxic text. The prior is that
     of texts that hold no word of the lexicon.
     """
-    rows = labelled.select("words", F.col("label").cast("int").alias("y"))
+    rows = labelled.select("place", "words", F.col("label").cast("int").alias("y"))
     sums = rows.agg(F.count("*").alias("n"), F.sum("y").alias("toxic")).first()
     toxic, clean = sums["toxic"] or 0, sums["n"] - (sums["toxic"] or 0)
     if not toxic or not clean:
@@ -295,11 +294,14 @@ def learn_weights(labelled: DataFrame) -> tuple[dict[str, float], float]:
     lexicon = (
         words.where(t >= LEAST_TEXTS).withColumn("w", weight).withColumn("evidence", evidence)
         .where((F.col("w") >= LEAST_WEIGHT) & (F.col("evidence") >= LEAST_EVIDENCE))
-        .orderBy(F.desc("evidence"), "word").limit(LEXICON_WORDS)
     )
-    weights = {r["word"]: r["w"] for r in lexicon.select("word", "w").collect()}
-    held = F.arrays_overlap("words", F.array(*[F.lit(w) for w in weights]).cast("array<string>"))
-    rest = rows.where(~F.coalesce(held, F.lit(False))).agg(
+    # No more words than the labelled texts' distinct words over LEAST_TEXTS.
+    lexicon = written(lexicon.select("word", "w"), "lexicon")
+    weights = {r["word"]: r["w"] for r in lexicon.collect()}
+    marked = rows.select("place", F.explode("words").alias("word")).join(
+        lexicon.select("word"), "word", "left_semi"
+    ).select("place").distinct()
+    rest = rows.join(marked, "place", "left_anti").agg(
         F.count("*").alias("n"), F.sum("y").alias("t")
     ).first()
     t, c = (rest["t"] or 0) + 0.5, rest["n"] - (rest["t"] or 0) + 0.5

@@ -39,8 +39,14 @@ def test_topk_large_components(spark):
     rows = [(0, [2.0**19, 1.0]), (1, [2.0**17, 0.0]), (2, [2.0**18, -2.0**16]), (3, None), (4, [float("inf"), 1.0])]
     found = topk.search(vectors(spark, [(i, v, "x") for i, v in rows]), F.col("vec_id") == 0).collect()
     assert [(r["vec_id"], r["score"]) for r in found] == [(2, 2**57 - 2**36), (1, 2**56)]
-    with pytest.raises(Exception, match="too large for 64-bit scores"):
-        topk.search(vectors(spark, [(0, [1.0], "x"), (1, [2.0**30], "x")]), F.col("vec_id") == 0).collect()
+    # Products beyond 64 bits on the way, scores within; then a score and a component beyond.
+    far = [(0, [2.0**30, 1.0]), (1, [2.0**21, 2.0**40 - 2.0**51]), (2, [-(2.0**21), 2.0**51])]
+    found = topk.search(vectors(spark, [(i, v, "x") for i, v in far]), F.col("vec_id") == 0).collect()
+    exact = lambda v: (1 << 40) * int(1024 * v[0]) + 1024 * int(1024 * v[1])
+    assert [(r["vec_id"], r["score"]) for r in found] == [(i, exact(v)) for i, v in far[1:]]
+    for v in (2.0**43, 2.0**53):
+        with pytest.raises(Exception, match="64 bits"):
+            topk.search(vectors(spark, [(0, [2.0**20], "x"), (1, [v], "x")]), F.col("vec_id") == 0).collect()
 
 
 def test_early_stop_keeps_every_possible_member():
