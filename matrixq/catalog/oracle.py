@@ -176,13 +176,17 @@ def oracle() -> dict[str, str]:
         "parse_counted": _with(_lines(COUNTED_LINES))
         + f"select * from ({whole_cells} where len(p) = 3) where i >= 0 and j >= 0",
         "parse_strict": _with(_lines(STRICT_LINES)) + whole_cells,
-        "generate_cells": """
-            with n as (select (select count(*) from part) m, (select count(*) from supplier) n),
-            k as (select m, n, cast(round_even(0.05 * m * n, 0) as bigint) c from n),
-            s as (select unnest(range(c)) t, m, n, c from k),
-            h as (select t, m, n, c, md5(cast(t as varchar) || ':7') x from s),
-            b as (select *, (t * m * n) // c lo, ((t + 1) * m * n) // c hi from h),
-            p as (select n, lo + cast('0x' || substr(x, 1, 12) as bigint) % (hi - lo) cell,
-                cast('0x' || substr(x, 13, 8) as bigint) % 9 + 1 v from b)
-            select cell // n i, cell % n j, v from p""",
+        "mm_rows": _with(ORDER_PART, PART_SUPPLIER) + _product("OP", "PS"),
+        "mm_rows_gram": _with(ORDER_PART) + _gram("OP"),
+        "mm_rows_long": _with(ORDER_PART)
+        + "select a.i, b.j, cast(sum(a.v * b.v) as bigint) v from ("
+        "select cast(l_linenumber as bigint) i, l_orderkey j, sum(cast(l_quantity as bigint)) v "
+        "from lineitem group by 1, 2) a join OP b on a.j = b.i group by 1, 2",
+        "row_products": _with(ORDER_PART, PART_SUPPLIER)
+        + "select a.i, cast(sum(n) as bigint) products, count(*) cells "
+        "from OP a join (select i, count(*) n from PS group by 1) b on a.j = b.i group by 1",
+        "mm_verified": _with(ORDER_PART, PART_SUPPLIER)
+        + "select count(distinct a.i) n_rows, cast(0 as bigint) differing from OP a join PS b on a.j = b.i",
+        "with_partner_cells": _with(ORDER_PART, PART_SIZE)
+        + "select i, j, v from OP a where exists (select 1 from PF b where b.i = a.j and b.v > 25)",
     }

@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 import matrixq as mq
 from matrixq.catalog import tables as t
-from matrixq.plans.stats import key_work, product_counts
+from matrixq.operators.prefilter import bitmaps, with_partner
+from matrixq.operators.rowwise import row_product
+from matrixq.operators.verify import product_differences
+from matrixq.plans.stats import key_work, product_counts, row_products as counted_rows
 from matrixq.session import scratch_path
-from matrixq.sources.cells import generate
 from matrixq.sources.dense_line import read_dense_line, write_dense_line
 from matrixq.sources.tables import read_parquet, read_prepared, write_parquet, write_prepared
 from matrixq.sources.text import parse_cells, read_cells, source_info, write_cells
@@ -37,6 +39,49 @@ def mm_supplier_gram(spark: SparkSession, d: str) -> DataFrame:
     return mq.gram(t.part_supplier(spark, d), strategy="auto").cells
 
 
+def mm_rows(spark: SparkSession, d: str) -> DataFrame:
+    """The product of ``mm_join`` by parts of its rows, no partial sum shuffled."""
+    return mq.matmul(t.order_part(spark, d), t.part_supplier(spark, d), "rows").cells
+
+
+def mm_rows_gram(spark: SparkSession, d: str) -> DataFrame:
+    """Parts by the orders they share; each part names the orders it is in."""
+    m = t.order_part(spark, d)
+    return mq.matmul(m.T, m, "rows").cells
+
+
+def mm_rows_long(spark: SparkSession, d: str) -> DataFrame:
+    """Line numbers by parts: seven output rows hold all products, so each is split by columns."""
+    rows = t.table(spark, d, "lineitem")
+    by_line = mq.Matrix.of(
+        rows.select("l_linenumber", "l_orderkey", F.col("l_quantity").cast("bigint").alias("v")),
+        i="l_linenumber", j="l_orderkey",
+    )
+    return row_product(by_line, t.order_part(spark, d), part_products=10_000).cells
+
+
+def row_products(spark: SparkSession, d: str) -> DataFrame:
+    """What each row of a product costs, from counts of its factors alone."""
+    a, b = mq.coalesce_cells(t.order_part(spark, d)), mq.coalesce_cells(t.part_supplier(spark, d))
+    return counted_rows(a, b).select("i", "products", "cells")
+
+
+def mm_verified(spark: SparkSession, d: str) -> DataFrame:
+    """The row-wise product checked against its factors: how many rows it has and how many of them
+    do not fit."""
+    a, b = t.order_part(spark, d), t.part_supplier(spark, d)
+    c = mq.matmul(a, b, "rows")
+    wrong = product_differences(a, b, c).agg(F.count("*").alias("differing"))
+    rows = c.cells.agg(F.count_distinct("i").alias("n_rows"))
+    return rows.select("n_rows", wrong.select("differing").scalar().alias("differing"))
+
+
+def with_partner_cells(spark: SparkSession, d: str) -> DataFrame:
+    """Order-part cells whose part is large, told by bitmaps of the parts."""
+    large = t.part_size(spark, d).cells.where("v > 25")
+    return with_partner(mq.coalesce_cells(t.order_part(spark, d)).cells, "j", bitmaps(large, "i"))
+
+
 def mm_broadcast(spark: SparkSession, d: str) -> DataFrame:
     return mq.matmul(t.order_part(spark, d), t.part_size(spark, d), "broadcast").cells
 
@@ -359,12 +404,6 @@ def parse_strict(spark: SparkSession, d: str) -> DataFrame:
     return _parsed(spark, d, STRICT_LINES, "strict")
 
 
-def generate_cells(spark: SparkSession, d: str) -> DataFrame:
-    """A random matrix with one row per part and one column per supplier, 5 % full."""
-    n_rows, n_cols = (t.table(spark, d, name).count() for name in ("part", "supplier"))
-    return generate(spark, n_rows, n_cols, 0.05, seed=7).cells
-
-
 QUERIES = {
     f.__name__: f
     for f in (
@@ -376,6 +415,7 @@ QUERIES = {
         column_map, preview, preview_table, sample, dense_rows, dense_rows_roundtrip, blocks,
         block_roundtrip, coo_text_roundtrip, parquet_roundtrip, source_size, dense_line_reshape,
         dense_line_counted,
-        parse_permissive, parse_counted, parse_strict, generate_cells,
+        parse_permissive, parse_counted, parse_strict, mm_rows, mm_rows_gram, mm_rows_long, mm_verified, row_products,
+        with_partner_cells,
     )
 }

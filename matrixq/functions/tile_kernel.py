@@ -1,4 +1,4 @@
-"""The dense kernel of the block product, run by each task over its sorted strips."""
+"""The kernel of the block product, run by each task over its sorted pieces of tiles."""
 
 from __future__ import annotations
 
@@ -7,93 +7,199 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
+from matrixq.functions.cell_products import ByInner, checked, whole_products
+
 # Whole numbers below this are exact in a double.
 EXACT = float(2**53)
-TILE_KEYS = ["bi", "bj", "layer", "bk"]
+GROUP_KEYS = ["gi", "gj", "layer", "bk"]
+# What a product of two cells costs against one multiplication of the dense kernel.
+CELL_COST = 500
+# Products of positive numbers above this do not vanish.
+TINIEST = 1e-290
+# Cells of a piece at the most.
+PIECE = 1 << 18
+
+
+def pieces_of_tiles(block: int, transposed: bool, whole: bool):
+    """Packs cells ``(i, j, v)`` as they come into pieces ``(outer, inner, place, val)``: cells of
+    one tile, told by its place in the output and along the inner index. ``place`` is the cell's
+    outer offset times ``block`` plus its inner offset. ``transposed``: ``i`` is the inner index.
+    Nothing is shuffled for it, so a tile comes in as many pieces as tasks have cells of it."""
+    kind = np.int64 if whole else np.float64
+    names = ["outer", "inner", "place", "val"]
+
+    def pack(outer: np.ndarray, inner: np.ndarray, v: np.ndarray) -> pa.RecordBatch:
+        tiles = np.stack([outer // block, inner // block])
+        order = np.lexsort(tiles)
+        tiles = tiles[:, order]
+        cut = np.flatnonzero(np.any(np.diff(tiles, axis=1, prepend=-1), axis=0))
+        place = ((outer % block) * block + inner % block).astype(np.int32)[order]
+        ends = pa.array(np.append(cut, len(order)).astype(np.int32))
+        return pa.RecordBatch.from_arrays([
+            pa.array(tiles[0, cut]), pa.array(tiles[1, cut]),
+            pa.ListArray.from_arrays(ends, pa.array(place)),
+            pa.ListArray.from_arrays(ends, pa.array(v[order])),
+        ], names=names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[np.ndarray]] = [[], [], []]
+        cells = 0
+        for batch in batches:
+            for column, c in zip(held, ("j", "i", "v") if transposed else ("i", "j", "v")):
+                column.append(batch.column(c).to_numpy().astype(kind if c == "v" else np.int64))
+            cells += batch.num_rows
+            if cells >= PIECE:
+                yield pack(*map(np.concatenate, held))
+                held, cells = [[], [], []], 0
+        if cells:
+            yield pack(*map(np.concatenate, held))
 
+    return run
 
-def tile_sums(block: int, edges: tuple[int, int, int], whole: bool, keep_zeros: bool):
-    """The kernel: strips in tile order come in, the cells of finished tiles go out.
 
+class Tile:
+    """The cells of a tile, and the tile as an array where that pays."""
+
+    def __init__(self, place: np.ndarray, val: np.ndarray, block: int) -> None:
+        self.outer, self.inner, self.val = place // block, place % block, val
+        self._array: np.ndarray | None = None
+        self.finite = val.dtype != np.float64 or bool(np.isfinite(val).all())
+        self.least = val.min()
+        self.by_inner: ByInner | None = None
+
+    def array(self, shape: tuple[int, int]) -> np.ndarray:
+        if self._array is None:
+            self._array = np.zeros(shape, self.val.dtype)
+            self._array[self.outer, self.inner] = self.val
+        return self._array
+
+    def mask(self, shape: tuple[int, int]) -> np.ndarray:
+        out = np.zeros(shape, np.float32)
+        out[self.outer, self.inner] = 1
+        return out
+
+    def held(self) -> ByInner:
+        if self.by_inner is None:
+            self.by_inner = ByInner(self.outer, self.inner, self.val)
+        return self.by_inner
+
+
+class Output:
+    """A tile of the result, with the places that some product went into."""
+
+    def __init__(self, shape: tuple[int, int], whole: bool) -> None:
+        self.sums = np.zeros(shape, np.int64 if whole else np.float64)
+        self.met = np.zeros(shape, bool)
+
+    def add(self, left: Tile, right: Tile, inner: int) -> None:
+        """Adds the product of a left tile and a right one, whose ``outer`` are rows and columns.
+
+        Nearly empty tiles cost their pairs of cells, full ones the dense kernel. That kernel
+        takes an absent cell for zero, so tiles that are not finite go cell by cell as well.
+        """
+        rows, cols = self.sums.shape
+        _, counts = left.held().counts(right.inner)
+        pairs = int(counts.sum())
+        if not pairs:
+            return
+        if pairs * CELL_COST < rows * inner * cols or not (left.finite and right.finite):
+            self._by_cell(left, right)
+            return
+        x, y = left.array((rows, inner)), right.array((cols, inner)).T
+        if self.sums.dtype == np.int64:
+            add_whole(x, y, self.sums)
+        else:
+            product = x @ y
+            self.sums += product
+        # Sums of positive products are positive, so they show where cells met.
+        if self.sums.dtype != np.int64 and left.least > 0 and right.least > 0 and float(
+                left.least) * float(right.least) > TINIEST:
+            self.met |= product != 0
+        else:
+            self.met |= left.mask((rows, inner)) @ right.mask((cols, inner)).T > 0
+
+    def _by_cell(self, left: Tile, right: Tile) -> None:
+        cols = self.sums.shape[1]
+        flat, met = self.sums.reshape(-1), self.met.reshape(-1)
+        for line, j, x, y in left.held().products(right.inner, right.outer, right.val):
+            key = line * cols + j
+            met[key] = True
+            if flat.dtype != np.int64:
+                np.add.at(flat, key, x * y)
+                continue
+            values = whole_products(x, y)
+            most = float(np.abs(values.astype(np.float64)).max()) * len(values)
+            if values.dtype == object or most + float(np.abs(flat.astype(np.float64)).max()) >= 2.0**62:
+                total = flat.astype(object)
+                np.add.at(total, key, values.astype(object))
+                flat[:] = checked(total)
+            else:
+                np.add.at(flat, key, values)
+
+
+def tile_sums(block: int, across: int, edges: tuple[int, int, int], whole: bool, symmetric: bool):
+    """The kernel: pieces in the order of their groups come in, cells of finished groups go out.
+
+    A group is ``across`` by ``across`` output tiles; for each step along the inner index the tiles
+    of both factors that meet in it are in memory, and the group's output tiles throughout.
     ``edges``: rows, inner size and columns of a tile, ``block`` or less where the matrices are
-    smaller. One tile of each factor and the sum are in memory at a time, three arrays in all.
-    ``keep_zeros``: a cell that some product went into is given out also where the sum is zero.
-    That takes three more arrays of half the size, which say where cells are and where they met.
+    smaller. ``symmetric``: a group on the diagonal gets the right pieces only, which are its left
+    ones turned over, and tiles below the diagonal are left out.
     """
-    dtype = np.int64 if whole else np.float64
     rows, inner, cols = edges
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tiles = [np.zeros((rows, inner), dtype), np.zeros((inner, cols), dtype)]
-        filled = [False, False]
-        out = np.zeros((rows, cols), dtype)
-        masks = met = None
-        if keep_zeros:
-            masks = [np.zeros(tile.shape, np.float32) for tile in tiles]
-            met = np.zeros(out.shape, np.float32)
+        pieces: dict[tuple[int, int], list] = {}
+        out: dict[tuple[int, int], Output] = {}
         at = None
         for batch in batches:
-            keys = np.stack([batch.column(c).to_numpy() for c in (*TILE_KEYS, "side")], axis=1)
-            ends = np.flatnonzero(np.any(keys[1:] != keys[:-1], axis=1)) + 1
-            bounds = [0, *ends.tolist(), batch.num_rows]
-            for start, stop in zip(bounds, bounds[1:]):
-                if start == stop:
-                    continue
-                *key, side = keys[start].tolist()
-                if at is not None and key != at:
-                    _finish_pair(tiles, filled, out, masks, met)
-                    if key[:2] != at[:2]:
-                        yield from _cells_of(out, at, block, met)
-                        out[:] = 0
-                        if keep_zeros:
-                            met[:] = 0
-                at = key
-                _unpack(batch.slice(start, stop - start), tiles[side], masks and masks[side])
-                filled[side] = True
+            keys = np.stack(
+                [batch.column(c).to_numpy() for c in (*GROUP_KEYS, "side", "tile")], axis=1
+            )
+            for r, (*key, side, tile) in enumerate(keys.tolist()):
+                if key != at:
+                    if at is not None:
+                        _finish_step(pieces, out, at)
+                        if key[:2] != at[:2]:
+                            yield from _cells_of(out, at)
+                            out = {}
+                    at, pieces = key, {}
+                pieces.setdefault((side, tile), []).append((
+                    batch.column("place")[r].values.to_numpy(),
+                    batch.column("val")[r].values.to_numpy(),
+                ))
         if at is not None:
-            _finish_pair(tiles, filled, out, masks, met)
-            yield from _cells_of(out, at, block, met)
+            _finish_step(pieces, out, at)
+            yield from _cells_of(out, at)
+
+    def _finish_step(pieces: dict, out: dict, at: list[int]) -> None:
+        diagonal = symmetric and at[0] == at[1]
+        tiles: list[dict[int, Tile]] = [{}, {}]
+        for (side, tile), parts in pieces.items():
+            place, val = (np.concatenate(x) for x in zip(*parts))
+            tiles[side][tile] = Tile(place, val, block)
+            if diagonal:
+                tiles[0][tile] = tiles[side][tile]
+        for ti, left in tiles[0].items():
+            for tj, right in tiles[1].items():
+                if diagonal and ti > tj:
+                    continue
+                if (ti, tj) not in out:
+                    out[ti, tj] = Output((rows, cols), whole)
+                out[ti, tj].add(left, right, inner)
+
+    def _cells_of(out: dict, at: list[int]) -> Iterator[pa.RecordBatch]:
+        for (ti, tj), tile in out.items():
+            i, j = np.nonzero(tile.met)
+            if len(i):
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(i + (at[0] * across + ti) * block),
+                    pa.array(j + (at[1] * across + tj) * block), pa.array(tile.sums[i, j]),
+                ], names=["i", "j", "v"])
 
     return run
 
 
-def _unpack(strips: pa.RecordBatch, tile: np.ndarray, mask: np.ndarray | None) -> None:
-    pos, val = strips.column("pos"), strips.column("val")
-    line = np.repeat(strips.column("line").to_numpy(), np.diff(pos.offsets.to_numpy()))
-    place = pos.flatten().to_numpy()
-    tile[line, place] = val.flatten().to_numpy()
-    if mask is not None:
-        mask[line, place] = 1
-
-
-def _finish_pair(tiles: list[np.ndarray], filled: list[bool], out: np.ndarray,
-                 masks: list[np.ndarray] | None, met: np.ndarray | None) -> None:
-    """Add the product of the two tiles at hand and clear them."""
-    if all(filled):
-        left, right = tiles
-        if met is not None:
-            met += masks[0] @ masks[1]  # counts; none is lost, as all are whole and positive
-        if out.dtype == np.int64:
-            add_whole(left, right, out)
-        elif np.isfinite(left).all() and np.isfinite(right).all():
-            out += left @ right
-        else:
-            _add_stored(left, right, out)
-    for s in (0, 1):
-        if filled[s]:
-            tiles[s][:] = 0
-            if masks is not None:
-                masks[s][:] = 0
-            filled[s] = False
-
-
-def _add_stored(left: np.ndarray, right: np.ndarray, out: np.ndarray) -> None:
-    """Product of stored cells only, so that an absent cell never meets an infinity."""
-    for k in np.flatnonzero(np.any(left, axis=0) & np.any(right, axis=1)):
-        rows, cols = np.flatnonzero(left[:, k]), np.flatnonzero(right[k])
-        out[np.ix_(rows, cols)] += np.outer(left[rows, k], right[k, cols])
-
-
 def add_whole(left: np.ndarray, right: np.ndarray, out: np.ndarray) -> None:
     """Exact whole-number product: in doubles where no sum can leave their exact range, else in
     64-bit integers, or in whole numbers of any size where those could overflow on the way. A
@@ -110,18 +216,6 @@ def add_whole(left: np.ndarray, right: np.ndarray, out: np.ndarray) -> None:
         product = left.astype(object) @ right.astype(object)
     if float(np.abs(out.astype(np.float64)).max()) + float(bound) >= 2.0**62:
         total = out.astype(object) + product
-        if total.max() >= 2**63 or total.min() < -(2**63):
-            raise OverflowError("a sum of whole numbers leaves the 64-bit range")
-        out[:] = total.astype(np.int64)
+        out[:] = checked(total.reshape(-1)).reshape(out.shape)
     else:
         out += product
-
-
-def _cells_of(out: np.ndarray, at: list[int], block: int,
-              met: np.ndarray | None) -> Iterator[pa.RecordBatch]:
-    i, j = np.nonzero(out if met is None else met)
-    if len(i):
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(i + at[0] * block), pa.array(j + at[1] * block), pa.array(out[i, j])],
-            names=["i", "j", "v"],
-        )

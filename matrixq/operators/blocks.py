@@ -1,12 +1,15 @@
 """The product by tiles.
 
-The output is cut into tiles of ``block x block``. A row of ``A`` within a tile (a strip) is
-sent to every output tile it can contribute to, a strip of ``B`` likewise, and each output
-tile is summed up where its strips arrive. Nothing but finished cells leaves that task, so
-there is one shuffle of ``nnz(A) * tiles across + nnz(B) * tiles down`` packed cells instead
-of one row per multiplication. When the output has fewer tiles than the cluster has cores, or
-the inner index is very long, it is dealt out over several layers and the partial tiles are
-summed.
+The output is cut into tiles of ``block x block``, and groups of neighbouring tiles are the work of
+a task each. The cells of either factor are packed where they are into pieces of tiles, and each
+piece is sent once to every group of output tiles that it can contribute to. A group sums up its
+tiles where the pieces arrive, and nothing but finished cells leaves the task. So there is one
+shuffle, of ``nnz(A) * groups across + nnz(B) * groups down`` packed cells, instead of one row per
+multiplication. When the output has fewer groups than the cluster has cores, or the inner index is
+very long, it is dealt out over several layers and the partial tiles are summed.
+
+With a matrix times its own transpose the pieces of both sides are the same. Only the groups on
+and above the diagonal are formed, and those on it get one copy of their pieces and turn it over.
 """
 
 from __future__ import annotations
@@ -17,8 +20,8 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matrixq.functions import tile_kernel
-from matrixq.functions.tile_kernel import TILE_KEYS, tile_sums
+from matrixq.functions import cell_products, tile_kernel
+from matrixq.functions.tile_kernel import GROUP_KEYS, pieces_of_tiles, tile_sums
 from matrixq.model import Matrix, value_type_of
 from matrixq.operators.aggregates import infer_dims
 from matrixq.operators.cells import coalesce_cells
@@ -28,20 +31,29 @@ from matrixq.plans.limits import MAX_PARTITIONS, fits_broadcast
 
 # Pairs of tiles a task should multiply for one output tile, some 20 seconds of full ones.
 TILE_PAIRS_PER_TASK = 256
+# Output tiles on an edge of a group: nine sums of 8 MB in a task.
+GROUP_EDGE = 3
+# Up to this many groups a piece is sent to all of them; beyond, only to those that have a tile
+# for it to meet.
+SENT_TO_ALL = 8
+# Tasks that one inner tile's pieces are spread over where they are joined.
+SPREAD = 64
 
 # The kernel travels to the workers with the plan, so they need not have this package.
 cloudpickle.register_pickle_by_value(tile_kernel)
+cloudpickle.register_pickle_by_value(cell_products)
 
 
 def block_product(a: Matrix, b: Matrix, *, block: int | None = None, layers: int | None = None,
                   symmetric: bool = False, seen: tuple[int, int, int] | None = None,
-                  keep_zeros: bool = True) -> Matrix:
+                  keep_zeros: bool = True, group: int | None = None) -> Matrix:
     """``A x B`` by tiles. Cells that cancel to zero stay, as in the other plans, unless
-    ``keep_zeros=False``, which saves the kernel a third of its work.
+    ``keep_zeros=False``.
 
-    With ``symmetric`` the result is known to equal its transpose, and only the tiles on and
-    above the diagonal are computed. ``seen``: rows, inner size and columns that the cells are
-    known to show; without it a shape that is not declared costs a job.
+    With ``symmetric`` ``A`` is the transpose of ``B``, and only the tiles on and above the
+    diagonal are computed. ``seen``: rows, inner size and columns that the cells are
+    known to show; without it a shape that is not declared costs a job. ``group``: output tiles
+    on an edge of a task's group.
     """
     if seen is not None:
         a, b = _declare(a, seen[0], seen[1]), _declare(b, seen[1], seen[2])
@@ -53,37 +65,38 @@ def block_product(a: Matrix, b: Matrix, *, block: int | None = None, layers: int
     value_type = value_type_of(a, b)
     if layers is None:
         layers = min(deep, max(-(-cores // (down * across)), -(-deep // TILE_PAIRS_PER_TASK)))
-
-    left = _strips(a, block, value_type).select(
-        F.col("tile_of_line").alias("bi"), F.col("tile_of_pos").alias("bk"), "line", "pos", "val"
-    )
-    right = _strips(b, block, value_type).select(
-        F.col("tile_of_pos").alias("bj"), F.col("tile_of_line").alias("bk"), "line", "pos", "val"
-    )
-    left_tiles = _present(a.cells, "i", "bi", "j", "bk", block)
-    right_tiles = _present(b.cells, "j", "bj", "i", "bk", block)
-    sent_left = _send(left, right_tiles, deep * across).withColumn("side", F.lit(0))
-    sent_right = _send(right, left_tiles, deep * down).withColumn("side", F.lit(1))
-    sent = sent_left.unionByName(sent_right)
+    if group is None:
+        fits = [g for g in range(1, GROUP_EDGE + 1)
+                if _tiles(down, g) * _tiles(across, g) * layers >= cores]
+        group = max(fits, default=1)
+    groups_down, groups_across = _tiles(down, group), _tiles(across, group)
+
+    left = _pieces(a, block, value_type, transposed=False)
+    right = _pieces(b, block, value_type, transposed=True)
+    sent_left = _send(left, "gi", "gj", group, groups_across, b, block, "j", "i", deep)
+    sent_right = _send(right, "gj", "gi", group, groups_down, a, block, "i", "j", deep)
     if symmetric:
-        sent = sent.where("bi <= bj")
+        # The groups on the diagonal take their left pieces from the right ones.
+        sent_left, sent_right = sent_left.where("gi < gj"), sent_right.where("gi <= gj")
+    sent = sent_left.withColumn("side", F.lit(0)).unionByName(sent_right.withColumn("side", F.lit(1)))
     sent = sent.withColumn("layer", F.col("bk") % layers)
 
-    tasks = max(1, min(MAX_PARTITIONS, down * across * layers))
-    place = (F.col("bi") * across + F.col("bj")) * layers + F.col("layer")
-    if down * across * layers > tasks:  # several to a task: not all of one column, as a rest would
+    places = groups_down * groups_across * layers
+    tasks = max(1, min(MAX_PARTITIONS, places))
+    place = (F.col("gi") * groups_across + F.col("gj")) * layers + F.col("layer")
+    if places > tasks:  # several to a task: not all of one column, as a rest would
         place = F.xxhash64(place)
     arranged = sent.repartitionById(tasks, F.pmod(place, F.lit(tasks)).cast("int")).select(
-        *TILE_KEYS, "side", "line", "pos", "val"
-    ).sortWithinPartitions(*TILE_KEYS, "side")
+        *GROUP_KEYS, "side", "tile", "place", "val"
+    ).sortWithinPartitions(*GROUP_KEYS)
     inner = max(a.n_cols, b.n_rows)
     edges = tuple(max(1, min(block, extent)) for extent in (a.n_rows, inner, b.n_cols))
-    kernel = tile_sums(block, edges, value_type == "bigint", keep_zeros)
+    kernel = tile_sums(block, group, edges, value_type == "bigint", symmetric)
     cells = arranged.mapInArrow(kernel, f"i bigint, j bigint, v {value_type}")
     if layers > 1:
         cells = cells.groupBy("i", "j").agg(F.sum("v").cast(value_type).alias("v"))
-        if not keep_zeros:
-            cells = cells.where("v <> 0")
+    if not keep_zeros:
+        cells = cells.where("v <> 0")
     if symmetric:
         cells = mirror(cells.where("i <= j"))
     return Matrix(cells, a.n_rows, b.n_cols, unique=True)
@@ -100,36 +113,34 @@ def _tiles(extent: int, block: int) -> int:
     return max(1, -(-extent // block))
 
 
-def _strips(m: Matrix, block: int, value_type: str) -> DataFrame:
-    """Rows ``(tile_of_line, tile_of_pos, line, pos, val)``: the cells of one row within one
-    tile, at most ``block`` of them, positions counted from the corner of the tile."""
-    cells = coalesce_cells(m).cells.select(
-        "i", F.expr(f"j div {block}").alias("tile_of_pos"),
-        F.struct(
-            F.expr(f"cast(j % {block} as int)").alias("p"),
-            F.col("v").cast(value_type).alias("x"),
-        ).alias("entry"),
-    )
-    strips = cells.groupBy("i", "tile_of_pos").agg(F.collect_list("entry").alias("entries"))
-    return strips.select(
-        F.expr(f"i div {block}").alias("tile_of_line"),
-        "tile_of_pos",
-        F.expr(f"cast(i % {block} as int)").alias("line"),
-        F.col("entries.p").alias("pos"),
-        F.col("entries.x").alias("val"),
+def _pieces(m: Matrix, block: int, value_type: str, transposed: bool) -> DataFrame:
+    """Rows ``(outer, inner, place, val)``: cells of one tile, packed by each task."""
+    cells = coalesce_cells(m).cells.select("i", "j", F.col("v").cast(value_type).alias("v"))
+    return cells.mapInArrow(
+        pieces_of_tiles(block, transposed, value_type == "bigint"),
+        f"outer bigint, inner bigint, place array<int>, val array<{value_type}>",
     )
 
 
-def _present(cells: DataFrame, outer: str, tile: str, inner: str, inner_tile: str,
-             block: int) -> DataFrame:
-    """The tiles that hold a cell, as ``(tile, inner_tile)``."""
-    return cells.select(
-        F.expr(f"{outer} div {block}").alias(tile), F.expr(f"{inner} div {block}").alias(inner_tile)
-    ).distinct()
+def _send(pieces: DataFrame, own: str, other: str, group: int, groups: int, factor: Matrix,
+          block: int, outer: str, inner: str, deep: int) -> DataFrame:
+    """A copy of each piece for every group along the other side that has a tile to meet it.
 
-
-def _send(strips: DataFrame, other_tiles: DataFrame, bound: int) -> DataFrame:
-    """A copy of each strip for every non-empty tile of the other factor that it meets."""
-    if fits_broadcast(bound):
-        other_tiles = F.broadcast(other_tiles)
-    return strips.join(other_tiles, "bk")
+    Few groups get all pieces. For many, the other factor's tiles are listed first; where the
+    list is too long for a broadcast, it is joined, each inner tile spread over ``SPREAD`` tasks.
+    """
+    rows = pieces.select(
+        F.expr(f"outer div {group}").alias(own), F.col("inner").alias("bk"),
+        (F.col("outer") % group).cast("int").alias("tile"), "place", "val",
+    )
+    if groups <= SENT_TO_ALL:
+        return rows.withColumn(other, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(groups - 1).cast("bigint"))))
+    present = factor.cells.select(
+        F.expr(f"({outer} div {block}) div {group}").alias(other),
+        F.expr(f"{inner} div {block}").alias("bk"),
+    ).distinct()
+    if fits_broadcast(deep * groups):
+        return rows.join(F.broadcast(present), "bk")
+    spread = F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1)))
+    rows = rows.withColumn("spread", F.pmod(F.xxhash64("tile", own, "place"), F.lit(SPREAD)).cast("int"))
+    return rows.join(present.withColumn("spread", spread), ["bk", "spread"]).drop("spread")

@@ -13,14 +13,15 @@ from matrixq.plans.skew import Sides, deal_out, deal_out_lines, split_hot_keys_u
 from matrixq.plans.stats import ProductStats
 
 
-STRATEGIES = ("auto", "join", "broadcast", "block")
+STRATEGIES = ("auto", "join", "broadcast", "rows", "block")
 
 
 def gram(m: Matrix, of: str = "columns", strategy: str = "auto", *, block: int | None = None,
          split_hot: bool = True, keep_zeros: bool = True, work_floor: int | None = None) -> Matrix:
     """``Mt x M`` for ``of='columns'``, ``M x Mt`` for ``of='rows'``.
 
-    The result is symmetric: only the half ``i <= j`` is computed and then mirrored.
+    The result is symmetric: only the half ``i <= j`` is computed and then mirrored, but for
+    ``rows``, which multiplies as ``matmul`` does.
     ``auto``, ``join`` and ``broadcast`` run the counting job of ``matmul``; ``broadcast``
     falls back to ``join`` if the matrix is too large for it. Cancelled cells and ``work_floor``
     are as in ``matmul``.
@@ -41,6 +42,11 @@ def gram(m: Matrix, of: str = "columns", strategy: str = "auto", *, block: int |
         seen = stats and stats.seen
         return block_product(transpose(m), m, block=block, symmetric=True, seen=seen,
                              keep_zeros=keep_zeros)
+    if strategy == "rows":
+        from matrixq.operators.rowwise import row_product
+
+        c = row_product(transpose(m), m)
+        return c if keep_zeros else c.with_cells(c.cells.where("v <> 0"))
     c = _cell_gram(m, strategy, split_hot, stats, work_floor)
     return c if keep_zeros else c.with_cells(c.cells.where("v <> 0"))
 

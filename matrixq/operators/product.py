@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matrixq.model import Matrix, value_type_of, within_shape
+from matrixq.operators import prefilter
 from matrixq.operators.cells import coalesce_cells
 from matrixq.plans.choose import choose_strategy, default_block
 from matrixq.plans.limits import (
@@ -18,10 +19,12 @@ from matrixq.plans.limits import (
     fits_broadcast,
 )
 from matrixq.plans.skew import Sides, deal_out, deal_out_lines, split_hot_keys
-from matrixq.plans.stats import ProductStats
+from matrixq.plans.stats import ProductStats, row_work
 
-STRATEGIES = ("auto", "join", "broadcast", "copartition", "block")
+STRATEGIES = ("auto", "join", "broadcast", "copartition", "rows", "block")
 MIN_COPARTITIONS = 64
+# A side of which a smaller share has a partner is filtered before the join.
+MOSTLY_MET = 0.7
 
 
 def check_conformable(a: Matrix, b: Matrix) -> None:
@@ -54,7 +57,10 @@ def matmul(a: Matrix, b: Matrix, strategy: str = "auto", *, block: int | None =
     does, the product falls back to ``join``. Counts a side whose size is not declared.
     ``copartition``: both sides hash partitioned alike on the inner index, so the join adds no
     shuffle; see ``copartition`` to keep that layout for several products.
-    ``block``: tiles of ``block x block`` multiplied by a dense kernel.
+    ``rows``: rows of ``A`` dealt into parts, each with the rows of ``B`` that it names; no partial
+    sum is shuffled. A job counts the products of each row first.
+    ``block``: tiles of ``block x block`` multiplied by a dense kernel, or cell by cell where they
+    are nearly empty.
     ``auto``: by size where a side is known to be small, else by one counting job.
     """
     check_conformable(a, b)
@@ -68,6 +74,11 @@ def matmul(a: Matrix, b: Matrix, strategy: str = "auto", *, block: int | None =
         from matrixq.operators.blocks import block_product
 
         return block_product(a, b, block=block, seen=stats and stats.seen, keep_zeros=keep_zeros)
+    if strategy == "rows":
+        from matrixq.operators.rowwise import row_product
+
+        c = row_product(a, b)
+        return c if keep_zeros else c.with_cells(c.cells.where("v <> 0"))
     c = _cell_product(a, b, strategy, num_partitions, split_hot, broadcast_limit, stats, work_floor)
     return c if keep_zeros else c.with_cells(c.cells.where("v <> 0"))
 
@@ -93,7 +104,8 @@ def pick_strategy(a: Matrix, b: Matrix, *, block: int | None = None,
     """The strategy ``auto`` takes, and the statistics it was taken from, if any.
 
     A declared vector needs none: it has one product per cell of the other side. Otherwise
-    one counting job runs; it also finds a shape that is not declared.
+    one counting job runs; it also finds a shape that is not declared. A second one estimates the
+    cells of the result where the choice hangs on them.
     """
     for vector, extent in ((b, b.n_cols), (a, a.n_rows)):
         bound = vector.max_cells()
@@ -102,8 +114,12 @@ def pick_strategy(a: Matrix, b: Matrix, *, block: int | None = None,
     stats = raw_sides(a, b).stats()
     rows, inner, cols = stats.seen
     rows, cols = (s if n is None else n for s, n in ((rows, a.n_rows), (cols, b.n_cols)))
-    block = block or default_block(rows, cols, a.spark.sparkContext.defaultParallelism)
-    return choose_strategy(stats, rows, inner, cols, block, broadcast_limit), stats
+    cores = a.spark.sparkContext.defaultParallelism
+    block = block or default_block(rows, cols, cores)
+    return choose_strategy(
+        stats, rows, inner, cols, block, broadcast_limit, cores,
+        lambda: row_work(coalesce_cells(a), coalesce_cells(b)).sums,
+    ), stats
 
 
 def broadcast_side(a: Matrix, b: Matrix, limit: int = BROADCAST_LIMIT_BYTES,
@@ -158,9 +174,23 @@ def _sides(a: Matrix, b: Matrix, split_hot: bool, stats: ProductStats | None,
         return left, right, ["k"], stats
     raw = raw_sides(a, b)
     stats = stats or raw.stats()
+    left, right = _only_met(left, right, stats)
     return *split_hot_keys(left, right, "i", "j", raw.hot_keys(stats, work_floor)), stats
 
 
+def _only_met(left: DataFrame, right: DataFrame, stats: ProductStats) -> tuple[DataFrame, DataFrame]:
+    """Leaves out cells without a partner before they are shuffled, where many have none: bitmaps
+    of the other side's inner indexes tell them."""
+    if not prefilter.fits(stats.seen[1]) or stats.met_a is None:
+        return left, right
+    kept_left, kept_right = left, right
+    if stats.met_a < MOSTLY_MET * stats.nnz_a:
+        kept_left = prefilter.with_partner(left, "k", prefilter.bitmaps(right, "k"))
+    if stats.met_b < MOSTLY_MET * stats.nnz_b:
+        kept_right = prefilter.with_partner(right, "k", prefilter.bitmaps(left, "k"))
+    return kept_left, kept_right
+
+
 def raw_sides(a: Matrix, b: Matrix) -> Sides:
     return Sides(_left(a.cells), _right(b.cells), "i", "j", a.unique and b.unique)
 

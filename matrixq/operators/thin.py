@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from matrixq.functions import tile_kernel
+from matrixq.functions import cell_products, tile_kernel
+from matrixq.functions.cell_products import ByInner
 from matrixq.functions.tile_kernel import add_whole
 from matrixq.model import Matrix, value_type_of, within_shape
 from matrixq.operators.cells import coalesce_cells
@@ -19,6 +20,7 @@ from matrixq.operators.product import check_conformable, matmul
 from matrixq.plans.limits import DENSE_FACTOR_LIMIT
 
 cloudpickle.register_pickle_by_value(tile_kernel)
+cloudpickle.register_pickle_by_value(cell_products)
 
 # Cells a task hands back at a time.
 OUTPUT_BATCH = 1_000_000
@@ -52,11 +54,19 @@ def dense_rows_matmul(rows: DataFrame, b: Matrix, *, i: str = "i", vals: str = "
     factor = np.zeros((b.n_rows, b.n_cols), np.int64 if whole else np.float64)
     cells = coalesce_cells(within_shape(b)).cells
     cells = cells.select("i", "j", F.col("v").cast(value_type)).toArrow()
-    factor[cells["i"].to_numpy(), cells["j"].to_numpy()] = cells["v"].to_numpy()
+    k, j, v = (cells[c].to_numpy() for c in ("i", "j", "v"))
+    factor[k, j] = v
     # A column without a cell has no products; the others have one for every row.
-    held = np.unique(cells["j"].to_numpy())
+    held, column = np.unique(j, return_inverse=True)
     factor = factor[:, held]
     step = max(1, OUTPUT_BATCH // max(1, len(held)))
+    finite = whole or bool(np.isfinite(v).all())
+
+    def stored_only(dense: np.ndarray, out: np.ndarray) -> None:
+        """Pairs of stored cells alone, so that an absent cell never meets an infinity."""
+        row, inner = np.divmod(np.arange(dense.size), dense.shape[1])
+        for col, r, x, y in ByInner(column, k, v).products(inner, row, dense.ravel()):
+            np.add.at(out, (r, col), x * y)
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -67,8 +77,10 @@ def dense_rows_matmul(rows: DataFrame, b: Matrix, *, i: str = "i", vals: str = "
                 out = np.zeros((part.num_rows, len(held)), factor.dtype)
                 if whole:
                     add_whole(dense, factor, out)
-                else:
+                elif finite and np.isfinite(dense).all():
                     out += dense @ factor
+                else:
+                    stored_only(dense, out)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.repeat(part.column("i").to_numpy(), len(held))),

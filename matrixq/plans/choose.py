@@ -2,17 +2,34 @@
 
 from __future__ import annotations
 
-from matrixq.plans.limits import BROADCAST_LIMIT_BYTES, fits_broadcast
+from collections.abc import Callable
+from dataclasses import dataclass
+
+from matrixq.plans.limits import BROADCAST_LIMIT_BYTES, fits_broadcast, number_of_parts
 from matrixq.plans.stats import ProductStats
 
 # Seconds of one core, fitted to runs of bench.py over the workloads of matrixq.bench.
 SECONDS_PER_PRODUCT = 7e-8  # join two cells, add to a sum that stays in the task
 SECONDS_PER_SHUFFLED_PRODUCT = 2e-6  # the same where the sum is shuffled
 SECONDS_PER_SUM = 2.2e-6  # a sum of the broadcast plan
-SECONDS_PER_SHIPPED_CELL = 8e-7  # copy a cell to one output tile and unpack it there
+SECONDS_PER_SHIPPED_CELL = 2e-7  # copy a packed cell to one part or group of tiles
+SECONDS_PER_PAIR = 4.5e-8  # multiply two cells in the kernels
 SECONDS_PER_FLOP = 1e-10  # dense kernel; a multiplication and an addition count as two
-SECONDS_PER_TILE_CELL = 6e-7  # a cell of the result that leaves the kernel
-BLOCK_STAGES_SECONDS = 10.0  # what the further stages of the block plan cost at the least
+SECONDS_PER_GIVEN_CELL = 3e-7  # a cell of the result that leaves a kernel
+KERNEL_STAGES_SECONDS = 10.0  # what the further stages of a plan with kernels cost at the least
+
+
+@dataclass(frozen=True)
+class Shape:
+    """Rows, inner size and columns of a product, and the tiles it would be cut into."""
+
+    n_rows: int
+    n_inner: int
+    n_cols: int
+    block: int
+
+    def tiles(self) -> tuple[int, int, int]:
+        return tuple(max(1, -(-n // self.block)) for n in (self.n_rows, self.n_inner, self.n_cols))
 
 
 def default_block(n_rows: int, n_cols: int, cores: int) -> int:
@@ -23,32 +40,50 @@ def default_block(n_rows: int, n_cols: int, cores: int) -> int:
     return 1024 if max(n_rows, n_cols) <= 1024 else 512
 
 
-def choose_strategy(stats: ProductStats, n_rows: int, n_inner: int, n_cols: int,
-                    block: int, broadcast_limit: int = BROADCAST_LIMIT_BYTES) -> str:
-    """``broadcast``, ``join`` or ``block``, whichever should take the least time.
+def costs(stats: ProductStats, shape: Shape, sums: float, broadcast_limit: int,
+          cores: int) -> dict[str, float]:
+    """What each plan should take, in seconds of one core. ``sums``: cells of the result.
 
     The cell plans pay for every product; where no side can be broadcast, the products are
-    shuffled too. The block plan pays for shipping cells to output tiles and for a dense
-    kernel that does not notice zeros.
+    shuffled too. The kernel plans pay for shipping packed cells, to the parts that name them or
+    to all groups of tiles, for products in the kernel, and for the cells that leave it.
     """
-    sums = min(n_rows * n_cols, stats.products)
-    fits = fits_broadcast(min(stats.nnz_a, stats.nnz_b), broadcast_limit)
-    if fits:
-        by_cell = stats.products * SECONDS_PER_PRODUCT + sums * SECONDS_PER_SUM
+    if fits_broadcast(min(stats.nnz_a, stats.nnz_b), broadcast_limit):
+        found = {"broadcast": stats.products * SECONDS_PER_PRODUCT + sums * SECONDS_PER_SUM}
     else:
-        by_cell = stats.products * SECONDS_PER_SHUFFLED_PRODUCT
-    tiles = [-(-extent // block) for extent in (n_rows, n_inner, n_cols)]
+        found = {"join": stats.products * SECONDS_PER_SHUFFLED_PRODUCT}
+    given = KERNEL_STAGES_SECONDS + sums * SECONDS_PER_GIVEN_CELL
+    parts = number_of_parts(stats.products, sums, stats.nnz_a, cores)
+    copies = min(stats.products, parts * stats.nnz_b)
+    found["rows"] = (
+        given + (stats.nnz_a + copies) * SECONDS_PER_SHIPPED_CELL + stats.products * SECONDS_PER_PAIR
+    )
+    tiles = shape.tiles()
     shipped = stats.nnz_a * tiles[2] + stats.nnz_b * tiles[0]
-    # Every non-empty pair of tiles is multiplied at full size; there are no more pairs than
-    # products, which matters when nearly all tiles are empty.
-    pairs = min(tiles[0] * tiles[1] * tiles[2], stats.products)
-    edge = [min(block, extent) for extent in (n_rows, n_inner, n_cols)]
-    by_block = (
-        BLOCK_STAGES_SECONDS
-        + shipped * SECONDS_PER_SHIPPED_CELL
-        + pairs * 2 * edge[0] * edge[1] * edge[2] * SECONDS_PER_FLOP
-        + sums * SECONDS_PER_TILE_CELL
+    edge = [min(shape.block, n) for n in (shape.n_rows, shape.n_inner, shape.n_cols)]
+    dense = tiles[0] * tiles[1] * tiles[2] * 2.0 * edge[0] * edge[1] * edge[2] * SECONDS_PER_FLOP
+    found["block"] = (
+        given + shipped * SECONDS_PER_SHIPPED_CELL + min(dense, stats.products * SECONDS_PER_PAIR)
     )
-    if by_block < by_cell:
-        return "block"
-    return "broadcast" if fits else "join"
+    return found
+
+
+def choose_strategy(stats: ProductStats, n_rows: int, n_inner: int, n_cols: int, block: int,
+                    broadcast_limit: int = BROADCAST_LIMIT_BYTES, cores: int = 8,
+                    sums: Callable[[], float] | None = None) -> str:
+    """``broadcast``, ``join``, ``rows`` or ``block``, whichever should take the least time.
+
+    The number of cells of the result lies between the products over the inner size and the
+    lesser of products and area. Where the choice hangs on it, ``sums`` is asked for an estimate.
+    """
+    shape = Shape(n_rows, n_inner, n_cols, block)
+    most = float(min(n_rows * n_cols, stats.products))
+    least = min(most, stats.products / max(1, n_inner))
+
+    def cheapest(at: float) -> str:
+        found = costs(stats, shape, at, broadcast_limit, cores)
+        return min(found, key=found.get)
+
+    if sums is None or cheapest(least) == cheapest(most):
+        return cheapest(most)
+    return cheapest(min(most, max(least, sums())))

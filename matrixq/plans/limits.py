@@ -24,3 +24,16 @@ CELLS_PER_TASK = 4_000_000
 EXPANDING_FROM = 4
 # No shuffle is asked to have more partitions than this.
 MAX_PARTITIONS = 32_768
+# What a part of the row-wise product may have: products to form, sums to hold, left cells to hold.
+PART_PRODUCTS, PART_SUMS, PART_CELLS = 1 << 25, 1 << 22, 1 << 21
+
+
+def number_of_parts(products: int, sums: float, cells: int, cores: int,
+                    part_products: int = PART_PRODUCTS) -> int:
+    """Parts of a row-wise product: as many as the bounds ask for, and enough for all cores where
+    there is work for them."""
+    wanted = max(
+        -(-products // part_products), -(-int(sums) // PART_SUMS), -(-cells // PART_CELLS),
+        min(2 * cores, -(-products // (1 << 20))), 1,
+    )
+    return min(MAX_PARTITIONS, wanted)

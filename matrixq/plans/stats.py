@@ -4,16 +4,19 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from matrixq.model import Matrix
 from matrixq.plans.limits import EXPANDING_FROM, MAX_PARTITIONS, PRODUCTS_PER_TASK
 
+
 @dataclass(frozen=True)
 class ProductStats:
     """``products``: multiplications. ``work``: those plus the cells to move, over all inner
     indexes; ``top_work``: of the one with most. ``seen``: rows of ``A``, inner size and columns
-    of ``B`` as the cells show them."""
+    of ``B`` as the cells show them. ``met_a``, ``met_b``: cells whose inner index both factors
+    have."""
 
     nnz_a: int
     nnz_b: int
@@ -21,6 +24,8 @@ class ProductStats:
     work: float
     top_work: float
     seen: tuple[int, int, int] = (0, 0, 0)
+    met_a: int | None = None
+    met_b: int | None = None
 
     def tasks(self) -> int | None:
         """How many tasks should form the products, or None to leave it to adaptive execution.
@@ -62,6 +67,8 @@ def product_counts(work: DataFrame) -> DataFrame:
         whole(pairs).alias("products"), F.sum("work").alias("work"),
         F.max("work").alias("top_work"), extent("top_left").alias("rows"),
         extent("k").alias("inner"), extent("top_right").alias("cols"),
+        whole("if(n_right > 0, n_left, 0)").alias("met_a"),
+        whole("if(n_left > 0, n_right, 0)").alias("met_b"),
     )
 
 
@@ -71,4 +78,87 @@ def collect_stats(work: DataFrame) -> ProductStats:
     return ProductStats(
         int(row["nnz_a"]), int(row["nnz_b"]), int(row["products"]), row["work"] or 0.0,
         row["top_work"] or 0.0, (row["rows"], row["inner"], row["cols"]),
+        int(row["met_a"]), int(row["met_b"]),
     )
+
+
+# Rows of A whose output cells are estimated, and the size of their sketches, in powers of two.
+SKETCHED_ROWS, SKETCH_BITS = 512, 12
+
+
+@dataclass(frozen=True)
+class RowWork:
+    """What the rows of a product bring: ``products`` in all and of the longest row, ``cells`` of
+    ``A`` that meet any of ``B``, ``sums``: about how many cells the result has. ``rows``,
+    ``inner``, ``cols``: greatest indexes plus one."""
+
+    products: int
+    top_products: int
+    cells: int
+    sums: float
+    rows: int = 0
+    inner: int = 0
+    cols: int = 0
+
+
+@dataclass(frozen=True)
+class HotRow:
+    i: int
+    products: int
+    cells: int
+
+
+def _per_row(a: DataFrame, b: DataFrame, sketched: Column | None) -> DataFrame:
+    """Rows ``(i, products, cells, k, cols, sums)``. No product is formed: a row of ``A`` is
+    joined with the number of cells of each row of ``B``, and with a sketch of their columns
+    where ``sketched`` says so."""
+    per_key = [F.count("*").alias("n"), F.max("j").alias("cols")]
+    if sketched is not None:
+        per_key.append(F.theta_sketch_agg("j", SKETCH_BITS).alias("sketch"))
+    right = b.select(F.col("i").alias("k"), "j").groupBy("k").agg(*per_key)
+    met = a.select("i", F.col("j").alias("k")).join(right, "k")
+    sums = [
+        F.sum("n").alias("products"), F.count("*").alias("cells"), F.max("k").alias("k"),
+        F.max("cols").alias("cols"),
+    ]
+    if sketched is None:
+        return met.groupBy("i").agg(*sums)
+    union = F.theta_union_agg(F.when(sketched, F.col("sketch")), SKETCH_BITS)
+    sums.append(F.when(F.max(sketched), F.theta_sketch_estimate(union)).alias("sums"))
+    return met.groupBy("i").agg(*sums)
+
+
+def row_work(a: Matrix, b: Matrix) -> RowWork:
+    """Counts the products of each row and estimates its output cells. Runs one job that reads
+    each factor once and returns one row.
+
+    The columns of each row of ``B`` are sketched by the least of their hashes, 4,096 at the most,
+    which is off by some 2 percent; the sketches of all rows of ``B`` that a row of ``A`` names make
+    up that of the output row. About ``SKETCHED_ROWS``
+    rows are sketched, chosen by hash, and stand for all by their products.
+    """
+    step = max(1, (a.n_rows or 1) // SKETCHED_ROWS)
+    sketched = F.pmod(F.xxhash64("i"), F.lit(step)) == 0
+    each = _per_row(a.cells, b.cells, sketched)
+    none = lambda c: F.coalesce(c, F.lit(0))
+    row = each.agg(
+        none(F.sum("products")), none(F.max("products")), none(F.sum("cells")),
+        none(F.sum("sums")), none(F.sum(F.when(F.col("sums").isNotNull(), F.col("products")))),
+        none(F.max("i") + 1), none(F.max("k") + 1), none(F.max("cols") + 1),
+    ).first()
+    products, top, cells, sums, of, rows, inner, cols = row
+    estimate = sums * products / of if of else products
+    area = (a.n_rows or rows) * (b.n_cols or cols)
+    return RowWork(products, top, cells, min(estimate, products, area), rows, inner, cols)
+
+
+def row_products(a: Matrix, b: Matrix) -> DataFrame:
+    """Rows ``(i, products, cells)``: multiplications that each row of ``A x B`` takes and cells of
+    ``A`` that meet any of ``B``. Both factors hold each cell once."""
+    return _per_row(a.cells, b.cells, None).select("i", "products", "cells")
+
+
+def hot_rows(a: DataFrame, b: DataFrame, limit: int) -> list[HotRow]:
+    """The rows with more products than ``limit``. Runs one job."""
+    found = _per_row(a, b, None).where(F.col("products") > limit)
+    return [HotRow(r["i"], r["products"], r["cells"]) for r in found.collect()]

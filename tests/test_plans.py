@@ -75,7 +75,8 @@ def test_copartitioned_join_adds_no_exchange(stored, no_auto_broadcast):
 
 def test_block_plan_has_one_kernel_and_no_cross_join(stored):
     plan = plan_of(mq.matmul(*stored, "block").cells)
-    assert plan.count("MapInArrow") == 1
+    assert plan.count("MapInArrow") == 3  # the kernel, and the packing of each factor
+    assert plan.count("Exchange") == 1 and plan.count("FileScan") == 2
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
@@ -101,7 +102,7 @@ def test_stats(stored):
     assert stats.seen == (60, 40, 50)
     assert stats.work == 720 + 600 + stats.products
     nothing = collect_stats(key_work(left.limit(0), right.limit(0), "i", "j"))
-    assert nothing == ProductStats(0, 0, 0, 0.0, 0.0)
+    assert nothing == ProductStats(0, 0, 0, 0.0, 0.0, met_a=0, met_b=0)
 
 
 @pytest.mark.parametrize("stats,shape,expected", [
@@ -110,9 +111,9 @@ def test_stats(stored):
     (ProductStats(4_000_000, 4_000_000, 8 * 10**9, 8e9, 4e6), (2000, 2000, 2000), "block"),
     # Few products and a side that fits: broadcast.
     (ProductStats(4_000, 4_000, 8_000, 1.6e4, 4), (2000, 2000, 2000), "broadcast"),
-    (ProductStats(10**12, 10**6, 10**12, 2e12, 1e6), (10**10, 10**7, 100), "broadcast"),
-    # Large and nearly empty: shuffle.
-    (ProductStats(10**12, 10**11, 10**13, 1e13, 1e4), (10**11, 10**10, 10**9), "join"),
+    (ProductStats(10**9, 10**3, 10**9, 2e9, 1e6), (10**9, 10**4, 1), "rows"),
+    # Large and nearly empty: rows of B go to the rows of A that name them.
+    (ProductStats(10**12, 10**11, 10**13, 1e13, 1e4), (10**11, 10**10, 10**9), "rows"),
     # A long dense matrix with its own transpose, small result: tiles in layers.
     (ProductStats(10**11, 10**11, 64 * 10**11, 6e12, 4096), (64, 10**9, 64), "block"),
 ])
@@ -121,6 +122,23 @@ def test_choice(stats, shape, expected):
     assert choose_strategy(stats, *shape, block) == expected
 
 
+def test_choice_asks_for_the_size_of_the_result_only_where_it_counts():
+    asked = []
+
+    def sums():
+        asked.append(1)
+        return 1e6
+
+    vague = ProductStats(10**6, 10**6, 10**8, 1e8, 1e4)
+    shape = (10**6, 10**6, 10**6)
+    few = choose_strategy(vague, *shape, 1024, sums=sums)
+    many = choose_strategy(vague, *shape, 1024, sums=lambda: 1e8)
+    assert asked and (few, many) == ("broadcast", "rows")
+    asked.clear()
+    assert choose_strategy(ProductStats(10, 10, 20, 40.0, 4.0), 10, 10, 10, 512, sums=sums) == "broadcast"
+    assert not asked
+
+
 def test_vector_needs_no_statistics(spark, stored):
     x = generate(spark, 40, 1, 1.0, 5)
     assert pick_strategy(stored[0], x) == ("broadcast", None)

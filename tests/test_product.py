@@ -7,7 +7,7 @@ import matrixq as mq
 from matrixq.sources.cells import empty, from_entries, generate, identity
 from tests.conftest import cells, dense
 
-CELL_PLANS = ["join", "broadcast", "copartition"]
+CELL_PLANS = ["join", "broadcast", "copartition", "rows"]
 ALL_PLANS = [*CELL_PLANS, "block", "auto"]
 
 
