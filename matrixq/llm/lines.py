@@ -35,7 +35,7 @@ bit-parallel automaton: one word of bits for each
 number of edits, one bit for each diagonal of the band, all moved together by each character.
 
 Marks and the joker are code points that Unicode keeps free of characters or for private use; lines
-that hold one nevertheless are removed as exact copies only.
+that hold one nevertheless are not compared within crowds.
 
 Exact copies are told by two 64-bit hashes; they are counted together before they are joined, and
 only the first occurrence of a line is entered. Texts that are null count as empty: one empty line,
@@ -302,7 +302,10 @@ def crowd_of(sides: list[DataFrame], crowded: DataFrame, edits: int) -> tuple[li
     lines = reduce(DataFrame.unionByName, [
         x.join(crowded, "key", "left_semi").select(*fields) for x in sides
     ]).distinct()
-    lines = written(lines.withColumn("bits", parity(F.col("left"))), "crowd-lines")
+    taken = "[" + "".join(f"{chr(first)}-{chr(last)}" for first, last in FREE) + "]"
+    lines = written(
+        lines.where(~F.col("left").rlike(taken)).withColumn("bits", parity(F.col("left"))), "crowd-lines"
+    )
     none = F.array(*[F.lit(None).cast("bigint")] * edits).alias("agreed")
     rows, found = lines.select("*", F.lit(0).cast("bigint").alias("group"), none), []
     for unit, seed in LEVELS:
@@ -350,11 +353,11 @@ def candidates(rows: DataFrame, edits: int) -> DataFrame:
             .select("key"), "crowded",
         )
         any_crowd = crowded.limit(1).count()
-        a = held.select("key", F.col("h").alias("b"), F.col("near").alias("nb"))
-        b = asked.select("key", F.col("h").alias("a"), F.col("near").alias("na"))
+        a = held.select("key", F.col("h").alias("b"), *([F.col("near").alias("nb")] if round_ else []))
+        b = asked.select("key", F.col("h").alias("a"), *([F.col("near").alias("na")] if round_ else []))
         if any_crowd:
             a, b = (x.join(crowded, "key", "left_anti") for x in (a, b))
-        pairs = b.join(a, "key").where("a <> b and not (na and nb)")
+        pairs = b.join(a, "key").where("a <> b and not (na and nb)" if round_ else "a <> b")
         found.append(
             pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         )
@@ -471,9 +474,7 @@ def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", edits: int = E
         F.col("first").isNull() | (F.col("first") == order)
     )
     able = F.least(F.floor(F.length("line") / chars_per_edit), F.lit(edits))
-    taken = "[" + "".join(f"{chr(first)}-{chr(last)}" for first, last in FREE) + "]"
-    plain = F.when(F.octet_length("line") > F.length("line"), ~F.col("line").rlike(taken)).otherwise(True)
-    rows = unique.where((F.length("line") >= chars_per_edit) & plain).select(
+    rows = unique.where(F.length("line") >= chars_per_edit).select(
         F.lit(0).cast("long").alias("group"), "h", order.alias("first"),
         able.cast("int").alias("able"), F.col("line").alias("left"),
     )

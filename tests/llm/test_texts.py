@@ -156,12 +156,15 @@ def test_sparse_crowds_do_not_double(spark, monkeypatch):
     assert rounds and max(rounds) <= 12 * len(each)
 
 
-def test_lines_with_free_code_points(spark):
-    """Marks and jokers within texts: told as exact copies only."""
-    odd = "a line of more than forty characters with \ufdd0 and \uffff"
-    rows = [(1, odd), (2, odd.replace("forty", "forte")), (3, odd)]
+def test_lines_with_free_code_points(spark, monkeypatch):
+    """Marks and jokers within texts: not compared within crowds."""
+    odd = "a line of more than forty characters with \ufdd0 and \U000f0000"
+    rows = [(1, odd), (2, odd.replace("forty", "forte")), (3, odd), (4, odd[:-1] + "x")]
     found = lines.dedup(texts(spark, rows)).collect()
-    assert {r["doc_id"] for r in found if r["text"]} == {1, 2}
+    assert {r["doc_id"] for r in found if r["text"]} == {1}
+    monkeypatch.setattr(lines, "CROWD", 1)
+    found = lines.dedup(texts(spark, rows)).collect()
+    assert {r["doc_id"] for r in found if r["text"]} >= {1} and len(found) == 4
 
 
 def test_lines_without_broadcast(spark):
