@@ -202,7 +202,7 @@ def leftovers(sides: list[DataFrame], crowded: DataFrame, edits: int, round_: in
     middle = F.col("number").between(2, edits)
     rest = F.concat(_part(F.col("left"), F.lit(0), F.col("place")), F.when(middle, marks).otherwise(""), behind)
     cut = [
-        x.join(crowded, "key", "left_semi").select(
+        x.join(crowded.select("key"), "key", "left_semi").select(
             F.col("key").alias("group"), "h", "first", "able", "near", rest.alias("left"),
             F.concat("agreed", _earlier(edits)).alias("agreed"),
         ) for x in sides
@@ -300,7 +300,7 @@ def crowd_of(sides: list[DataFrame], crowded: DataFrame, edits: int) -> tuple[li
     near the earliest of very many; and the rows that go on, by the classes they agree in."""
     fields = ["h", "first", "able", "near", "left"]
     lines = reduce(DataFrame.unionByName, [
-        x.join(crowded, "key", "left_semi").select(*fields) for x in sides
+        x.join(crowded.select("key"), "key", "left_semi").select(*fields) for x in sides
     ]).distinct()
     taken = "[" + "".join(f"{chr(first)}-{chr(last)}" for first, last in FREE) + "]"
     lines = written(
@@ -349,14 +349,15 @@ def candidates(rows: DataFrame, edits: int) -> DataFrame:
         if round_:
             found.append(by_patterns(rows.where(F.length("left") <= TINY), edits))
         crowded = written(
-            held.groupBy("key").agg(F.count("*").alias("lines")).where(F.col("lines") > CROWD)
-            .select("key"), "crowded",
+            held.groupBy("key").agg(
+                F.count("*").alias("lines"), F.min(F.length("left")).alias("size")
+            ).where(F.col("lines") > CROWD).select("key", "size"), "crowded",
         )
         any_crowd = crowded.limit(1).count()
         a = held.select("key", F.col("h").alias("b"), *([F.col("near").alias("nb")] if round_ else []))
         b = asked.select("key", F.col("h").alias("a"), *([F.col("near").alias("na")] if round_ else []))
         if any_crowd:
-            a, b = (x.join(crowded, "key", "left_anti") for x in (a, b))
+            a, b = (x.join(crowded.select("key"), "key", "left_anti") for x in (a, b))
         pairs = b.join(a, "key").where("a <> b and not (na and nb)" if round_ else "a <> b")
         found.append(
             pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
@@ -365,7 +366,11 @@ def candidates(rows: DataFrame, edits: int) -> DataFrame:
             break
         round_ += 1
         if round_ == 1:
-            shared, rows = crowd_of([held, asked], crowded, edits)
+            # A line is looked up under segments of lines as long as it or a little shorter.
+            sizes = crowded.select(F.explode(F.sequence("size", F.col("size") + edits)).alias("size"))
+            sizes = small(written(sizes.distinct(), "crowd-sizes"), BROADCAST_ROWS)
+            like = rows.join(sizes, F.length("left") == F.col("size"), "left_semi")
+            shared, rows = crowd_of([entries(like, edits), probes(like, edits)], crowded, edits)
             found += shared
         else:
             crowd = written(leftovers([held, asked], crowded, edits, round_), "crowd")
