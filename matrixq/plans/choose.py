@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from matrixq.plans.limits import BROADCAST_LIMIT_BYTES, fits_broadcast, number_of_parts
 from matrixq.plans.stats import ProductStats
 
+# Share of what the cheapest plan should take that an estimate may cost.
+WORTH = 0.1
+
 # Seconds of one core, fitted to runs of bench.py over the workloads of matrixq.bench.
 SECONDS_PER_PRODUCT = 7e-8  # join two cells, add to a sum that stays in the task
 SECONDS_PER_SHUFFLED_PRODUCT = 2e-6  # the same where the sum is shuffled
@@ -16,6 +20,7 @@ SECONDS_PER_SHIPPED_CELL = 2e-7  # copy a packed cell to one part or group of ti
 SECONDS_PER_PAIR = 4.5e-8  # multiply two cells in the kernels
 SECONDS_PER_FLOP = 1e-10  # dense kernel; a multiplication and an addition count as two
 SECONDS_PER_GIVEN_CELL = 3e-7  # a cell of the result that leaves a kernel
+SECONDS_PER_SKETCHED_CELL = 3e-6  # estimate the cells of the result
 KERNEL_STAGES_SECONDS = 10.0  # what the further stages of a plan with kernels cost at the least
 
 
@@ -74,16 +79,21 @@ def choose_strategy(stats: ProductStats, n_rows: int, n_inner: int, n_cols: int,
     """``broadcast``, ``join``, ``rows`` or ``block``, whichever should take the least time.
 
     The number of cells of the result lies between the products over the inner size and the
-    lesser of products and area. Where the choice hangs on it, ``sums`` is asked for an estimate.
+    lesser of products and area; it is guessed as if cells lay anywhere. Where the choice hangs on it
+    and an estimate costs little beside the product, ``sums`` is asked for one.
     """
     shape = Shape(n_rows, n_inner, n_cols, block)
-    most = float(min(n_rows * n_cols, stats.products))
+    area = n_rows * n_cols
+    most = float(min(area, stats.products))
     least = min(most, stats.products / max(1, n_inner))
+    guess = min(most, max(least, -area * math.expm1(-stats.products / max(1, area))))
 
     def cheapest(at: float) -> str:
         found = costs(stats, shape, at, broadcast_limit, cores)
         return min(found, key=found.get)
 
-    if sums is None or cheapest(least) == cheapest(most):
-        return cheapest(most)
+    cost = min(costs(stats, shape, guess, broadcast_limit, cores).values())
+    worth = (stats.nnz_a + stats.nnz_b) * SECONDS_PER_SKETCHED_CELL <= WORTH * cost
+    if sums is None or not worth or cheapest(least) == cheapest(most):
+        return cheapest(guess)
     return cheapest(min(most, max(least, sums())))

@@ -129,12 +129,14 @@ def test_choice_asks_for_the_size_of_the_result_only_where_it_counts():
         asked.append(1)
         return 1e6
 
-    vague = ProductStats(10**6, 10**6, 10**8, 1e8, 1e4)
+    vague = ProductStats(10**5, 10**5, 10**8, 1e8, 1e4)
     shape = (10**6, 10**6, 10**6)
     few = choose_strategy(vague, *shape, 1024, sums=sums)
     many = choose_strategy(vague, *shape, 1024, sums=lambda: 1e8)
     assert asked and (few, many) == ("broadcast", "rows")
     asked.clear()
+    dear = ProductStats(1_250_000, 1_250_000, 312_500_000, 3.2e8, 1e5)  # would cost a fifth of the product
+    assert choose_strategy(dear, 5000, 5000, 5000, 1024, sums=sums) == "block" and not asked
     assert choose_strategy(ProductStats(10, 10, 20, 40.0, 4.0), 10, 10, 10, 512, sums=sums) == "broadcast"
     assert not asked
 
