@@ -13,15 +13,17 @@ from matrixq.plans.stats import ProductStats
 WORTH = 0.1
 
 # Seconds of one core, fitted to runs of bench.py over the workloads of matrixq.bench.
-SECONDS_PER_PRODUCT = 7e-8  # join two cells, add to a sum that stays in the task
+SECONDS_PER_PRODUCT = 1e-7  # join two cells, add to a sum that stays in the task
 SECONDS_PER_SHUFFLED_PRODUCT = 2e-6  # the same where the sum is shuffled
-SECONDS_PER_SUM = 2.2e-6  # a sum of the broadcast plan
+SECONDS_PER_SUM = 4e-6  # a sum of the broadcast plan
 SECONDS_PER_SHIPPED_CELL = 2e-7  # copy a packed cell to one part or group of tiles
-SECONDS_PER_PAIR = 4.5e-8  # multiply two cells in the kernels
+SECONDS_PER_PAIR = 4.5e-8  # multiply two cells in the kernel of tiles
+SECONDS_PER_ROW_PAIR = 1.5e-7  # and in that of rows, whose sums are further apart
 SECONDS_PER_FLOP = 1e-10  # dense kernel; a multiplication and an addition count as two
 SECONDS_PER_GIVEN_CELL = 3e-7  # a cell of the result that leaves a kernel
 SECONDS_PER_SKETCHED_CELL = 3e-6  # estimate the cells of the result
-KERNEL_STAGES_SECONDS = 10.0  # what the further stages of a plan with kernels cost at the least
+KERNEL_STAGES_SECONDS = 8.0  # what the stages of a plan with kernels cost at the least
+CELL_STAGES_SECONDS = 4.0  # and those of the others
 
 
 @dataclass(frozen=True)
@@ -54,14 +56,15 @@ def costs(stats: ProductStats, shape: Shape, sums: float, broadcast_limit: int,
     to all groups of tiles, for products in the kernel, and for the cells that leave it.
     """
     if fits_broadcast(min(stats.nnz_a, stats.nnz_b), broadcast_limit):
-        found = {"broadcast": stats.products * SECONDS_PER_PRODUCT + sums * SECONDS_PER_SUM}
+        by_cell = stats.products * SECONDS_PER_PRODUCT + sums * SECONDS_PER_SUM
+        found = {"broadcast": CELL_STAGES_SECONDS + by_cell}
     else:
-        found = {"join": stats.products * SECONDS_PER_SHUFFLED_PRODUCT}
+        found = {"join": CELL_STAGES_SECONDS + stats.products * SECONDS_PER_SHUFFLED_PRODUCT}
     given = KERNEL_STAGES_SECONDS + sums * SECONDS_PER_GIVEN_CELL
     parts = number_of_parts(stats.products, sums, stats.nnz_a, cores)
     copies = min(stats.products, parts * stats.nnz_b)
     found["rows"] = (
-        given + (stats.nnz_a + copies) * SECONDS_PER_SHIPPED_CELL + stats.products * SECONDS_PER_PAIR
+        given + (stats.nnz_a + copies) * SECONDS_PER_SHIPPED_CELL + stats.products * SECONDS_PER_ROW_PAIR
     )
     tiles = shape.tiles()
     shipped = stats.nnz_a * tiles[2] + stats.nnz_b * tiles[0]

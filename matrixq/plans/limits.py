@@ -24,8 +24,9 @@ CELLS_PER_TASK = 4_000_000
 EXPANDING_FROM = 4
 # No shuffle is asked to have more partitions than this.
 MAX_PARTITIONS = 32_768
-# What a part of the row-wise product may have: products to form, sums to hold, left cells to hold.
-PART_PRODUCTS, PART_SUMS, PART_CELLS = 1 << 25, 1 << 22, 1 << 21
+# What a part of the row-wise product may have: products to form, sums to hold (8 MB, which stay in
+# a core's cache), left cells to hold.
+PART_PRODUCTS, PART_SUMS, PART_CELLS = 1 << 25, 1 << 20, 1 << 21
 
 
 def number_of_parts(products: int, sums: float, cells: int, cores: int,
