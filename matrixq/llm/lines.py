@@ -19,10 +19,10 @@ differ in a word or more have few classes in common. Up to ``ALIKE`` lines that
 compared by a word of parities each. More are told apart by classes of single characters as
 well, and by both once more with another hash.
 
-Where lines still agree in very large numbers, a line needs one earlier partner, not all. Each line is compared with the earliest one of its group, and only where some are not near
-it does the group go on, without that line: lines are cut into segments once more, the shared segment
-is cut out, and so forth. A pair that shares several segments is looked for under the first of them
-only: a group whose
+A line needs one earlier partner, not all. So in all of this each line is compared with the earliest
+one of its group first, and only where some are not near it does the group go on, without that
+line. What the classes leave is cut into segments once more, the shared segment is cut out, and so
+forth. A pair that shares several segments is looked for under the first of them only: a group whose
 lines all agree in an earlier segment as well has nothing to add. What is left gets shorter each
 round, until its at most ``TINY`` characters are told by patterns: two texts are within ``e`` edits
 if and only if replacing characters by a joker, or putting jokers in, ``e`` times in all, can make
@@ -31,8 +31,8 @@ no pairs are formed. A middle segment leaves a row of marks, one more than the e
 both sides apart.
 
 Pairs of lines that meet and whose parities of character pairs allow it are checked by a banded
-bit-parallel automaton: one word of bits for each
-number of edits, one bit for each diagonal of the band, all moved together by each character.
+bit-parallel automaton: one word of bits for each number of edits, one bit for each diagonal of the
+band, all moved together by each character.
 
 Marks and the joker are code points that Unicode keeps free of characters or for private use; lines
 that hold one nevertheless are not compared within crowds.
@@ -58,6 +58,8 @@ BROADCAST_ROWS = 200_000
 #: Lines under one segment that are compared one by one; more are a crowd. Lines of a crowd that
 #: agree in a class and are compared by parities, one by one.
 CROWD, ALIKE = 8, 512
+#: Lengths up to which those of crowded segments' lines are listed, so many numbers at the most.
+LISTED = 1 << 14
 #: Characters left of a line, from which on it is told by patterns.
 TINY = 12
 #: Code points that no text should hold, those that are no characters and some of private use: the
@@ -367,9 +369,10 @@ def candidates(rows: DataFrame, edits: int) -> DataFrame:
         round_ += 1
         if round_ == 1:
             # A line is looked up under segments of lines as long as it or a little shorter.
-            sizes = crowded.select(F.explode(F.sequence("size", F.col("size") + edits)).alias("size"))
-            sizes = small(written(sizes.distinct(), "crowd-sizes"), BROADCAST_ROWS)
-            like = rows.join(sizes, F.length("left") == F.col("size"), "left_semi")
+            near_sizes = F.explode(F.sequence("size", F.col("size") + edits))
+            sizes = crowded.where(F.col("size") <= LISTED).select(near_sizes.alias("size")).distinct()
+            listed = [r["size"] for r in sizes.collect()]
+            like = rows.where(F.length("left").isin(listed) | (F.length("left") > LISTED))
             shared, rows = crowd_of([entries(like, edits), probes(like, edits)], crowded, edits)
             found += shared
         else:
