@@ -435,7 +435,7 @@ def test_licenses(spark, odd, nothing):
     found = {r["doc_id"]: r for r in licenses.scan(texts(spark, rows)).collect()}
     pick = lambda d: tuple(found[d][c] for c in ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels"))
     assert pick(1) == (7, 2, 1, 4, "reserved", "all-rights-reserved,reserved")
-    assert pick(2) == (6, 1, 2, 2, "cc-by", "cc-by,cc-by-nc-4.0")
+    assert pick(2) == (7, 1, 2, 2, "cc-by", "cc-by,cc-by-nc-4.0")
     assert pick(4) == (0, 0, None, None, "", "") and found[3]["labels"] == ""
     assert pick(5)[:4] == (4, 2, 0, 2)
     assert found[6]["labels"] == "mit" and found[6]["score"] == 0.8
