@@ -31,14 +31,15 @@ def _summed(of: Column, whole: bool) -> Column:
 
 
 def product_differences(a: Matrix, b: Matrix, c: Matrix, *, seed: int = 0,
-                        tolerance: float = 1e-9) -> DataFrame:
+                        tolerance: float = 1e-9, every_row: bool = False) -> DataFrame:
     """Rows ``(i, expected, found)`` of ``C`` that do not fit ``A x B``; none if it is the product.
 
     Freivalds' check: ``A (B x)`` against ``C x`` for a random vector ``x``. That is three passes,
     over each matrix once, whatever number of products ``A x B`` has. Whole numbers are compared
     modulo a prime, so a wrong row stays unseen with a chance of 1 in 2**31; doubles within
     ``tolerance`` of the sum of their absolute values. ``x`` comes from a hash of the column, so it
-    is neither stored nor sent.
+    is neither stored nor sent. ``every_row``: all rows of ``A x B`` and of ``C`` instead, with
+    ``in_c`` and ``differs``, so that one pass over ``C`` tells more than the differences.
     """
     check_conformable(a, b)
     whole = value_type_of(a, b, c) == "bigint"
@@ -60,12 +61,15 @@ def product_differences(a: Matrix, b: Matrix, c: Matrix, *, seed: int = 0,
     found = of_rows(c).select("i", F.col("y").alias("found"), F.col("size"))
     both = expected.join(found, "i", "full").select(
         "i", F.coalesce("expected", zero).alias("expected"), F.coalesce("found", zero).alias("found"),
-        F.greatest("scale", "size").alias("scale"),
+        F.greatest("scale", "size").alias("scale"), F.col("found").isNotNull().alias("in_c"),
     )
     apart = F.col("expected") != F.col("found")
     if not whole:
         gap = F.abs(F.col("expected") - F.col("found"))
         apart = apart & ~F.coalesce(gap <= tolerance * F.col("scale"), F.lit(False))
+    if every_row:
+        differs = F.coalesce(apart, F.lit(False)).alias("differs")
+        return both.select("i", "expected", "found", "in_c", differs)
     return both.where(apart).select("i", "expected", "found")
 
 
