@@ -28,11 +28,14 @@ from matrixq.operators.cells import coalesce_cells
 from matrixq.operators.gram import mirror
 from matrixq.plans.choose import default_block
 from matrixq.plans.limits import MAX_PARTITIONS, fits_broadcast
+from matrixq.session import tune_for
 
 # Pairs of tiles a task should multiply for one output tile, some 20 seconds of full ones.
 TILE_PAIRS_PER_TASK = 256
 # Output tiles on an edge of a group: nine sums of 8 MB in a task.
 GROUP_EDGE = 3
+# Small tiles are merged up to this edge.
+MERGED_EDGE = 1024
 # Up to this many groups a piece is sent to all of them; beyond, only to those that have a tile
 # for it to meet.
 SENT_TO_ALL = 8
@@ -53,13 +56,17 @@ def block_product(a: Matrix, b: Matrix, *, block: int | None = None, layers: int
     With ``symmetric`` ``A`` is the transpose of ``B``, and only the tiles on and above the
     diagonal are computed. ``seen``: rows, inner size and columns that the cells are
     known to show; without it a shape that is not declared costs a job. ``group``: output tiles
-    on an edge of a task's group.
+    on an edge of a task's group. Without ``group`` and ``layers``, neighbouring tiles of a small
+    ``block`` are merged where there are many.
     """
     if seen is not None:
         a, b = _declare(a, seen[0], seen[1]), _declare(b, seen[1], seen[2])
+    tune_for(a.spark, *(m.cells for m in (a, b) if not m.unique))
     a, b = infer_dims(a), infer_dims(b)
     cores = a.spark.sparkContext.defaultParallelism
     block = block or default_block(a.n_rows, b.n_cols, cores)
+    if group is None and layers is None:
+        block *= _merged_tiles(a.n_rows, b.n_cols, block, cores)
     down, across = _tiles(a.n_rows, block), _tiles(b.n_cols, block)
     deep = _tiles(max(a.n_cols, b.n_rows), block)
     value_type = value_type_of(a, b)
@@ -109,6 +116,16 @@ def _declare(m: Matrix, n_rows: int, n_cols: int) -> Matrix:
     )
 
 
+def _merged_tiles(n_rows: int, n_cols: int, block: int, cores: int) -> int:
+    """Tiles on an edge that are multiplied as one: small tiles of a large matrix hold a few cells
+    each, and steps and copies would grow with the square of their number."""
+    merged = 1
+    while 2 * merged * block <= MERGED_EDGE and _tiles(n_rows, 2 * merged * block) * _tiles(
+            n_cols, 2 * merged * block) >= 2 * cores:
+        merged *= 2
+    return merged
+
+
 def _tiles(extent: int, block: int) -> int:
     return max(1, -(-extent // block))
 
