@@ -61,6 +61,18 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     )
 
 
+def _bytes(rows: np.ndarray) -> bytes:
+    """Rows by the places of their bytes: what most have in common, as zeros, stands together and
+    is packed well in shuffle files."""
+    return np.ascontiguousarray(rows).view(np.uint8).reshape(len(rows), rows.itemsize).T.tobytes()
+
+
+def _rows(data: bytes, kind: np.dtype) -> np.ndarray:
+    """What ``_bytes`` was given."""
+    planes = np.frombuffer(data, np.uint8).reshape(kind.itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).reshape(-1)
+
+
 def _doc_part(body: np.ndarray, parts: int) -> np.ndarray:
     return body % parts  # never negative, like Spark's pmod
 
@@ -71,7 +83,7 @@ def _pieces(rows: np.ndarray, part: np.ndarray, kind: int) -> Iterator[tuple]:
     rows, part = rows[order], part[order]
     for some in np.split(np.arange(len(rows)), np.flatnonzero(np.diff(part)) + 1):
         if len(some):
-            yield _row(kind, int(part[some[0]]), rows[some].tobytes())
+            yield _row(kind, int(part[some[0]]), _bytes(rows[some]))
 
 
 def _first_runs(runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -152,7 +164,7 @@ def _settle_runs(length: int, parts: int):
         if (kinds == 1).all():
             return table
         data = [x.as_py() for x, kind in zip(table["data"], kinds) if kind == 0]
-        runs, later = _first_runs(np.concatenate([np.frombuffer(x, RUN) for x in data]))
+        runs, later = _first_runs(np.concatenate([_rows(x, RUN) for x in data]))
         cuts = _cuts(runs[later], length)
         heads = np.ones(len(runs), bool)
         heads[1:] = (runs["gram"][1:] != runs["gram"][:-1]) | (runs["whole"][1:] != runs["whole"][:-1])
@@ -182,7 +194,7 @@ def _fetch(length: int, parts: int):
         kinds = asks["kind"].to_pylist()
         wanted = {
             kind: np.concatenate([np.empty(0, RUN)] + [
-                np.frombuffer(x.as_py(), RUN) for x, k in zip(asks["data"], kinds) if k == kind
+                _rows(x.as_py(), RUN) for x, k in zip(asks["data"], kinds) if k == kind
             ]) for kind in (2, 3)
         }
         texts = {(d, b): t for d, b, t in zip(docs["doc"].to_pylist(), docs["body"].to_pylist(),
@@ -265,7 +277,7 @@ def _remove():
     """Documents of one part and the cuts in them to what is left."""
     def remove(docs: pa.Table, cuts: pa.Table) -> pa.Table:
         all_cuts = _merged(np.concatenate(
-            [np.empty(0, CUT)] + [np.frombuffer(x, CUT) for x in cuts["data"].to_pylist()]
+            [np.empty(0, CUT)] + [_rows(x, CUT) for x in cuts["data"].to_pylist()]
         ))
         keys = list(zip(all_cuts["doc"].tolist(), all_cuts["body"].tolist()))
         spans: dict[tuple, list] = {}
@@ -312,8 +324,9 @@ def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", length: int =
         read.groupBy("kind", "part").applyInArrow(_settle_runs(length, parts), _PACKED), "repeats"
     )
     asks = settled.where("kind in (2, 3)")
+    # All columns, as for what is left of the texts below: one shuffle of them serves both.
     fetched = (
-        docs.select("part", "doc", "body", "text").groupBy("part")
+        docs.groupBy("part")
         .cogroup(asks.groupBy("part")).applyInArrow(_fetch(length, parts), _PACKED)
     )
     compared = fetched.groupBy("part").applyInArrow(_compare(length, parts), _PACKED)

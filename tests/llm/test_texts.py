@@ -1,6 +1,8 @@
 import random
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -303,6 +305,28 @@ def test_suffixes_odd_rows(odd, nothing):
     assert suffixes.dedup(nothing).count() == 0
 
 
+def test_suffixes_shuffle_texts_once(spark):
+    rows = [(d, f"{d} " + "some words that come again " * 6) for d in range(20)]
+    out = suffixes.dedup(texts(spark, rows))
+    assert len(out.collect()) == 20
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    # Two cogroups read the texts, which are shuffled for one of them.
+    assert plan.count("FlatMapCoGroupsInArrow") == 2 and plan.count("ReusedExchange") == 1
+
+
+def test_suffixes_pack_runs_small():
+    rng = np.random.default_rng(1)
+    rows = np.zeros(10_000, suffixes.RUN)
+    for name, most in [("gram", 1 << 63), ("whole", 1 << 63), ("doc", 300_000), ("body", 1 << 63),
+                       ("first", 5000), ("many", 58)]:
+        rows[name] = rng.integers(0, most, len(rows))
+    data = suffixes._bytes(rows)
+    assert (suffixes._rows(data, suffixes.RUN) == rows).all()
+    # Bytes that are no noise cost little; rows one after the other would keep a tenth more.
+    assert len(pa.compress(data, "lz4_raw", asbytes=True)) < 0.8 * len(data)
+    assert not len(suffixes._rows(suffixes._bytes(rows[:0]), suffixes.RUN))
+
+
 # Toxicity
 
 
