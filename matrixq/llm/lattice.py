@@ -120,8 +120,8 @@ class Lattice:
         self.word = np.repeat(np.arange(len(words)), sizes)
         place = np.arange(len(signs)) - self.first[self.word]
         # Both sweeps add up the ways along the arcs place by place, all words together.
+        self.place, self.home = place, None
         self.onward = self._order(self.starts, self.ends, place[self.ends - 1])
-        self.homeward = self._order(self.ends, self.starts, -place[self.starts])
 
     def scores(self, weights: np.ndarray) -> np.ndarray:
         of_bytes = self.bytes @ weights[self.pieces:]
@@ -131,10 +131,15 @@ class Lattice:
     def _order(come: np.ndarray, go: np.ndarray, turn: np.ndarray) -> tuple:
         """The arcs in the order of their turns, where each turn begins, and where each run of
         arcs to one place begins within it."""
-        order = np.lexsort((go, turn))
+        # Turn, place and number of an arc as one number: words at hand are short enough for that.
+        bits = len(go).bit_length()
+        packed = (turn - turn.min()) * (go.max() + 1) + go << bits | np.arange(len(go))
+        packed.sort()
+        order = packed & (1 << bits) - 1
         come, go, turn = come[order], go[order], turn[order]
-        cuts = np.append(np.flatnonzero(np.diff(turn, prepend=turn[0] - 1)), len(turn))
-        runs = np.flatnonzero(np.diff(go, prepend=-1) | np.isin(np.arange(len(go)), cuts))
+        fresh = np.append(True, turn[1:] != turn[:-1])
+        cuts = np.append(np.flatnonzero(fresh), len(turn))
+        runs = np.flatnonzero(fresh | np.append(True, go[1:] != go[:-1]))
         return order, come, go[runs], cuts, np.searchsorted(runs, cuts), runs
 
     def forward(self, scores: np.ndarray) -> np.ndarray:
@@ -143,7 +148,9 @@ class Lattice:
 
     def backward(self, scores: np.ndarray) -> np.ndarray:
         """Log probability of all ways from each place to the end of its word."""
-        return self._sweep(self.last, self.homeward, scores)
+        if self.home is None:
+            self.home = self._order(self.ends, self.starts, -self.place[self.starts])
+        return self._sweep(self.last, self.home, scores)
 
     def _sweep(self, begin: np.ndarray, arcs: tuple, scores: np.ndarray) -> np.ndarray:
         order, come, to, cuts, first_run, runs = arcs
@@ -219,6 +226,17 @@ def _chunks(words: list[str]) -> Iterator[list[int]]:
         yield rows
 
 
+def _matrix(lists: pa.ListArray, width: int) -> np.ndarray:
+    """Lists of ``width`` numbers each, as rows."""
+    return lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), width)
+
+
+def _lists(rows: np.ndarray) -> pa.ListArray:
+    """The other way round."""
+    ends = np.arange(len(rows) + 1, dtype=np.int32) * np.int32(rows.shape[1])
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.ascontiguousarray(rows).reshape(-1)))
+
+
 def held_out(key: Column) -> Column:
     """Whether the id's checksum says that the row is no training row."""
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % 7 == 2
@@ -351,12 +369,12 @@ def learn(df: DataFrame, vocabulary: Vocabulary, key: str = "doc_id", text: str
             sub[[k for k, w in enumerate(words) if not w]] = -math.log(whole.types + 2)
             c = batch.column("c").to_numpy()
             general = np.logaddexp(whole.arc(c)[:, None], whole.left + sub)
-            cs = np.array(batch.column("cs").to_pylist(), float).reshape(len(words), len(kinds))
+            cs = _matrix(batch.column("cs"), len(kinds)).astype(float)
             for k, kind in enumerate(kinds):
                 general[:, k] = np.logaddexp(kind.arc(cs[:, k]), kind.left + general[:, k])
             yield pa.RecordBatch.from_arrays([
                 batch.column("token"), batch.column("n"), batch.column("c"),
-                pa.array(list(general), pa.list_(pa.float64())),
+                _lists(general),
             ], names=["token", "n", "c", "logs"])
 
     scored = tokens.mapInArrow(score, "token binary, n long, c long, logs array<double>")
@@ -377,7 +395,7 @@ def fitted(tokens: DataFrame, vocabulary: Vocabulary, classes: int) -> list[np.n
             lattice, totals = Lattice(sent.value), np.zeros((classes, size))
             for batch in batches:
                 words = [t.decode() for t in batch.column("token").to_pylist()]
-                cs = np.array(batch.column("cs").to_pylist()).reshape(len(words), classes)
+                cs = _matrix(batch.column("cs"), classes)
                 for k in range(classes):
                     some = [words[r] for r in np.flatnonzero(cs[:, k] > 0).tolist()]
                     totals[k] += lattice.expected(some, now[k])
@@ -441,7 +459,7 @@ def score(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text")
             yield pa.RecordBatch.from_arrays([
                 rows.column(0), rows.column(1), pa.nulls(len(sizes), pa.binary()),
                 pa.array(sums[:, 0].astype(np.int64)), pa.array(sums[:, 1].astype(np.int64)),
-                pa.array(sums[:, 2]), pa.array(list(sums[:, 3:]), pa.list_(pa.float64())),
+                pa.array(sums[:, 2]), _lists(sums[:, 3:]),
             ], names=fields)
             if len(other):
                 of, blank = pa.array(row[other]), len(other)

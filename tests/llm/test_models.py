@@ -72,6 +72,22 @@ def test_expected_pieces_by_derivative():
         assert abs(slope - expected[k]) < 1e-5
 
 
+def test_arcs_are_ordered_as_needed(vocabulary, monkeypatch):
+    net, done = lattice.Lattice(vocabulary.pieces), []
+    order = lattice.Lattice._order
+
+    def noted(come, go, turn):
+        done.append((order(come, go, turn)[0] == np.lexsort((go, turn))).all())
+        return order(come, go, turn)
+
+    monkeypatch.setattr(lattice.Lattice, "_order", staticmethod(noted))
+    words = ["", "a", "words", "wörter", "unbelievable" * 30]
+    net.marginals(words, [vocabulary.weights] * 3)
+    assert done == [True]  # nothing is ordered for the sweep back, which is not asked for
+    net.expected(words, vocabulary.weights)
+    assert done == [True] * 3
+
+
 def test_long_words_place_by_place(vocabulary):
     net = lattice.Lattice(vocabulary.pieces)
     word = "abc漢dxyzthe" * 600
