@@ -31,6 +31,8 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from matrixq.session import tune_texts
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Bytes of a tokenizer file; it is broadcast, so larger files are refused.
@@ -238,6 +240,7 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids",
     An existing column of such a name is replaced.
     """
     spark = df.sparkSession
+    tune_texts(spark)
     shared = spark.sparkContext.broadcast(read_tables(spark, path))
     fields = "ids binary" + (", decoded string" if decoded else "")
 

@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 
 from matrixq.llm.common import small, written
 from matrixq.llm.components import components
+from matrixq.session import tune_texts
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -368,6 +369,7 @@ def near_duplicates(df: DataFrame, percent: int, key: str = "doc_id", text: str
 
     The added columns replace any of the same name. ``text`` is not returned.
     """
+    tune_texts(df.sparkSession)
     names = ("n_shingles", "component_id", "kept", "first")
     kept = [c for c in df.columns if c not in (*names, text)]
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from matrixq.llm import suffix_kernel
 from matrixq.llm.common import written
 from matrixq.llm.suffix_kernel import Roller, anchors, repeats
+from matrixq.session import tune_texts
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 cloudpickle.register_pickle_by_value(suffix_kernel)
@@ -308,6 +309,7 @@ def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", length: int =
     """Rows ``(key, n_bytes, n_removed, n_spans, kept, starts, ends)``: the bytes that are left of
     each text (binary), and the removed spans by their first byte and the one behind the last.
     """
+    tune_texts(df.sparkSession)
     gram = min(gram, length)
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     docs = df.select(

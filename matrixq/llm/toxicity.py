@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matrixq.llm.common import written
+from matrixq.session import tune_texts
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -311,6 +312,7 @@ def learn_weights(labelled: DataFrame) -> tuple[dict[str, float], float]:
 def learn(texts: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id",
           label: str = "toxic", at_most: int = LABELLED_TEXTS) -> Model:
     """The model of ``labels`` (rows of ``key`` and ``label``) over ``texts``."""
+    tune_texts(texts.sparkSession)
     chosen = labels.where(f"`{label}` is not null and `{key}` is not null").select(
         F.col(f"`{key}`").alias("__key"), F.col(f"`{label}`").alias("label")
     ).groupBy("__key").agg(F.max("label").alias("label"))
@@ -339,6 +341,7 @@ def learn(texts: DataFrame, labels: DataFrame, text: str = "text", key: str = "d
 
 def score(df: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:
     """Adds the score, 0 to 1; a column of that name is replaced."""
+    tune_texts(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(model)  # a lexicon and 22,000 counts at most
 
     @F.pandas_udf("double")

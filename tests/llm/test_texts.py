@@ -6,8 +6,10 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from matrixq.llm import licenses, lines, minhash, mixing, suffixes, toxicity, urls
+from matrixq import session
+from matrixq.llm import bpe, licenses, lines, minhash, mixing, suffixes, toxicity, urls
 from matrixq.llm.components import components
+from matrixq.llm.queries import WORD_TOKENIZER
 from tests.llm.conftest import ODD_TEXTS
 
 
@@ -305,6 +307,32 @@ def test_suffixes_odd_rows(odd, nothing):
     assert suffixes.dedup(nothing).count() == 0
 
 
+def test_texts_go_to_python_in_small_batches(spark):
+    before = spark.conf.get(session.ARROW_BYTES)
+    df = texts(spark, [(d, str(d) * 5000) for d in range(4000)]).coalesce(1)
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
+
+    def count(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes], pa.int64())], ["n"])
+
+    try:
+        for use in (
+            lambda: bpe.encode(df, WORD_TOKENIZER), lambda: suffixes.dedup(df.limit(3)),
+            lambda: minhash.near_duplicates(df.limit(3), 80),
+            lambda: toxicity.learn(df.limit(3), labels),
+        ):
+            spark.conf.set(session.ARROW_BYTES, "64m")
+            use()
+            sizes = [r["n"] for r in df.select("text").mapInArrow(count, "n long").collect()]
+            assert max(sizes) < 1.2 * session.BATCH_BYTES < sum(sizes)
+        spark.conf.set(session.ARROW_BYTES, "100kb")
+        bpe.encode(df, WORD_TOKENIZER)
+        assert spark.conf.get(session.ARROW_BYTES) == "100kb"  # a smaller one is kept
+    finally:
+        spark.conf.set(session.ARROW_BYTES, before)
+
+
 def test_suffixes_shuffle_texts_once(spark):
     rows = [(d, f"{d} " + "some words that come again " * 6) for d in range(20)]
     out = suffixes.dedup(texts(spark, rows))
