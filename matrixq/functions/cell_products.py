@@ -54,6 +54,19 @@ class ByInner:
             first = stop
 
 
+class ByOffset(ByInner):
+    """The same where inner indexes are offsets below ``width``: a place for each, no search."""
+
+    def __init__(self, line: np.ndarray, k: np.ndarray, v: np.ndarray, width: int) -> None:
+        order = np.argsort(k, kind="stable")
+        self.line, self.v = line[order], v[order]
+        self.count = np.bincount(k, minlength=width)
+        self.start = np.cumsum(self.count) - self.count
+
+    def counts(self, k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return k, self.count[k]
+
+
 def whole_products(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Exact products of whole numbers: in 64 bits where they fit, else of any size."""
     if len(x) and float(np.abs(x.astype(np.float64)).max()) * float(np.abs(y.astype(np.float64)).max()) >= 2.0**62:

@@ -91,3 +91,30 @@ def test_every_row_of_a_check(spark):
     c = from_entries(spark, [(0, 0, 5), (2, 0, 1)], 3, 1)
     rows = product_differences(a, b, c, every_row=True).select("i", "in_c", "differs").collect()
     assert {tuple(r) for r in rows} == {(0, True, False), (1, False, True), (2, True, True)}
+
+
+def test_nearly_empty_tiles_make_no_layers(spark):
+    """A long inner index of nearly empty tiles: no partial tile is summed once more."""
+    rng = np.random.default_rng(5)
+    entries = [(int(i), int(k), int(v)) for i, k, v in zip(
+        rng.integers(0, 2000, 3000), rng.integers(0, 10**6, 3000) // 5000 * 5000 + 7, rng.integers(1, 9, 3000))]
+    a = mq.Matrix(spark.createDataFrame(sorted(dict(((i, k), v) for i, k, v in entries).items()), "at struct<i:bigint,j:bigint>, v bigint").select("at.*", "v"), 2000, 10**6, unique=True)
+    c = mq.matmul(a, a.T, "block", block=32)
+    assert "HashAggregate" not in plan_of(c)
+    assert cells(c) == cells(mq.matmul(a, a.T, "join", split_hot=False))
+
+
+@pytest.mark.parametrize("places", [1 << 26, 64])
+@pytest.mark.parametrize("block", [2, 7])
+def test_steps_over_many_inner_tiles(spark, monkeypatch, places, block):
+    """Wide steps with empty, sparse and full tiles, cells that cancel, and the half of a Gram product."""
+    for name, value in (("MANY_PAIRS", 1), ("NEARLY_EMPTY", 2), ("BATCH_PIECES", 4), ("SENT_TO_ALL", 1), ("STEP_PLACES", places)):
+        monkeypatch.setattr(blocks, name, value)
+    a, b = generate(spark, 40, 90, 0.1, 1), generate(spark, 90, 33, 0.3, 2)
+    full = a.cells.unionByName(spark.range(14 * 14).selectExpr("id div 14 i", "id % 14 j", "if(id % 2 = 0, 1L, -1L) v"))
+    a = mq.coalesce_cells(a.with_cells(full.withColumn("v", F.col("v").cast("bigint")), unique=False))
+    expected = cells(mq.matmul(a, b, "join"))
+    assert 0 in expected.values()
+    assert cells(mq.matmul(a, b, "block", block=block)) == expected
+    assert cells(mq.matmul(a, b, "block", block=block, keep_zeros=False)) == {at: v for at, v in expected.items() if v}
+    assert cells(mq.gram(a, strategy="block", block=block)) == cells(mq.matmul(a.T, a, "join"))
