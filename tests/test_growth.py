@@ -118,3 +118,15 @@ def test_steps_over_many_inner_tiles(spark, monkeypatch, places, block):
     assert cells(mq.matmul(a, b, "block", block=block)) == expected
     assert cells(mq.matmul(a, b, "block", block=block, keep_zeros=False)) == {at: v for at, v in expected.items() if v}
     assert cells(mq.gram(a, strategy="block", block=block)) == cells(mq.matmul(a.T, a, "join"))
+
+
+def test_cancelled_cells_stay_in_nearly_empty_tiles(spark):
+    """Two cells of each line cancel, 700,000 inner indexes apart."""
+    rows = spark.range(600).selectExpr("id % 300 * 6 i", "300 * (id % 2) + 700000 * (id div 300) j", "if(id < 300, 1L, -1L) v")
+    a = mq.Matrix(rows, 1800, 10**6, unique=True)
+    ones = mq.Matrix(a.cells.select("i", "j", F.lit(1).cast("bigint").alias("v")), 1800, 10**6, unique=True)
+    c = mq.matmul(a, ones.T, "block", block=32)
+    assert "HashAggregate" not in plan_of(c)
+    expected = cells(mq.matmul(a, ones.T, "join"))
+    assert cells(c) == expected and set(expected.values()) == {0}
+    assert cells(mq.matmul(a, ones.T, "block", block=32, keep_zeros=False)) == {}
