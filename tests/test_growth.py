@@ -130,3 +130,11 @@ def test_cancelled_cells_stay_in_nearly_empty_tiles(spark):
     expected = cells(mq.matmul(a, ones.T, "join"))
     assert cells(c) == expected and set(expected.values()) == {0}
     assert cells(mq.matmul(a, ones.T, "block", block=32, keep_zeros=False)) == {}
+
+
+def test_gram_of_nearly_empty_tiles_makes_no_layers(spark):
+    rows = spark.range(4000).selectExpr("id * 7919 % 1000 * 997 i", "id * 31 % 1999 j", "id % 9 - 4 v")
+    m = mq.Matrix(mq.coalesce_cells(mq.Matrix(rows)).cells.localCheckpoint(), 10**6, 2000, unique=True)
+    c = mq.gram(m, strategy="block", block=32)
+    assert "HashAggregate" not in plan_of(c)
+    assert cells(c) == cells(mq.matmul(m.T, m, "join"))
