@@ -138,3 +138,35 @@ def test_gram_of_nearly_empty_tiles_makes_no_layers(spark):
     c = mq.gram(m, strategy="block", block=32)
     assert "HashAggregate" not in plan_of(c)
     assert cells(c) == cells(mq.matmul(m.T, m, "join"))
+
+
+@pytest.mark.parametrize("whole", [True, False])
+@pytest.mark.parametrize("wide", [True, False])
+def test_rows_are_packed_in_few_bytes(whole, wide):
+    """Gaps and values of all sizes come back, and small ones take a byte each."""
+    import pyarrow as pa
+
+    from matrixq.functions import row_kernel as kernel
+
+    top = 1 << (40 if wide else 30)
+    rows = {3: [(5, 1), (6, -128), (200, 127)], 4: [(0, 300), (70_000, 2)], 6: [(9, 1 << 40)], top: [(0, 70_000), (500, 1), (top, -(1 << 62))]}
+    k, x, v = (np.array(c) for c in zip(*((at, j, y) for at, row in rows.items() for j, y in row)))
+    v = v if whole else v / 2
+    given = pa.RecordBatch.from_arrays([pa.array(k), pa.array(x), pa.array(v)], names=["k", "x", "v"])
+    packed, = kernel.pack_rows(whole, wide)(iter([given]))
+    assert packed.num_rows == len(rows)
+    assert len(packed["x"][0].as_py()) == (16 if wide else 8) + 3 and len(packed["v"][0].as_py()) == (3 if whole else 24)
+    found = []
+    for r, kind in enumerate(packed["kind"].to_pylist()):
+        size, held = divmod(kind - kernel.ROW, 4)
+        inner, col = kernel._places(packed, r, r + 1, kernel.GAPS[size], np.dtype(np.int64 if wide else np.int32))
+        t = kernel.VALUES[held] if whole or held < 3 else np.dtype(np.float64)
+        found += zip(inner.tolist(), col.tolist(), kernel._flat(packed, "v", r, r + 1, t)[0].tolist())
+    assert found == list(zip(k.tolist(), x.tolist(), v.tolist()))
+
+
+def test_parts_get_bytes_and_no_arrays(spark, monkeypatch):
+    monkeypatch.setattr(rowwise, "NAMES_ALL", 10**9)
+    a, b = generate(spark, 30, 20, 0.3, 1), generate(spark, 20, 40, 0.6, 2)
+    c = rowwise.row_product(mq.Matrix(a.cells), mq.Matrix(b.cells))
+    assert cells(c) == cells(mq.matmul(a, b, "join")) and "collect_list" not in plan_of(c)
