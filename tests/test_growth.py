@@ -170,3 +170,29 @@ def test_parts_get_bytes_and_no_arrays(spark, monkeypatch):
     a, b = generate(spark, 30, 20, 0.3, 1), generate(spark, 20, 40, 0.6, 2)
     c = rowwise.row_product(mq.Matrix(a.cells), mq.Matrix(b.cells))
     assert cells(c) == cells(mq.matmul(a, b, "join")) and "collect_list" not in plan_of(c)
+
+
+@pytest.mark.parametrize("cols,kind", [(200_000, "tinyint"), (1 << 40, "smallint")])
+def test_join_sends_rows_in_halves_and_small_values(spark, monkeypatch, cols, kind):
+    monkeypatch.setattr(stats, "PRODUCTS_PER_TASK", 10)
+    entries = [(k, j * (cols // 9), (-1) ** j * (40 if kind == "tinyint" else 4000 * k)) for k in range(6) for j in range(9)]
+    entries += [(0, 65_535, 1), (0, 65_536, 2), (0, cols - 1, 1 << 40)]
+    a, b = from_entries(spark, [(i, k, i + 1) for i in range(8) for k in range(6)], 8, 6), from_entries(spark, entries, 6, cols)
+    c = mq.matmul(a, b, "join")
+    plan = plan_of(c)
+    assert "array<tinyint>" in plan and ("upper" in plan) == (cols < 1 << 31)
+    expected = {}
+    for k, j, v in entries:
+        for i in range(8):
+            expected[i, j] = expected.get((i, j), 0) + (i + 1) * v
+    assert cells(c) == expected
+
+
+def test_row_lengths_are_counted_without_sums_first(spark, monkeypatch):
+    """Duplicates are summed only where they might be what makes a row too long."""
+    calls = []
+    monkeypatch.setattr(product, "coalesce_cells", lambda m: calls.append(m) or mq.coalesce_cells(m))
+    a, b = mq.Matrix(spark.range(100).selectExpr("id % 10 i", "id % 5 j", "1L v"), 10, 5), generate(spark, 5, 8, 1.0, 1)
+    assert product._longest_row(a, b) == 80 and not calls
+    monkeypatch.setattr(product, "LINE_SLACK", 0)
+    assert product._longest_row(a, b) == 8 and calls
