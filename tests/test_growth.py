@@ -196,3 +196,18 @@ def test_row_lengths_are_counted_without_sums_first(spark, monkeypatch):
     assert product._longest_row(a, b) == 80 and not calls
     monkeypatch.setattr(product, "LINE_SLACK", 0)
     assert product._longest_row(a, b) == 8 and calls
+
+
+def test_only_named_rows_are_sketched(spark, monkeypatch):
+    """Where few rows of ``A`` stand for all, no other row of ``B`` gets a sketch."""
+    monkeypatch.setattr(stats, "SKETCHED_ROWS", 4)
+    a, b = generate(spark, 400, 300, 0.005, 1), generate(spark, 300, 40, 0.2, 2)
+    step = F.pmod(F.xxhash64("i"), F.lit(100)) == 0
+    named = {r[0] for r in a.cells.where(step).select("j").distinct().collect()}
+    sums = {r["i"]: r["sums"] for r in stats._per_row(a.cells, b.cells, step).collect() if r["sums"] is not None}
+    x, y = dense(a) != 0, dense(b) != 0
+    assert sums == {i: int((x[i].astype(int) @ y > 0).sum()) for i in sums} and sums
+    plan = stats._sketched_sums(a.cells.where(step), b.cells)._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi" in plan and 0 < len(named) < 100
+    work = stats.row_work(a, b)
+    assert work.products == int((x.astype(int) @ y).sum()) and work.longest == int(y[x.any(0)].sum(1).max())
