@@ -211,3 +211,12 @@ def test_only_named_rows_are_sketched(spark, monkeypatch):
     assert "LeftSemi" in plan and 0 < len(named) < 100
     work = stats.row_work(a, b)
     assert work.products == int((x.astype(int) @ y).sum()) and work.longest == int(y[x.any(0)].sum(1).max())
+
+
+def test_zeros_are_dropped_from_rows_of_small_values(spark, monkeypatch):
+    monkeypatch.setattr(stats, "PRODUCTS_PER_TASK", 10)
+    rows = spark.range(48).selectExpr("id % 6 i", "id div 6 * 9000 j", "if(id % 6 < 3, 1L, -1L) v")
+    a, b = mq.Matrix(spark.range(240).selectExpr("id div 6 i", "id % 6 j", "if(id < 6, 2L, 1L + id % 3) v"), 40, 6), mq.Matrix(rows, 6, 80_000)
+    c = mq.matmul(a, b, "join", keep_zeros=False)
+    assert "array<tinyint>" in plan_of(c) and cells(c) == {}
+    assert set(cells(mq.matmul(a, b, "join")).values()) == {0}
