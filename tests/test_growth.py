@@ -220,3 +220,16 @@ def test_zeros_are_dropped_from_rows_of_small_values(spark, monkeypatch):
     c = mq.matmul(a, b, "join", keep_zeros=False)
     assert "array<tinyint>" in plan_of(c) and cells(c) == {}
     assert set(cells(mq.matmul(a, b, "join")).values()) == {0}
+
+
+@pytest.mark.parametrize("of", ["gram"])
+def test_packed_rows_in_queries_of_the_row_plan(spark, monkeypatch, of):
+    """Duplicates, hot rows and rows of B in pieces, each sent as bytes."""
+    for name, value in (("NAMES_ALL", 10**9), ("ROW_PIECE", 4)):
+        monkeypatch.setattr(rowwise, name, value)
+    m = mq.Matrix(spark.range(900).selectExpr("id * 7 % 60 i", "id * id % 37 j", "id % 300 - 150 v"), 60, 37)
+    b = m.T if of == "column heavy" else m
+    c = mq.gram(m, strategy="rows") if of == "gram" else mq.matmul(b.T, b, "rows")
+    assert "array<" not in plan_of(c) and cells(c) == cells(mq.matmul(b.T, b, "join"))
+    if of == "verified":
+        assert product_differences(b.T, b, c).count() == 0
