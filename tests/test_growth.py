@@ -222,7 +222,7 @@ def test_zeros_are_dropped_from_rows_of_small_values(spark, monkeypatch):
     assert set(cells(mq.matmul(a, b, "join")).values()) == {0}
 
 
-@pytest.mark.parametrize("of", ["gram", "column heavy"])
+@pytest.mark.parametrize("of", ["gram", "column heavy", "verified"])
 def test_packed_rows_in_queries_of_the_row_plan(spark, monkeypatch, of):
     """Duplicates, hot rows and rows of B in pieces, each sent as bytes."""
     for name, value in (("NAMES_ALL", 10**9), ("ROW_PIECE", 4)):
