@@ -233,3 +233,12 @@ def test_packed_rows_in_queries_of_the_row_plan(spark, monkeypatch, of):
     assert "array<" not in plan_of(c) and cells(c) == cells(mq.matmul(b.T, b, "join"))
     if of == "verified":
         assert product_differences(b.T, b, c).count() == 0
+
+
+def test_auto_join_takes_packed_rows(spark, monkeypatch):
+    """``auto`` without a broadcast, where the row-wise plan is the cheapest."""
+    monkeypatch.setattr(rowwise, "NAMES_ALL", 10**9)
+    monkeypatch.setattr(product, "pick_strategy", lambda *_, **limits: ("rows" if limits["broadcast_limit"] == 0 else "join", None))
+    a, b = mq.Matrix(generate(spark, 30, 20, 0.3, 1).cells), mq.Matrix(generate(spark, 20, 40, 0.6, 2).cells)
+    c = mq.matmul(a, b, broadcast_limit=0)
+    assert "array<" not in plan_of(c) and cells(c) == cells(mq.matmul(a, b))
